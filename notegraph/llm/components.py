@@ -1,0 +1,29 @@
+"""Connected components of an edge table, by smallest labels that hop along edges and along labels."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from notegraph.llm.common import materialize
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """``edges (a, b)`` to ``(node, label)``: label is the smallest node that can be reached.
+
+    Each round a node takes the smallest label among its neighbours, then the label of that label. Labels are written
+    to the shared folder each round, so lost executors cost one round at most, and only a count reaches the driver.
+    """
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = materialize(both.distinct(), "cc-edges")
+    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "cc-labels")
+    while True:
+        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
+        hop = labels.join(near, labels["node"] == near["a"]).select("node", "label", F.least("label", "near").alias("hop"))
+        of = labels.select(F.col("node").alias("hop"), F.col("label").alias("far"))
+        new = hop.join(of, "hop", "left").select("node", F.least("hop", F.coalesce("far", "hop")).alias("new"), "label")
+        new = materialize(new, "cc-labels")
+        changed = not new.where(F.col("new") != F.col("label")).isEmpty()
+        labels = new.select("node", F.col("new").alias("label"))
+        if not changed:
+            return labels
