@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = neardup.near_duplicates(docs)
     gone = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("__ng_id")).distinct()
     left = docs.join(gone, docs["doc_id"] == gone["__ng_id"], "left_anti")
-    return left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(left.where(F.col("doc_id").isNull()))
+    return left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(left.where(F.col("doc_id").isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

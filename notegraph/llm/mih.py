@@ -146,9 +146,9 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = """
-WITH b AS (SELECT vec_id, list_transform(embedding, x -> x >= 0) AS bits FROM embeddings),
+WITH b AS (SELECT vec_id, list_transform(embedding, lambda x: x >= 0) AS bits FROM embeddings),
 p AS (SELECT q.vec_id, b.vec_id AS neighbor_id,
-             CAST(len(list_filter(list_zip(q.bits, b.bits), z -> z[1] <> z[2])) AS INTEGER) AS distance
+             CAST(len(list_filter(list_zip(q.bits, b.bits), lambda z: z[1] <> z[2])) AS INTEGER) AS distance
       FROM b AS q JOIN b ON q.vec_id % 50 = 0 AND q.vec_id <> b.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS rank FROM p)
 SELECT vec_id, CAST(rank AS INTEGER) AS rank, neighbor_id, distance FROM r WHERE rank <= 10

@@ -87,19 +87,20 @@ def copies(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str
     classes_before = classes.select("source", "cls", F.coalesce(F.sum("n").over(up("source", "cls")), F.lit(0)).alias("b1"))
     in_class = chunk.select("source", "cls", "part", F.coalesce(F.sum("n").over(up("source", "cls", "part")), F.lit(0)).alias("b2"))
     targets = source_targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")), cap=cap)
-    same = lambda a, b, keys: [a[k].eqNullSafe(b[k]) for k in keys]
-    starts = (
-        in_class.alias("c")
-        .join(classes_before.alias("b"), same(in_class, classes_before, ("source", "cls")))
-        .join(targets.alias("t"), in_class["source"].eqNullSafe(targets["source"]))
-        .select(F.col("c.source").alias("source"), F.col("c.cls").alias("cls"), F.col("c.part").alias("part"), (F.col("b1") + F.col("b2")).alias("before"), "source_size", "target")
-    )
+    starts = _joined(_joined(in_class, classes_before, ["source", "cls"]), targets, ["source"])
+    starts = starts.withColumn("before", F.col("b1") + F.col("b2")).drop("b1", "b2")
     placed = slim.withColumn("rn", F.row_number().over(W.partitionBy("source", "cls", "part").orderBy("h", F.col("id").asc_nulls_first(), "__ng_size")))
-    out = placed.alias("p").join(starts.alias("s"), same(placed, starts, ("source", "cls", "part")))
+    out = _joined(placed, starts, ["source", "cls", "part"])
     step = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     k = F.col("before") + F.col("rn")
-    crossed = F.floor(k * step + offset_of(F.col("p.source"))) - F.floor((k - 1) * step + offset_of(F.col("p.source")))
-    return out.select("p.id", F.col("p.source").alias("source"), F.col("__ng_size").alias("size"), "source_size", "target", crossed.alias("copies"))
+    crossed = F.floor(k * step + offset_of(F.col("source"))) - F.floor((k - 1) * step + offset_of(F.col("source")))
+    return out.select("id", "source", F.col("__ng_size").alias("size"), "source_size", "target", crossed.alias("copies"))
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join on keys of which nulls are equal; the keys appear once."""
+    other = right.select([F.col(c).alias(f"__ng_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    return left.join(other, [left[k].eqNullSafe(other[f"__ng_r_{k}"]) for k in keys]).drop(*[f"__ng_r_{k}" for k in keys])
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cap: int = CAP) -> DataFrame:
