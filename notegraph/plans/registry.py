@@ -1,14 +1,18 @@
 """Names of the note-corpus queries and their SQL."""
+
 from __future__ import annotations
 
+from notegraph.plans import catalog
+
 
 def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    """Topic source sets with their digests: the collection job over the whole corpus."""
+    return catalog.QUERIES["k4_collect_topics"](spark, sf_dir)
 
 
 def queries():
-    return {}
+    return dict(catalog.QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(catalog.SQL)

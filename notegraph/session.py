@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +24,19 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(target))
         _shipped.add(context.applicationId)
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it; one of our own only where it names none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="notegraph-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: cuts the lineage, and survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
