@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notegraph.session import materialize, shared_dir  # noqa: F401
+
 #: White space as all operators here see it; a word is a maximal run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,28 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-        if not folder:
-            spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="notegraph-"))
-            folder = spark.sparkContext.getCheckpointDir()
-    return folder.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    Cuts the lineage and survives the loss of executors, as the files lie in shared storage.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_or_empty(col: Column) -> Column:
     return F.coalesce(col, F.lit(""))
 

@@ -258,7 +258,9 @@ def read_archives(archives: DataFrame, piece: int = 2000) -> DataFrame:
     Archives are read in pieces of so many records, dealt evenly over the tasks.
     """
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1, F.lit(piece).cast("long")))
-    pieces = archives.where(F.col("records") > 0).select("path", starts.alias("first")).repartition("path", "first")
+    pieces = archives.where(F.col("records") > 0).select("path", starts.alias("first"))
+    # a number keeps adaptive execution from gathering the few small rows, each of which stands for much work, in one task
+    pieces = pieces.repartition(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "first")
 
     def run(batches):
         for pdf in batches:
