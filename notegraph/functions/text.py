@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACES = " \t\n\r\x0b\x0c"
 #: A header block at the very start: dashes, anything, dashes.
@@ -192,26 +193,26 @@ def slugify_plain(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), "'", ""), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _ascii(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold(s: pd.Series) -> pd.Series:
     """Typographic apostrophes to plain ones, compatibility decomposition, case folding. Python: Spark cannot decompose."""
     marks = str.maketrans({"‘": "'", "’": "'", "ʼ": "'"})
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x.translate(marks)).casefold())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio of two texts, rounded to six places. Python: the measure is the standard library's."""
     ratio = lambda x, y: None if x is None or y is None else round(difflib.SequenceMatcher(None, x, y).ratio(), 6)
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def extract_json(s: pd.Series) -> pd.Series:
     """The JSON object of a fenced block, else the first balanced object of a text; null without one. Python."""
     fence = re.compile(r"```(?:json)?\s*(\{.*?\})\s*```", re.S)
