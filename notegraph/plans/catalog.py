@@ -345,7 +345,7 @@ def h5(spark, sf):
 
 
 @query("h6_people", on_notes(f"""
-, f AS (SELECT rel_path, unnest(regexp_extract_all(body, '\\b([A-Z][a-z]+(?:\\s+[A-Z][a-z]+)+)\\b', 1)) AS p FROM notes)
+, f AS (SELECT rel_path, unnest(regexp_extract_all(regexp_replace(body, '[À-ÖØ-öø-ɏ]', '_', 'g'), '\\b([A-Z][a-z]+(?:\\s+[A-Z][a-z]+)+)\\b', 1)) AS p FROM notes)
 SELECT rel_path, count(DISTINCT p) AS n_people, min(p) AS first_person FROM f WHERE NOT regexp_matches(p, '\\b({'|'.join(X.CALENDAR)})\\b') GROUP BY rel_path"""))
 def h6(spark, sf):
     n = notes(spark, sf).select("rel_path", X.people(F.col("body")).alias("p")).where(F.size("p") > 0)
