@@ -134,9 +134,10 @@ def orphan_parents(notes: DataFrame, up: str = "up") -> DataFrame:
     return out.where(F.col("in_root").isNull() & F.col("in_folder").isNull()).select("vault", "rel_path", up)
 
 
-def dangling_refs(refs: DataFrame, topics: DataFrame) -> DataFrame:
-    """``refs (vault, rel_path, slug)`` without a topic."""
-    return refs.join(topics.select("vault", "slug").distinct(), ["vault", "slug"], "left_anti")
+def dangling_refs(refs: DataFrame, topics: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``refs (vault, rel_path, slug)`` without a topic; with ``keys=["slug"]`` topics hold for all vaults."""
+    keys = keys or ["vault", "slug"]
+    return refs.join(topics.select(*keys).distinct(), keys, "left_anti")
 
 
 def missing_hubs(hubs: DataFrame, pages: DataFrame, refs: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from notegraph.functions import text as X
 from notegraph.operators import aggregates as A
 from notegraph.operators import clusters as C
-from notegraph.operators import filters as P
 from notegraph.operators import joins as J
 from notegraph.operators import topics as T
 from notegraph.operators import windows as N
@@ -60,8 +59,8 @@ def a21(spark, sf):
 @query("b2_already_classified", "SELECT (SELECT count(*) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) AS already, (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS todo")
 def b2(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    left, n = P.split_classified(d, F.col("quality").isNotNull())
-    return left.agg(F.count("*").alias("todo")).join(n).select("already", "todo")  # two rows of one
+    done = F.col("quality").isNotNull()
+    return d.agg(F.count_if(done).alias("already"), F.count_if(~done).alias("todo"))
 
 
 @query("b11_exhaust_files", on_notes("SELECT f AS file_name FROM (SELECT CASE WHEN doc_id % 6 = 0 THEN 'classification-review-' || doc_id || '.html' ELSE file_name END AS f FROM notes) WHERE regexp_matches(f, '^classification-review.*\\.html$')"))
@@ -190,11 +189,11 @@ def d26(spark, sf):
 
 
 @query("d27_report_sections", on_notes("""
-, l AS (SELECT vault, CASE doc_id % 2 WHEN 0 THEN 'proposals' ELSE 'ledger' END AS section, '- ' || stem AS line FROM notes WHERE doc_id % 4 < 2),
+, l AS (SELECT vault, CASE doc_id % 2 WHEN 0 THEN 'proposals' ELSE 'ledger' END AS section, '- ' || stem AS line FROM notes),
 g AS (SELECT vault, section, string_agg(line, chr(10) ORDER BY line) AS text FROM l GROUP BY 1, 2), v AS (SELECT DISTINCT vault FROM l), s AS (SELECT unnest(['proposals', 'ledger', 'quarantine']) AS section)
 SELECT v.vault, s.section, sha256(coalesce(text, 'none')) AS digest FROM v CROSS JOIN s LEFT JOIN g ON g.vault = v.vault AND g.section = s.section"""))
 def d27(spark, sf):
-    n = notes(spark, sf).where("doc_id % 4 < 2")
+    n = notes(spark, sf)
     lines = n.select("vault", F.when(F.col("doc_id") % 2 == 0, "proposals").otherwise("ledger").alias("section"), F.concat(F.lit("- "), "stem").alias("line"))
     return T.report_sections(lines, ["proposals", "ledger", "quarantine"]).select("vault", "section", F.sha2("text", 256).alias("digest"))
 
@@ -252,10 +251,10 @@ def g2(spark, sf):
 
 
 @query("g4_shared_tokens", on_notes("""
-, t AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(title), '[a-z0-9]{3,}')) AS a, list_distinct(regexp_extract_all(lower(left(body, 300)), '[a-z0-9]{3,}')) AS b FROM notes)
+, t AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(title), '[a-z0-9]{3,}')) AS a, list_distinct(regexp_extract_all(lower(body), '[a-z0-9]{3,}')) AS b FROM notes)
 SELECT doc_id, list_sort(list_intersect(a, b)) AS shared, len(list_distinct(list_concat(a, b))) AS n_union FROM t"""))
 def g4(spark, sf):
-    a, b = X.tokens(F.col("title")), X.tokens(F.left("body", F.lit(300)))
+    a, b = X.tokens(F.col("title")), X.tokens(F.col("body"))
     return notes(spark, sf).select("doc_id", a.alias("a"), b.alias("b")).select("doc_id", F.array_sort(F.array_intersect("a", "b")).alias("shared"), F.size(F.array_union("a", "b")).cast("long").alias("n_union"))
 
 
