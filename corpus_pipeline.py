@@ -31,10 +31,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Shingles of five words, similarity 0.8 or more. Rows with a null id are linked with nothing and stay.
     """
-    found = neardup.near_duplicates(docs)
+    found = neardup.near_duplicates(docs).where(F.col("id").isNotNull())
     gone = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("__ng_id")).distinct()
     left = docs.join(gone, docs["doc_id"] == gone["__ng_id"], "left_anti")
-    return left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(left.where(F.col("doc_id").isNull()))
+    if found.groupBy("id").count().where("count > 1").isEmpty():
+        return left
+    # rows with a null id differ in this column, so only equal rows of one id are dropped
+    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(-1)
+    return left.withColumn("__ng_own", own).dropDuplicates(["doc_id", "text", "__ng_own"]).drop("__ng_own")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
