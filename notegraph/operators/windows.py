@@ -57,15 +57,15 @@ def budget_sources(sources: DataFrame, context: int, key: str = "slug", chars: s
     eighth or a sixteenth of it, the first that fits; ``degraded`` tells whether a share was cut."""
     w = W.partitionBy(key)
     total, n = F.sum(chars).over(w), F.count("*").over(w)
-    out = sources.withColumn("total", total).withColumn("n", n)
+    out = sources.withColumn("_total", total).withColumn("_n", n)
     fits = F.lit(None).cast("long")
     for part in (16, 8, 4):
-        share = F.floor(F.lit(context) / part / F.col("n"))
+        share = F.floor(F.lit(context) / part / F.col("_n"))
         used = F.sum(F.least(F.col(chars), share)).over(w)
         fits = F.when(used <= context // 2, share).otherwise(fits)
-    share = F.coalesce(fits, F.floor(F.lit(context) / 16 / F.col("n")))
-    allowed = F.when(F.col("total") <= context // 2, F.col(chars)).otherwise(F.least(F.col(chars), share))
-    return out.withColumn("allowed", allowed).withColumn("degraded", F.col("total") > context // 2).drop("total", "n")
+    share = F.coalesce(fits, F.floor(F.lit(context) / 16 / F.col("_n")))
+    allowed = F.when(F.col("_total") <= context // 2, F.col(chars)).otherwise(F.least(F.col(chars), share))
+    return out.withColumn("allowed", allowed).withColumn("degraded", F.col("_total") > context // 2).drop("_total", "_n")
 
 
 def progress(rows: DataFrame, order: str = "run_id", n: str = "n") -> DataFrame:

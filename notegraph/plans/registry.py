@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from notegraph.plans import catalog, catalog_more  # noqa: F401  the second adds to the first
+from notegraph.plans import catalog, catalog_jobs, catalog_more  # noqa: F401  the others add to the first
 
 
 def flagship(spark, sf_dir):

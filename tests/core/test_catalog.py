@@ -2,7 +2,7 @@
 
 import pytest
 
-from notegraph.plans import catalog, registry
+from notegraph.plans import catalog, registry  # the registry fills the catalogue
 
 
 @pytest.mark.parametrize("name", sorted(catalog.SQL))
