@@ -13,15 +13,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACES = " \t\n\r\x0b\x0c"
+
+# fixed values: patterns, words and weights that decide results
 #: A header block at the very start: dashes, anything, dashes.
 HEADER = r"(?s)\A---[ \t]*\n.*?\n---[ \t]*(?:\n|\z)"
 STRICT_HEADER = r"(?s)\A---\n.*?\n---(?:\n|\z)"
-
-# fixed values: calendar words that make a run of capitalised words no name
+#: Marks that do not count towards a body's length, and the least length of a body that is worth keeping.
+MARKS, TINY = r"[*_#>\[\]()\\\n\t]", 30
+#: Bodies that are just an embed.
+PDF_BODY = r"(?i)\A!\[[^\]]*\.pdf[^\]]*\]\([^)]+\)\z"
+PICTURE_BODY = r"\A!\[[^\]]*\]\([^)]+\)\z"
+URL_BODY = r"\A<?https?://\S+>?\z"
+AUDIO_BODY = r"(?i)\A\[[^\]]*\d{8,}[^\]]*\.(?:m4a|mp3|wav)\]\([^)]+\)\z"
+#: Runs of capitalised words, and calendar words that make such a run no name.
+NAMES = r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)+)\b"
 CALENDAR = (
     "Monday Tuesday Wednesday Thursday Friday Saturday Sunday "
     "January February March April May June July August September October November December"
 ).split()
+#: A cluster's score: weights of anchor share, cohesion and size; the floor of each; the size that counts in full.
+WEIGHTS, FACTOR_FLOOR, SIZE_TARGET = (0.4, 0.35, 0.25), 0.1, 6
+#: Days in which evidence halves.
+HALF_LIFE = 30.0
+#: Confidence bands.
+HIGH, MEDIUM = 0.8, 0.5
 
 
 def strip(c: Column) -> Column:
@@ -68,21 +83,15 @@ def strip_matching_h1(c: Column, stem: Column) -> Column:
     return F.when(hit, F.regexp_replace(c, r"\A# [^\n]*(?:\n|\z)\n?", "")).otherwise(c)
 
 
-def tiny_body(c: Column, least: int = 30) -> Column:
+def tiny_body(c: Column, least: int = TINY) -> Column:
     """Fewer than ``least`` characters once marks of Markdown, tabs and line ends are gone."""
-    return F.length(strip(F.regexp_replace(c, r"[*_#>\[\]()\\\n\t]", ""))) < least
+    return F.length(strip(F.regexp_replace(c, MARKS, ""))) < least
 
 
 def body_shape(c: Column) -> Column:
     """``image``, ``pdf``, ``url`` or ``audio`` for a body that is just that; else null."""
     t = strip(c)
-    picture = r"\A!\[[^\]]*\]\([^)]+\)\z"
-    return (
-        F.when(t.rlike(r"(?i)\A!\[[^\]]*\.pdf[^\]]*\]\([^)]+\)\z"), "pdf")
-        .when(t.rlike(picture), "image")
-        .when(t.rlike(r"\A<?https?://\S+>?\z"), "url")
-        .when(t.rlike(r"(?i)\A\[[^\]]*\d{8,}[^\]]*\.(?:m4a|mp3|wav)\]\([^)]+\)\z"), "audio")
-    )
+    return F.when(t.rlike(PDF_BODY), "pdf").when(t.rlike(PICTURE_BODY), "image").when(t.rlike(URL_BODY), "url").when(t.rlike(AUDIO_BODY), "audio")
 
 
 def excerpt(c: Column, n: int = 400) -> Column:
@@ -102,7 +111,7 @@ def tokens(c: Column) -> Column:
 
 def people(c: Column) -> Column:
     """Runs of two or more capitalised words, none of them a calendar word, each once in order of appearance."""
-    found = F.regexp_extract_all(c, F.lit(r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)+)\b"), F.lit(1))
+    found = F.regexp_extract_all(c, F.lit(NAMES), F.lit(1))
     dated = rf"\b(?:{'|'.join(CALENDAR)})\b"
     return F.array_distinct(F.filter(found, lambda p: ~p.rlike(dated)))
 
@@ -165,7 +174,7 @@ def first_rule(c: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def confidence_band(c: Column) -> Column:
-    return F.when(c >= 0.8, "high").when(c >= 0.5, "medium").otherwise("low")
+    return F.when(c >= HIGH, "high").when(c >= MEDIUM, "medium").otherwise("low")
 
 
 def links(c: Column) -> Column:
@@ -312,21 +321,21 @@ def note_time(*candidates: Column) -> Column:
 # --- scores
 
 
-def saturating_size(n: Column, target: int = 6) -> Column:
+def saturating_size(n: Column, target: int = SIZE_TARGET) -> Column:
     return F.when(n <= 1, 0.0).otherwise(F.least(F.lit(1.0), F.ln(n) / F.ln(F.lit(max(target, 2)))))
 
 
-def smooth(s: Column, floor: float = 0.1) -> Column:
+def smooth(s: Column, floor: float = FACTOR_FLOOR) -> Column:
     return floor + (1.0 - floor) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), s))
 
 
-def cluster_confidence(share: Column, cohesion: Column, n: Column, weights=(0.4, 0.35, 0.25), floor: float = 0.1, target: int = 6) -> Column:
+def cluster_confidence(share: Column, cohesion: Column, n: Column, weights: tuple[float, float, float] = WEIGHTS, floor: float = FACTOR_FLOOR, target: int = SIZE_TARGET) -> Column:
     """Weighted geometric mean of anchor share, cohesion and size."""
     a, b, c = weights
     return F.pow(smooth(share, floor), F.lit(a)) * F.pow(smooth(cohesion, floor), F.lit(b)) * F.pow(smooth(saturating_size(n, target), floor), F.lit(c))
 
 
-def decay(evidence: Column, days: Column, half_life: float = 30.0) -> Column:
+def decay(evidence: Column, days: Column, half_life: float = HALF_LIFE) -> Column:
     return evidence * F.pow(F.lit(0.5), F.greatest(days, F.lit(0.0)) / half_life)
 
 

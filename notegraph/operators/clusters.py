@@ -11,6 +11,10 @@ from notegraph.operators.joins import anchor_edges
 from notegraph.session import materialize
 
 
+# fixed values: least size and density of a cluster; scores for automatic creation (off) and for a proposal
+MIN_SIZE, MIN_DENSITY, AUTO, PROPOSE = 3, 0.7, 1.01, 0.35
+
+
 def anchors(people: Column, tags: Column, org: Column, generic_tags: list[str], generic_orgs: list[str]) -> Column:
     """``person:``, ``tag:`` and ``org:`` anchors of a note, without the generic ones."""
     generic = F.array(*map(F.lit, generic_tags)) if generic_tags else F.array().cast("array<string>")
@@ -72,7 +76,7 @@ def density(edges: DataFrame, members: DataFrame) -> DataFrame:
     return size.join(inside, "cluster", "left").select("cluster", "n", F.when(n < 2, 0.0).otherwise(F.coalesce("e", F.lit(0)) / (n * (n - 1) / 2)).alias("density"))
 
 
-def dense_core(edges: DataFrame, labels: DataFrame, min_size: int = 3, min_density: float = 0.7) -> DataFrame:
+def dense_core(edges: DataFrame, labels: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY) -> DataFrame:
     """``(cluster, node)``: each component is thinned by its least connected member (ties: the smallest) until it is
     dense; below ``min_size`` it is dropped. A component's edges are peeled in one grouped task."""
     inside = edges.join(labels.select(F.col("node").alias("src"), "component"), "src")
@@ -134,11 +138,11 @@ def cluster_profile(members: DataFrame, note_anchor: DataFrame, edges: DataFrame
     )
 
 
-def route(confidence: Column, n: Column, density_: Column, auto: float = 1.01, floor: float = 0.35, min_size: int = 3, min_density: float = 0.7) -> Column:
+def route(confidence: Column, n: Column, density_: Column, auto: float = AUTO, floor: float = PROPOSE, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY) -> Column:
     return F.when((confidence >= auto) & (n >= min_size) & (density_ >= min_density), "auto").when(confidence >= floor, "propose").otherwise("ledger")
 
 
-def cluster_notes(noterefs: DataFrame, min_size: int = 3, min_density: float = 0.7) -> DataFrame:
+def cluster_notes(noterefs: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY) -> DataFrame:
     """``noterefs (node, anchors, tokens)`` to scored and routed clusters."""
     note_anchor = noterefs.select("node", F.explode("anchors").alias("anchor"))
     edges = materialize(anchor_edges(note_anchor), "anchor-edges")

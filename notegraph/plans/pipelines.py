@@ -17,7 +17,8 @@ from notegraph.operators import windows as N
 from notegraph.streaming.ledger import ledger_step
 
 RESULT = "type string, org string, context string, people array<string>, tags array<string>, confidence double, reason string"
-THRESHOLD = 0.8
+# fixed values: confidence that settles a note; of a body shape, a title rule, a folder's org, a lone keyword; keywords that count as more
+THRESHOLD, SHAPE, TITLE, FOLDER, LONE, LEAST_HITS = 0.8, 0.85, 0.95, 0.95, 0.5, 2
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,7 @@ class Rules:
     tags: dict[str, list[str]] = field(default_factory=dict)
 
 
-def classify_rules(notes: DataFrame, r: Rules, least_hits: int = 2) -> DataFrame:
+def classify_rules(notes: DataFrame, r: Rules, least_hits: int = LEAST_HITS) -> DataFrame:
     """Adds type, org, context, people, tags, confidence, reason by one projection without a shuffle.
 
     A body that is just an embed is a clipping. Else org and type each have a confidence and the smaller one counts.
@@ -46,8 +47,8 @@ def classify_rules(notes: DataFrame, r: Rules, least_hits: int = 2) -> DataFrame
     folder = F.coalesce(*[F.when(F.lower("folder") == f.lower(), F.lit(f)) for f in r.folders]) if r.folders else F.lit(None).cast("string")
     n = n.withColumns({"_org": X.argmax_first(F.col("_orgs"), list(r.orgs)), "_folder": folder, "_best": X.argmax_first(F.col("_types"), list(r.types)), "_top": F.array_max(F.map_values("_types"))})
     org = F.coalesce("_org", "_folder", F.lit("Personal"))
-    org_conf = F.when(F.col("_org").isNotNull(), X.top_share(F.col("_orgs"))).when(F.col("_folder").isNotNull(), 0.95).otherwise(0.0)
-    type_conf = F.when(F.col("_rule").isNotNull(), 0.95).when(F.col("_top") >= least_hits, X.top_share(F.col("_types"))).when(F.col("_top") > 0, 0.5).otherwise(0.0)
+    org_conf = F.when(F.col("_org").isNotNull(), X.top_share(F.col("_orgs"))).when(F.col("_folder").isNotNull(), FOLDER).otherwise(0.0)
+    type_conf = F.when(F.col("_rule").isNotNull(), TITLE).when(F.col("_top") >= least_hits, X.top_share(F.col("_types"))).when(F.col("_top") > 0, LONE).otherwise(0.0)
     fallback = F.when(F.col("_personal") > F.col("_work"), "personal").otherwise("note")
     clip = F.col("_shape").isNotNull()
     shape_org = F.coalesce("_folder", F.lit("Personal"))
@@ -59,7 +60,7 @@ def classify_rules(notes: DataFrame, r: Rules, least_hits: int = 2) -> DataFrame
         F.when(clip, F.when(shape_org.isin(*r.work_orgs), "work").otherwise("personal")).otherwise(P.context_of(org, F.col("_work"), F.col("_personal"), r.work_orgs)).alias("context"),
         F.when(clip, empty).otherwise(X.people(F.col("body"))).alias("people"),
         F.when(clip, empty).otherwise(X.tags(low, r.tags)).alias("tags"),
-        F.when(clip, 0.85).otherwise(F.least(org_conf, type_conf)).alias("confidence"),
+        F.when(clip, SHAPE).otherwise(F.least(org_conf, type_conf)).alias("confidence"),
         F.when(clip, F.concat(F.lit("body shape: "), "_shape")).otherwise(F.lit("rules")).alias("reason"),
     )
     return out

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from notegraph.functions.text import decay
 
+# fixed values: half-life in days, evidence that promotes, evidence below which a key is forgotten
 HALF_LIFE, BAR, FLOOR = 30.0, 1.0, 0.1
 
 
