@@ -74,3 +74,110 @@ SELECT rel_path, ['tag:' || vault, 'org:' || folder] AS anchors, len(list_distin
 def h45(spark, sf):
     n = notes(spark, sf).withColumns({"node": F.col("doc_id"), "people": F.array().cast("array<string>"), "tags": F.array("vault"), "org": F.col("folder")})
     return G.noteref(n).select("rel_path", "anchors", F.size("tokens").cast("long").alias("n_tokens"))
+
+
+@query("a4_scan_folder", on_notes("SELECT folder, count(*) AS n, max(mtime) AS newest FROM notes GROUP BY folder"))
+def a4(spark, sf):
+    return notes(spark, sf).groupBy("folder").agg(F.count("*").alias("n"), F.max("mtime").alias("newest"))
+
+
+@query("a5_parse_header", on_notes("""
+SELECT rel_path, doc_id % 2 = 0 AS ok, CASE WHEN doc_id % 2 = 0 THEN 'note ' || stem END AS title, CASE WHEN doc_id % 2 = 0 THEN [vault, folder] END AS tags, CASE WHEN doc_id % 2 = 0 THEN ['aliases'] ELSE [] END AS errors FROM notes"""))
+def a5(spark, sf):
+    from notegraph.sources.notes import parse_header
+
+    good = F.concat(F.lit("---\ntitle: note "), "stem", F.lit("\ntags:\n  - "), "vault", F.lit("\n  - "), "folder", F.lit("\naliases: one\n---\n"), "body")
+    raw = F.when(F.col("doc_id") % 2 == 0, good).otherwise(F.col("body"))
+    n = notes(spark, sf).select("rel_path", parse_header(raw).alias("h"))
+    return n.select("rel_path", "h.ok", "h.title", "h.tags", "h.errors")
+
+
+@query("a13_nested_tags", on_notes("SELECT rel_path, [vault || '/' || folder, 'a/b'] AS tags FROM notes"))
+def a13(spark, sf):
+    tags = F.array(F.concat("vault", F.lit("_"), "folder"), F.lit("a_b"))
+    return notes(spark, sf).select("rel_path", F.transform(tags, lambda t: F.replace(t, F.lit("_"), F.lit("/"))).alias("tags"))
+
+
+@query("a22_publish_report", on_notes("SELECT rel_path AS path, sha256(body || CASE WHEN body = '' OR ends_with(body, chr(10)) THEN '' ELSE chr(10) END || '<!-- health:begin -->' || chr(10) || vault || chr(10) || '<!-- health:end -->' || chr(10)) AS digest, TRUE AS ok FROM notes"))
+def a22(spark, sf):
+    from notegraph.sources.sinks import publish_region
+
+    n = notes(spark, sf)
+    out = publish_region(n.select(F.col("rel_path").alias("path"), F.col("body").alias("text")), n.select(F.col("rel_path").alias("path"), F.col("vault").alias("body")), "health")
+    return out.select("path", F.sha2("text", 256).alias("digest"), "ok")
+
+
+@query("a23_set_or_drop", on_notes("SELECT rel_path, CASE doc_id % 3 WHEN 0 THEN '[\"' || vault || '\"]' WHEN 2 THEN 'old' END AS topics, folder AS org FROM notes"))
+def a23(spark, sf):
+    from notegraph.sources.sinks import set_or_drop_field
+
+    n = notes(spark, sf)
+    k = F.col("doc_id") % 3
+    fields = n.select("rel_path", F.create_map(F.lit("org"), F.col("folder"), F.lit("topics"), F.lit("old")).alias("fields"))
+    updates = n.where(k < 2).select("rel_path", F.when(k == 0, F.array("vault")).otherwise(F.array().cast("array<string>")).alias("values"))
+    out = set_or_drop_field(fields, updates, "topics")
+    return out.select("rel_path", F.col("fields")["topics"].alias("topics"), F.col("fields")["org"].alias("org"))
+
+
+@query("h40_extract_json", "SELECT event_id, props AS json FROM events")
+def h40(spark, sf):
+    from notegraph.functions import text as X
+
+    t = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("answer {: "), "props", F.lit(" {}"))).otherwise(F.concat(F.lit("so ```json\n"), "props", F.lit("\n``` done")))
+    return table(spark, sf, "events").select("event_id", X.extract_json(t).alias("json"))
+
+
+@query("h22_claims", "SELECT conv_id, turn, ['- It is so. (src: B1)', 'Or (perhaps) not.', 'Line ' || turn || ' (src: B2)'] AS claims FROM conversations")
+def h22(spark, sf):
+    from notegraph.functions import text as X
+
+    t = F.concat(F.lit("- It is so. (src: B1) Or (perhaps) not.\n\nLine "), F.col("turn").cast("string"), F.lit(" (src: B2)"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", X.claims(t).alias("claims"))
+
+
+@query("h39_fallback_name", "SELECT p_partkey, 'Size ' || p_size AS name, 'Notes about Size ' || p_size || ' (' || p_size || ').' AS description FROM part")
+def h39(spark, sf):
+    f = G.fallback_name(F.concat(F.lit("tag:size-"), F.col("p_size").cast("string")), F.col("p_size"))
+    return table(spark, sf, "part").select("p_partkey", f.alias("f")).select("p_partkey", "f.name", "f.description")
+
+
+@query("h47_source_fields", """
+WITH s AS (SELECT o_custkey, count(*) AS n, avg(CASE WHEN o_totalprice > 100000 THEN 1.0 ELSE 0.0 END) AS q FROM orders GROUP BY 1)
+SELECT CAST(o_custkey AS VARCHAR) AS slug, n AS n_sources, round(least(n / 3.0, 1.0) * 0.5 + 0.5 * q, 6) AS confidence, n * 10 > 60 AS degraded FROM s""")
+def h47(spark, sf):
+    from notegraph.functions import text as X
+    from notegraph.operators.windows import budget_sources
+
+    o = table(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("slug"), F.lit(10).cast("long").alias("chars"), (F.col("o_totalprice") > 100000).alias("quoted"))
+    g = budget_sources(o, 120).groupBy("slug").agg(F.count("*").alias("n_sources"), F.avg(F.when(F.col("quoted"), 1.0).otherwise(0.0)).alias("q"), F.max("degraded").alias("degraded"))
+    return g.select("slug", "n_sources", F.round(X.topic_confidence(F.col("n_sources"), F.col("q")), 6).alias("confidence"), "degraded")
+
+
+def _sure():
+    return lambda title, body: {"type": "essay", "confidence": len(body) % 10 / 5.0}
+
+
+@query("j1_enrich_with_model", on_notes("SELECT rel_path, 'essay' AS type, least(1.0, (length(body) % 10) / 5.0) AS confidence FROM notes"))
+def j1(spark, sf):
+    from notegraph.plans.pipelines import enrich_with_model
+
+    return enrich_with_model(notes(spark, sf).select("rel_path", "title", "body"), _sure).select("rel_path", "type", "confidence")
+
+
+@query("j4_cascade", on_notes("""
+, c AS (SELECT CASE WHEN regexp_matches(title, '^The ') AND folder IN ('src1', 'src2') THEN 'rules' WHEN (length(body) % 10) / 5.0 > 0.6 THEN 'model' END AS by_ FROM notes)
+SELECT count(*) FILTER (WHERE by_ = 'rules') AS sure FROM c"""))
+def j4(spark, sf):
+    from notegraph.plans.pipelines import Rules, classify_corpus
+
+    rules = Rules(types={"none": ["\u0001"]}, orgs={}, titles=[("^The ", "article")], folders=["src1", "src2"])
+    out = classify_corpus(notes(spark, sf).select("rel_path", "title", "body", "folder"), rules, _sure)
+    return out.agg(F.count_if((F.col("by") == "rules") & (F.col("type") == "article") & (F.col("decision") == "auto")).alias("sure"))
+
+
+@query("j6_links_as_rows", "SELECT page_id, 0 AS pos, url FROM pages UNION ALL SELECT page_id, 1, 'https://x.example/' || page_id FROM pages")
+def j6(spark, sf):
+    from notegraph.functions import text as X
+
+    t = F.concat(F.lit("see [a]("), "url", F.lit(") and [b](https://x.example/"), F.col("page_id").cast("string"), F.lit(")."))
+    return table(spark, sf, "pages").select("page_id", F.posexplode(X.markdown_links(t)).alias("pos", "l")).select("page_id", "pos", "l.url")
