@@ -145,7 +145,8 @@ def format_conversations(
     """One row per window: conv, first_turn, formatted, spans (turn, start, end, loss), rewrote_at."""
     template = template or MarkedTemplate()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).cast("long").alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), text.alias("text"))
+    kind = dict(df.dtypes)[id_col]
+    rows = df.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), text.alias("text"))
     rows = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select(F.col("conv").cast("string").alias("conv"), "role", "text")
 
     def run(batches):
@@ -161,7 +162,7 @@ def format_conversations(
             yield _frame(held)
 
     out = rows.mapInPandas(run, "conv string, first_turn long, formatted string, spans array<struct<turn:long,start:long,end:long,loss:boolean>>, rewrote_at long")
-    return out.withColumn("conv", F.col("conv").cast("long"))
+    return out.withColumn("conv", F.col("conv").cast(kind))
 
 
 def _frame(held: list) -> pd.DataFrame:
@@ -196,7 +197,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     texts = formatted.select(F.col("conv").cast("string").alias("conv"), "first_turn", "formatted", "spans")
     out = texts.mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
-    return out.withColumn("conv_id", F.col("conv_id").cast("long"))
+    return out.withColumn("conv_id", F.col("conv_id").cast(dict(formatted.dtypes)["conv"]))
 
 
 _DIGEST = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]

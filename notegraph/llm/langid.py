@@ -205,6 +205,8 @@ class Scorer:
         docs, words = [], []
         for i, t in enumerate(texts):
             found = WORDS.findall(t.lower()) if isinstance(t, str) else []
+            if not any(c.isalpha() for w in found for c in w):  # superscripts and the like alone are no letters
+                found = []
             for at in range(0, len(found), AT_ONCE):
                 part = found[at : at + AT_ONCE]
                 if words and len(words) + len(part) > AT_ONCE:

@@ -14,7 +14,7 @@
    the threshold. All others are confirmed or refuted on the full sets.
 6. Components are found by smallest labels; a document's component is the smallest id in it.
 
-Defined cases: null texts and texts without words have an empty set and are linked with nothing; with fewer words
+Ids are integers. Defined cases: null texts and texts without words have an empty set and are linked with nothing; with fewer words
 than a shingle has, the whole sequence is the one shingle; rows with a null id are components of their own (null) and
 are kept; repeated rows share a component, and all of them carry its smallest id; an empty table gives no rows.
 """
