@@ -58,12 +58,13 @@ def test_html_copies_are_kept(spark):
 
 
 def test_html_odd(spark):
-    rows = [(1, None, None), (2, "", ""), (3, "nonsense", "<p>open <b>never closed"), (4, "http://x/", "< no tag &amp; &lt;p&gt; &unknown; &#x41;"), (None, "http://x/", "<div>" * 300 + "deep" + "</div>" * 200), (5, "http://x/", "<p>a<br>b</p>text<!-- open comment"), (5, "http://x/", "<p>a<br>b</p>text<!-- open comment")]
+    rows = [(1, None, None), (2, "", ""), (3, "nonsense", "<p>open <b>never closed"), (4, "http://x/", "< no tag &amp; &lt;p&gt; &unknown; &#x41;"), (None, "http://x/", "<div>" * 300 + "deep" + "</div>" * 200), (6, "http://x/", "<div>" * 5000 + "<p>far down</p>" + "</div>" * 4999 + '<p>on <a href="q"">top</a></p><b class="'), (5, "http://x/", "<p>a<br>b</p>text<!-- open comment"), (5, "http://x/", "<p>a<br>b</p>text<!-- open comment")]
     got = html_extract.extract(pages(spark, rows)).collect()
     assert len(got) == len(rows)
     by_id = {r.id: r.blocks for r in got}
     assert by_id[1] == [] and by_id[2] == [] and by_id[3] == ["open never closed"]
     assert by_id[4] == ["< no tag & <p> &unknown; A"] and by_id[None] == ["deep"] and by_id[5] == ["a b", "text"]
+    assert by_id[6] == ["far down", "on top"]
     assert html_extract.extract(pages(spark, [])).count() == 0
 
 
