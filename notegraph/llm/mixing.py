@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from notegraph.llm.common import WORD, table
 
 #: Rows that one chunk holds on average in the largest table that one hex digit less would serve.
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 1 << 15
 CAP = 3
 
 
