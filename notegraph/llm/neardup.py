@@ -39,7 +39,7 @@ K = 64
 #: Lists of at most so many rows are compared pair by pair in a join; longer ones in blocks of so many rows.
 SHORT, BLOCK = 32, 2048
 #: Word hashes that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 class _WordHashes(dict):
@@ -102,6 +102,7 @@ def _with_sets(rows: DataFrame, n: int, k: int | None) -> DataFrame:
                     [part["id"], pa.array(cls, pa.binary()), pa.array(size, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)],
                     ["id", "cls", "n", "sketch"],
                 )
+        _hashes.clear()  # the worker lives on; what it remembers does not
 
     return rows.mapInArrow(run, "id long, cls binary, n long, sketch array<long>")
 

@@ -35,7 +35,7 @@ from notegraph.llm.common import table
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 END = 1
 #: Parts whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: White space after a space: such a space belongs to what is before it.
 ODD_SPACE = re.compile(r" (?:\s|\Z)").search
 #: Letters and marks that every version of the two libraries treats alike.
@@ -253,6 +253,7 @@ def pack(
                     placed += packer.place(doc, start, n, loss_n)
                 if (out := emit(placed)) is not None:
                     yield out
+        enc.clear()  # the worker lives on; what it remembers does not
         if (out := emit(packer.flush())) is not None:
             yield out
 
