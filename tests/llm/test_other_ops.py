@@ -57,6 +57,24 @@ def test_html_copies_are_kept(spark):
     assert all(v == ["One story on many pages", "with two blocks"] for v in got.values())
 
 
+def test_html_names_that_change(spark):
+    """Ids and classes of one page only do not hide the template; copies of an article are one witness."""
+    page = "<html><body class='s{0} post-{0}'><div id=logo>The Daily Page</div><div id=post-{0}><p>Story {0} begins</p><p>and it ends {0}</p></div><div id=foot>All rights reserved</div></body></html>"
+    rows = [(i, f"http://n.example/{i}", page.format(i)) for i in range(9)] + [(i, f"http://small.example/{i}", page.format(i)) for i in range(20, 23)]
+    got = texts(pages(spark, rows))
+    assert got == {i: [f"Story {i} begins", f"and it ends {i}"] for i in [*range(9), *range(20, 23)]}
+    copy = "<html><body><div>{0}</div><div><p>One story on many pages</p><p>with two blocks</p></div></body></html>"
+    got = texts(pages(spark, [(i, f"http://m.example/{i}", copy.format("a" if i % 2 else "b")) for i in range(10)]))
+    assert all(v[1:] == ["One story on many pages", "with two blocks"] for v in got.values())
+
+
+def test_tree_matching_large():
+    """Beyond a table's bound alike children still hold the two sides together."""
+    page = lambda k, n: html_extract.parse("<div>" + "".join(f"<p>{k} {i}</p>" for i in range(n)) + "<p>Read also</p>" + "".join(f"<b>{k} {i}</b>" for i in range(n)) + "</div>")
+    got = [(x.text, y.text) for x, y in html_extract.match_trees(page("a", 300), page("b", 400))]
+    assert ("Read also", "Read also") in got and len(got) == 601
+
+
 def test_html_odd(spark):
     rows = [(1, None, None), (2, "", ""), (3, "nonsense", "<p>open <b>never closed"), (4, "http://x/", "< no tag &amp; &lt;p&gt; &unknown; &#x41;"), (None, "http://x/", "<div>" * 300 + "deep" + "</div>" * 200), (6, "http://x/", "<div>" * 5000 + "<p>far down</p>" + "</div>" * 4999 + '<p>on <a href="q"">top</a></p><b class="'), (5, "http://x/", "<p>a<br>b</p>text<!-- open comment"), (5, "http://x/", "<p>a<br>b</p>text<!-- open comment")]
     got = html_extract.extract(pages(spark, rows)).collect()
