@@ -68,6 +68,19 @@ def test_html_names_that_change(spark):
     assert all(v[1:] == ["One story on many pages", "with two blocks"] for v in got.values())
 
 
+def test_html_constant_lines_in_articles(spark):
+    """A line that a whole host repeats inside its marked articles goes; copies and near copies of an article stay."""
+    page = "<html><body><article><h1>Story {0}</h1>{1}<p>Read also our other stories</p></article></body></html>"
+    own = lambda i: [f"Paragraph {k} of the story {i} tells something new" for k in range(1 + i % 5)]
+    rows = [(i, f"http://a.example/{i}", page.format(i, "".join(f"<p>{t}</p>" for t in own(i)))) for i in range(12)]
+    copies = [f"<html><body><main><p>A long story that many pages of the host repeat</p><p>Seen {i} times</p></main></body></html>" for i in range(10)]
+    got = texts(pages(spark, rows + [(100 + i, f"http://c.example/{i}", x) for i, x in enumerate(copies)]))
+    for i in range(12):
+        assert got[i] == [f"Story {i}", *own(i)]
+    for i in range(10):
+        assert got[100 + i] == ["A long story that many pages of the host repeat", f"Seen {i} times"]
+
+
 def test_tree_matching_large():
     """Beyond a table's bound alike children still hold the two sides together."""
     page = lambda k, n: html_extract.parse("<div>" + "".join(f"<p>{k} {i}</p>" for i in range(n)) + "<p>Read also</p>" + "".join(f"<b>{k} {i}</b>" for i in range(n)) + "</div>")
