@@ -66,7 +66,7 @@ def k14(spark, sf):
     n = notes(spark, sf)
     d = table(spark, sf, "labels").select(F.col("doc_id").alias("id"))
     done = n.join(d, n["doc_id"] == d["id"]).select("rel_path", F.lit("rules").alias("classified_by"))
-    return G.nightly(n, done, RULES, alias_table(spark, sf), cap=None)
+    return G.nightly(n, done, RULES, alias_table(spark, sf), cap=None, writer=_writer)
 
 
 @query("h45_noteref", on_notes("""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable
 
@@ -16,7 +17,8 @@ from notegraph.operators import joins as J
 from notegraph.operators import topics as P
 from notegraph.operators import windows as N
 from notegraph.plans import pipelines as L
-from notegraph.streaming.incremental import todo
+from notegraph.session import materialize
+from notegraph.streaming.incremental import skip_unchanged, todo
 
 _CHECKS = {T.StringType: str, T.DoubleType: (int, float), T.LongType: int, T.BooleanType: bool, T.ArrayType: list}
 
@@ -110,19 +112,94 @@ def audit_hubs(notes: DataFrame, hubs: DataFrame) -> tuple[DataFrame, DataFrame]
     return J.missing_hubs(hubs, pages, refs), J.lint_hubs(pages)
 
 
-def nightly(notes: DataFrame, done: DataFrame, rules: L.Rules, topics: DataFrame, cap: int | None = 50) -> DataFrame:
-    """One run as rows ``(step, n, detail)``: classify what is new, collect topics, find unmatched notes, report."""
+def nightly_tables(
+    notes: DataFrame,
+    done: DataFrame,
+    rules: L.Rules,
+    topics: DataFrame,
+    cap: int | None = 50,
+    writer: Callable | None = None,
+    ledger: DataFrame | None = None,
+    known: DataFrame | None = None,
+    rejected: DataFrame | None = None,
+    now: Column | None = None,
+    days: int | None = 30,
+    generic_tags: list[str] | None = None,
+    generic_orgs: tuple[str, ...] = ("unknown", "personal", "none", "Unknown", "Personal", "None"),
+) -> dict[str, DataFrame]:
+    """One run's written tables: classified, matches, sources, sets, proposals, ledger, pages, links and report.
+
+    ``ledger`` is the last run's, ``known (slug, source_set_hash)`` the pages that exist, ``rejected (slug)`` the names
+    turned down. Notes of the last ``days`` before ``now`` (the newest note's time) that match no topic are proposed
+    from, once per body; None takes all. People, tags and org are the notes' own where they have such columns, else
+    those of this run's classification. Without a ``writer`` no page is written, and its row says so.
+    """
+    spark = notes.sparkSession
+    has = lambda c, kind: F.col(c) if c in notes.columns else F.lit(None).cast(kind)
+    out = {}
     fresh = L.classify_corpus(todo(notes, done, cap=cap), rules, purge=False)
-    sources, sets = L.collect_topics(notes.withColumn("folded", F.lower("body")), topics)
-    rest = J.unmatched_notes(notes, sources)
-    metrics = A.vault_metrics(notes.join(done.select("rel_path", F.lit(True).alias("_done")).distinct(), "rel_path", "left"), F.col("_done").isNotNull(), F.lit(False))
+    out["classified"] = fresh = materialize(fresh.select("rel_path", "type", "org", "context", "people", "tags", "confidence", "decision", "by"), "nightly-classified")
+    folded = notes.withColumn("folded", F.lower("body"))
+    out["matches"] = matches = materialize(J.match_topics(folded, topics), "nightly-matches")
+    sources, sets = L.collect_topics(folded, topics, matches)
+    out["sources"] = sources = materialize(sources, "nightly-sources")
+    out["sets"] = sets = materialize(A.source_set_hash(sources, ["slug"]), "nightly-sets")
+
+    rest = J.unmatched_notes(notes, matches)
+    now = now if now is not None else F.lit(notes.agg(F.max("mtime")).first()[0] or "2024-01-01").cast("timestamp")
+    if days is not None:
+        rest = rest.where(F.col("mtime").cast("timestamp") >= now - F.make_dt_interval(days=F.lit(days)))
+    rest = rest.join(A.dedup_by_body(rest).select("rel_path"), "rel_path", "left_semi")
+    facts = fresh.select("rel_path", *[F.col(c).alias(f"f_{c}") for c in ("people", "tags", "org")])
+    own = {c: F.coalesce(has(c, kind), F.col(f"f_{c}")) for c, kind in (("people", "array<string>"), ("tags", "array<string>"), ("org", "string"))}
+    rest = rest.join(facts, "rel_path", "left").select(F.xxhash64("rel_path").alias("node"), "rel_path", "title", "stem", "body", *[v.alias(c) for c, v in own.items()])
+    refs = materialize(noteref(rest, generic_tags, list(generic_orgs)), "nightly-noterefs")
+    state = ledger if ledger is not None else spark.createDataFrame([], "key string, evidence double, seen long, last_seen timestamp, promoted boolean")
+    none = spark.createDataFrame([], "slug string")
+    proposals, kept = L.propose_topics(refs, state, now, rejected if rejected is not None else none, topics.select("slug"), topics.select("alias"))
+    out["ledger"] = materialize(kept, "nightly-ledger")
+    out["proposals"] = materialize(proposals, "nightly-proposals")
+
+    known = known if known is not None else none.select("slug", F.lit(None).cast("string").alias("source_set_hash"))
+    stale = skip_unchanged(topics.select("slug").distinct().join(known, "slug", "left"), sets)
+    texts = sources.join(stale.select("slug"), "slug", "left_semi").join(notes.select("rel_path", "title", "body", "mtime"), "rel_path")
+    texts = texts.select("slug", "rel_path", "title", "body", "mtime", F.size("aliases").alias("hits"))
+    if writer is None:
+        pages = stale.select("slug", F.lit(None).cast("string").alias("page"), "n_sources", F.lit(True).alias("degraded"), F.lit("no writer").alias("error"))
+    else:
+        pages = synthesize_topics(texts, writer)
+    out["pages"] = pages = materialize(pages.join(sets.select("slug", "set_hash"), "slug"), "nightly-pages")
+
+    have = notes.select("rel_path", F.coalesce(has("topics", "array<string>"), F.array().cast("array<string>")).alias("topics"))
+    links = J.reconcile_backlinks(have, J.desired_backlinks(sources), topics.select("slug"))
+    out["links"] = materialize(links.where("status = 'updated'"), "nightly-links")
+
+    settled = done.select("rel_path").unionByName(fresh.where("decision = 'auto'").select("rel_path")).distinct().withColumn("_done", F.lit(True))
+    metrics = A.vault_metrics(notes.join(settled, "rel_path", "left"), F.col("_done").isNotNull(), F.lit(False))
+    queue = notes.select("rel_path", "vault").join(fresh.where("decision = 'review'").select("rel_path"), "rel_path").groupBy("vault").agg(F.count("*").alias("queue"))
+    # topics are of no vault, so a page that could not be written counts in the corpus's row alone
+    unwritten = pages.where("page is null").agg(F.lit("*").alias("vault"), F.count("*").alias("dangling"))
+    out["report"] = materialize(L.corpus_report(metrics, queue.unionByName(unwritten, allowMissingColumns=True)), "nightly-report")
+    return out
+
+
+def nightly(notes: DataFrame, done: DataFrame, rules: L.Rules, topics: DataFrame, cap: int | None = 50, **more) -> DataFrame:
+    """One run as rows ``(step, n, detail)``, one for each of classify, collect, propose, synthesize, backlink, report.
+
+    ``more`` goes to `nightly_tables`, whose written tables hold what the steps made.
+    """
+    t = nightly_tables(notes, done, rules, topics, cap, **more)
     row = lambda step, df, detail: df.agg(F.count("*").alias("n"), detail.alias("detail")).select(F.lit(step).alias("step"), "n", "detail")
-    return (
-        row("classify", fresh, F.count_if(F.col("decision") == "auto").cast("string"))
-        .unionByName(row("collect", sets, F.coalesce(F.sum("n_sources"), F.lit(0)).cast("string")))
-        .unionByName(row("propose", rest, F.lit("unmatched")))
-        .unionByName(row("report", L.corpus_report(metrics), F.max("health").cast("string")))
-    )
+    count = lambda c: F.count_if(c).cast("string")
+    rows = [
+        row("classify", t["classified"], count(F.col("decision") == "auto")),
+        row("collect", t["sets"], F.coalesce(F.sum("n_sources"), F.lit(0)).cast("string")),
+        row("propose", t["proposals"], F.concat(F.lit("ledger "), F.lit(t["ledger"].count()).cast("string"))),
+        row("synthesize", t["pages"], F.concat(count(F.col("page").isNotNull()), F.lit(" written, "), count(F.col("degraded")), F.lit(" degraded"))),
+        row("backlink", t["links"], F.coalesce(F.sum("removed"), F.lit(0)).cast("string")),
+        row("report", t["report"], F.max(F.when(F.col("vault") == "*", F.col("health"))).cast("string")),
+    ]
+    return functools.reduce(DataFrame.unionByName, rows)
 
 
 def noteref(notes: DataFrame, generic_tags: list[str] | None = None, generic_orgs: list[str] | None = None) -> DataFrame:

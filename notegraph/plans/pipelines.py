@@ -118,9 +118,12 @@ def classify_binary(notes: DataFrame, work: dict[str, float], personal: dict[str
     return n.select(*notes.columns, label.alias("predicted"), F.least(F.lit(1.0), F.abs(F.col("_w") - F.col("_p")) / scale).alias("confidence"), matched.alias("matched"))
 
 
-def collect_topics(notes: DataFrame, topics: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sources, sets): a topic's notes, one per body, with the aliases found; and each topic's size and digest."""
-    m = J.match_topics(notes, topics)
+def collect_topics(notes: DataFrame, topics: DataFrame, matches: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(sources, sets): a topic's notes, one per body, with the aliases found; and each topic's size and digest.
+
+    ``matches`` is what `match_topics` found, where that is written already.
+    """
+    m = J.match_topics(notes, topics) if matches is None else matches
     full = m.join(notes.select("rel_path", F.sha2("body", 256).alias("body_sha")), "rel_path")
     pick = F.min(F.struct(F.col("rel_path").rlike(r"\.\d+\.md$").alias("k"), F.length("rel_path").alias("n"), "rel_path", "aliases")).alias("p")
     one = full.groupBy("slug", "body_sha").agg(pick).select("slug", "body_sha", F.col("p.rel_path").alias("rel_path"), F.col("p.aliases").alias("aliases"))
@@ -140,9 +143,21 @@ def propose_topics(noterefs: DataFrame, state: DataFrame, now, rejected: DataFra
     return J.resolve_collisions(p, taken_slugs, taken_aliases), ledger
 
 
-def corpus_report(metrics: DataFrame) -> DataFrame:
-    """Totals with the health score of each vault."""
-    return A.corpus_totals(metrics).withColumn("health", A.health_score(F.col("ratio"), F.col("orphans"), F.lit(0), F.lit(0), F.lit(0), F.lit(True)))
+def corpus_report(metrics: DataFrame, debris: DataFrame | None = None, complete: bool = True) -> DataFrame:
+    """Totals with the health score of each vault.
+
+    ``debris (vault, dangling, queue, exhaust)`` holds counts, in any number of rows a vault and null for none; the
+    corpus's row has the sum of all and takes rows of vault ``*`` besides. Without it nothing is counted as debris.
+    """
+    names = ("dangling", "queue", "exhaust")
+    totals = A.corpus_totals(metrics)
+    if debris is None:
+        return totals.withColumn("health", A.health_score(F.col("ratio"), F.col("orphans"), F.lit(0), F.lit(0), F.lit(0), F.lit(complete)))
+    each = debris.select("vault", *[(F.col(c) if c in debris.columns else F.lit(None).cast("long")).alias(f"_{c}") for c in names])
+    every = each.where("vault <> '*'").unionByName(each.withColumn("vault", F.lit("*"))).groupBy("vault").agg(*[F.sum(f"_{c}").alias(f"_{c}") for c in names])
+    n = {c: F.coalesce(f"_{c}", F.lit(0)) for c in names}
+    health = A.health_score(F.col("ratio"), F.col("orphans"), n["dangling"], n["queue"], n["exhaust"], F.lit(complete))
+    return totals.join(every, "vault", "left").select(*totals.columns, health.alias("health"))
 
 
 def clean_numbered(notes: DataFrame) -> DataFrame:

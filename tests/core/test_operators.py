@@ -243,6 +243,34 @@ def test_report(spark):
     assert A.review_queue_count(lines).first().n == 1
 
 
+def test_report_counts_debris(spark):
+    m = spark.createDataFrame([("a", 2, 2, 0, 0, 1.0), ("b", 2, 2, 0, 0, 1.0)], "vault string, total long, classified long, unclassified long, orphans long, ratio double")
+    d = spark.createDataFrame([("a", 3, None), ("*", None, 2)], "vault string, queue long, dangling long")
+    assert {r.vault: r.health for r in L.corpus_report(m, d).collect()} == {"a": 97, "b": 100, "*": 95}
+    assert {r.vault: r.health for r in L.corpus_report(m, d, complete=False).collect()} == {"a": 77, "b": 80, "*": 75}
+
+
+def test_nightly_runs_every_step(spark):
+    """Unmatched notes are proposed from, topics get pages, and notes get links."""
+    from notegraph.plans import generate as G2
+    from notegraph.plans.catalog_jobs import _writer
+
+    rows = [(f"n{i}.md", f"n{i}", "v", f"Met Ann Lee {i}", f"We met Ann Lee about garden plans number {i}, once more", datetime(2024, 1, 20), ["old"]) for i in range(5)]
+    rows += [("cafe.md", "cafe", "v", "c", "the cafe noir has opened its doors again", datetime(2024, 1, 20), ["mine"]), ("cafe.1.md", "cafe.1", "v", "c", "the cafe noir has opened its doors again", datetime(2024, 1, 20), [])]
+    n = spark.createDataFrame(rows, "rel_path string, stem string, vault string, title string, body string, mtime timestamp, topics array<string>").withColumn("folder", F.lit("x"))
+    topics = spark.createDataFrame([("cafe", "cafe noir", 0), ("old", "never there", 0)], "slug string, alias string, alias_pos int")
+    done = spark.createDataFrame([], "rel_path string, classified_by string")
+    t = G2.nightly_tables(n, done, RULES, topics, writer=_writer)
+    assert [r.slug for r in t["proposals"].collect()] == ["ann-lee"]
+    assert [(r.slug, r.n_sources) for r in t["pages"].collect()] == [("cafe", 1)] and "cafe.md" in t["pages"].first().page
+    links = {r.rel_path: r.topics for r in t["links"].collect()}
+    assert links == {f"n{i}.md": [] for i in range(5)} | {"cafe.md": ["mine", "cafe"]}
+    known = t["pages"].select("slug", F.col("set_hash").alias("source_set_hash"))
+    got = {r.step: (r.n, r.detail) for r in G2.nightly(n, done, RULES, topics, known=known).collect()}
+    assert list(got) == ["classify", "collect", "propose", "synthesize", "backlink", "report"]
+    assert got["propose"][0] == 1 and got["synthesize"] == (0, "0 written, 0 degraded") and got["backlink"] == (6, "5")
+
+
 def test_incremental(spark):
     n = spark.createDataFrame([("a",), ("b",), ("c",)], "rel_path string")
     done = spark.createDataFrame([("a", None), ("b", "export")], "rel_path string, classified_by string")
