@@ -9,7 +9,7 @@ Equal codes are indexed once, with their k + 1 smallest ids, which is all that a
 Codes of one value lie in blocks of bounded size; a block meets a block of queries in one Arrow batch row.
 
 Defined cases: a null vector or id takes no part; an id that occurs twice counts once, with its smallest code;
-vectors of more than 64 values are coded by their last 64, shorter ones by all; distance ties go to the smaller id;
+vectors of more than 64 values have no code and fail the job, shorter ones are coded by all; distance ties go to the smaller id;
 fewer than k others give fewer rows; an empty table gives none.
 """
 
@@ -33,7 +33,9 @@ BLOCK = 4096
 def sign_codes(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One bit per value (set if it is 0 or more), packed into a long; one row per id."""
     bit = lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.when(x >= 0, 1).otherwise(0).cast("long"))
-    rows = df.select(F.col(id_col).alias("id"), F.aggregate(F.col(vector_col), F.lit(0).cast("long"), bit).alias("code"))
+    code = F.aggregate(F.col(vector_col), F.lit(0).cast("long"), bit)
+    too_long = F.raise_error(F.concat(F.lit("a code has 64 bits, a vector has values: "), F.size(vector_col).cast("string"))).cast("long")
+    rows = df.select(F.col(id_col).alias("id"), F.when(F.size(vector_col) > BITS, too_long).otherwise(code).alias("code"))
     return rows.dropna().groupBy("id").agg(F.min("code").alias("code"))
 
 

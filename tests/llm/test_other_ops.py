@@ -121,6 +121,14 @@ def test_tree_matching_is_best():
 # --- top-k
 
 
+def test_long_vectors_fail(spark):
+    """No dimension is dropped silently."""
+    code = lambda n: mih.sign_codes(spark.createDataFrame([(1, [1.0] * n)], "vec_id long, embedding array<double>")).collect()
+    assert [r.code for r in code(64)] == [-1] and [r.code for r in code(3)] == [7]
+    with pytest.raises(Exception, match="64 bits"):
+        code(65)
+
+
 def test_topk_sql(spark, sf, duck, same):
     same(mih.op6_exact_topk(spark, sf), duck.sql(mih.OP6_SQL))
 
