@@ -27,16 +27,53 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it; one of our own only where it names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share, as the session names it.
+
+    Where it names none, a temporary one will do on a local master alone; on a cluster that is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="notegraph-"))
-        folder = spark.sparkContext.getCheckpointDir()
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="notegraph-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: cuts the lineage, and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: cuts the lineage, and survives lost executors."""
+    return _write(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
+class Scratch:
+    """Intermediate tables of one job in the shared folder. What is dropped must not be read by anything unfinished."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.versions: dict[str, int] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Like `materialize`. Once the table is written, an earlier one of that name is deleted."""
+        version = self.versions.get(name, 0) + 1
+        out = _write(df, f"{self.folder}/{name}-{version}")
+        self.drop(name)
+        self.versions[name] = version
+        return out
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.versions:
+                self._delete(f"{self.folder}/{name}-{self.versions[name]}")
+
+    def close(self) -> None:
+        self._delete(self.folder)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
