@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.session import materialize, shared_dir  # noqa: F401
+from notegraph.session import Scratch, materialize, shared_dir  # noqa: F401
 
 #: White space as all operators here see it; a word is a maximal run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -57,3 +57,24 @@ def shingle_hashes(word_array: Column, n: int) -> Column:
         )
 
     return let(word_array, of)
+
+
+#: Bits of a sieve: 8 MB, whatever the size of the tables.
+SIEVE_BITS = 1 << 26
+
+
+def sieved(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Those rows of ``df`` whose long ``key`` may be one of ``wanted`` (a table of one column): all that are, few others.
+
+    A bitmap of fixed size over the hashes of the wanted keys is broadcast, so rows that no one asks for are not
+    shuffled. With very many keys it lets more through, never less; a join decides afterwards.
+    """
+    spot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(SIEVE_BITS))
+    h = spot(F.col(wanted.columns[0]))
+    bits = wanted.select(F.bitmap_bucket_number(h).alias("__ng_bucket"), F.bitmap_bit_position(h).alias("at"))
+    bits = bits.groupBy("__ng_bucket").agg(F.bitmap_construct_agg("at").alias("__ng_bits"))
+    mine = spot(F.col(key))
+    joined = df.join(F.broadcast(bits), F.bitmap_bucket_number(mine) == F.col("__ng_bucket"))
+    at = F.bitmap_bit_position(mine)
+    byte = F.conv(F.hex(F.substring(F.col("__ng_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return joined.where(F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1).select(*df.columns)

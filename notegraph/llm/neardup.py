@@ -7,21 +7,28 @@
    one of the (size - t + 1) rarest of them: only those rarest values are listed. For sets that fit into a sketch t
    follows from the threshold and is exact; else t is half of k, which such a pair misses with a chance of 1e-8.
 4. First each list's most central class is compared with the list's others. Classes found linked are one component
-   from then on; after that the pairs of a list that are still in different components are compared: in short lists
-   pair by pair, in long ones block against block inside a task, where a pair is looked at only in the first list
-   that has both, and no longer once its ends are connected.
-5. A pair from a join is dropped early only if the estimate from the union's sketch is six standard deviations below
+   from then on, and only pairs of a list that are still in different components remain. In short lists they are
+   compared pair by pair.
+5. Classes of longer lists are listed anew by their *full* sets, which splits the lists by content and is exact: a set
+   of n shingles lists the n - ceil(0.8 n) + 1 that are rarest among these classes, the i-th of them only for partners
+   of sizes that n - i + 1 shared shingles suffice for. A near copy that is not linked to the centre of its group has
+   shingles of its own, so hardly anything of it is listed again. What is left is compared pair by pair in short
+   lists and block by block in long ones.
+6. A pair from a join is dropped early only if the estimate from the union's sketch is six standard deviations below
    the threshold. All others are confirmed or refuted on the full sets.
-6. Components are found by smallest labels; a document's component is the smallest id in it.
+7. Components are found by smallest labels; a document's component is the smallest id in it.
 
-Ids are integers. Defined cases: null texts and texts without words have an empty set and are linked with nothing; with fewer words
-than a shingle has, the whole sequence is the one shingle; rows with a null id are components of their own (null) and
-are kept; repeated rows share a component, and all of them carry its smallest id; an empty table gives no rows.
+Full sets are made anew from the texts of those classes that some pair asks for. Intermediate tables are deleted.
+
+Ids are integers. Defined cases: null texts and texts without words have an empty set and are linked with nothing;
+with fewer words than a shingle has, the whole sequence is the one shingle; very long texts count whole, as any other;
+rows with a null id are components of their own (null) and are kept; repeated rows share a component, and all of them
+carry its smallest id; of equal sizes and ties nothing depends; an empty table gives no rows; extra columns, whatever
+their names, are never read.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
@@ -32,12 +39,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import materialize, table, text_or_empty
-from notegraph.llm.components import connected_components
+from notegraph.llm.common import Scratch, materialize, sieved, table, text_or_empty
+from notegraph.operators.clusters import components
 
 K = 64
-#: Lists of at most so many rows are compared pair by pair in a join; longer ones in blocks of so many rows.
-SHORT, BLOCK = 32, 2048
+#: Lists of sketch values with more rows are split by the full sets. Lists of those with more rows are compared in blocks.
+SHORT, SHORT_FULL, BLOCK = 8, 32, 2048
 #: Word hashes that a worker remembers.
 REMEMBERED = 300_000
 
@@ -124,41 +131,61 @@ def listed(nodes: DataFrame, k: int, percent: int) -> DataFrame:
     return rows.where(F.col("rn") + rare <= F.col("m") - F.col("t") + 1).select("v", "node", "n", "w", "rn")
 
 
-def star_pairs(lists: DataFrame, percent: int) -> DataFrame:
+def star_pairs(lists: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Each list's most central node with all others of the list: ``(a, b)``."""
     hubs = lists.groupBy("v").agg(F.max(F.struct("w", F.negative("node").alias("neg"), "n")).alias("hub"), F.count("*").alias("c"))
-    hubs = hubs.where(F.col("c") > 1).select("v", F.negative("hub.neg").alias("a"), F.col("hub.n").alias("na"))
+    # a written table is joined by an exchange of its own, which adaptive execution can split at a long list
+    hubs = scratch.write(hubs.where(F.col("c") > 1).select("v", F.negative("hub.neg").alias("a"), F.col("hub.n").alias("na")), "hubs")
     pairs = lists.join(hubs, "v").where((F.col("a") != F.col("node")) & _sizes_fit(F.col("n"), F.col("na"), percent))
     return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
-def mixed_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of lists that still hold more than one component, with label and length ``c``."""
-    rows = lists.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def mixed_lists(rows: DataFrame, name: str, scratch: Scratch) -> DataFrame:
+    """The rows ``(v, label, ...)`` of lists that hold more than one component, with the list's length ``c``."""
     mixed = rows.groupBy("v").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c"))
-    return rows.join(mixed.where(F.col("lo") < F.col("hi")).select("v", "c"), "v")
+    mixed = scratch.write(mixed.where(F.col("lo") < F.col("hi")).select("v", "c"), f"{name}-lengths")
+    return scratch.write(rows.join(mixed, "v"), name)
+
 
+def _meet(rows: DataFrame, keep: Column) -> DataFrame:
+    """Pairs ``(a, b)`` of two components that meet in a list and that ``keep`` lets through; for short lists only."""
+    sides = [rows.select("v", *[F.col(c).alias(f"{c}_{s}") for c in rows.columns if c != "v"]) for s in "ab"]
+    pairs = sides[0].join(sides[1], "v").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & keep)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
-def short_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components in lists of at most SHORT rows: at most SHORT / 2 for a row."""
-    rows = rows.where(F.col("c") <= SHORT)
-    x = rows.select("v", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = rows.select("v", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    pairs = x.join(y, "v").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _sizes_fit(F.col("na"), F.col("nb"), percent))
-    return pairs.select("a", "b").distinct()
 
+def full_lists(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """``sets (node, label, sh)`` to lists by full sets ``(v, node, n, label, most, c)`` that may still hold a link.
 
-def long_links(rows: DataFrame, lists: DataFrame, sets, percent: int) -> DataFrame:
-    """Links across components in longer lists, block against block, confirmed on full sets."""
-    rows = rows.where(F.col("c") > SHORT).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
-    full = materialize(sets(rows.select("node").distinct()), "neardup-sets")
-    before = lists.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node")
-    before = before.agg(F.transform(F.sort_array(F.collect_list(F.struct("rn", "v"))), lambda x: x["v"]).alias("listed"))  # k values at most
+    ``most`` is the size of the largest partner that may have ``v`` as the first value shared with the node. Of each
+    pair that reaches the threshold both rows at their first shared value remain.
+    """
+    rows = sets.select("node", "label", F.size("sh").alias("n"), F.explode("sh").alias("v"))
+    often = scratch.write(rows.groupBy("v").agg(F.count("*").alias("f")).where(F.col("f") > 1), "full-often")
+    rows = rows.join(often, "v")
+    own = W.partitionBy("node")
+    # values that no one else has come first; left: so many values can be shared from here on
+    left = F.count("*").over(own) - F.row_number().over(own.orderBy("f", "v")) + 1
+    rows = rows.select("v", "node", "n", "label", left.alias("left"))
+    rows = rows.withColumn("most", F.floor(F.col("left") * (100 + percent) / percent + 1e-9) - F.col("n")).where(100 * F.col("most") >= percent * F.col("n"))
+    rows = scratch.write(rows.drop("left"), "full-rows")
+    ends = scratch.write(rows.groupBy("v").agg(F.min("n").alias("least"), F.max("most").alias("largest"), F.count("*").alias("c")).where(F.col("c") > 1).drop("c"), "full-ends")
+    rows = rows.join(ends, "v").where((F.col("most") >= F.col("least")) & (F.col("n") <= F.col("largest"))).drop("least", "largest")
+    return mixed_lists(rows, "full-lists", scratch)
+
+
+def long_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components in long lists, block against block, confirmed on the full sets."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
     met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("v", "node", "n", "label", "rn", own.alias("own"), met.alias("other")).join(before, "node").join(full, "node")
-    rows = rows.select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", F.slice("listed", F.lit(1), F.col("rn") - 1).alias("before"), "sh")
-    return rows.groupBy("v", "i", "j").applyInPandas(functools.partial(_block, percent=percent), "a long, b long").distinct()
+    rows = rows.select("v", "node", "label", "most", own.alias("own"), met.alias("other"))
+    rows = rows.select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "most")
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _block(pdf, percent)
+
+    return rows.join(sets.select("node", "sh"), "node").groupBy("v", "i", "j").applyInPandas(block, "a long, b long").distinct()
 
 
 def _block(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -166,25 +193,16 @@ def _block(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     pdf = pdf.sort_values("node", ignore_index=True)
     sets = [np.asarray(x, np.int64) for x in pdf["sh"]]
     sizes = np.array([len(x) for x in sets])
-    node, own = pdf["node"].to_numpy(), pdf["own"].to_numpy()
+    node, own, most = pdf["node"].to_numpy(), pdf["own"].to_numpy(), pdf["most"].to_numpy()
     inside = pdf["i"].iat[0] == pdf["j"].iat[0]
     label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1].astype(np.int64)
-    lens = np.array([len(x) for x in pdf["before"]])
-    values = np.concatenate([np.asarray(x, np.int64) for x in pdf["before"]]) if lens.sum() else np.empty(0, np.int64)
-    kinds, place, counts = np.unique(values, return_inverse=True, return_counts=True)
-    which = np.cumsum(counts > 1) - 1
-    use = (counts > 1)[place]
-    earlier = np.zeros((len(sets), max(1, int((counts > 1).sum()))), np.float32)
-    earlier[np.repeat(np.arange(len(sets)), lens)[use], which[place[use]]] = 1
     a, b = [], []
     for x in range(len(sets)):
-        open_ = (label != label[x]) & (100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x]))
+        open_ = (label != label[x]) & (sizes <= most[x]) & (most >= sizes[x]) & (100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x]))
         open_[: x + 1] = False
         if not inside:
             open_ &= own != own[x]
         ys = np.flatnonzero(open_)
-        if len(ys):
-            ys = ys[earlier[ys] @ earlier[x] == 0]  # else they meet in an earlier list
         for at in range(0, len(ys), 256):
             part = ys[at : at + 256]
             flat = np.concatenate([sets[y] for y in part])
@@ -198,51 +216,71 @@ def _block(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of ``pairs (a, b)`` that reach the threshold on the full sets; the sketches' estimate goes first."""
-    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
-    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+def likely(pairs: DataFrame, sketches: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of ``pairs (a, b)`` that the estimate from the union's sketch does not rule out."""
+    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     both = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     seen = F.size(F.array_intersect(F.array_intersect("sa", "sb"), both))
     p = percent / 100
     slack = F.when(F.size(both) < k, 1e-9).otherwise(6 * (p * (1 - p) / k) ** 0.5)
-    likely = pairs.join(left, "a").join(right, "b").where(seen / F.size(both) >= p - slack).select("a", "b")
-    likely = materialize(likely, "neardup-likely")
-    used = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-    full = materialize(sets(used), "neardup-sets")
-    joined = likely.join(full.select(F.col("node").alias("a"), F.col("sh").alias("x")), "a").join(full.select(F.col("node").alias("b"), F.col("sh").alias("y")), "b")
+    return pairs.join(left, "a").join(right, "b").where(seen / F.size(both) >= p - slack).select("a", "b")
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs (a, b)`` that reach the threshold on the full sets."""
+    joined = pairs.join(full.select(F.col("node").alias("a"), F.col("sh").alias("x")), "a").join(full.select(F.col("node").alias("b"), F.col("sh").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return joined.where(_alike(shared, F.size("x"), F.size("y"), percent)).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, k: int = K) -> DataFrame:
     """``(id, n_shingles, component_id)`` per row of ``df``."""
-    known = materialize(classes_of(df, id_col, text_col, n, k), "neardup-classes")
-    firsts = known.where(F.col("n") > 0).groupBy("cls").agg(F.min("id").alias("id")).dropna()
-    one = known.join(firsts, ["cls", "id"], "left_semi").dropDuplicates(["cls"])
-    nodes = materialize(one.select(F.monotonically_increasing_id().alias("node"), "cls", "id", "n", "sketch"), "neardup-nodes")
+    scratch = Scratch(df.sparkSession, "neardup")
+    known = scratch.write(classes_of(df, id_col, text_col, n, k), "known")
+    one = known.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = scratch.write(one.select(F.monotonically_increasing_id().alias("node"), "cls", "id", "n", "sketch"), "nodes")
+    rows = scratch.write(known.select("id", "cls", "n"), "rows")
+    scratch.drop("known")
     texts = df.select(F.col(id_col).cast("long").alias("id"), text_or_empty(F.col(text_col)).alias("text"))
 
-    def sets(used: DataFrame) -> DataFrame:
+    def sets(used: DataFrame, name: str) -> DataFrame:
         """The full sets of some nodes; a text's class tells which of the rows with a node's id is meant."""
-        asked = nodes.join(used, "node", "left_semi").select("node", "cls", "id")
-        found = _with_sets(texts.join(asked.select("id").distinct(), "id", "left_semi"), n, None)
-        return asked.join(found.select("id", "cls", F.col("sketch").alias("sh")), ["id", "cls"]).dropDuplicates(["node"]).select("node", "sh")
-
-    lists = materialize(listed(nodes.select("node", "n", "sketch"), k, percent), "neardup-lists")
-    slim = nodes.select("node", "sketch")
-    links = materialize(confirmed(star_pairs(lists, percent), slim, sets, k, percent), "neardup-links")
-    labels = connected_components(links)
-    rest = materialize(mixed_lists(lists, labels), "neardup-rest")
-    more = confirmed(short_pairs(rest, percent), slim, sets, k, percent).union(long_links(rest, lists, sets, percent))
-    links = links.union(materialize(more, "neardup-links"))
-    labels = connected_components(links)
-    grouped = nodes.join(labels, "node", "left").select("cls", "id", F.coalesce("label", "node").alias("label"))
+        asked = scratch.write(sieved(nodes.select("node", "cls", "id"), "node", used).join(used, "node", "left_semi"), f"{name}-asked")
+        found = _with_sets(sieved(texts, "id", asked.select("id")), n, None)
+        return scratch.write(asked.join(found.select("id", "cls", F.col("sketch").alias("sh")), ["id", "cls"]).dropDuplicates(["node"]).select("node", "sh"), name)
+
+    lists = scratch.write(listed(nodes.select("node", "n", "sketch"), k, percent), "lists")
+    sketches = scratch.write(sieved(nodes.select("node", "sketch"), "node", lists.select("node")), "sketches")
+    first = scratch.write(likely(star_pairs(lists, percent, scratch), sketches, k, percent), "star")
+    links = scratch.write(confirmed(first, sets(ends_of(first), "star-sets"), percent), "star-links")
+    scratch.drop("star-sets")
+    labels = components(links.toDF("src", "dst"))
+    rest = lists.join(labels.withColumnRenamed("component", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rest = mixed_lists(rest.select("v", "node", "n", "label"), "mixed", scratch)
+    scratch.drop("lists")
+    short = _meet(rest.where(F.col("c") <= SHORT), _sizes_fit(F.col("n_a"), F.col("n_b"), percent))
+    short = scratch.write(likely(short, sketches, k, percent), "short")
+    deep = scratch.write(rest.where(F.col("c") > SHORT).select("node", "label").distinct(), "deep")
+    full = sets(ends_of(short).union(deep.select("node")).distinct(), "full-sets")
+    found = full_lists(full.join(deep, "node"), percent, scratch)
+    fits = (F.col("n_a") <= F.col("most_b")) & (F.col("n_b") <= F.col("most_a"))
+    pairs = scratch.write(likely(_meet(found.where(F.col("c") <= SHORT_FULL), fits), sketches, k, percent).union(short).distinct(), "pairs")
+    more = confirmed(pairs, full, percent).union(long_links(found.where(F.col("c") > SHORT_FULL), full, percent))
+    links = scratch.write(links.union(more), "links")
+    labels = components(links.toDF("src", "dst")).withColumnRenamed("component", "label")
+    grouped = nodes.select("node", "cls", "id").join(labels, "node", "left").select("cls", "id", F.coalesce("label", "node").alias("label"))
     smallest = grouped.groupBy("label").agg(F.min("id").alias("component"))
-    of_class = grouped.join(smallest, "label").select("cls", "component")
-    out = known.select("id", "cls", "n").join(of_class, "cls", "left")
+    of_class = scratch.write(grouped.join(smallest, "label").select("cls", "component"), "of-class")
+    out = rows.join(of_class, "cls", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("id")))
-    return out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    out = materialize(out.select("id", F.col("n").alias("n_shingles"), component.alias("component_id")), "neardup")
+    scratch.close()
+    return out
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

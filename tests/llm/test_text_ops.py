@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notegraph.llm import fingerprint, langid, mixing, neardup, packing, sharding
+from notegraph.llm import common, fingerprint, langid, mixing, neardup, packing, sharding
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, w string, node long, size int, h string, key string, shard int, n int, copies int, words int, score double"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -291,9 +291,21 @@ def near_rows(seed=3):
     return [rows[i] for i in rng.permutation(len(rows))]
 
 
-@pytest.mark.parametrize("short", [32, 2])
-def test_near_duplicates_brute(spark, monkeypatch, short):
+def test_sieve_lets_all_wanted_through(spark, monkeypatch):
+    rows, wanted = spark.range(-5000, 5000).withColumn("x", F.col("id") * 3), spark.range(-3000, 9000, 7).toDF("w")
+    asked = {r.id for r in rows.join(wanted, rows.id == wanted.w, "left_semi").collect()}
+    got = [r.id for r in common.sieved(rows, "id", wanted).collect()]
+    assert asked <= set(got) and len(got) < len(asked) + 20 and len(set(got)) == len(got)
+    monkeypatch.setattr(common, "SIEVE_BITS", 1 << 10)  # too small: more comes through, nothing is lost
+    got = [r.id for r in common.sieved(rows, "id", wanted).collect()]
+    assert asked <= set(got) and len(set(got)) == len(got)
+    assert common.sieved(rows, "id", wanted.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("short", "short_full"), [(8, 32), (2, 2), (2, 0)])
+def test_near_duplicates_brute(spark, monkeypatch, short, short_full):
     monkeypatch.setattr(neardup, "SHORT", short)
+    monkeypatch.setattr(neardup, "SHORT_FULL", short_full)
     monkeypatch.setattr(neardup, "BLOCK", 32)
     rows = near_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
