@@ -1,25 +1,32 @@
 r"""Chat formatting by incremental black-box rendering.
 
 A template is any function from a list of (role, text) turns to a string. It is rendered on successive prefixes of a
-conversation; each output is compared with the one before. What was appended is the new turn's span. A closing part
-that every rendering ends with (an end mark) is recognised, as it follows the appended span in both. A template that
-changes what it wrote before is detected: the conversation is marked with the first turn at which that happened.
+conversation, always from the first turn on; each output is compared with the one before. What was appended is the new
+turn's span. A closing part that every rendering ends with (an end mark) is recognised, as it follows the appended span
+in both. A template that changes what it wrote before is detected, however long ago that was: the conversation is
+marked with the first turn at which it happened.
 
-The rows of a conversation stream through one task in the order of their turns. A conversation is rendered in
-windows of at most ``window`` turns, one output row for each, so neither memory nor rendering time grows with the
-square of its length; the template is told whether a window continues a conversation.
+The loss mask is the place of the text alone, without the template's marks. It is found from outside, too: the same
+prefix is rendered with two other texts in the last turn, and what these outputs share before and behind their
+difference is no text.
+
+The rows of a conversation stream through one task in the order of their turns, and the template gets all turns so
+far. So a task holds one conversation at a time, and rendering time grows with the square of its turns: 400 turns of
+600 characters take about half a second.
 
 The template used here, `MarkedTemplate`, writes ``### Role:\n`` before and ``</turn>\n`` after a text and puts a
 backslash before each control string (``###``, ``</turn>`` and the backslash) inside texts, so it can be read back.
 
 Defined cases: null text and null role are empty; rows of one conversation with equal turn are ordered by role, then
-text; a null conversation id is a conversation of its own; an empty table gives no rows; extra columns are never read.
+text, and repeated rows are turns of their own; each row without a conversation id is a conversation of its own, so
+these rows go round over the tasks; very long texts are rendered whole; an empty table gives no rows; extra columns,
+whatever their names, are never read. A turn whose text the template leaves out or rewrites has no loss mask.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -29,9 +36,9 @@ from pyspark.sql import functions as F
 from notegraph.llm.common import table
 
 Turn = tuple[str, str]
-Template = Callable[[list[Turn], bool], str]
-#: Turns that are rendered together.
-TURNS = 256
+Template = Callable[[list[Turn]], str]
+#: Two texts of one character that show where a template puts a text.
+PROBES = ("0", "1")
 
 
 class MarkedTemplate:
@@ -47,27 +54,18 @@ class MarkedTemplate:
         return text
 
     @staticmethod
-    def unescape(text: str) -> str:
-        if "\\" not in text:
-            return text
-        first, *rest = text.split("\\")
-        out, i = [first], 0
-        while i < len(rest):
-            if rest[i] or i + 1 == len(rest):  # an escaped control string
-                out.append(rest[i])
-                i += 1
-            else:  # two backslashes stand for one
-                out.append("\\" + rest[i + 1])
-                i += 2
-        return "".join(out)
+    def unescape(text: str, newline: str = "n") -> str:
+        """Without the backslashes that escape; in roles ``\\n`` stands for a line feed."""
+        return re.sub(r"\\(.)", lambda m: newline if m[1] == "n" else m[1], text, flags=re.S) if "\\" in text else text
 
     def _role(self, role: str) -> str:
         return self.escape(role).replace("\n", "\\n")
 
-    def __call__(self, turns: list[Turn], continued: bool = False) -> str:
+    def __call__(self, turns: list[Turn]) -> str:
         return "".join([f"{self.head}{self._role(r)}:\n{self.escape(t)}{self.end}\n" for r, t in turns])
 
-    def _find(self, text: str, mark: str, at: int) -> int:
+    @staticmethod
+    def _find(text: str, mark: str, at: int) -> int:
         """The next ``mark`` that is no escaped text."""
         while (at := text.index(mark, at)) >= 0:
             n = 0
@@ -78,33 +76,47 @@ class MarkedTemplate:
             at += len(mark)
         raise ValueError(mark)
 
-    def parse(self, text: str) -> list[tuple[str, str, int, int]]:
-        """(role, text, start and end of the text's escaped form) of each turn."""
-        out, at = [], 0
+    def parse(self, text: str) -> Iterator[Turn]:
+        """The turns that a rendering holds."""
+        at = 0
         while at < len(text):
             if not text.startswith(self.head, at):
                 raise ValueError(f"no turn begins at {at}")
             line = text.index(":\n", at)
             end = self._find(text, self.end, line + 2)
-            role = text[at + len(self.head) : line]
-            role = self.unescape(role.replace("\\\\", "\0").replace("\\n", "\n").replace("\0", "\\\\"))
-            out.append((role, self.unescape(text[line + 2 : end]), line + 2, end))
+            yield self.unescape(text[at + len(self.head) : line], "\n"), self.unescape(text[line + 2 : end])
             at = end + len(self.end) + 1
-        return out
 
 
-def spans(template: Template, turns: list[Turn], continued: bool = False) -> tuple[str, list[tuple[int, int]], int | None]:
+def _shared(a: str, b: str, hint: int = 0) -> int:
+    """Length of the common prefix; ``hint`` is a likely lower bound."""
+    lo, hi = 0, min(len(a), len(b))
+    if 0 < hint <= hi and a[:hint] == b[:hint]:
+        lo = hint
+    step = 1
+    while lo < hi:
+        to = min(hi, lo + step)
+        if a[lo:to] == b[lo:to]:
+            lo, step = to, 2 * step
+        elif step == 1:
+            break
+        else:
+            hi, step = to - 1, 1
+    return lo
+
+
+def spans(template: Template, turns: list[Turn]) -> tuple[str, list[tuple[int, int]], int | None]:
     """The rendering of all turns, each turn's span in it, and the first turn that rewrote history (None: none did).
 
     After a turn that rewrote history the spans are those of the appended parts as far as they were still found.
     """
-    before, found, rewrote, footer = template([], continued), [], None, 0
+    before, found, rewrote, footer = template([]), [], None, 0
     for i in range(len(turns)):
-        now = template(turns[: i + 1], continued)
+        now = template(turns[: i + 1])
         kept = len(before) - footer
         if not (now.startswith(before[:kept]) and now.endswith(before[kept:])):
             # is there a closing part that moves along? take the longest that fits
-            kept = len(os.path.commonprefix([before, now]))
+            kept = _shared(before, now)
             while kept and now.endswith(before[kept - 1 :]):
                 kept -= 1
             if now.endswith(before[kept:]) and kept >= (found[-1][0] if found else 0):
@@ -118,18 +130,42 @@ def spans(template: Template, turns: list[Turn], continued: bool = False) -> tup
     return before, found, rewrote
 
 
-def _windows(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[object, int, list[Turn]]]:
-    """(conversation, number of its first turn, turns) of rows sorted by conversation and turn."""
-    key, first, turns, any_row = None, 0, [], False
+def text_place(template: Template, turns: list[Turn], final: str, hint: int = 0) -> tuple[int, int] | None:
+    """Where the last turn's text stands in its rendering; None if it is not there, or no longer so in ``final``."""
+    now = template(turns)
+    one, two = (template([*turns[:-1], (turns[-1][0], c)]) for c in PROBES)
+    start = _shared(one, two, hint)
+    if start == len(one) == len(two):
+        return None  # the text plays no part
+    tail = _shared(one[start:][::-1], two[start:][::-1])
+    end = len(now) - tail
+    if end < start or now[:start] != one[:start] or now[end:] != one[len(one) - tail :] or final[start:end] != now[start:end]:
+        return None
+    return start, end
+
+
+def rendered(template: Template, turns: list[Turn], loss_roles: tuple[str, ...]) -> tuple[str, list[dict], int | None]:
+    """The rendering, per turn its span and the place of a text that bears loss, and the turn that rewrote history."""
+    text, found, rewrote = spans(template, turns)
+    marks = []
+    for i, (start, end) in enumerate(found):
+        at = text_place(template, turns[: i + 1], text, start) if turns[i][0] in loss_roles else None
+        marks.append({"turn": i, "start": start, "end": end, "loss_start": at and at[0], "loss_end": at and at[1]})
+    return text, marks, rewrote
+
+
+def _conversations(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[object, list[Turn]]]:
+    """(id, turns) of rows sorted by conversation and turn; a row without an id stands alone."""
+    key, turns = None, []
     for pdf in batches:
         for conv, role, text in zip(pdf["conv"].tolist(), pdf["role"].tolist(), pdf["text"].tolist(), strict=True):
-            if any_row and (conv != key or len(turns) == size):
-                yield key, first, turns
-                first, turns = (first + len(turns), []) if conv == key else (0, [])
-            key, any_row = conv, True
+            if turns and (conv is None or conv != key):
+                yield key, turns
+                turns = []
+            key = conv
             turns.append((role, text))
-    if any_row:
-        yield key, first, turns
+    if turns:
+        yield key, turns
 
 
 def format_conversations(
@@ -140,62 +176,59 @@ def format_conversations(
     role_col: str = "role",
     text_col: str = "text",
     loss_roles: tuple[str, ...] = ("assistant",),
-    window: int = TURNS,
 ) -> DataFrame:
-    """One row per window: conv, first_turn, formatted, spans (turn, start, end, loss), rewrote_at."""
+    """One row per conversation: conv, formatted, spans (turn, start, end, loss_start, loss_end), rewrote_at."""
     template = template or MarkedTemplate()
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = dict(df.dtypes)[id_col]
     rows = df.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), text.alias("text"))
-    rows = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select(F.col("conv").cast("string").alias("conv"), "role", "text")
+    rows = rows.withColumn("alone", F.when(F.col("conv").isNull(), F.monotonically_increasing_id()))
+    rows = rows.repartition("conv", "alone").sortWithinPartitions("conv", "turn", "role", "text").select(F.col("conv").cast("string").alias("conv"), "role", "text")
 
     def run(batches):
         held, size = [], 0
-        for conv, first, turns in _windows(batches, window):
-            formatted, at, rewrote = spans(template, turns, first > 0)
-            held.append((conv, first, formatted, [(first + i, a, b, turns[i][0] in loss_roles) for i, (a, b) in enumerate(at)], None if rewrote is None else first + rewrote))
-            size += len(formatted)
+        for conv, turns in _conversations(batches):
+            held.append((conv, *rendered(template, turns, loss_roles)))
+            size += len(held[-1][1])
             if size > 4_000_000 or len(held) >= 1000:
                 yield _frame(held)
                 held, size = [], 0
         if held:
             yield _frame(held)
 
-    out = rows.mapInPandas(run, "conv string, first_turn long, formatted string, spans array<struct<turn:long,start:long,end:long,loss:boolean>>, rewrote_at long")
+    place = "turn:long,start:long,end:long,loss_start:long,loss_end:long"
+    out = rows.mapInPandas(run, f"conv string, formatted string, spans array<struct<{place}>>, rewrote_at long")
     return out.withColumn("conv", F.col("conv").cast(kind))
 
 
 def _frame(held: list) -> pd.DataFrame:
-    out = pd.DataFrame(held, columns=["conv", "first_turn", "formatted", "spans", "rewrote_at"])
-    out["spans"] = [[{"turn": a, "start": b, "end": c, "loss": d} for a, b, c, d in x] for x in out["spans"]]
-    return out.astype({"rewrote_at": "Int64"})
+    return pd.DataFrame(held, columns=["conv", "formatted", "spans", "rewrote_at"]).astype({"rewrote_at": "Int64"})
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests per conversation, from the output of `format_conversations` with `MarkedTemplate`, in its row order."""
+    """Digests per conversation, from the output of `format_conversations` with `MarkedTemplate` alone.
+
+    The turns are parsed from the whole text; the loss digest is that of the texts under the loss mask.
+    """
     template = MarkedTemplate()
 
     def run(batches):
-        key, state, out = None, None, []
         for pdf in batches:
-            for conv, first, text, marks in zip(pdf["conv"].tolist(), pdf["first_turn"].tolist(), pdf["formatted"].tolist(), pdf["spans"].tolist(), strict=True):
-                if state is None or first == 0:
-                    if state:
-                        out.append((key, *state.done()))
-                    key, state = conv, _Digest()
-                state.n_chars += len(text)
-                for mark in marks:
-                    for role, said, a, b in template.parse(text[mark["start"] : mark["end"]]):
-                        state.add(role, said, mark["loss"])
-                if len(out) >= 5000:
-                    yield pd.DataFrame(out, columns=_DIGEST)
-                    out = []
-        if state:
-            out.append((key, *state.done()))
-        if out:
+            out = []
+            for conv, text, masked in zip(pdf["conv"].tolist(), pdf["formatted"].tolist(), pdf["loss"].tolist(), strict=True):
+                turns, loss, n_turns, loss_chars = hashlib.sha256(), hashlib.sha256(), 0, 0
+                for role, said in template.parse(text):
+                    n_turns += 1
+                    turns.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+                for start, end in masked:
+                    said = template.unescape(text[start:end])
+                    loss.update(said.encode("utf-8", "surrogatepass"))
+                    loss_chars += len(said)
+                out.append((conv, n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), len(text)))
             yield pd.DataFrame(out, columns=_DIGEST)
 
-    texts = formatted.select(F.col("conv").cast("string").alias("conv"), "first_turn", "formatted", "spans")
+    masked = F.transform(F.filter("spans", lambda m: m["loss_start"].isNotNull()), lambda m: F.array(m["loss_start"], m["loss_end"]))
+    texts = formatted.select(F.col("conv").cast("string").alias("conv"), "formatted", masked.alias("loss"))
     out = texts.mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     return out.withColumn("conv_id", F.col("conv_id").cast(dict(formatted.dtypes)["conv"]))
 
@@ -203,21 +236,6 @@ def read_back(formatted: DataFrame) -> DataFrame:
 _DIGEST = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
 
-class _Digest:
-    def __init__(self):
-        self.turns, self.loss, self.n_turns, self.loss_chars, self.n_chars = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
-
-    def add(self, role: str, text: str, loss: bool) -> None:
-        self.n_turns += 1
-        self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-        if loss:
-            self.loss.update(text.encode("utf-8", "surrogatepass"))
-            self.loss_chars += len(text)
-
-    def done(self) -> tuple:
-        return self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.n_chars
-
-
 #: A conversation whose texts hold the template's own control strings.
 PLANTED = r"\### Assistant: </turn> ok"
 
