@@ -11,7 +11,8 @@ task leaves only unused files behind.
 
 Defined cases: a null html is the empty payload; the payload is the UTF-8 text; pages with equal payloads (equal
 SHA-1) of at least ``min_bytes`` are grouped: the largest page id is the response and the others revisit it, rows
-that repeat that id are responses too; a null page id is a response; an empty table gives no archives and no rows.
+that repeat that id are responses too; a null page id is a response; very long pages are one record each, held by one
+task; an empty table gives no archives and no rows; extra columns, whatever their names, are never read.
 """
 
 from __future__ import annotations
@@ -33,12 +34,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import materialize, shared_dir, table
+from notegraph.llm.common import materialize, shared_dir, sieve, table
 
 #: An archive is closed once its records take so many bytes.
 ARCHIVE_BYTES = 64 << 20
 #: Records that lie together are fetched in one range of at most so many bytes.
 RANGE_BYTES = 4 << 20
+#: Records of an archive that are read together; the writer hands out where in the index each such piece begins.
+PIECE = 2000
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
 
@@ -155,15 +158,16 @@ def data_start(f, m: Member) -> int:
     return m.header_at + 30 + name_n + extra_n
 
 
-def read_records(path: str, first: int = 0, last: int | None = None) -> Iterator[bytes]:
-    """The raw records ``first`` to ``last`` of an archive, in the order of its index, each from its own range."""
+def read_records(path: str, start: int = 0, end: int | None = None) -> Iterator[bytes]:
+    """The raw records of an archive whose index lines lie in the bytes ``start`` to ``end`` of the index (none: all), in
+    the order of the index, each from its own range."""
     system, inner = file_system(path)
     size = system.get_file_info(inner).size
     with system.open_input_file(inner) as f:
         members = {m.name: m for m in directory(f, size)}
         base = data_start(f, members[DATA])
-        f.seek(data_start(f, members[INDEX]))
-        lines = f.read(members[INDEX].size).decode().splitlines()[first:last]
+        f.seek(data_start(f, members[INDEX]) + start)
+        lines = f.read((members[INDEX].size if end is None else end) - start).decode().splitlines()
         places = [(int(x["offset"]), int(x["length"])) for x in (json.loads(line.split(" ", 2)[2]) for line in lines)]
         i = 0
         while i < len(places):
@@ -180,30 +184,34 @@ def read_records(path: str, first: int = 0, last: int | None = None) -> Iterator
 class ArchiveWriter:
     """Writes records into one archive through a file system that may only append."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, piece: int = PIECE):
+        self.path, self.piece = path, piece
         system, inner = file_system(path)
         system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         self.raw = io.BufferedWriter(system.open_output_stream(inner), 1 << 20)
         self.zip = zipfile.ZipFile(self.raw, "w", zipfile.ZIP_STORED, allowZip64=True)
         self.member = self.zip.open(DATA, "w", force_zip64=True)
         self.index: list[str] = []
-        self.at = 0
+        self.at, self.index_bytes, self.marks = 0, 0, []
 
     def add(self, uri: str, raw: bytes) -> None:
         packed = gzip.compress(raw, 3, mtime=0)
         self.member.write(packed)
         place = json.dumps({"url": uri, "offset": str(self.at), "length": str(len(packed)), "filename": "data.warc.gz"})
-        self.index.append(f"{len(self.index):012d} 20240101000000 {place}")
+        if len(self.index) % self.piece == 0:
+            self.marks.append(self.index_bytes)
+        self.index.append(f"{len(self.index):012d} 20240101000000 {place}\n")
+        self.index_bytes += len(self.index[-1].encode())
         self.at += len(packed)
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, list[int]]:
+        """The path, the number of records, and where the pieces of the index begin, its end last."""
         self.member.close()
-        self.zip.writestr(INDEX, "\n".join(self.index))
+        self.zip.writestr(INDEX, "".join(self.index))
         self.zip.writestr("datapackage.json", json.dumps({"profile": "data-package", "resources": [{"path": DATA}, {"path": INDEX}]}))
         self.zip.close()
         self.raw.close()
-        return self.path, len(self.index)
+        return self.path, len(self.index), [*self.marks, self.index_bytes]
 
 
 # --- over tables
@@ -216,14 +224,18 @@ def with_revisits(df: DataFrame, id_col: str, payload_col: str, url_col: str, mi
     rows = rows.withColumn("sha", F.sha1("payload"))
     large = F.octet_length("payload") >= min_bytes
     groups = rows.where(large).groupBy("sha").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
-    groups = groups.where((F.col("n") > 1) & F.col("last").isNotNull()).drop("n")
-    joined = rows.join(groups, "sha", "left")
+    groups = materialize(groups.where((F.col("n") > 1) & F.col("last").isNotNull()).drop("n"), "warc-groups")
+    # only pages that may have a copy are shuffled
+    rows = sieve(rows, F.xxhash64("sha"), groups.select(F.xxhash64("sha")))
+    alone = rows.where("not __ng_maybe").select("page_id", "url", "payload", F.lit(None).cast("long").alias("refers_to"))
+    joined = rows.where("__ng_maybe").join(groups, "sha", "left")
     refers = F.when(large & (F.col("page_id") != F.col("last")), F.col("last"))
-    return joined.select("page_id", "url", "payload", refers.alias("refers_to"))
+    return alone.unionByName(joined.select("page_id", "url", "payload", refers.alias("refers_to")))
 
 
-def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Write ``(page_id, url, payload, refers_to)``; returns the finished archives ``(path, records)``, in a written table."""
+def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, piece: int = PIECE) -> DataFrame:
+    """Write ``(page_id, url, payload, refers_to)``; returns the finished archives ``(path, records, marks)``, in a written
+    table. The marks tell where in the index each piece of so many records begins."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -234,7 +246,7 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
         for pdf in batches:
             for page_id, url, payload, refers in zip(pdf["page_id"].tolist(), pdf["url"].tolist(), pdf["payload"].tolist(), pdf["refers_to"].tolist(), strict=True):
                 if writer is None:
-                    writer = ArchiveWriter(f"{name}-{len(done)}.wacz")
+                    writer = ArchiveWriter(f"{name}-{len(done)}.wacz", piece)
                 page_id, refers = (None if pd.isna(x) else int(x) for x in (page_id, refers))
                 url = url if isinstance(url, str) else ""
                 kind = "response" if refers is None else "revisit"
@@ -244,29 +256,29 @@ def write_archives(rows: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
                     writer = None
         if writer:
             done.append(writer.close())
-        yield pd.DataFrame(done, columns=["path", "records"])
+        yield pd.DataFrame(done, columns=["path", "records", "marks"])
 
     exact = rows.select("page_id", "url", "payload", "refers_to")
     # ids as texts: pandas would turn a column of longs with nulls into doubles
     exact = exact.withColumns({"page_id": F.col("page_id").cast("string"), "refers_to": F.col("refers_to").cast("string")})
-    return materialize(exact.mapInPandas(run, "path string, records long"), "warc-archives")
+    return materialize(exact.mapInPandas(run, "path string, records long, marks array<long>"), "warc-archives")
 
 
-def read_archives(archives: DataFrame, piece: int = 2000) -> DataFrame:
+def read_archives(archives: DataFrame) -> DataFrame:
     """One row per record: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    Archives are read in pieces of so many records, dealt evenly over the tasks.
+    Archives are read in the pieces of their marks, dealt evenly over the tasks; of the index each task reads its piece.
     """
-    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("records") - 1, F.lit(piece).cast("long")))
-    pieces = archives.where(F.col("records") > 0).select("path", starts.alias("first"))
+    ends = F.arrays_zip(F.slice("marks", F.lit(1), F.size("marks") - 1).alias("first"), F.slice("marks", F.lit(2), F.size("marks") - 1).alias("end"))
+    pieces = archives.where(F.col("records") > 0).select("path", F.explode(ends).alias("p")).select("path", "p.first", "p.end")
     # a number keeps adaptive execution from gathering the few small rows, each of which stands for much work, in one task
     pieces = pieces.repartition(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "first")
 
     def run(batches):
         for pdf in batches:
-            for path, first in zip(pdf["path"].tolist(), pdf["first"].tolist(), strict=True):
+            for path, first, end in zip(pdf["path"].tolist(), pdf["first"].tolist(), pdf["end"].tolist(), strict=True):
                 out = []
-                for raw in read_records(path, first, first + piece):
+                for raw in read_records(path, first, end):
                     h, payload = parse_record(raw)
                     response = h["WARC-Type"] == "response"
                     n = len(payload) if response else int(h["WARC-Payload-Length"])
