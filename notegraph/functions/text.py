@@ -31,6 +31,8 @@ CALENDAR = (
     "Monday Tuesday Wednesday Thursday Friday Saturday Sunday "
     "January February March April May June July August September October November December"
 ).split()
+#: A claim: up to a closing mark, with a citation behind it, before white space; or what is left of the line.
+CLAIM, LINE_ENDS = r"(?U)(.*?[.!?](?:\s*\(src:[^)]*\))?(?=\s|$)|.+$)", "\r\n|[\n\x0B\x0C\r\x1C-\x1E\x85\u2028\u2029]"
 #: A cluster's score: weights of anchor share, cohesion and size; the floor of each; the size that counts in full.
 WEIGHTS, FACTOR_FLOOR, SIZE_TARGET = (0.4, 0.35, 0.25), 0.1, 6
 #: Days in which evidence halves.
@@ -99,8 +101,8 @@ def excerpt(c: Column, n: int = 400) -> Column:
 
 
 def sentences(c: Column) -> Column:
-    """Sentences with their closing mark, white space collapsed, empties dropped."""
-    found = F.regexp_extract_all(one_line(c), F.lit(r"([^.!?]+[.!?]*)"), F.lit(1))
+    """Sentences with one closing mark each, white space collapsed, empties dropped."""
+    found = F.regexp_extract_all(one_line(c), F.lit(r"([^.!?]+(?:[.!?]|$))"), F.lit(1))
     return F.filter(F.transform(found, lambda s: F.trim(s)), lambda s: s != "")
 
 
@@ -210,10 +212,16 @@ def _ascii(s: pd.Series) -> pd.Series:
 @F.pandas_udf(T.StringType())
 def fold(s: pd.Series) -> pd.Series:
     """Typographic apostrophes to plain ones, compatibility decomposition, case folding. Python: Spark cannot decompose."""
-    marks = str.maketrans({"‘": "'", "’": "'", "ʼ": "'"})
+    marks = str.maketrans({"’": "'", "‘": "'", "‛": "'", "`": "'"})
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x.translate(marks)).casefold())
 
 
+@F.pandas_udf(T.StringType())
+def casefold(s: pd.Series) -> pd.Series:
+    """Case folding alone. Python: Spark's lower case is another."""
+    return s.map(lambda x: None if x is None else x.casefold())
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio of two texts, rounded to six places. Python: the measure is the standard library's."""
@@ -221,6 +229,12 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def similarity_bound(a: Column, b: Column) -> Column:
+    """No matching-block ratio is larger, whatever the texts say: the shorter one matches as a whole at most."""
+    n, m = F.length(a), F.length(b)
+    return F.when(n + m == 0, 1.0).otherwise(F.round(2 * F.least(n, m) / (n + m), 6))
+
+
 @F.pandas_udf(T.StringType())
 def extract_json(s: pd.Series) -> pd.Series:
     """The JSON object of a fenced block, else the first balanced object of a text; null without one. Python."""
@@ -244,16 +258,18 @@ def extract_json(s: pd.Series) -> pd.Series:
 
 
 def cited(c: Column) -> Column:
-    """All n of ``(src: B1, B2)`` groups, in order."""
-    groups = F.regexp_extract_all(c, F.lit(r"\(src:\s*(B\d+(?:\s*,\s*B\d+)*)\s*\)"), F.lit(1))
+    """All n of ``Bn`` inside ``(src: B1, B2)`` groups, in order."""
+    groups = F.regexp_extract_all(c, F.lit(r"\(src:([^)]*)\)"), F.lit(1))
     return F.flatten(F.transform(groups, lambda g: F.transform(F.regexp_extract_all(g, F.lit(r"B(\d+)"), F.lit(1)), lambda n: n.cast("int"))))
 
 
 def claims(c: Column) -> Column:
-    """Sentences of every line, each with the citation that follows it; bullets are kept with their first sentence."""
-    lines = F.filter(F.transform(F.split(c, "\n"), lambda s: F.trim(s)), lambda x: x != "")
-    one = lambda x: F.regexp_extract_all(x, F.lit(r"([^.!?(]+(?:\((?!src:)[^)]*\)[^.!?(]*)*[.!?]*(?:\s*\(src:[^)]*\)[.!?]*)*)"), F.lit(1))
-    return F.filter(F.transform(F.flatten(F.transform(lines, one)), lambda s: F.trim(s)), lambda x: x != "")
+    """Sentences of every line, each with the citation behind its closing mark; a line's bullet stands before each."""
+    lines = F.filter(F.transform(F.split(strip(c), LINE_ENDS), lambda s: F.rtrim(F.regexp_replace(s, r"(?U)\s+$", ""))), lambda x: x != "")
+    bullet = lambda x: F.regexp_extract(x, r"(?U)^(\s*[-*]\s+)", 1)
+    body = lambda x: F.substring(x, F.length(bullet(x)) + 1, F.length(x))
+    parts = lambda x: F.regexp_extract_all(body(x), F.lit(CLAIM), F.lit(1))
+    return F.flatten(F.transform(lines, lambda x: F.transform(parts(x), lambda s: F.concat(bullet(x), strip(s)))))
 
 
 def verified(c: Column, n_sources: Column) -> Column:
@@ -314,8 +330,17 @@ def audio_embeds(c: Column) -> Column:
 
 
 def note_time(*candidates: Column) -> Column:
-    """The first candidate that is a date or a time."""
-    return F.coalesce(*[F.try_to_timestamp(c) if isinstance(c, Column) else c for c in candidates])
+    """The first candidate text that is a date or a time."""
+    return F.coalesce(*map(F.try_to_timestamp, candidates))
+
+
+def iso_time(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def first_words(c: Column, n: int) -> Column:
+    """The first n parts between single spaces."""
+    return F.array_join(F.slice(F.split(c, " "), 1, n), " ")
 
 
 # --- scores
@@ -336,7 +361,10 @@ def cluster_confidence(share: Column, cohesion: Column, n: Column, weights: tupl
 
 
 def decay(evidence: Column, days: Column, half_life: float = HALF_LIFE) -> Column:
-    return evidence * F.pow(F.lit(0.5), F.greatest(days, F.lit(0.0)) / half_life)
+    """Evidence after so many days; unknown days or no half-life leave it as it is."""
+    if half_life <= 0:
+        return evidence
+    return evidence * F.pow(F.lit(0.5), F.greatest(F.coalesce(days, F.lit(0.0)), F.lit(0.0)) / half_life)
 
 
 def topic_confidence(n: Column, quality: Column) -> Column:
@@ -345,7 +373,7 @@ def topic_confidence(n: Column, quality: Column) -> Column:
 
 
 def cluster_signature(members: Column, dominant: Column) -> Column:
-    return F.concat(F.lit("sig:"), F.left(F.sha2(F.concat_ws("\x1f", F.array_sort(members), dominant), 256), F.lit(16)))
+    return F.concat(F.lit("sig:"), F.left(F.sha2(F.concat_ws("\0", F.array_sort(members), dominant), 256), F.lit(16)))
 
 
 def anchor_label(anchor: Column) -> Column:

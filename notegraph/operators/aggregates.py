@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,10 +18,37 @@ def dedup_by_body(notes: DataFrame, body: str = "body") -> DataFrame:
 
 
 def source_set_hash(sources: DataFrame, keys: list[str], path: str = "rel_path", sha: str = "body_sha") -> DataFrame:
-    """An order-free digest over (path, body digest) per key.
+    """``(keys, n_sources, set_hash)``: the digest over a key's sorted (path, body digest) lines, as pages store it.
 
-    Two steps keep a key's rows out of one task: rows are digested and gathered per leading hex digit pair, then the
-    256 digests of a key are digested in order.
+    The digest is one over all lines in order, so a key's rows stream through one task, sorted by Spark; the task holds
+    no more than the digest. `source_tree_hash` has no such order, for keys with very many rows.
+    """
+    rows = sources.select(*keys, F.col(path).alias("__path"), F.col(sha).alias("__sha"))
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "__path", "__sha")
+    schema = ", ".join(f"`{k}` {dict(rows.dtypes)[k]}" for k in keys)
+
+    def run(batches):
+        key, n, h = None, 0, hashlib.sha256()
+        for pdf in batches:
+            done = []
+            for row in zip(*[pdf[k] for k in keys], pdf["__path"], pdf["__sha"], strict=True):
+                if n and row[:-2] != key:
+                    done.append((*key, n, f"sha256:{h.hexdigest()}"))
+                    n, h = 0, hashlib.sha256()
+                key, n = row[:-2], n + 1
+                h.update(f"{row[-2]}\0{row[-1]}\n".encode("utf-8", "surrogatepass"))
+            if done:
+                yield pd.DataFrame(done, columns=[*keys, "n_sources", "set_hash"])
+        if n:
+            yield pd.DataFrame([(*key, n, f"sha256:{h.hexdigest()}")], columns=[*keys, "n_sources", "set_hash"])
+
+    return rows.mapInPandas(run, f"{schema}, n_sources long, set_hash string")
+
+
+def source_tree_hash(sources: DataFrame, keys: list[str], path: str = "rel_path", sha: str = "body_sha") -> DataFrame:
+    """Like `source_set_hash` with another digest, for which no task sees all rows of a key.
+
+    Rows are digested and gathered per leading hex digit pair, then the 256 digests of a key are digested in order.
     """
     line = F.sha2(F.concat(F.col(path), F.lit("\0"), F.col(sha)), 256)
     part = sources.withColumn("_l", line).groupBy(*keys, F.left("_l", F.lit(2)).alias("_p")).agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("_l")), "\n"), 256).alias("_d"))
@@ -59,11 +89,17 @@ def corpus_totals(metrics: DataFrame) -> DataFrame:
     return metrics.unionByName(total.withColumn("vault", F.lit("*")).withColumn("ratio", ratio))
 
 
-def health_score(coverage: Column, orphans: Column, dangling: Column, queue: Column, exhaust: Column, complete: Column) -> Column:
-    """0 to 100: 20 for a complete run, 35 for coverage, and 15, 10, 10, 10 less what each kind of debris takes."""
-    cut = lambda most, n: F.greatest(F.lit(0.0), F.lit(float(most)) - n)
-    total = F.when(complete, 20.0).otherwise(0.0) + 35.0 * coverage + cut(15, orphans) + cut(10, dangling) + cut(10, queue) + cut(10, exhaust)
-    return F.bround(F.greatest(F.lit(0.0), F.least(F.lit(100.0), total)), 0).cast("int")
+# fixed values: the most that a complete run, coverage, no orphans, no review queue, no exhaust and fresh topics count
+HEALTH = (20.0, 35.0, 15.0, 10.0, 10.0, 10.0)
+
+
+def health_score(coverage: Column, orphans: Column, queue: Column, exhaust: Column, stale: Column, complete: Column) -> Column:
+    """0 to 100: coverage counts by its share, each other part in full or not at all. Without topics none is stale."""
+    run, covered, *rest = HEALTH
+    total = F.when(complete, run).otherwise(0.0) + covered * F.greatest(F.lit(0.0), F.least(F.lit(1.0), coverage))
+    for most, n in zip(rest, (orphans, queue, exhaust, stale), strict=True):
+        total = total + F.when(n == 0, most).otherwise(0.0)
+    return F.greatest(F.lit(0), F.least(F.lit(100), F.bround(total, 0).cast("int")))
 
 
 def latest_run(rows: DataFrame, run: str = "run_id") -> DataFrame:

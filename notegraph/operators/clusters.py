@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notegraph.functions import text as X
-from notegraph.operators.joins import anchor_edges
 from notegraph.session import Scratch, materialize
 
 
@@ -82,56 +82,128 @@ def density(edges: DataFrame, members: DataFrame) -> DataFrame:
     return size.join(inside, "cluster", "left").select("cluster", "n", F.when(n < 2, 0.0).otherwise(F.coalesce("e", F.lit(0)) / (n * (n - 1) / 2)).alias("density"))
 
 
-def dense_core(edges: DataFrame, labels: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY) -> DataFrame:
-    """``(cluster, node)``: each component is thinned by its least connected member (ties: the smallest) until it is
-    dense; below ``min_size`` it is dropped. A component's edges are peeled in one grouped task."""
-    inside = edges.join(labels.select(F.col("node").alias("src"), "component"), "src")
+def anchor_stars(note_anchor: DataFrame) -> DataFrame:
+    """``note_anchor (node, anchor)`` to edges ``(src, dst)`` from each anchor's smallest node to its others.
+
+    They connect what `anchor_edges` connects, with as many rows as notes have anchors.
+    """
+    first = note_anchor.groupBy("anchor").agg(F.min("node").alias("src"))
+    return note_anchor.join(first, "anchor").select("src", F.col("node").alias("dst")).where("src <> dst").distinct()
+
+
+def dense_core(note_anchor: DataFrame, labels: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY) -> DataFrame:
+    """``note_anchor (node, anchor)`` and components ``labels (node, component)`` to ``(cluster, node, density)``.
+
+    Two notes are linked if they share an anchor. Each component is thinned by its least connected member (ties: the
+    smallest) until so great a share of its pairs is linked; below ``min_size`` it is dropped. Components that are too
+    small, or held together by one anchor alone, are settled by counting. The others are thinned one by one in grouped
+    tasks over their notes and anchors; the links are never written out, and memory is that of the component's rows.
+    """
+    rows = note_anchor.distinct().join(labels, "node")
+    nodes = labels.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= min_size)
+    whole = rows.groupBy("component", "anchor").agg(F.count("*").alias("c")).join(nodes, "component").where("c = n").select("component").distinct()
+    cliques = labels.join(whole, "component", "left_semi").select(F.col("component").alias("cluster"), "node", F.lit(1.0).alias("density"))
+    open_ = rows.join(nodes.select("component"), "component", "left_semi").join(whole, "component", "left_anti")
 
     def peel(pdf: pd.DataFrame) -> pd.DataFrame:
-        near: dict = {}
-        for a, b in zip(pdf["src"], pdf["dst"], strict=True):
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
-        degree = {k: len(v) for k, v in near.items()}
+        of, have = {}, {}
+        for node, anchor in zip(pdf["node"].tolist(), pdf["anchor"].tolist(), strict=True):
+            of.setdefault(anchor, set()).add(node)
+            have.setdefault(node, []).append(anchor)
+        near = lambda x: set().union(*(of[a] for a in have[x])) - {x}
+        degree = {x: len(near(x)) for x in have}
         links = sum(degree.values()) // 2
         layers: dict[int, set] = {}
         for k, d in degree.items():
             layers.setdefault(d, set()).add(k)
         while len(degree) >= min_size:
             n = len(degree)
-            if links / (n * (n - 1) / 2) >= min_density:
-                return pd.DataFrame({"cluster": pdf["component"].iat[0], "node": sorted(degree)})
+            share = links / (n * (n - 1) / 2)
+            if share >= min_density:
+                return pd.DataFrame({"cluster": pdf["component"].iat[0], "node": sorted(degree), "density": share})
             least = min(d for d, v in layers.items() if v)
             gone = min(layers[least])
             layers[least].discard(gone)
             links -= degree.pop(gone)
-            for k in near[gone]:
-                if k in degree:
-                    layers[degree[k]].discard(k)
-                    degree[k] -= 1
-                    layers.setdefault(degree[k], set()).add(k)
-        return pd.DataFrame({"cluster": [], "node": []})
+            for k in near(gone):
+                layers[degree[k]].discard(k)
+                degree[k] -= 1
+                layers.setdefault(degree[k], set()).add(k)
+            for a in have[gone]:
+                of[a].discard(gone)
+        return pd.DataFrame({"cluster": [], "node": [], "density": []})
 
     kind = dict(labels.dtypes)["component"]
-    return inside.groupBy("component").applyInPandas(peel, f"cluster {kind}, node {kind}")
+    return cliques.unionByName(open_.groupBy("component").applyInPandas(peel, f"cluster {kind}, node {kind}, density double"))
+
+
+def majority_anchors(counts: DataFrame, sizes: DataFrame, key: str = "cluster") -> DataFrame:
+    """``counts (key, anchor, c)`` and ``sizes (key, n)`` to the sorted anchors that half of a cluster's members have."""
+    most = counts.join(sizes, key).where(F.col("c") >= F.floor((F.col("n") + 1) / 2))
+    return most.groupBy(key).agg(F.array_sort(F.collect_list("anchor")).alias("anchors"))
 
 
-def cluster_profile(members: DataFrame, note_anchor: DataFrame, edges: DataFrame, noterefs: DataFrame) -> DataFrame:
-    """Per cluster: size, majority anchors, dominant anchor and its share, density, mean pairwise similarity.
+#: Members of a cluster that are compared with as many others at once.
+BLOCK = 512
 
-    Of equally common anchors the greatest dominates. Pairs are formed inside clusters only, which are near-cliques
-    of the edge table, so there are about as many as edges.
+
+def cohesion(members: DataFrame, noterefs: DataFrame, weights: DataFrame) -> DataFrame:
+    """``(cluster, cohesion)``: the mean of `weighted_jaccard` over all pairs of members ``(cluster, node)``.
+
+    Blocks of members meet blocks of members inside tasks, which hand out sums; no pair is written out.
+    """
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    tok = noterefs.select("node", F.explode_outer("tokens").alias("token")).join(weights, "token", "left")
+    bags = tok.groupBy("node").agg(F.collect_list(F.struct("token", "idf")).alias("bag"))
+    rows = members.select("cluster", "node").join(sizes, "cluster").withColumn("own", own).join(bags, "node")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("cluster", "node", "own", "bag", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        place: dict = {}
+        bags = [{x["token"]: x["idf"] for x in bag if x["idf"] is not None} for bag in pdf["bag"]]
+        for bag in bags:
+            for t in bag:
+                place.setdefault(t, len(place))
+        weight = np.zeros(len(place))
+        total = np.array([sum(b.values()) for b in bags])
+        has = [np.fromiter((place[t] for t in b), np.int64, len(b)) for b in bags]
+        for b in bags:
+            for t, w in b.items():
+                weight[place[t]] = w
+        own, same = pdf["own"].to_numpy(), pdf["i"].iat[0] == pdf["j"].iat[0]
+        sums, pairs = 0.0, 0
+        inside = np.zeros(len(place))
+        for x in range(len(bags)):
+            inside[has[x]] = weight[has[x]]
+            for y in range(x + 1, len(bags)):
+                if same or own[x] != own[y]:
+                    shared = inside[has[y]].sum()
+                    union = total[x] + total[y] - shared
+                    sums += shared / union if union > 0 else 0.0
+                    pairs += 1
+            inside[has[x]] = 0
+        return pd.DataFrame({"cluster": [pdf["cluster"].iat[0]], "s": [sums], "p": [pairs]})
+
+    kind = dict(members.dtypes)["cluster"]
+    parts = rows.groupBy("cluster", "i", "j").applyInPandas(block, f"cluster {kind}, s double, p long")
+    return parts.groupBy("cluster").agg((F.sum("s") / F.sum("p")).alias("cohesion"))
+
+
+def cluster_profile(members: DataFrame, note_anchor: DataFrame, noterefs: DataFrame) -> DataFrame:
+    """``members (cluster, node, density)`` to size, majority anchors, dominant anchor and its share, density, mean
+    pairwise similarity and the members' signature (over ``rel_path`` where noterefs have one, else over the nodes).
+
+    Of equally common anchors the greatest dominates.
     """
     counts = members.join(note_anchor, "node").groupBy("cluster", "anchor").agg(F.count("*").alias("c"))
-    size = members.groupBy("cluster").agg(F.count("*").alias("n"))
+    size = members.groupBy("cluster").agg(F.count("*").alias("n"), F.max("density").alias("anchor_density"))
     top = counts.groupBy("cluster").agg(F.max(F.struct("c", "anchor")).alias("top"))
-    major = counts.join(size, "cluster").where(F.col("c") >= F.floor((F.col("n") + 1) / 2)).groupBy("cluster").agg(F.array_sort(F.collect_list("anchor")).alias("anchors"))
-    a = members.select("cluster", F.col("node").alias("src"))
-    b = members.select("cluster", F.col("node").alias("dst"))
-    pairs = a.join(b, "cluster").where("src < dst")
-    sims = weighted_jaccard(pairs.select("src", "dst"), noterefs, idf(noterefs))
-    cohesion = pairs.join(sims, ["src", "dst"]).groupBy("cluster").agg(F.avg("similarity").alias("cohesion"))
-    out = density(edges, members).join(top, "cluster").join(major, "cluster", "left").join(cohesion, "cluster", "left")
+    name = F.col("rel_path") if "rel_path" in noterefs.columns else F.col("node").cast("string")
+    names = members.join(noterefs, "node").groupBy("cluster").agg(F.collect_list(name).alias("names"))
+    out = size.join(top, "cluster").join(majority_anchors(counts, size.select("cluster", "n")), "cluster", "left")
+    out = out.join(cohesion(members, noterefs, idf(noterefs)), "cluster", "left").join(names, "cluster")
     dominant = F.col("top.anchor")
     return out.select(
         "cluster",
@@ -139,20 +211,25 @@ def cluster_profile(members: DataFrame, note_anchor: DataFrame, edges: DataFrame
         F.coalesce("anchors", F.array(dominant)).alias("anchors"),
         dominant.alias("dominant_anchor"),
         (F.col("top.c") / F.col("n")).alias("dominant_share"),
-        F.col("density").alias("anchor_density"),
+        "anchor_density",
         F.coalesce("cohesion", F.lit(0.0)).alias("cohesion"),
+        X.cluster_signature(F.col("names"), dominant).alias("signature"),
     )
 
 
+def top_clusters(clusters: DataFrame, k: int = 10, size: str = "n", name: str = "cluster") -> DataFrame:
+    """The k largest, of equal size the first by name."""
+    return clusters.orderBy(F.col(size).desc(), name).limit(k)
+
+
 def route(confidence: Column, n: Column, density_: Column, auto: float = AUTO, floor: float = PROPOSE, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY) -> Column:
     return F.when((confidence >= auto) & (n >= min_size) & (density_ >= min_density), "auto").when(confidence >= floor, "propose").otherwise("ledger")
 
 
-def cluster_notes(noterefs: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY) -> DataFrame:
-    """``noterefs (node, anchors, tokens)`` to scored and routed clusters."""
-    note_anchor = noterefs.select("node", F.explode("anchors").alias("anchor"))
-    edges = materialize(anchor_edges(note_anchor), "anchor-edges")
-    members = materialize(dense_core(edges, components(edges), min_size, min_density), "members")
-    profile = cluster_profile(members, note_anchor, edges, noterefs)
+def cluster_notes(noterefs: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY, floor: float = PROPOSE) -> DataFrame:
+    """``noterefs (node, anchors, tokens)``, with or without ``rel_path``, to scored and routed clusters."""
+    note_anchor = materialize(noterefs.select("node", F.explode("anchors").alias("anchor")).distinct(), "note-anchors")
+    members = materialize(dense_core(note_anchor, components(anchor_stars(note_anchor)), min_size, min_density), "members")
+    profile = cluster_profile(members, note_anchor, noterefs)
     score = X.cluster_confidence(F.col("dominant_share"), F.col("cohesion"), F.col("n"))
-    return profile.withColumn("confidence", score).withColumn("route", route(F.col("confidence"), F.col("n"), F.col("anchor_density")))
+    return profile.withColumn("confidence", score).withColumn("route", route(F.col("confidence"), F.col("n"), F.col("anchor_density"), floor=floor))

@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 import operator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from notegraph.functions import text as X
 
@@ -59,6 +61,17 @@ def glob_pattern(glob: str) -> str:
     return rf"(?s)\A{out}\z"
 
 
+@F.pandas_udf(T.StringType())
+def glob_regex(globs: pd.Series) -> pd.Series:
+    """`glob_pattern` of a column."""
+    return globs.map(lambda g: None if g is None else glob_pattern(g))
+
+
+def is_exhaust(name: Column) -> Column:
+    """Files that a review run leaves behind."""
+    return name.rlike(r"^classification-review.*\.html$")
+
+
 def exclude_globs(df: DataFrame, globs: list[str], path: str = "rel_path", name: str = "file_name") -> DataFrame:
     for g in globs:
         p = glob_pattern(g)

@@ -7,32 +7,69 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from notegraph.functions import text as X
+from notegraph.session import Scratch, materialize
 
-WORDS = r"[^\p{L}\p{N}_]+"
+WORDS, LETTERS = r"[^\p{L}\p{N}_]+", r"[\p{L}\p{N}_]+"
 
 
 def _folded_words(c: Column) -> Column:
     return F.filter(F.split(c, WORDS), lambda w: w != "")
 
 
+def _runs(c: Column, lengths: list[int]) -> Column:
+    """The distinct runs of so many words of a text, with what stands between the words."""
+    framed = F.concat(F.lit(" "), c, F.lit(" "))
+
+    def of(t: Column, n: int) -> Column:
+        words, seps = t["words"], t["seps"]
+        last = F.size(words) - 1 - n
+        run = lambda i: F.concat(*[part for k in range(n) for part in ((F.get(seps, i + (k - 1)),) if k else ()) + (F.get(words, i + k),)])
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), run)).otherwise(F.array().cast("array<string>"))
+
+    # words begin and end with an empty one; bound by a lambda, so a text is split once and not at each place
+    split = F.struct(F.split(framed, WORDS).alias("words"), F.split(framed, LETTERS).alias("seps"))
+    return F.element_at(F.transform(F.array(split), lambda t: F.array_distinct(F.concat(*[of(t, n) for n in lengths]))), 1)
+
+
+def _units(c: Column) -> Column:
+    """The distinct words of a text and its distinct other characters."""
+    return F.array_distinct(F.concat(_folded_words(c), F.split(F.regexp_replace(c, r"[\p{L}\p{N}_\s]+", ""), "")))
+
+
 def match_topics(notes: DataFrame, topics: DataFrame, folded: str = "folded") -> DataFrame:
     """``(slug, rel_path, aliases)``: topics one of whose aliases stands in a note between word boundaries.
 
-    ``notes (rel_path, folded)``, ``topics (slug, alias, alias_pos)`` with folded aliases. The pairs come from an
-    equi-join of an alias's rarest word with the note's distinct words, so no note meets an alias that it cannot
-    contain; the whole alias is then looked for in the text.
+    ``notes (rel_path, folded)``, ``topics (slug, alias, alias_pos)`` with folded aliases. A note's distinct runs of as
+    many words as aliases have are joined with the aliases, so no text is carried. Aliases that begin or end with
+    something else than a letter, a digit or ``_`` are looked for in the texts of those notes that have the rarest word
+    or mark of them.
     """
-    words = notes.select("rel_path", F.explode(F.array_distinct(_folded_words(F.col(folded)))).alias("word"))
-    alias_words = topics.select("slug", "alias", "alias_pos", F.explode(F.array_distinct(_folded_words(F.col("alias")))).alias("word"))
-    df = words.join(alias_words.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
-    ranked = alias_words.join(df, "word", "left").withColumn("rn", F.row_number().over(W.partitionBy("slug", "alias_pos").orderBy(F.coalesce("df", F.lit(0)), "word")))
-    keys = ranked.where((F.col("rn") == 1) & F.col("df").isNotNull()).select("word", "slug", "alias", "alias_pos")
-    pairs = words.join(keys, "word").drop("word")
-    single = ~F.col("alias").rlike(r"[^\p{L}\p{N}_]")  # a one-word alias was found by the join
-    hits = pairs.join(notes.select("rel_path", folded), "rel_path").where(single | F.expr(f"{folded} rlike concat('(^|[^\\\\p{{L}}\\\\p{{N}}_])\\\\Q', alias, '\\\\E($|[^\\\\p{{L}}\\\\p{{N}}_])')"))
+    t = topics.select("slug", "alias", "alias_pos").where("alias <> ''")
+    plain = F.col("alias").rlike(r"(?s)^[\p{L}\p{N}_](.*[\p{L}\p{N}_])?$")
+    n_words = F.size(_folded_words(F.col("alias")))
+    lengths = sorted(r[0] for r in t.where(plain).select(n_words).distinct().collect())  # no more than the longest alias has words
+    hits = t.where("false").select("slug", "alias", "alias_pos", F.lit("").alias("rel_path"))
+    if lengths:
+        runs = notes.select("rel_path", F.explode(_runs(F.col(folded), lengths)).alias("alias"))
+        hits = hits.unionByName(runs.join(t.where(plain), "alias").select("slug", "alias", "alias_pos", "rel_path"))
+    odd = t.where(~plain)
+    if not odd.isEmpty():
+        units = notes.select("rel_path", F.explode(_units(F.col(folded))).alias("unit"))
+        keys = odd.select("slug", "alias", "alias_pos", F.explode(_units(F.col("alias"))).alias("unit"))
+        often = units.join(keys.select("unit").distinct(), "unit", "left_semi").groupBy("unit").agg(F.count("*").alias("n"))
+        rn = F.row_number().over(W.partitionBy("slug", "alias_pos").orderBy("n", "unit"))
+        keys = keys.join(often, "unit").withColumn("rn", rn).where("rn = 1").drop("rn", "n")
+        pairs = units.join(keys, "unit").join(notes.select("rel_path", folded), "rel_path")
+        hits = hits.unionByName(pairs.where(F.rlike(folded, bounded(F.array("alias")))).select("slug", "alias", "alias_pos", "rel_path"))
     return hits.groupBy("slug", "rel_path").agg(F.transform(F.array_sort(F.collect_list(F.struct("alias_pos", "alias"))), lambda x: x["alias"]).alias("aliases"))
 
 
+def bounded(aliases: Column) -> Column:
+    """A pattern for any of the (folded) aliases between word boundaries."""
+    quoted = F.transform(aliases, lambda a: F.concat(F.lit("\\Q"), F.replace(a, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    return F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+
+
 def unmatched_notes(notes: DataFrame, matches: DataFrame) -> DataFrame:
     return notes.join(matches.select("rel_path").distinct(), "rel_path", "left_anti")
 
@@ -69,7 +106,11 @@ def similar_numbered(notes: DataFrame, near: float = 0.99, review: float = 0.9)
     pairs = pairs.join(texts.select("vault", F.col("rel_path").alias("base"), F.col("body").alias("y")), ["vault", "base"])
     # equal texts need no Python
     same = pairs.where(F.col("x") == F.col("y")).select("vault", "copy", F.lit(1.0).alias("similarity"))
-    other = pairs.where(F.col("x") != F.col("y")).select("vault", "copy", X.similarity("y", "x").alias("similarity"))
+    other = pairs.where(F.col("x") != F.col("y")).withColumn("bound", X.similarity_bound(F.col("x"), F.col("y")))
+    # lengths alone may tell that two texts are different; then no measure is taken, and there is none to report
+    apart = other.where(F.col("bound") < review).select("vault", "copy", F.lit(None).cast("double").alias("similarity"))
+    other = other.where(F.col("bound") >= review).select("vault", "copy", X.similarity("y", "x").alias("similarity"))
+    other = other.unionByName(apart)
     tier = F.when(F.col("similarity") >= near, "near_dup").when(F.col("similarity") >= review, "review").otherwise("different")
     found = same.unionByName(other).withColumn("tier", tier)
     lost = orphan_copies(notes).select("vault", F.col("rel_path").alias("copy"), F.lit(None).cast("double").alias("similarity"), F.lit("orphan").alias("tier"))
@@ -115,11 +156,11 @@ def rewrite_links(notes: DataFrame, targets: DataFrame, text: str = "body") -> D
     return out.select("rel_path", whole.alias("body"), F.coalesce("resolved", F.lit(0)).alias("resolved"), F.coalesce("unresolved", F.lit(0)).alias("unresolved"))
 
 
-def relink_renamed(links: DataFrame, renames: DataFrame) -> DataFrame:
-    """``links (rel_path, target)`` with the new name of targets that ``renames (old, new)`` renames; ``.md`` is ignored."""
-    bare = links.withColumn("_bare", F.regexp_replace("target", r"\.md$", ""))
-    out = bare.join(renames, bare["_bare"] == renames["old"], "left")
-    return out.select("rel_path", "target", F.coalesce("new", "target").alias("new_target"), F.col("new").isNotNull().alias("changed"))
+def relink_renamed(links: DataFrame, renames: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``links (keys, rel_path, target)`` with the new name of targets that ``renames (keys, old, new)`` renames; ``.md`` is ignored."""
+    bare = links.withColumn("old", F.regexp_replace("target", r"\.md$", ""))
+    out = bare.join(renames, [*keys, "old"], "left")
+    return out.select(*keys, "rel_path", "target", F.coalesce("new", "target").alias("new_target"), F.col("new").isNotNull().alias("changed"))
 
 
 def orphan_parents(notes: DataFrame, up: str = "up") -> DataFrame:
@@ -160,31 +201,36 @@ def hub_for_type(df: DataFrame, hubs: DataFrame, default: str = "[[Personal]]")
     return df.join(hubs.select("type", "up"), "type", "left").withColumn("up", F.coalesce("up", F.lit(default)))
 
 
-def topic_freshness(topics: DataFrame, sets: DataFrame) -> DataFrame:
+def topic_freshness(topics: DataFrame, sets: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Number of sources, last synthesis, and whether the set's hash moved: true, false, or null where one is unknown."""
     out = topics.join(sets.select("slug", "n_sources", F.col("set_hash").alias("now_hash")), "slug", "left")
-    return out.select("slug", F.coalesce("n_sources", F.lit(0)).alias("n_sources"), "updated", (F.col("source_set_hash") != F.col("now_hash")).alias("hash_changed"))
+    return out.select(*keys, "slug", F.coalesce("n_sources", F.lit(0)).alias("n_sources"), "updated", (F.col("source_set_hash") != F.col("now_hash")).alias("hash_changed"))
 
 
 def desired_backlinks(matches: DataFrame) -> DataFrame:
     return matches.groupBy("rel_path").agg(F.array_sort(F.collect_set("slug")).alias("desired"))
 
 
-def reconcile_backlinks(notes: DataFrame, desired: DataFrame, slugs: DataFrame) -> DataFrame:
+def reconcile_backlinks(notes: DataFrame, desired: DataFrame, slugs: DataFrame, wiki: bool = False) -> DataFrame:
     """``notes (rel_path, topics)``: links by hand stay in place, managed ones become the desired set.
 
-    Result: rel_path, topics, removed, status (``updated`` or ``skipped``). ``slugs (slug)`` are the managed names.
+    Result: rel_path, topics, removed (managed links that are no longer there), status (``updated`` or ``skipped``).
+    ``slugs (slug)`` are the managed names. With ``wiki`` links are ``[[name]]``, and only such links are managed.
     """
     links = notes.select("rel_path", F.posexplode_outer("topics").alias("pos", "link"))
-    managed = slugs.select(F.col("slug").alias("link")).distinct().withColumn("managed", F.lit(True))
-    split = links.join(managed, "link", "left").groupBy("rel_path").agg(
+    links = links.withColumn("slug", X.slug_of_link(F.col("link")) if wiki else F.col("link"))
+    managed = slugs.select("slug").distinct().withColumn("managed", F.lit(True))
+    split = links.join(managed, "slug", "left").groupBy("rel_path").agg(
         F.transform(F.array_sort(F.collect_list(F.when(F.col("link").isNotNull() & F.col("managed").isNull(), F.struct("pos", "link")))), lambda x: x["link"]).alias("by_hand"),
-        F.array_sort(F.collect_set(F.when(F.col("managed"), F.col("link")))).alias("old"),
+        F.collect_list(F.when(F.col("managed"), F.col("link"))).alias("old"),
     )
     out = notes.join(split, "rel_path").join(desired, "rel_path", "left").withColumn("desired", F.coalesce("desired", F.array().cast("array<string>")))
+    if wiki:
+        out = out.withColumn("desired", F.transform("desired", lambda x: F.concat(F.lit("[["), x, F.lit("]]"))))
     new = F.concat("by_hand", F.array_except("desired", "by_hand"))
     before = F.coalesce("topics", F.array().cast("array<string>"))
-    return out.select("rel_path", new.alias("topics"), F.size(F.array_except("old", "desired")).alias("removed"), F.when(new == before, "skipped").otherwise("updated").alias("status"))
+    removed = F.size(F.filter("old", lambda x: ~F.array_contains(new, x)))
+    return out.select("rel_path", new.alias("topics"), removed.alias("removed"), F.when(new == before, "skipped").otherwise("updated").alias("status"))
 
 
 def anchor_edges(note_anchor: DataFrame) -> DataFrame:
@@ -197,14 +243,31 @@ def anchor_edges(note_anchor: DataFrame) -> DataFrame:
 def resolve_collisions(proposals: DataFrame, taken_slugs: DataFrame, taken_aliases: DataFrame) -> DataFrame:
     """``proposals (pos, slug, aliases)`` without taken slugs and aliases; of two proposals the earlier one wins.
 
-    Set-based: a proposal that loses its slug claims no alias. A proposal left without aliases is dropped.
+    As if taken one by one in the order of ``pos``: a proposal whose slug is taken, or whose aliases all are, is
+    rejected and takes nothing; else it takes its slug and its free aliases. Each round accepts all proposals that are
+    the first of what they ask for, and frees or closes what they have decided; rounds follow chains of conflicts only.
     """
-    free = proposals.where(F.coalesce("slug", F.lit("")) != "").join(taken_slugs.select("slug").distinct(), "slug", "left_anti")
-    free = free.withColumn("rn", F.row_number().over(W.partitionBy("slug").orderBy("pos"))).where(F.col("rn") == 1).drop("rn")
-    each = free.select("pos", "slug", F.posexplode("aliases").alias("alias_pos", "alias")).withColumn("key", F.lower("alias"))
-    each = each.join(taken_aliases.select(F.lower("alias").alias("key")).distinct(), "key", "left_anti")
-    each = each.withColumn("rn", F.row_number().over(W.partitionBy("key").orderBy("pos", "alias_pos"))).where(F.col("rn") == 1)
-    return each.groupBy("pos", "slug").agg(F.transform(F.array_sort(F.collect_list(F.struct("alias_pos", "alias"))), lambda x: x["alias"]).alias("aliases"))
+    scratch = Scratch(proposals.sparkSession, "collisions")
+    rows = proposals.where(F.coalesce("slug", F.lit("")) != "").select("pos", "slug", F.posexplode("aliases").alias("alias_pos", "alias"))
+    rows = scratch.write(rows.withColumn("key", X.casefold("alias")), "rows")
+    slugs, keys = taken_slugs.select("slug"), taken_aliases.select(X.casefold("alias").alias("key"))
+    accepted = None
+    while True:
+        rows = rows.join(slugs.distinct(), "slug", "left_anti").join(keys.distinct(), "key", "left_anti").select("pos", "slug", "alias_pos", "alias", "key")
+        rows = scratch.write(rows, "rows")
+        if rows.isEmpty():
+            break
+        first = rows.groupBy("slug").agg(F.min("pos").alias("by_slug"))
+        first_key = rows.groupBy("key").agg(F.min("pos").alias("by_key"))
+        ready = rows.join(first, "slug").join(first_key, "key").groupBy("pos").agg(F.bool_and((F.col("pos") == F.col("by_slug")) & (F.col("pos") == F.col("by_key"))).alias("ready"))
+        won = rows.join(ready.where("ready").select("pos"), "pos", "left_semi")
+        won = materialize(won, "collisions-won")
+        accepted = won if accepted is None else accepted.unionByName(won)
+        slugs, keys = won.select("slug"), won.select("key")
+    out = accepted if accepted is not None else rows
+    out = materialize(out.groupBy("pos", "slug").agg(F.transform(F.array_sort(F.collect_list(F.struct("alias_pos", "alias"))), lambda x: x["alias"]).alias("aliases")), "collisions")
+    scratch.close()
+    return out
 
 
 def pending_reviews(queue: DataFrame, notes: DataFrame, done: Column) -> tuple[DataFrame, DataFrame]:

@@ -147,6 +147,18 @@ def report_sections(lines: DataFrame, sections: list[str], default: str = "none"
     return frame.join(got, ["vault", "section"], "left").withColumn("text", F.coalesce("text", F.lit(default)))
 
 
+def topic_table(rows: DataFrame, default: str = "No topics registered yet.") -> DataFrame:
+    """``rows (slug, n_sources, updated, hash_changed)`` as the lines of a table, ``(pos, slug, line)``; without rows one
+    default line. Positions 0 and 1 are the head's; the others follow the names."""
+    changed = F.when(F.col("hash_changed"), "yes").when(~F.col("hash_changed"), "no")
+    body = rows.select(F.lit(2).alias("pos"), "slug", X.md_row(F.col("slug"), F.col("n_sources").cast("string"), F.col("updated"), changed).alias("line"))
+    some = rows.agg((F.count("*") > 0).alias("some"))
+    head = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(x).alias("line")) for i, x in enumerate(("| Topic | Sources | Last synthesis | Changed |", "|---|---:|---|---|"))])
+    none = F.array(F.struct(F.lit(0).alias("pos"), F.lit(default).alias("line")))
+    first = some.select(F.explode(F.when(F.col("some"), head).otherwise(none)).alias("x")).select("x.pos", F.lit("").alias("slug"), "x.line")
+    return first.unionByName(body)
+
+
 def rewrite_stats(rows: DataFrame) -> DataFrame:
     """``rows (changed, resolved, unresolved)``: totals of a rewriting job."""
     return rows.agg(F.count("*").alias("scanned"), F.count_if("changed").alias("changed"), F.coalesce(F.sum("resolved"), F.lit(0)).alias("converted"), F.coalesce(F.sum("unresolved"), F.lit(0)).alias("unresolved"))

@@ -7,15 +7,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from notegraph.functions import text as X
+from notegraph.operators.joins import bounded
+from notegraph.session import Scratch, materialize
 
 
-def first_quotes(notes: DataFrame, needle: str, k: int = 4, body: str = "body") -> DataFrame:
-    """The first k sentences of a note that contain ``needle`` (a column of lower-case text)."""
-    s = notes.select("rel_path", needle, F.posexplode(X.sentences(F.col(body))).alias("pos", "quote"))
-    hit = s.where(F.lower("quote").contains(F.col(needle)))
-    w = W.partitionBy("rel_path").orderBy("pos")
+def first_quotes(notes: DataFrame, aliases: str = "aliases", k: int = 4, body: str = "body", keys: tuple[str, ...] = ("rel_path",)) -> DataFrame:
+    """``(keys, quotes)``: the first k sentences of a note in which an alias stands between word boundaries.
+
+    Sentences and aliases (an array column) are folded for the comparison. Notes without a quote have no row.
+    """
+    s = notes.select(*keys, F.array_compact(aliases).alias("_aliases"), F.posexplode(X.sentences(F.col(body))).alias("pos", "quote"))
+    s = s.withColumn("_folded", X.fold("quote")).withColumn("_pattern", bounded(F.split(X.fold(F.array_join("_aliases", "\x01")), "\x01")))
+    hit = s.where((F.size("_aliases") > 0) & F.rlike("_folded", F.col("_pattern")))
+    w = W.partitionBy(*keys).orderBy("pos")
     top = hit.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-    return top.groupBy("rel_path").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "quote"))), lambda x: x["quote"]).alias("quotes"))
+    return top.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "quote"))), lambda x: x["quote"]).alias("quotes"))
 
 
 def rank_sources(sources: DataFrame, key: str = "slug") -> DataFrame:
@@ -24,13 +30,49 @@ def rank_sources(sources: DataFrame, key: str = "slug") -> DataFrame:
     return sources.withColumn("n", F.row_number().over(w)).withColumn("ref", F.concat(F.lit("B"), F.col("n").cast("string")))
 
 
-def unique_names(files: DataFrame, existing: DataFrame, first: int = 2, folder: str = "target", name: str = "stem") -> DataFrame:
-    """Collision-free names per folder: the first keeps its name, later ones get ``_2``, ``_3``... (or ``_1`` on with ``first=1``)."""
-    taken = existing.select(folder, name).distinct().withColumn("_taken", F.lit(1))
-    w = W.partitionBy(folder, name).orderBy("rel_path")
-    out = files.join(taken, [folder, name], "left")
-    k = F.row_number().over(w) - 1 + F.coalesce("_taken", F.lit(0))
-    return out.withColumn("_k", k).withColumn("new_name", F.when(F.col("_k") == 0, F.col(name)).otherwise(F.concat(name, F.lit("_"), (F.col("_k") + (first - 1)).cast("string")))).drop("_k", "_taken")
+def unique_names(files: DataFrame, existing: DataFrame, first: int = 2, folder: str = "target", name: str = "stem", order: str = "rel_path") -> DataFrame:
+    """Adds ``new_name``, free in its folder: the name itself, else with ``_2``, ``_3``... (``_1`` on with ``first=1``).
+
+    As if the files were named one by one by ``order`` (unique in a folder), each taking the first name that neither
+    ``existing`` nor an earlier file has. Files of one name take the free names in turn at once; where two names meet
+    (``a`` numbered ``_2`` and a file called ``a_2``), the later file's group passes that name over, round by round.
+    """
+    scratch = Scratch(files.sparkSession, "names")
+    w = W.partitionBy(folder, name).orderBy(order)
+    ranked = scratch.write(files.select(folder, name, order, (F.row_number().over(w) - 1).alias("rank")), "ranked")
+    base = F.regexp_extract("taken", r"(?s)^(.*)_[1-9]\d{0,8}$", 1)
+    number = F.regexp_extract("taken", r"_([1-9]\d{0,8})$", 1)
+
+    def blocks(taken: DataFrame) -> DataFrame:
+        """``taken (folder, taken, since)`` with the groups that a name stands in the way of, and at which of their names."""
+        own = taken.select(folder, "taken", F.col("taken").alias(name), F.lit(0).alias("k"), "since")
+        numbered = taken.where(F.col("taken").rlike(r"_[1-9]\d{0,8}$")).select(folder, "taken", base.alias(name), (number.cast("int") - first + 1).alias("k"), "since").where("k >= 1")
+        return own.unionByName(numbered)
+
+    known = blocks(existing.select(folder, F.col(name).alias("taken"), F.lit(None).cast(dict(files.dtypes)[order]).alias("since")).distinct())
+    known = scratch.write(known.join(ranked.select(folder, name).distinct(), [folder, name], "left_semi"), "blocks")
+    while True:
+        # a name is passed over if it was gone when the group came to it: those before ``since`` might still have had it
+        earlier = known.where("since is not null").join(ranked, [folder, name]).groupBy(folder, name, "k", "since").agg(F.count_if(F.col(order) < F.col("since")).alias("from"))
+        each = known.where("since is null").select(folder, name, "k", F.lit(0).cast("long").alias("from")).unionByName(earlier.drop("since"))
+        each = each.groupBy(folder, name, "k").agg(F.min("from").alias("from")).groupBy(folder, name).agg(F.array_sort(F.collect_list(F.struct("k", "from"))).alias("_b"))
+        none = F.array().cast("array<int>")
+        gone = F.aggregate("_b", none, lambda acc, b: F.when(b["k"] - F.size(acc) >= b["from"], F.array_append(acc, b["k"])).otherwise(acc))
+        # the rank-th name that is not gone: as many are passed over as are gone below it
+        skip = lambda g: F.size(F.filter(F.transform(g, lambda x, i: x - i), lambda x: x <= F.col("rank")))
+        k = F.col("rank") + F.when(F.col("_b").isNull(), 0).otherwise(skip(F.col("_gone")))
+        named = ranked.join(each, [folder, name], "left").withColumn("_gone", gone).withColumn("_k", k)
+        new = F.when(F.col("_k") == 0, F.col(name)).otherwise(F.concat(name, F.lit("_"), (F.col("_k") + (first - 1)).cast("string")))
+        named = scratch.write(named.select(folder, name, order, new.alias("new_name")), "named")
+        twice = named.groupBy(folder, F.col("new_name").alias("taken")).agg(F.min(order).alias("since"), F.count("*").alias("n")).where("n > 1").drop("n")
+        losers = named.withColumnRenamed("new_name", "taken").join(twice, [folder, "taken"]).where(F.col(order) > F.col("since")).select(folder, name, "taken").distinct()
+        more = scratch.write(blocks(twice).join(losers, [folder, name, "taken"], "left_semi"), "more")
+        if more.isEmpty():
+            break
+        known = scratch.write(known.unionByName(more).distinct(), "blocks")
+    named = materialize(named, "names")
+    scratch.close()
+    return files.join(named, [folder, name, order])
 
 
 def claim_first(renames: DataFrame, target: str = "new", order: str = "old") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from notegraph.operators import aggregates as A
 from notegraph.operators import clusters as C
 from notegraph.operators import filters as P
 from notegraph.operators import joins as J
+from notegraph.operators import sets as S
 from notegraph.operators import windows as N
 from notegraph.sources.notes import NOTES_SQL, allowed, notes_from_documents
 
@@ -46,8 +48,23 @@ def notes(spark, sf):
     return notes_from_documents(table(spark, sf, "documents"))
 
 
-def sql_sum(words: dict[str, float]) -> str:
-    return " + ".join(f"CASE WHEN contains(lower(body), '{w}') THEN {x} ELSE 0.0 END" for w, x in words.items())
+def sql_sum(words: dict[str, float], text: str = "body") -> str:
+    return " + ".join(f"CASE WHEN contains(lower({text}), '{w}') THEN {x} ELSE 0.0 END" for w, x in words.items())
+
+
+def fold_sql(x: str) -> str:
+    """`fold` for texts whose letters beyond ASCII are those of Latin-1."""
+    out = f"replace(lower({x}), 'ß', 'ss')"
+    for mark in "’‘‛`":
+        out = f"replace({out}, '{mark}', chr(39))"
+    for c in map(chr, range(0xE0, 0x100)):
+        if (d := unicodedata.normalize("NFKD", c)) != c:
+            out = f"replace({out}, '{c}', '{d}')"
+    return out
+
+
+#: Sentences of a body as a list, in DuckDB.
+SENTENCES_SQL = r"list_filter(list_transform(regexp_extract_all(trim(regexp_replace(body, '[ \t\n\r\v\f]+', ' ', 'g')), '[^.!?]+(?:[.!?]|$)'), lambda s: trim(s)), lambda s: s <> '')"
 
 
 # --- sources
@@ -113,26 +130,27 @@ def a12(spark, sf):
 
 
 @query("a17_upsert_lines", on_notes("""
-SELECT stem AS slug, CASE WHEN doc_id % 3 = 0 THEN 'new ' || title ELSE title END AS line FROM notes
+SELECT stem AS slug, CASE WHEN doc_id % 6 = 0 THEN 'a newer ' || title WHEN doc_id % 3 = 0 THEN 'new ' || title ELSE title END AS line FROM notes
 UNION ALL SELECT 'x' || CAST(item_id AS VARCHAR), text FROM benchmark"""))
 def a17(spark, sf):
     from notegraph.sources.sinks import upsert_lines
 
     n = notes(spark, sf)
     index = n.select(F.col("stem").alias("slug"), F.col("title").alias("line"))
-    new = n.where(F.col("doc_id") % 3 == 0).select(F.col("stem").alias("slug"), F.concat(F.lit("new "), "title").alias("line"))
-    more = table(spark, sf, "benchmark").select(F.concat(F.lit("x"), F.col("item_id").cast("string")).alias("slug"), F.col("text").alias("line"))
-    return upsert_lines(index, new.unionByName(more))
+    update = lambda k, at, word: n.where(F.col("doc_id") % k == 0).select(F.col("stem").alias("slug"), F.concat(F.lit(word), "title").alias("line"), F.lit(at).alias("at"))
+    more = table(spark, sf, "benchmark").select(F.concat(F.lit("x"), F.col("item_id").cast("string")).alias("slug"), F.col("text").alias("line"), F.lit(0).alias("at"))
+    return upsert_lines(index, update(3, 1, "new ").unionByName(update(6, 2, "a newer ")).unionByName(more), order="at")
 
 
 @query("a19_insert_if_absent", """
-WITH p AS (SELECT lower(p_brand) AS raw, count(*) AS n FROM part GROUP BY 1)
-SELECT raw AS slug, CASE WHEN NOT regexp_full_match(raw, '[a-z0-9-]+') THEN 'unsafe' WHEN n % 2 = 0 THEN 'skipped' ELSE 'created' END AS outcome FROM p""")
+WITH p AS (SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN lower(p_brand) ELSE replace(lower(p_brand), '#', '-') END AS slug FROM part), x AS (SELECT slug FROM p GROUP BY 1 HAVING count(*) % 2 = 0)
+SELECT p_partkey, slug, CASE WHEN NOT regexp_full_match(slug, '[a-z0-9-]+') THEN 'unsafe' WHEN slug IN (SELECT slug FROM x) OR row_number() OVER (PARTITION BY slug ORDER BY p_partkey) > 1 THEN 'skipped' ELSE 'created' END AS outcome FROM p""")
 def a19(spark, sf):
     from notegraph.sources.sinks import insert_plan
 
-    p = table(spark, sf, "part").groupBy(F.lower("p_brand").alias("slug")).agg(F.count("*").alias("n"))
-    return insert_plan(p.select("slug"), p.where(F.col("n") % 2 == 0).select("slug"))
+    brand = F.lower("p_brand")
+    p = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 5 == 0, brand).otherwise(F.replace(brand, F.lit("#"), F.lit("-"))).alias("slug"))
+    return insert_plan(p, p.groupBy("slug").count().where(F.col("count") % 2 == 0), order="p_partkey")
 
 
 @query("a14_merge_fields", on_notes("""
@@ -194,7 +212,7 @@ def b8(spark, sf):
     n = notes(spark, sf)
     updated = F.when(F.col("doc_id") % 3 == 0, "2024-03-05").otherwise("soon")
     created = F.when(F.col("doc_id") % 3 == 1, "2024-02-01T10:30:00")
-    t = F.coalesce(F.try_to_timestamp(updated), F.try_to_timestamp(created)).cast("timestamp_ntz")
+    t = X.note_time(updated, created).cast("timestamp_ntz")
     return n.select("rel_path", F.coalesce(t, "mtime").alias("t"))
 
 
@@ -310,13 +328,15 @@ def k1(spark, sf):
 
 
 @query("d5_classify_binary", on_notes(f"""
-, s AS (SELECT rel_path, {sql_sum(WORK)} AS w, {sql_sum(PERSONAL)} AS p FROM notes)
-SELECT rel_path, CASE WHEN w > p THEN 'Work' WHEN p > w THEN 'Personal' ELSE 'Uncertain' END AS predicted,
- CASE WHEN w = p THEN 0.0 ELSE least(1.0, abs(w - p) / 5.0) END AS confidence FROM s"""))
+, t AS (SELECT rel_path, CASE WHEN doc_id % 4 = 0 THEN 'Version of an idiot' ELSE title END || ' ' || body AS t FROM notes),
+s AS (SELECT rel_path, {sql_sum(WORK, 't')} AS w, {sql_sum(PERSONAL, 't')} AS p FROM t)
+SELECT rel_path, CASE WHEN w + p = 0 THEN 'Uncertain' WHEN w > p THEN 'Work' ELSE 'Personal' END AS predicted,
+ CASE WHEN w + p = 0 THEN 0.0 ELSE round(least(1.0, abs(w / (w + p) - 0.5) * 2), 9) END AS confidence FROM s"""))
 def d5(spark, sf):
     from notegraph.plans.pipelines import classify_binary
 
-    return classify_binary(notes(spark, sf), WORK, PERSONAL).select("rel_path", "predicted", "confidence")
+    n = notes(spark, sf).withColumn("title", F.when(F.col("doc_id") % 4 == 0, "Version of an idiot").otherwise(F.col("title")))
+    return classify_binary(n, WORK, PERSONAL).select("rel_path", "predicted", F.round("confidence", 9).alias("confidence"))
 
 
 @query("f6_first_rule", on_notes("""
@@ -335,12 +355,11 @@ def h4(spark, sf):
     return notes(spark, sf).select("rel_path", X.slugify_plain(F.col("title")).alias("slug"))
 
 
-@query("h5_sentences", on_notes("""
-SELECT rel_path, CAST(count(s) AS BIGINT) AS n_sentences, sha256(coalesce(string_agg(s, chr(10) ORDER BY i), '')) AS digest FROM (
- SELECT rel_path, generate_subscripts(l, 1) AS i, trim(unnest(l)) AS s FROM (SELECT rel_path, regexp_extract_all(trim(regexp_replace(body, '[ \\t\\n\\r\\v\\f]+', ' ', 'g')), '[^.!?]+[.!?]*') AS l FROM notes)
- ) WHERE s <> '' GROUP BY rel_path UNION ALL SELECT rel_path, 0, sha256('') FROM notes WHERE NOT regexp_matches(body, '[^.!?\\s]')"""))
+@query("h5_sentences", on_notes(f"""
+, s AS (SELECT rel_path, {SENTENCES_SQL} AS l FROM (SELECT rel_path, body || '.. And so? Wait...' AS body FROM notes))
+SELECT rel_path, len(l) AS n_sentences, sha256(array_to_string(l, chr(10))) AS digest FROM s"""))
 def h5(spark, sf):
-    n = notes(spark, sf).select("rel_path", X.sentences(F.col("body")).alias("s"))
+    n = notes(spark, sf).select("rel_path", X.sentences(F.concat("body", F.lit(".. And so? Wait..."))).alias("s"))
     return n.select("rel_path", F.size("s").cast("long").alias("n_sentences"), F.sha2(F.array_join("s", "\n"), 256).alias("digest"))
 
 
@@ -414,13 +433,13 @@ def h35(spark, sf):
 
 
 @query("h36_signature", """
-SELECT p_brand, 'sig:' || left(sha256(string_agg(DISTINCT p_type, chr(31) ORDER BY p_type) || chr(31) || p_brand), 16) AS signature FROM part GROUP BY p_brand""")
+SELECT p_brand, 'sig:' || left(sha256(string_agg(DISTINCT p_type, chr(0) ORDER BY p_type) || chr(0) || p_brand), 16) AS signature FROM part GROUP BY p_brand""")
 def h36(spark, sf):
     g = table(spark, sf, "part").groupBy("p_brand").agg(F.collect_set("p_type").alias("m"))
     return g.select("p_brand", X.cluster_signature(F.col("m"), F.col("p_brand")).alias("signature"))
 
 
-@query("h1_fold")
+@query("h1_fold", on_notes(f"SELECT rel_path, {fold_sql('title')} AS folded FROM notes"))
 def h1(spark, sf):
     return notes(spark, sf).select("rel_path", X.fold(F.col("title")).alias("folded"))
 
@@ -429,18 +448,39 @@ def h1(spark, sf):
 
 
 def alias_table(spark, sf):
-    """Two topics' aliases from the benchmark's first words: (slug, alias, alias_pos)."""
-    words = F.slice(F.split(F.trim(F.regexp_replace(F.lower("text"), "[^a-z]+", " ")), " "), 1, 2)
-    b = table(spark, sf, "benchmark").select(F.concat(F.lit("t"), F.col("item_id").cast("string")).alias("slug"), words.alias("w"))
-    return b.select("slug", F.array_join("w", " ").alias("alias"), F.lit(0).alias("alias_pos")).where("alias <> ''")
+    """A topic per benchmark item, its whole text as aliases of three words each: (slug, alias, alias_pos).
+
+    The last alias begins three words before the end, so each word is in one.
+    """
+    b = table(spark, sf, "benchmark").select("item_id", F.split(F.regexp_replace(X.fold("text"), r"[ \t\n\r\x0B\f]+", " "), " ").alias("w"))
+    starts = F.transform(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 3).cast("int")), lambda i: F.greatest(F.lit(0), F.least(3 * i, F.size("w") - 3)))
+    b = b.select("item_id", "w", F.posexplode(starts).alias("alias_pos", "at"))
+    alias = F.regexp_replace(F.array_join(F.slice("w", F.col("at") + 1, 3), " "), r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$", "")
+    return b.select(F.concat(F.lit("t"), F.col("item_id").cast("string")).alias("slug"), alias.alias("alias"), "alias_pos").where("alias <> ''")
+
+
+def mark_sql(x: str) -> str:
+    """A text with a mark before and behind each word, so that it contains only whole words of another."""
+    return f"regexp_replace({x}, '([\\p{{L}}\\p{{N}}_]+)', chr(1) || '\\1' || chr(2), 'g')"
+
+
+#: The same in DuckDB, and which notes have which alias: ``m (slug, rel_path, alias_pos, alias)``.
+ALIAS_SQL = f"""bw AS (SELECT item_id, string_split(regexp_replace({fold_sql('text')}, '[ \\t\\n\\r\\v\\f]+', ' ', 'g'), ' ') AS w FROM benchmark),
+bs AS (SELECT item_id, w, unnest(range(0, (len(w) - 1) // 3 + 1)) AS alias_pos FROM bw),
+ba AS (SELECT item_id, alias_pos, regexp_replace(array_to_string(list_slice(w, greatest(0, least(3 * alias_pos, len(w) - 3)) + 1, greatest(0, least(3 * alias_pos, len(w) - 3)) + 3), ' '), '^[^\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]+$', '', 'g') AS alias FROM bs),
+t AS MATERIALIZED (SELECT 't' || item_id AS slug, alias, alias_pos, {mark_sql('alias')} AS marked_alias FROM ba WHERE alias <> ''),
+marked AS MATERIALIZED (SELECT rel_path, {mark_sql(fold_sql("file_name || chr(10) || body"))} AS marked FROM notes),
+m AS MATERIALIZED (SELECT DISTINCT slug, rel_path, alias_pos, alias FROM marked JOIN t ON contains(marked, marked_alias))"""
+
+
+def folded_notes(spark, sf):
+    return notes(spark, sf).withColumn("folded", X.fold(F.concat_ws("\n", "file_name", "body")))
 
 
-@query("c1_match_topics", on_notes("""
-, t AS (SELECT 't' || item_id AS slug, array_to_string(list_slice(string_split(trim(regexp_replace(lower(text), '[^a-z]+', ' ', 'g')), ' '), 1, 2), ' ') AS alias FROM benchmark)
-SELECT slug, count(*) AS n, min(rel_path) AS first_path FROM notes JOIN t ON alias <> '' AND contains(lower(body), alias) AND regexp_matches(lower(body), '(^|[^\\p{L}\\p{N}_])' || alias || '($|[^\\p{L}\\p{N}_])') GROUP BY slug"""))
+@query("c1_match_topics", on_notes(f"""
+, {ALIAS_SQL} SELECT slug, rel_path, list(alias ORDER BY alias_pos) AS aliases FROM m GROUP BY 1, 2"""))
 def c1(spark, sf):
-    m = J.match_topics(notes(spark, sf).select("rel_path", F.lower("body").alias("folded")), alias_table(spark, sf))
-    return m.groupBy("slug").agg(F.count("*").alias("n"), F.min("rel_path").alias("first_path"))
+    return J.match_topics(folded_notes(spark, sf), alias_table(spark, sf))
 
 
 def copies(spark, sf):
@@ -602,14 +642,17 @@ def c21(spark, sf):
     return J.pending_reviews(n.select(F.col("rel_path").alias("path"), "lang"), n, F.col("quality").isNotNull())[0]
 
 
+# one proposal after the other, with what is taken so far
 @query("c19_resolve_collisions", """
-WITH p AS (SELECT p_partkey AS pos, lower(p_brand) AS slug, p_type AS alias FROM part),
-f AS (SELECT * FROM p WHERE slug <> 'brand#11' QUALIFY row_number() OVER (PARTITION BY slug ORDER BY pos) = 1),
-e AS (SELECT * FROM f WHERE lower(alias) <> 'economy' QUALIFY row_number() OVER (PARTITION BY lower(alias) ORDER BY pos) = 1)
-SELECT pos, slug, [alias] AS aliases FROM e""")
+WITH RECURSIVE p AS (SELECT row_number() OVER (ORDER BY p_partkey) AS i, p_partkey AS pos, lower(p_brand) || p_size % 7 AS slug, [p_type, 'SIZE ' || p_size] AS aliases FROM part),
+g AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS pos, '' AS slug, CAST([] AS VARCHAR[]) AS won, ['brand#111'] AS slugs, ['size 7'] AS keys
+ UNION ALL SELECT i, pos, slug, won, CASE WHEN len(won) > 0 THEN list_append(slugs, slug) ELSE slugs END, list_concat(keys, list_transform(won, lambda a: lower(a)))
+ FROM (SELECT p.i, p.pos, p.slug, g.slugs, g.keys, CASE WHEN list_contains(g.slugs, p.slug) THEN CAST([] AS VARCHAR[]) ELSE list_filter(p.aliases, lambda a: NOT list_contains(g.keys, lower(a))) END AS won FROM g JOIN p ON p.i = g.i + 1))
+SELECT pos, slug, won AS aliases FROM g WHERE len(won) > 0""")
 def c19(spark, sf):
-    p = table(spark, sf, "part").select(F.col("p_partkey").alias("pos"), F.lower("p_brand").alias("slug"), F.array("p_type").alias("aliases"))
-    return J.resolve_collisions(p, spark.createDataFrame([("brand#11",)], "slug string"), spark.createDataFrame([("economy",)], "alias string"))
+    slug = F.concat(F.lower("p_brand"), (F.col("p_size") % 7).cast("string"))
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("pos"), slug.alias("slug"), F.array("p_type", F.concat(F.lit("SIZE "), F.col("p_size").cast("string"))).alias("aliases"))
+    return J.resolve_collisions(p, spark.createDataFrame([("brand#111",)], "slug string"), spark.createDataFrame([("Size 7",)], "alias string"))
 
 
 # --- aggregations, windows, sets
@@ -648,13 +691,21 @@ def d9(spark, sf):
     return C.components(order_graph(spark, sf))
 
 
-@query("d12_cluster_notes")
+# every note has one anchor, so a cluster is all notes of an anchor
+@query("d12_cluster_notes", """
+WITH p AS (SELECT p_partkey AS node, 'tag:' || p_brand || '/' || p_size AS anchor, list_distinct(regexp_extract_all(lower(p_name || ' ' || p_type), '[a-z0-9]{3,}')) AS tokens FROM part),
+t AS (SELECT node, unnest(tokens) AS token FROM p), w AS (SELECT token, ln(((SELECT count(*) FROM p) + 1) / (count(*) + 1)) + 1 AS idf FROM t GROUP BY 1),
+g AS (SELECT anchor, min(node) AS cluster, count(*) AS n, 'sig:' || left(sha256(string_agg(CAST(node AS VARCHAR), chr(0) ORDER BY CAST(node AS VARCHAR)) || chr(0) || anchor), 16) AS signature FROM p GROUP BY 1 HAVING count(*) >= 3),
+x AS (SELECT a.anchor, a.node AS a, b.node AS b, (SELECT sum(idf) FROM w WHERE list_contains(a.tokens, w.token) AND list_contains(b.tokens, w.token)) AS i, (SELECT sum(idf) FROM w WHERE list_contains(a.tokens, w.token) OR list_contains(b.tokens, w.token)) AS u FROM p a JOIN p b ON a.anchor = b.anchor AND a.node < b.node),
+c AS (SELECT anchor, avg(coalesce(i, 0) / u) AS cohesion FROM x GROUP BY 1)
+SELECT cluster, n, [anchor] AS anchors, anchor AS dominant_anchor, 1.0 AS dominant_share, 1.0 AS anchor_density, round(cohesion, 6) AS cohesion, signature,
+ round(pow(0.1 + 0.9 * cohesion, 0.35) * pow(0.1 + 0.9 * least(1.0, ln(n) / ln(6)), 0.25), 6) AS confidence, CASE WHEN pow(0.1 + 0.9 * cohesion, 0.35) * pow(0.1 + 0.9 * least(1.0, ln(n) / ln(6)), 0.25) >= 0.35 THEN 'propose' ELSE 'ledger' END AS route FROM g JOIN c USING (anchor)""")
 def d12(spark, sf):
-    """Parts as notes: brand and type as anchors, the name's words as tokens."""
+    """Parts as notes: brand and size as anchor, the words of name and type as tokens."""
     p = table(spark, sf, "part")
-    a = C.anchors(F.array().cast("array<string>"), F.array(F.concat("p_brand", F.lit("/"), "p_type", F.lit("/"), F.col("p_size").cast("string"))), F.lit(None).cast("string"), [], [])
+    a = C.anchors(F.array().cast("array<string>"), F.array(F.concat_ws("/", "p_brand", F.col("p_size").cast("string"))), F.lit(None).cast("string"), [], [])
     refs = p.select(F.col("p_partkey").alias("node"), a.alias("anchors"), X.tokens(F.concat_ws(" ", "p_name", "p_type")).alias("tokens"))
-    return C.cluster_notes(refs)
+    return C.cluster_notes(refs).withColumns({c: F.round(c, 6) for c in ("cohesion", "confidence")})
 
 
 @query("d13_dedup_by_body", on_notes("""
@@ -666,10 +717,12 @@ def d13(spark, sf):
 
 @query("d14_set_hash", on_notes("""
 , l AS (SELECT vault, sha256(rel_path || chr(0) || sha256(body)) AS l FROM notes),
-p AS (SELECT vault, left(l, 2) AS p, count(*) AS n, sha256(string_agg(l, chr(10) ORDER BY l)) AS d FROM l GROUP BY 1, 2)
-SELECT vault, CAST(sum(n) AS BIGINT) AS n_sources, sha256(string_agg(d, chr(10) ORDER BY p)) AS set_hash FROM p GROUP BY vault"""))
+p AS (SELECT vault, left(l, 2) AS p, count(*) AS n, sha256(string_agg(l, chr(10) ORDER BY l)) AS d FROM l GROUP BY 1, 2),
+t AS (SELECT vault, sha256(string_agg(d, chr(10) ORDER BY p)) AS tree_hash FROM p GROUP BY vault)
+SELECT vault, count(*) AS n_sources, 'sha256:' || sha256(string_agg(rel_path || chr(0) || sha256(body) || chr(10), '' ORDER BY rel_path)) AS set_hash, any_value(tree_hash) AS tree_hash FROM notes JOIN t USING (vault) GROUP BY vault"""))
 def d14(spark, sf):
-    return A.source_set_hash(notes(spark, sf).withColumn("body_sha", F.sha2("body", 256)), ["vault"])
+    n = notes(spark, sf).withColumn("body_sha", F.sha2("body", 256))
+    return A.source_set_hash(n, ["vault"]).join(A.source_tree_hash(n, ["vault"]).select("vault", F.col("set_hash").alias("tree_hash")), "vault")
 
 
 @query("d15_source_quality", """
@@ -707,11 +760,13 @@ def d19(spark, sf):
 
 
 @query("d21_health", f"""
-WITH {METRICS_SQL} SELECT vault, CAST(round_even(greatest(0.0, least(100.0, 20.0 + 35.0 * ratio + greatest(0.0, 15.0 - orphans / 10) + 10.0 + greatest(0.0, 10.0 - unclassified / 50) + 10.0)), 0) AS INTEGER) AS score FROM m""")
+WITH {METRICS_SQL} SELECT vault, CAST(round_even(CASE WHEN total % 2 = 0 THEN 20.0 ELSE 0.0 END + 35.0 * greatest(0.0, least(1.0, ratio)) + CASE WHEN orphans % 2 = 0 THEN 15.0 ELSE 0.0 END + CASE WHEN unclassified % 3 = 0 THEN 10.0 ELSE 0.0 END
+ + CASE WHEN classified % 3 = 0 THEN 10.0 ELSE 0.0 END + CASE WHEN total % 3 = 0 THEN 10.0 ELSE 0.0 END, 0) AS INTEGER) AS score FROM m""")
 def d21(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").withColumn("vault", F.col("lang"))
     m = A.vault_metrics(d, F.col("quality").isNotNull(), F.coalesce(F.col("toxic") == 1, F.lit(False)))
-    return m.select("vault", A.health_score(F.col("ratio"), F.col("orphans") / 10, F.lit(0), F.col("unclassified") / 50, F.lit(0), F.lit(True)).alias("score"))
+    rest = lambda c, k: F.col(c) % k  # noqa: E731  whole numbers that are zero for some vaults
+    return m.select("vault", A.health_score(F.col("ratio"), rest("orphans", 2), rest("unclassified", 3), rest("classified", 3), rest("total", 3), rest("total", 2) == 0).alias("score"))
 
 
 @query("d22_audit", """
@@ -734,12 +789,12 @@ def e10(spark, sf):
     return N.progress(r)
 
 
-@query("e2_first_quotes", on_notes("""
-, s AS (SELECT rel_path, vault, generate_subscripts(l, 1) AS i, trim(unnest(l)) AS q FROM (SELECT rel_path, vault, regexp_extract_all(trim(regexp_replace(body, '[ \\t\\n\\r\\v\\f]+', ' ', 'g')), '[^.!?]+[.!?]*') AS l FROM notes)),
-k AS (SELECT *, row_number() OVER (PARTITION BY rel_path ORDER BY i) AS rn FROM s WHERE contains(lower(q), vault))
+@query("e2_first_quotes", on_notes(f"""
+, s AS (SELECT rel_path, vault, generate_subscripts(l, 1) AS i, unnest(l) AS q FROM (SELECT rel_path, vault, {SENTENCES_SQL} AS l FROM notes)),
+k AS (SELECT *, row_number() OVER (PARTITION BY rel_path ORDER BY i) AS rn FROM s WHERE regexp_matches({fold_sql('q')}, '(^|[^\\p{{L}}\\p{{N}}_])(en|la\\.|{unicodedata.normalize("NFKD", "ción")})($|[^\\p{{L}}\\p{{N}}_])'))
 SELECT rel_path, list(q ORDER BY i) AS quotes FROM k WHERE rn <= 4 GROUP BY rel_path"""))
 def e2(spark, sf):
-    return N.first_quotes(notes(spark, sf), "vault")
+    return N.first_quotes(notes(spark, sf).withColumn("aliases", F.array(F.lit("en"), F.lit("La."), F.lit("CIÓN"))))
 
 
 @query("e3_rank_sources", """
@@ -749,12 +804,19 @@ def e3(spark, sf):
     return N.rank_sources(s).select("o_orderkey", F.col("n").cast("long").alias("n"))
 
 
+# one file after the other, with the names that its folder has so far
 @query("e4_unique_names", on_notes("""
-, k AS (SELECT rel_path, vault AS target, folder AS stem, row_number() OVER (PARTITION BY vault, folder ORDER BY rel_path) - 1 + CASE WHEN folder = 'src1' THEN 1 ELSE 0 END AS k FROM notes)
-SELECT rel_path, CASE WHEN k = 0 THEN stem ELSE stem || '_' || (k + 1) END AS new_name FROM k"""))
+, f AS (SELECT vault, rel_path, folder || CASE doc_id % 7 WHEN 3 THEN '_2' WHEN 5 THEN '_2_2' ELSE '' END AS stem, row_number() OVER (PARTITION BY vault ORDER BY rel_path) AS i, count(*) OVER (PARTITION BY vault) AS n FROM notes),
+g AS (SELECT DISTINCT vault, CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS rel_path, CAST(NULL AS VARCHAR) AS new_name, ['src1', 'src1_3', 'src2_2'] AS names FROM f
+ UNION ALL SELECT vault, i, rel_path, new_name, list_append(names, new_name) FROM (
+  SELECT f.vault, f.i, f.rel_path, g.names, list_filter(list_transform(range(0, f.n + 4), lambda k: CASE WHEN k = 0 THEN f.stem ELSE f.stem || '_' || (k + 1) END), lambda x: NOT list_contains(g.names, x))[1] AS new_name FROM g JOIN f ON f.vault = g.vault AND f.i = g.i + 1))
+SELECT rel_path, new_name FROM g WHERE i > 0""").replace("WITH notes", "WITH RECURSIVE notes", 1))
 def e4(spark, sf):
-    n = notes(spark, sf).select("rel_path", F.col("vault").alias("target"), F.col("folder").alias("stem"))
-    return N.unique_names(n, n.where("stem = 'src1'").select("target", "stem")).select("rel_path", "new_name")
+    k = F.col("doc_id") % 7
+    stem = F.concat("folder", F.when(k == 3, "_2").when(k == 5, "_2_2").otherwise(""))
+    n = notes(spark, sf).select("rel_path", F.col("vault").alias("target"), stem.alias("stem"))
+    have = n.select("target", F.explode(F.array(*map(F.lit, ("src1", "src1_3", "src2_2")))).alias("stem")).distinct()
+    return N.unique_names(n, have).select("rel_path", "new_name")
 
 
 @query("e5_claim_first", on_notes("SELECT stem AS old, title AS new, CASE WHEN row_number() OVER (PARTITION BY title ORDER BY stem) = 1 THEN 'renamed' ELSE 'collision' END AS status FROM notes"))
@@ -801,32 +863,35 @@ WITH s AS (SELECT l_orderkey, list(DISTINCT l_returnflag) AS a, list(DISTINCT l_
 SELECT l_orderkey, list_sort(list_filter(a, lambda x: NOT list_contains(b, x))) AS gone, list_sort(list_distinct(list_concat(a, b))) AS anchors FROM s""")
 def g3(spark, sf):
     s = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_returnflag").alias("a"), F.collect_set("l_linestatus").alias("b"))
-    return s.select("l_orderkey", F.array_sort(F.array_except("a", "b")).alias("gone"), F.array_sort(F.array_union("a", "b")).alias("anchors"))
+    return s.select("l_orderkey", S.difference(F.col("a"), F.col("b")).alias("gone"), S.merged(F.col("a"), F.col("b")).alias("anchors"))
 
 
 @query("i3_ledger_step", """
 WITH s AS (SELECT event_type || '-' || (user_id % 50) AS key, count(*) AS n, max(ts) AS last_seen FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1),
 t AS (SELECT event_type || '-' || (user_id % 50) AS key, count(*) AS n, max(ts) AS last_seen FROM events WHERE ts >= TIMESTAMP '2024-01-20' GROUP BY 1),
-m AS (SELECT coalesce(s.key, t.key) AS key, coalesce(0.05 * s.n * pow(0.5, greatest(date_diff('day', CAST(s.last_seen AS DATE), DATE '2024-01-30'), 0) / 30.0), 0.0) + coalesce(0.05 * t.n, 0.0) AS e, coalesce(s.n, 0) + coalesce(t.n, 0) AS seen FROM s FULL JOIN t ON s.key = t.key)
-SELECT key, round(e, 6) AS evidence, seen, e >= 1.0 AS promoted FROM m WHERE e >= 0.1""")
+m AS (SELECT coalesce(s.key, t.key) AS key, s.key IS NOT NULL AND s.n % 4 = 1 AS was, coalesce(0.05 * s.n * pow(0.5, greatest(epoch(TIMESTAMP '2024-01-30') - epoch(s.last_seen), 0) / 86400 / 30.0), 0.0) + coalesce(0.05 * t.n, 0.0) AS e, coalesce(s.n, 0) + coalesce(t.n, 0) AS seen FROM s FULL JOIN t ON s.key = t.key)
+SELECT key, round(e, 6) AS evidence, seen, was OR e >= 1.0 AS promoted, NOT was AND e >= 1.0 AS newly FROM m WHERE was OR e >= 0.1""")
 def i3(spark, sf):
     from notegraph.streaming.ledger import ledger_step
 
     e = table(spark, sf, "events").withColumn("key", F.concat("event_type", F.lit("-"), (F.col("user_id") % 50).cast("string")))
     cut = F.lit("2024-01-20 00:00:00").cast("timestamp")
     agg = lambda d: d.groupBy("key").agg((F.count("*") * 0.05).alias("evidence"), F.count("*").alias("seen"), F.max("ts").alias("last_seen"))
-    state = agg(e.where(F.col("ts") < cut)).withColumn("promoted", F.lit(False))
+    state = agg(e.where(F.col("ts") < cut)).withColumn("promoted", F.col("seen") % 4 == 1)
     out = ledger_step(state, agg(e.where(F.col("ts") >= cut)), F.lit("2024-01-30 00:00:00").cast("timestamp"))
-    return out.select("key", F.round("evidence", 6).alias("evidence"), "seen", "promoted")
+    return out.select("key", F.round("evidence", 6).alias("evidence"), "seen", "promoted", "newly")
 
 
-@query("k4_collect_topics", on_notes("""
-, t AS (SELECT 't' || item_id AS slug, array_to_string(list_slice(string_split(trim(regexp_replace(lower(text), '[^a-z]+', ' ', 'g')), ' '), 1, 2), ' ') AS alias FROM benchmark),
-m AS (SELECT slug, rel_path, sha256(body) AS sha FROM notes JOIN t ON alias <> '' AND contains(lower(body), alias) AND regexp_matches(lower(body), '(^|[^\\p{L}\\p{N}_])' || alias || '($|[^\\p{L}\\p{N}_])')),
-o AS (SELECT slug, rel_path, sha FROM m QUALIFY row_number() OVER (PARTITION BY slug, sha ORDER BY length(rel_path), rel_path) = 1),
-l AS (SELECT slug, sha256(rel_path || chr(0) || sha) AS l FROM o), p AS (SELECT slug, left(l, 2) AS p, count(*) AS n, sha256(string_agg(l, chr(10) ORDER BY l)) AS d FROM l GROUP BY 1, 2)
-SELECT slug, CAST(sum(n) AS BIGINT) AS n_sources, sha256(string_agg(d, chr(10) ORDER BY p)) AS set_hash FROM p GROUP BY slug"""))
+@query("k4_collect_topics", on_notes(f"""
+, {ALIAS_SQL},
+o AS (SELECT m.slug, rel_path, list(m.alias ORDER BY alias_pos) AS aliases FROM m JOIN notes USING (rel_path) WHERE NOT (ends_with(m.slug, '3') AND folder = 'src2') GROUP BY 1, 2),
+k AS MATERIALIZED (SELECT o.*, n.title, n.stem, n.mtime, n.body, sha256(n.body) AS body_sha FROM o JOIN notes n USING (rel_path) QUALIFY row_number() OVER (PARTITION BY slug, body ORDER BY length(rel_path), rel_path) = 1),
+s AS (SELECT slug, rel_path, generate_subscripts(l, 1) AS i, unnest(l) AS q FROM (SELECT slug, rel_path, {SENTENCES_SQL} AS l FROM k)),
+h AS (SELECT slug, rel_path, i, q, row_number() OVER (PARTITION BY slug, rel_path ORDER BY i) AS rn FROM (SELECT s.slug, rel_path, i, q, {mark_sql(fold_sql('q'))} AS f FROM s) x WHERE EXISTS (SELECT 1 FROM t WHERE t.slug = x.slug AND contains(x.f, t.marked_alias))),
+q AS (SELECT slug, rel_path, list(q ORDER BY i) AS quotes FROM h WHERE rn <= 4 GROUP BY 1, 2)
+SELECT slug, rel_path, CASE WHEN title = '' THEN stem ELSE title END AS title, mtime, aliases, coalesce(quotes, []) AS quotes, body_sha FROM k LEFT JOIN q USING (slug, rel_path)"""))
 def k4(spark, sf):
     from notegraph.plans.pipelines import collect_topics
 
-    return collect_topics(notes(spark, sf).withColumn("folded", F.lower("body")), alias_table(spark, sf))[1]
+    exclude = alias_table(spark, sf).where(F.col("slug").endswith("3")).select("slug", F.lit("src2/*").alias("glob")).distinct()
+    return collect_topics(notes(spark, sf), alias_table(spark, sf), exclude)[0]

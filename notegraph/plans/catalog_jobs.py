@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from notegraph.plans import generate as G
 from notegraph.plans.catalog import alias_table, notes, on_notes, query, table
 from notegraph.plans.catalog_more import RULES
+from notegraph.sources.notes import folders, nested_tags
 
 
 def _counter():
@@ -78,7 +79,7 @@ def h45(spark, sf):
 
 @query("a4_scan_folder", on_notes("SELECT folder, count(*) AS n, max(mtime) AS newest FROM notes GROUP BY folder"))
 def a4(spark, sf):
-    return notes(spark, sf).groupBy("folder").agg(F.count("*").alias("n"), F.max("mtime").alias("newest"))
+    return folders(notes(spark, sf))
 
 
 @query("a5_parse_header", on_notes("""
@@ -95,7 +96,7 @@ def a5(spark, sf):
 @query("a13_nested_tags", on_notes("SELECT rel_path, [vault || '/' || folder, 'a/b'] AS tags FROM notes"))
 def a13(spark, sf):
     tags = F.array(F.concat("vault", F.lit("_"), "folder"), F.lit("a_b"))
-    return notes(spark, sf).select("rel_path", F.transform(tags, lambda t: F.replace(t, F.lit("_"), F.lit("/"))).alias("tags"))
+    return notes(spark, sf).select("rel_path", nested_tags(tags).alias("tags"))
 
 
 @query("a22_publish_report", on_notes("SELECT rel_path AS path, sha256(body || CASE WHEN body = '' OR ends_with(body, chr(10)) THEN '' ELSE chr(10) END || '<!-- health:begin -->' || chr(10) || vault || chr(10) || '<!-- health:end -->' || chr(10)) AS digest, TRUE AS ok FROM notes"))
@@ -127,7 +128,7 @@ def h40(spark, sf):
     return table(spark, sf, "events").select("event_id", X.extract_json(t).alias("json"))
 
 
-@query("h22_claims", "SELECT conv_id, turn, ['- It is so. (src: B1)', 'Or (perhaps) not.', 'Line ' || turn || ' (src: B2)'] AS claims FROM conversations")
+@query("h22_claims", "SELECT conv_id, turn, ['- It is so. (src: B1)', '- Or (perhaps) not.', 'Line ' || turn || ' (src: B2)'] AS claims FROM conversations")
 def h22(spark, sf):
     from notegraph.functions import text as X
 

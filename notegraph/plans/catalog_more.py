@@ -8,10 +8,11 @@ from notegraph.functions import text as X
 from notegraph.operators import aggregates as A
 from notegraph.operators import clusters as C
 from notegraph.operators import joins as J
+from notegraph.operators import sets as S
 from notegraph.operators import topics as T
 from notegraph.operators import windows as N
 from notegraph.plans import pipelines as L
-from notegraph.plans.catalog import COPIES_SQL, KEYWORDS, METRICS_SQL, PERSONAL, WORK, _hits, alias_table, copies, notes, on_notes, query, sql_sum, table
+from notegraph.plans.catalog import ALIAS_SQL, COPIES_SQL, KEYWORDS, METRICS_SQL, PERSONAL, WORK, _hits, alias_table, copies, fold_sql, folded_notes, notes, on_notes, query, sql_sum, table
 from notegraph.streaming import incremental as I
 
 ARR = "array<string>"
@@ -70,7 +71,7 @@ def b11(spark, sf):
 
 
 @query("b12_needs_review", on_notes(f"""
-, s AS (SELECT rel_path, {sql_sum(WORK)} AS w, {sql_sum(PERSONAL)} AS p, vault FROM notes), l AS (SELECT rel_path, vault, CASE WHEN w > p THEN 'Work' WHEN p > w THEN 'Personal' ELSE 'Uncertain' END AS predicted FROM s)
+, s AS (SELECT rel_path, {sql_sum(WORK, "title || ' ' || body")} AS w, {sql_sum(PERSONAL, "title || ' ' || body")} AS p, vault FROM notes), l AS (SELECT rel_path, vault, CASE WHEN w + p = 0 THEN 'Uncertain' WHEN w > p THEN 'Work' ELSE 'Personal' END AS predicted FROM s)
 SELECT rel_path, predicted FROM l WHERE predicted = 'Uncertain' OR predicted <> CASE WHEN vault = 'en' THEN 'Work' ELSE 'Personal' END"""))
 def b12(spark, sf):
     c = L.classify_binary(notes(spark, sf), WORK, PERSONAL)
@@ -83,11 +84,9 @@ def b21(spark, sf):
     return n.select("rel_path", F.sha2(T.replace_parent(F.col("body"), "the", "THE"), 256).alias("digest"))
 
 
-@query("c2_unmatched_notes", on_notes("""
-, t AS (SELECT array_to_string(list_slice(string_split(trim(regexp_replace(lower(text), '[^a-z]+', ' ', 'g')), ' '), 1, 2), ' ') AS alias FROM benchmark)
-SELECT rel_path FROM notes WHERE NOT EXISTS (SELECT 1 FROM t WHERE alias <> '' AND contains(lower(body), alias) AND regexp_matches(lower(body), '(^|[^\\p{L}\\p{N}_])' || alias || '($|[^\\p{L}\\p{N}_])'))"""))
+@query("c2_unmatched_notes", on_notes(f", {ALIAS_SQL} SELECT rel_path FROM notes WHERE rel_path NOT IN (SELECT rel_path FROM m)"))
 def c2(spark, sf):
-    n = notes(spark, sf).select("rel_path", F.lower("body").alias("folded"))
+    n = folded_notes(spark, sf)
     return J.unmatched_notes(n, J.match_topics(n, alias_table(spark, sf))).select("rel_path")
 
 
@@ -127,10 +126,10 @@ def d8(spark, sf):
     return d.select("cluster", "n", F.round("density", 9).alias("density"))
 
 
-@query("d10_dense_core", f"WITH {PART_SQL}, s AS (SELECT min(node) AS cluster, anchor FROM a GROUP BY anchor HAVING count(*) >= 3) SELECT cluster, node FROM a JOIN s USING (anchor)")
+@query("d10_dense_core", f"WITH {PART_SQL}, s AS (SELECT min(node) AS cluster, anchor FROM a GROUP BY anchor HAVING count(*) >= 3) SELECT cluster, node, 1.0 AS density FROM a JOIN s USING (anchor)")
 def d10(spark, sf):
-    e = J.anchor_edges(part_graph(spark, sf))
-    return C.dense_core(e, C.components(e))
+    a = part_graph(spark, sf)
+    return C.dense_core(a, C.components(C.anchor_stars(a)))
 
 
 @query("d11_cluster_profile", f"""
@@ -138,10 +137,9 @@ WITH {PART_SQL}, s AS (SELECT min(node) AS cluster, anchor, count(*) AS n FROM a
 SELECT cluster, n, [anchor] AS anchors, anchor AS dominant_anchor, 1.0 AS dominant_share, 1.0 AS anchor_density FROM s""")
 def d11(spark, sf):
     a = part_graph(spark, sf)
-    e = J.anchor_edges(a)
-    m = C.dense_core(e, C.components(e))
+    m = C.dense_core(a, C.components(C.anchor_stars(a)))
     refs = table(spark, sf, "part").select(F.col("p_partkey").alias("node"), X.tokens(F.col("p_name")).alias("tokens"))
-    return C.cluster_profile(m, a, e, refs).drop("cohesion")
+    return C.cluster_profile(m, a, refs).drop("cohesion", "signature")
 
 
 @query("d18_vault_metrics", f"WITH {METRICS_SQL} SELECT * FROM m")
@@ -174,8 +172,7 @@ SELECT l_orderkey, list_sort(list(anchor) FILTER (WHERE c >= floor((n + 1) / 2))
 def d25(spark, sf):
     li = table(spark, sf, "lineitem")
     c = li.groupBy("l_orderkey", F.col("l_returnflag").alias("anchor")).agg(F.count("*").alias("c"))
-    n = li.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    return c.join(n, "l_orderkey").where(F.col("c") >= F.floor((F.col("n") + 1) / 2)).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("anchor")).alias("anchors"))
+    return C.majority_anchors(c, li.groupBy("l_orderkey").agg(F.count("*").alias("n")), "l_orderkey")
 
 
 @query("d26_home_summary", f"""
@@ -224,13 +221,12 @@ def e1(spark, sf):
 
 @query("f4_top_clusters", "SELECT p_brand, count(*) AS n, min(p_name) AS first FROM part GROUP BY 1 ORDER BY n DESC, first LIMIT 10")
 def f4(spark, sf):
-    g = table(spark, sf, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.min("p_name").alias("first"))
-    return g.orderBy(F.col("n").desc(), "first").limit(10)
+    return C.top_clusters(table(spark, sf, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.min("p_name").alias("first")), 10, "n", "first")
 
 
 @query("f5_caps", on_notes("SELECT rel_path, left(body, 1500) AS schema_cap, array_to_string(list_slice(string_split(body, ' '), 1, 80), ' ') AS word_cap FROM notes"))
 def f5(spark, sf):
-    return notes(spark, sf).select("rel_path", F.left("body", F.lit(1500)).alias("schema_cap"), F.array_join(F.slice(F.split("body", " "), 1, 80), " ").alias("word_cap"))
+    return notes(spark, sf).select("rel_path", F.left("body", F.lit(1500)).alias("schema_cap"), X.first_words(F.col("body"), 80).alias("word_cap"))
 
 
 @query("f7_first_rows", "SELECT o_orderkey, CAST(rn AS INTEGER) AS rn FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 10")
@@ -240,14 +236,13 @@ def f7(spark, sf):
 
 @query("g1_union_vaults", "SELECT vault, count(*) AS n FROM (SELECT 'docs' AS vault, text FROM documents UNION ALL SELECT 'bench', text FROM benchmark UNION ALL SELECT 'talk', text FROM conversations) GROUP BY 1")
 def g1(spark, sf):
-    parts = [table(spark, sf, t).select(F.lit(v).alias("vault"), "text") for v, t in (("docs", "documents"), ("bench", "benchmark"), ("talk", "conversations"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("vault").agg(F.count("*").alias("n"))
+    parts = {v: table(spark, sf, t).select("text") for v, t in (("docs", "documents"), ("bench", "benchmark"), ("talk", "conversations"))}
+    return S.union_tagged(parts, "vault").groupBy("vault").agg(F.count("*").alias("n"))
 
 
 @query("g2_union_proposals", "SELECT c_name AS name, 'customer' AS source FROM customer UNION ALL SELECT s_name, 'supplier' FROM supplier")
 def g2(spark, sf):
-    c = table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.lit("customer").alias("source"))
-    return c.unionByName(table(spark, sf, "supplier").select(F.col("s_name").alias("name"), F.lit("supplier").alias("source")))
+    return S.union_tagged({"customer": table(spark, sf, "customer").select(F.col("c_name").alias("name")), "supplier": table(spark, sf, "supplier").select(F.col("s_name").alias("name"))}, "source")
 
 
 @query("g4_shared_tokens", on_notes("""
@@ -255,18 +250,18 @@ def g2(spark, sf):
 SELECT doc_id, list_sort(list_intersect(a, b)) AS shared, len(list_distinct(list_concat(a, b))) AS n_union FROM t"""))
 def g4(spark, sf):
     a, b = X.tokens(F.col("title")), X.tokens(F.col("body"))
-    return notes(spark, sf).select("doc_id", a.alias("a"), b.alias("b")).select("doc_id", F.array_sort(F.array_intersect("a", "b")).alias("shared"), F.size(F.array_union("a", "b")).cast("long").alias("n_union"))
+    return notes(spark, sf).select("doc_id", a.alias("a"), b.alias("b")).select("doc_id", S.shared(F.col("a"), F.col("b")).alias("shared"), F.size(S.merged(F.col("a"), F.col("b"))).cast("long").alias("n_union"))
 
 
 @query("g6_merge_anchor_sets", "SELECT l_orderkey, list_sort(list_distinct(list_concat(list(l_linestatus), ['N', 'X']))) AS anchors FROM lineitem GROUP BY 1")
 def g6(spark, sf):
     g = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_linestatus").alias("a"))
-    return g.select("l_orderkey", F.array_sort(F.array_union("a", F.array(F.lit("N"), F.lit("X")))).alias("anchors"))
+    return g.select("l_orderkey", S.merged(F.col("a"), F.array(F.lit("N"), F.lit("X"))).alias("anchors"))
 
 
 @query("g7_distinct_targets", "SELECT DISTINCT p_type AS target FROM part")
 def g7(spark, sf):
-    return table(spark, sf, "part").select(F.col("p_type").alias("target")).distinct()
+    return S.distinct_targets(table(spark, sf, "part"), "p_type")
 
 
 @query("g8_dedup_case", on_notes("SELECT rel_path, list_filter([title, upper(title), folder, title], lambda x, i: list_position(list_transform([title, upper(title), folder, title], lambda y: lower(y)), lower(x)) = i) AS kept FROM (SELECT rel_path, folder, regexp_replace(title, '[^a-zA-Z ]', '', 'g') AS title FROM notes)"))
@@ -348,7 +343,7 @@ def h27(spark, sf):
 
 @query("h30_iso_time", on_notes("SELECT rel_path, strftime(mtime, '%Y-%m-%dT%H:%M:%S') AS iso FROM notes"))
 def h30(spark, sf):
-    return notes(spark, sf).select("rel_path", F.date_format("mtime", "yyyy-MM-dd'T'HH:mm:ss").alias("iso"))
+    return notes(spark, sf).select("rel_path", X.iso_time(F.col("mtime")).alias("iso"))
 
 
 @query("h37_anchor_label", "SELECT p_partkey, 'Data Lake ' || p_size AS label FROM part")
@@ -393,7 +388,7 @@ def h49(spark, sf):
     return notes(spark, sf).select("rel_path", F.sha2(X.one_line(F.col("body")), 256).alias("digest"))
 
 
-@query("h3_fold_list")
+@query("h3_fold_list", on_notes(f"SELECT rel_path, 0 AS pos, {fold_sql('title')} AS folded FROM notes WHERE title <> '' UNION ALL SELECT rel_path, 1, {fold_sql('folder')} FROM notes WHERE folder <> ''"))
 def h3(spark, sf):
     n = notes(spark, sf).select("rel_path", F.posexplode(F.array("title", "folder")).alias("pos", "x")).where("x <> ''")
     return n.select("rel_path", "pos", X.fold(F.col("x")).alias("folded"))
@@ -440,26 +435,135 @@ def k2(spark, sf):
     return L.classify_corpus(notes(spark, sf), RULES).groupBy("decision").agg(F.count("*").alias("n"))
 
 
-@query("k5_propose_topics")
+# each order is of one customer, so a customer's orders are a clique; weak ones are added to what the ledger has
+@query("k5_propose_topics", """
+WITH o AS (SELECT o_custkey AS c, o_orderkey AS k, lower(split_part(o_orderpriority, '-', 2)) AS token FROM orders),
+t AS (SELECT token, ln(((SELECT count(*) FROM o) + 1) / (count(*) + 1)) + 1 AS idf FROM o WHERE length(token) >= 3 GROUP BY 1),
+s AS (SELECT c, count(*) AS n FROM o GROUP BY 1 HAVING count(*) >= 3),
+x AS (SELECT a.c, avg(CASE WHEN a.token = b.token AND length(a.token) >= 3 THEN 1.0 ELSE 0.0 END) AS cohesion FROM o a JOIN o b ON a.c = b.c AND a.k < b.k GROUP BY 1),
+z AS (SELECT c, n, pow(0.1 + 0.9, 0.4) * pow(0.1 + 0.9 * cohesion, 0.35) * pow(0.1 + 0.9 * least(1.0, ln(n) / ln(6)), 0.25) AS score FROM s JOIN x USING (c)),
+l AS (SELECT c, CASE WHEN c % 2 = 0 THEN 0.4 ELSE 0.0 END + score AS evidence FROM z WHERE score < 0.6)
+SELECT 'proposed' AS kind, 'c' || c AS slug, n, round(score, 6) AS score FROM z WHERE score >= 0.6 AND c % 5 <> 0
+UNION ALL SELECT 'promoted', 'tag:c' || c, NULL, round(evidence, 6) FROM l WHERE evidence >= 0.9""")
 def k5(spark, sf):
-    """Orders' clerks as notes: customers of one segment and day share an anchor."""
+    """Orders as notes: those of a customer share an anchor. The ledger knows every second customer from today."""
     o = table(spark, sf, "orders")
-    refs = o.select(F.col("o_orderkey").alias("node"), F.array(F.concat(F.lit("tag:c"), F.col("o_custkey").cast("string"))).alias("anchors"), F.array(F.lower("o_orderpriority")).alias("tokens"))
-    state = spark.createDataFrame([], "key string, evidence double, seen long, last_seen timestamp, promoted boolean")
-    none = spark.createDataFrame([], "slug string")
-    return L.propose_topics(refs, state, F.lit("2024-02-01").cast("timestamp"), none, none, spark.createDataFrame([], "alias string"))[0].select("slug", "aliases")
+    key = F.concat(F.lit("tag:c"), F.col("o_custkey").cast("string"))
+    now = F.lit("2024-02-01").cast("timestamp")
+    refs = o.select(F.col("o_orderkey").alias("node"), F.array(key).alias("anchors"), X.tokens(F.substring_index("o_orderpriority", "-", -1)).alias("tokens"))
+    state = o.where("o_custkey % 2 = 0").select(key.alias("key"), F.lit(0.4).alias("evidence"), F.lit(1).cast("long").alias("seen"), now.alias("last_seen"), F.lit(False).alias("promoted")).distinct()
+    rejected = o.where("o_custkey % 5 = 0").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("slug"))
+    out = L.propose_topics(refs, state, now, rejected, spark.createDataFrame([], "slug string"), spark.createDataFrame([], "alias string"), floor=0.6, bar=0.9)
+    proposed = out["proposals"].select(F.lit("proposed").alias("kind"), "slug", "n", F.round("confidence", 6).alias("score"))
+    promoted = out["ledger"].where("newly").select(F.lit("promoted").alias("kind"), F.col("key").alias("slug"), F.lit(None).cast("long").alias("n"), F.round("evidence", 6).alias("score"))
+    return proposed.unionByName(promoted)
+
+
+@query("k7_reconcile", on_notes("""
+, d AS (SELECT rel_path, doc_id % 3 AS k, doc_id % 2 = 0 AS wanted, vault FROM notes)
+SELECT rel_path, CASE k WHEN 2 THEN CASE WHEN wanted THEN '["[[b]]"]' END WHEN 1 THEN CASE WHEN wanted THEN '["[[mine]]","[[b]]"]' ELSE '["[[mine]]"]' END ELSE '["plain","[[' || vault || ']]"' || CASE WHEN wanted THEN ',"[[b]]"' ELSE '' END || ']' END AS topics,
+ CASE WHEN k = 0 AND NOT wanted THEN 'skipped' WHEN k = 2 AND NOT wanted THEN 'skipped' ELSE 'updated' END AS status, CASE k WHEN 1 THEN 1 ELSE 0 END AS removed FROM d"""))
+def k7(spark, sf):
+    n = notes(spark, sf)
+    k = F.col("doc_id") % 3
+    links = F.when(k == 0, F.array(F.lit("plain"), F.concat(F.lit("[["), "vault", F.lit("]]")))).when(k == 1, F.array(F.lit("[[a#part|x]]"), F.lit("[[mine]]")))
+    fields = F.when(k < 2, F.create_map(F.lit("topics"), F.to_json(links))).otherwise(F.create_map(F.lit("other"), F.lit("x")))
+    sources = n.where("doc_id % 2 = 0").select("rel_path", F.lit("b").alias("slug"))
+    out = L.reconcile(n.select("rel_path", fields.alias("fields")), sources, spark.createDataFrame([("a",), ("b",)], "slug string"))
+    return out.select("rel_path", F.col("fields")["topics"].alias("topics"), "status", F.col("removed").cast("int").alias("removed"))
+
+
+@query("k8_corpus_report", on_notes("""
+, u AS (SELECT vault, rel_path, folder, doc_id, CASE doc_id % 3 WHEN 0 THEN 'doc' || (doc_id + 1) WHEN 1 THEN folder || '/' || stem END AS up FROM notes), h AS (SELECT DISTINCT vault, rel_path FROM notes),
+o AS (SELECT * FROM u WHERE up IS NOT NULL AND vault <> 'fr' AND NOT EXISTS (SELECT 1 FROM h WHERE h.vault = u.vault AND h.rel_path = u.up || '.md') AND NOT EXISTS (SELECT 1 FROM h WHERE h.vault = u.vault AND h.rel_path = u.folder || '/' || u.up || '.md')),
+m AS (SELECT n.vault, count(*) AS total, count(l.doc_id) AS classified, count(o.doc_id) AS orphans FROM notes n LEFT JOIN labels l USING (doc_id) LEFT JOIN o USING (doc_id) GROUP BY 1),
+d AS (SELECT vault, count(*) AS dangling FROM notes WHERE doc_id % 40 >= 5 GROUP BY 1),
+f AS (SELECT vault, count(*) FILTER (WHERE folder = 'src1') AS stale FROM (SELECT DISTINCT vault, folder FROM notes WHERE folder IN ('src0', 'src1', 'src2', 'src3', 'src4')) GROUP BY 1),
+a AS (SELECT vault, total, classified, orphans, CASE WHEN vault = 'de' THEN total ELSE 0 END AS queue, CASE WHEN vault = 'es' THEN 1 ELSE 0 END AS exhaust, coalesce(stale, 0) AS stale, coalesce(dangling, 0) AS dangling FROM m LEFT JOIN f USING (vault) LEFT JOIN d USING (vault)),
+e AS (SELECT * FROM a UNION ALL SELECT '*', sum(total), sum(classified), sum(orphans), sum(queue), sum(exhaust), sum(stale), sum(dangling) FROM a)
+SELECT vault, CAST(orphans AS BIGINT) AS orphans, CAST(queue AS BIGINT) AS queue, CAST(exhaust AS BIGINT) AS exhaust, CAST(stale AS BIGINT) AS stale, CAST(dangling AS BIGINT) AS dangling,
+ CAST(round_even(20.0 + 35.0 * classified / total + CASE WHEN orphans = 0 THEN 15 ELSE 0 END + CASE WHEN queue = 0 THEN 10 ELSE 0 END + CASE WHEN exhaust = 0 THEN 10 ELSE 0 END + CASE WHEN stale = 0 THEN 10 ELSE 0 END, 0) AS INTEGER) AS health FROM e"""))
+def k8(spark, sf):
+    """Sources as topics of each vault, one of them stale; the notes refer to forty, of which five have pages."""
+    n = notes(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    k = F.col("doc_id") % 3
+    up = F.when(k == 0, F.concat(F.lit("[[doc"), (F.col("doc_id") + 1).cast("string"), F.lit("]]"))).when(k == 1, F.concat("folder", F.lit("/"), "stem"))
+    ref = F.concat(F.lit("[[src"), (F.col("doc_id") % 40).cast("string"), F.lit("|x]]"))
+    n = n.withColumns({"up": F.when(F.col("vault") != "fr", up), "topics": F.array(ref)})
+    pages = n.where(F.col("folder").isin("src0", "src1", "src2", "src3", "src4")).select("vault", F.concat_ws("/", "vault", "folder").alias("rel_path"), F.col("folder").alias("slug")).distinct()
+    pages = pages.select("vault", "rel_path", "slug", F.col("slug").alias("stem"), F.lit("topic").alias("type"), F.array("rel_path").alias("aliases"), F.lit("active").alias("status"), F.array().cast(ARR).alias("errors"), F.lit("2024").alias("updated"), F.lit("h").alias("source_set_hash"))
+    sets = pages.select("slug", F.lit(1).cast("long").alias("n_sources"), F.when(F.col("slug") == "src1", "other").otherwise("h").alias("set_hash")).distinct()
+    files = spark.createDataFrame([("es", "classification-review-1.html"), ("es", "x.md")], "vault string, file_name string")
+    out = L.corpus_report(n, F.col("quality").isNotNull(), pages, sets=sets, queue=n.where("vault = 'de'").select("vault"), files=files)
+    d = out["dangling"].groupBy("vault").agg(F.count("*").alias("dangling"))
+    d = d.unionByName(d.agg(F.lit("*").alias("vault"), F.sum("dangling").alias("dangling")))
+    return out["totals"].join(d, "vault", "left").select("vault", "orphans", "queue", "exhaust", "stale", F.coalesce("dangling", F.lit(0)).alias("dangling"), "health")
+
+
+@query("k10_clean_numbered", COPIES_SQL + """, base AS (SELECT vault, body, CASE WHEN least % 3 = 0 AND rn = 1 THEN NULL ELSE rel_path END AS rel_path, least, rn FROM copies), n AS (SELECT * FROM base WHERE rel_path IS NOT NULL),
+o AS (SELECT vault, rel_path, least, row_number() OVER (PARTITION BY vault, least ORDER BY rel_path) AS k FROM n WHERE least % 3 = 0)
+SELECT vault, rel_path AS copy, CASE WHEN k = 1 THEN 'rename' ELSE 'collision' END AS action, NULL AS chars FROM o
+UNION ALL SELECT vault, rel_path, 'delete', length(trim(body, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))) FROM n WHERE rn > 1 AND least % 3 <> 0
+UNION ALL SELECT vault, rel_path, 'link', NULL FROM o WHERE k = 1""")
+def k10(spark, sf):
+    """Every third base is missing; each of its copies links to itself by name."""
+    n = copies(spark, sf)
+    least = F.regexp_extract("rel_path", r"doc(\d+)", 1).cast("long")
+    n = n.where(F.col("rel_path").rlike(J.NUMBERED) | (least % 3 != 0))
+    n = n.withColumn("body", F.when(F.col("rel_path").rlike(J.NUMBERED) & (least % 3 == 0), F.concat("body", F.lit(" [["), "stem", F.lit("|me]]"))).otherwise(F.col("body")))
+    out = L.clean_numbered(n)
+    gone = out["deletions"].select(F.col("path").alias("copy"), F.col("stripped_body_chars").alias("chars"))
+    plan = out["plan"].select("vault", "copy", "action").join(gone, "copy", "left").select("vault", "copy", "action", "chars")
+    return plan.unionByName(out["links"].select("vault", F.col("rel_path").alias("copy"), F.lit("link").alias("action"), F.lit(None).cast("int").alias("chars")))
 
 
-@query("k8_corpus_report", f"""
-WITH {METRICS_SQL}, a AS (SELECT vault, ratio, orphans FROM m UNION ALL SELECT '*', sum(classified) / sum(total), sum(orphans) FROM m)
-SELECT vault, CAST(round_even(greatest(0.0, least(100.0, 20.0 + 35.0 * ratio + greatest(0.0, 15.0 - orphans) + 30.0)), 0) AS INTEGER) AS health FROM a""")
-def k8(spark, sf):
-    return L.corpus_report(d18(spark, sf)).select("vault", "health")
+@query("k11_dedup", COPIES_SQL + "SELECT vault, rel_path AS copy, 'all/doc' || least || '.md' AS base, length(trim(body, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))) AS chars FROM copies WHERE rn > 1")
+def k11(spark, sf):
+    out = L.dedup(copies(spark, sf))
+    # paths are unique over the vaults here, as they hold the id
+    return out["pairs"].join(out["deletions"].select(F.col("path").alias("copy"), F.col("stripped_body_chars").alias("chars")), "copy").select("vault", "copy", "base", "chars")
 
 
-@query("k10_clean_numbered", COPIES_SQL + "SELECT vault, rel_path AS copy, 'delete' AS action FROM copies WHERE rn > 1")
-def k10(spark, sf):
-    return L.clean_numbered(copies(spark, sf)).select("vault", "copy", "action")
+@query("k3_classify_binary_corpus", on_notes(f"""
+, s AS (SELECT rel_path, {sql_sum(WORK, "stem || ' ' || body")} AS w, {sql_sum(PERSONAL, "stem || ' ' || body")} AS p FROM (SELECT rel_path, CASE WHEN doc_id % 2 = 0 THEN 'My Version' ELSE stem END AS stem, body FROM notes))
+SELECT rel_path, CASE WHEN w + p = 0 THEN 'Uncertain' WHEN w > p THEN 'Work' ELSE 'Personal' END AS predicted, CASE WHEN w + p = 0 THEN 0.0 ELSE round(least(1.0, abs(w / (w + p) - 0.5) * 2), 3) END AS confidence FROM s"""))
+def k3(spark, sf):
+    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("---\ntitle: 'My Version'\n---\n"), "body")).otherwise(F.col("body"))
+    return L.classify_binary_corpus(notes(spark, sf).withColumn("raw", raw), WORK, PERSONAL).select("rel_path", "predicted", "confidence")
+
+
+@query("d30_topic_table", "SELECT '| ' || p_brand || ' | ' || CASE WHEN n = 0 THEN 'n/a' ELSE CAST(n AS VARCHAR) END || ' | ' || CASE WHEN p_brand < 'Brand#3' THEN '2024' ELSE 'n/a' END || ' | ' || CASE WHEN n % 3 = 0 THEN 'n/a' WHEN n % 3 = 1 THEN 'yes' ELSE 'no' END || ' |' AS line FROM (SELECT p_brand, count(*) FILTER (WHERE p_size > 10) AS n FROM part GROUP BY 1)")
+def d30(spark, sf):
+    g = table(spark, sf, "part").groupBy(F.col("p_brand").alias("slug")).agg(F.count_if(F.col("p_size") > 10).alias("n"))
+    rows = g.select("slug", F.nullif("n", F.lit(0)).alias("n_sources"), F.when(F.col("slug") < "Brand#3", "2024").alias("updated"), F.when(F.col("n") % 3 != 0, F.col("n") % 3 == 1).alias("hash_changed"))
+    return T.topic_table(rows).where("pos > 1").select("line")
+
+
+@query("h19_slug_of_link", on_notes("SELECT rel_path, CASE doc_id % 4 WHEN 0 THEN stem WHEN 1 THEN folder WHEN 2 THEN stem END AS slug FROM notes"))
+def h19(spark, sf):
+    k = F.col("doc_id") % 4
+    wrap = lambda *c: F.concat(F.lit("[["), *c, F.lit("]]"))
+    link = F.when(k == 0, wrap("stem")).when(k == 1, wrap("folder", F.lit("#part|label"))).when(k == 2, F.concat(F.lit(" "), wrap("stem", F.lit(".md")), F.lit(" "))).otherwise(F.col("stem"))
+    return notes(spark, sf).select("rel_path", X.slug_of_link(link).alias("slug"))
+
+
+@query("h34_route_clusters", "SELECT route, count(*) AS n FROM (SELECT CASE WHEN l_discount * 10 >= 0.9 AND l_linenumber >= 3 AND l_tax * 10 >= 0.7 THEN 'auto' WHEN l_discount * 10 >= 0.35 THEN 'propose' ELSE 'ledger' END AS route FROM lineitem) GROUP BY 1")
+def h34(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.groupBy(C.route(F.col("l_discount") * 10, F.col("l_linenumber"), F.col("l_tax") * 10, auto=0.9).alias("route")).agg(F.count("*").alias("n"))
+
+
+@query("a10_relational_guids", on_notes("""
+, k AS (SELECT stem, CASE doc_id % 3 WHEN 0 THEN title WHEN 1 THEN upper(title) ELSE title || ' missing' END AS title FROM (SELECT * REPLACE (regexp_replace(title, '[^a-zA-Z ]', '', 'g') AS title) FROM notes)),
+t AS (SELECT regexp_replace(title, '[^a-zA-Z ]', '', 'g') AS title, stem FROM notes), e AS (SELECT title AS k, max(stem) AS s FROM t GROUP BY 1), l AS (SELECT lower(title) AS k, max(stem) AS s FROM t GROUP BY 1)
+SELECT md5(k.stem) AS guid, coalesce(e.s, l.s) AS target FROM k LEFT JOIN e ON k.title = e.k LEFT JOIN l ON lower(k.title) = l.k WHERE coalesce(e.s, l.s) IS NOT NULL"""))
+def a10(spark, sf):
+    from notegraph.sources.notes import guid_lookup
+
+    n = notes(spark, sf).withColumn("title", F.regexp_replace("title", "[^a-zA-Z ]", ""))
+    k = F.col("doc_id") % 3
+    rows = n.select(F.upper(F.md5("stem")).alias("guid"), F.when(k == 0, F.col("title")).when(k == 1, F.upper("title")).otherwise(F.concat("title", F.lit(" missing"))).alias("title"))
+    return guid_lookup(rows, n.select("title", "stem"))
 
 
 @query("k12_migrate", on_notes("""

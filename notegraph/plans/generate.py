@@ -73,14 +73,16 @@ def fallback_name(anchor: Column, n: Column) -> Column:
 
 
 def name_clusters(clusters: DataFrame, generator: Callable | None = None) -> DataFrame:
-    """Adds slug, name, aliases and description; what a generator cannot name gets its anchor's label."""
+    """Adds slug, name, aliases, description and ``named``; what a generator cannot name gets its anchor's label."""
     plain = fallback_name(F.col("dominant_anchor"), F.col("n"))
     if generator is None:
-        out = clusters.withColumn("_n", plain)
+        out = clusters.withColumn("_n", plain).withColumn("named", F.lit(False))
     else:
         asked = clusters.withColumn("prompt", F.concat_ws("\n", F.lit("Name the theme of these anchors."), F.array_join("anchors", ", ")))
-        out = generate_rows(asked, generator, NAME).withColumn("_n", F.coalesce("result", plain)).drop("result", "error", "attempts", "prompt")
-    return out.select(*clusters.columns, X.slugify_plain(F.col("_n.name")).alias("slug"), "_n.name", P.dedup_case_insensitive(F.coalesce("_n.aliases", F.array("_n.name"))).alias("aliases"), "_n.description")
+        out = generate_rows(asked, generator, NAME).withColumn("_n", F.coalesce("result", plain)).withColumn("named", F.col("result").isNotNull())
+    slug = lambda c: F.nullif(X.slugify(c), F.lit(""))
+    aliases = P.dedup_case_insensitive(F.concat(F.array("_n.name"), F.coalesce("_n.aliases", F.array().cast("array<string>"))))
+    return out.select(*clusters.columns, "named", F.coalesce(slug(F.col("_n.name")), slug(X.anchor_label(F.col("dominant_anchor"))), F.lit("topic")).alias("slug"), "_n.name", aliases.alias("aliases"), "_n.description")
 
 
 PAGE = T.StructType([T.StructField("summary", T.StringType(), False), T.StructField("facts", T.StringType()), T.StructField("contradictions", T.StringType())])
@@ -126,22 +128,26 @@ def nightly_tables(
     days: int | None = 30,
     generic_tags: list[str] | None = None,
     generic_orgs: tuple[str, ...] = ("unknown", "personal", "none", "Unknown", "Personal", "None"),
+    namer: Callable | None = None,
+    exclude: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """One run's written tables: classified, matches, sources, sets, proposals, ledger, pages, links and report.
+    """One run's written tables: classified, matches, sources, sets, proposals, created, ledger, pages, links and report.
 
     ``ledger`` is the last run's, ``known (slug, source_set_hash)`` the pages that exist, ``rejected (slug)`` the names
     turned down. Notes of the last ``days`` before ``now`` (the newest note's time) that match no topic are proposed
     from, once per body; None takes all. People, tags and org are the notes' own where they have such columns, else
-    those of this run's classification. Without a ``writer`` no page is written, and its row says so.
+    those of this run's classification. Without a ``writer`` no page is written, and its row says so; without a
+    ``namer`` no topic is created. ``topics`` of a note are wiki links.
     """
     spark = notes.sparkSession
     has = lambda c, kind: F.col(c) if c in notes.columns else F.lit(None).cast(kind)
     out = {}
     fresh = L.classify_corpus(todo(notes, done, cap=cap), rules, purge=False)
+    notes = notes if "file_name" in notes.columns else notes.withColumn("file_name", F.substring_index("rel_path", "/", -1))
     out["classified"] = fresh = materialize(fresh.select("rel_path", "type", "org", "context", "people", "tags", "confidence", "decision", "by"), "nightly-classified")
-    folded = notes.withColumn("folded", F.lower("body"))
-    out["matches"] = matches = materialize(J.match_topics(folded, topics), "nightly-matches")
-    sources, sets = L.collect_topics(folded, topics, matches)
+    folded = notes.withColumn("folded", X.fold(F.concat_ws("\n", "file_name", "body")))
+    out["matches"] = matches = materialize(J.match_topics(folded, topics.withColumn("alias", X.fold("alias"))), "nightly-matches")
+    sources, _ = L.collect_topics(notes, topics, exclude, matches)
     out["sources"] = sources = materialize(sources, "nightly-sources")
     out["sets"] = sets = materialize(A.source_set_hash(sources, ["slug"]), "nightly-sets")
 
@@ -156,13 +162,12 @@ def nightly_tables(
     refs = materialize(noteref(rest, generic_tags, list(generic_orgs)), "nightly-noterefs")
     state = ledger if ledger is not None else spark.createDataFrame([], "key string, evidence double, seen long, last_seen timestamp, promoted boolean")
     none = spark.createDataFrame([], "slug string")
-    proposals, kept = L.propose_topics(refs, state, now, rejected if rejected is not None else none, topics.select("slug"), topics.select("alias"))
-    out["ledger"] = materialize(kept, "nightly-ledger")
-    out["proposals"] = materialize(proposals, "nightly-proposals")
+    found = L.propose_topics(refs, state, now, rejected if rejected is not None else none, topics.select("slug"), topics.select("alias"), namer)
+    out |= {k: found[k] for k in ("proposals", "created", "ledger")}
 
     known = known if known is not None else none.select("slug", F.lit(None).cast("string").alias("source_set_hash"))
     stale = skip_unchanged(topics.select("slug").distinct().join(known, "slug", "left"), sets)
-    texts = sources.join(stale.select("slug"), "slug", "left_semi").join(notes.select("rel_path", "title", "body", "mtime"), "rel_path")
+    texts = sources.join(stale.select("slug"), "slug", "left_semi").join(notes.select("rel_path", "body"), "rel_path")
     texts = texts.select("slug", "rel_path", "title", "body", "mtime", F.size("aliases").alias("hits"))
     if writer is None:
         pages = stale.select("slug", F.lit(None).cast("string").alias("page"), "n_sources", F.lit(True).alias("degraded"), F.lit("no writer").alias("error"))
@@ -170,16 +175,17 @@ def nightly_tables(
         pages = synthesize_topics(texts, writer)
     out["pages"] = pages = materialize(pages.join(sets.select("slug", "set_hash"), "slug"), "nightly-pages")
 
-    have = notes.select("rel_path", F.coalesce(has("topics", "array<string>"), F.array().cast("array<string>")).alias("topics"))
-    links = J.reconcile_backlinks(have, J.desired_backlinks(sources), topics.select("slug"))
-    out["links"] = materialize(links.where("status = 'updated'"), "nightly-links")
+    linked = F.to_json(F.coalesce(has("topics", "array<string>"), F.array().cast("array<string>")))
+    links = L.reconcile(notes.select("rel_path", F.create_map(F.lit("topics"), linked).alias("fields")), sources, topics.select("slug"))
+    links = links.where("status = 'updated'").select("rel_path", F.from_json(F.col("fields")["topics"], "array<string>").alias("topics"), "removed")
+    out["links"] = materialize(links.fillna({"removed": 0}), "nightly-links")
 
     settled = done.select("rel_path").unionByName(fresh.where("decision = 'auto'").select("rel_path")).distinct().withColumn("_done", F.lit(True))
-    metrics = A.vault_metrics(notes.join(settled, "rel_path", "left"), F.col("_done").isNotNull(), F.lit(False))
-    queue = notes.select("rel_path", "vault").join(fresh.where("decision = 'review'").select("rel_path"), "rel_path").groupBy("vault").agg(F.count("*").alias("queue"))
-    # topics are of no vault, so a page that could not be written counts in the corpus's row alone
-    unwritten = pages.where("page is null").agg(F.lit("*").alias("vault"), F.count("*").alias("dangling"))
-    out["report"] = materialize(L.corpus_report(metrics, queue.unionByName(unwritten, allowMissingColumns=True)), "nightly-report")
+    queue = notes.select("rel_path", "vault").join(fresh.where("decision = 'review'").select("rel_path"), "rel_path")
+    built = topics.select("slug").distinct().join(known, "slug", "left").select("slug", F.lit(None).cast("string").alias("updated"), "source_set_hash")
+    report = L.corpus_report(notes.join(settled, "rel_path", "left"), F.col("_done").isNotNull(), topics=built, sets=sets, queue=queue)
+    out["report"] = materialize(report["totals"], "nightly-report")
+    out |= {k: materialize(report[k], f"nightly-{k}") for k in ("orphans", "dangling", "freshness")}
     return out
 
 

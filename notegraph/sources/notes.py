@@ -166,6 +166,11 @@ NOTES_SQL = r"""notes AS (
   FROM documents)"""
 
 
+def folders(notes: DataFrame) -> DataFrame:
+    """Per folder the number of its notes and its newest change."""
+    return notes.groupBy("folder").agg(F.count("*").alias("n"), F.max("mtime").alias("newest"))
+
+
 # --- other sources
 
 
@@ -197,7 +202,26 @@ def read_run_log(lines: DataFrame, col: str = "value") -> DataFrame:
     return rows.select(F.col("p")[0].alias("decision"), F.col("p")[1].alias("path"), F.regexp_replace(F.get("p", F.lit(2)), r"^->\s*", "").alias("type"))
 
 
+def nested_tags(tags: Column) -> Column:
+    """An underscore in a tag marks nesting and becomes a slash; null is no tag."""
+    return F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.replace(t, F.lit("_"), F.lit("/")))
+
+
+def read_relational(spark: SparkSession, url: str, table: str, columns: list[str], **options) -> DataFrame:
+    """Some columns of a relational table, by any JDBC driver on the session's class path; options as Spark's reader has."""
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().select(*columns)
+
+
+def guid_lookup(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``rows (guid, title)`` of a notes database to ``(guid, target)``: the file of a title, by the exact title, the
+    lower-cased one, or the one with white space collapsed. GUIDs are lower-cased; unknown titles are left out."""
+    from notegraph.operators.joins import resolve_by_fallback
+
+    found = resolve_by_fallback(rows.select(F.lower("guid").alias("guid"), "title"), lookup)
+    return found.where("target is not null").select("guid", "target")
+
+
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """Note-export XML: title, created, updated, notebook, tags; an underscore in a tag marks nesting and becomes a slash."""
     raw = spark.read.format("xml").option("rowTag", "note").schema("title string, created string, updated string, notebook string, tag array<string>, content string").load(path)
-    return raw.select("title", "created", "updated", "notebook", F.transform(F.coalesce("tag", F.array().cast("array<string>")), lambda t: F.replace(t, F.lit("_"), F.lit("/"))).alias("tags"), "content")
+    return raw.select("title", "created", "updated", "notebook", nested_tags(F.col("tag")).alias("tags"), "content")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from notegraph.functions.text import replace_region
@@ -30,23 +31,33 @@ def set_or_drop_field(notes: DataFrame, updates: DataFrame, field: str, key: str
     return notes.join(u, key, "left").withColumn("fields", new).drop("_v")
 
 
-def upsert_lines(index: DataFrame, updates: DataFrame, key: str = "slug", section: str | None = None) -> DataFrame:
-    """Replaces or adds one line per key. With ``section`` (a column of both) a key moves to the section of its update."""
+def upsert_lines(index: DataFrame, updates: DataFrame, key: str = "slug", section: str | None = None, order: str | None = None) -> DataFrame:
+    """Replaces or adds one line per key. With ``section`` (a column of both) a key moves to the section of its update.
+
+    Of several updates of a key the one that is last by the column ``order`` wins (without it, the greatest).
+    """
+    kept = [c for c in updates.columns if c != order]
+    last = F.max(F.struct(*([F.col(order).alias("_o")] if order else []), *kept)).alias("_u")
+    updates = updates.groupBy(key).agg(last).select(*[F.col("_u")[c].alias(c) for c in kept])
     return index.join(updates.select(key).distinct(), key, "left_anti").unionByName(updates, allowMissingColumns=section is not None)
 
 
-def insert_plan(proposals: DataFrame, existing: DataFrame, key: str = "slug", dry_run: bool = False) -> DataFrame:
-    """Outcome per proposal: ``unsafe`` names, ``skipped`` for known ones, else ``created`` (``would_create`` in a dry run)."""
+def insert_plan(proposals: DataFrame, existing: DataFrame, key: str = "slug", dry_run: bool = False, order: str | None = None) -> DataFrame:
+    """Outcome per proposal: ``unsafe`` names, ``skipped`` for known ones, else ``created`` (``would_create`` in a dry run).
+
+    Of several proposals of a name the first by the column ``order`` is created (without it, the least row).
+    """
     known = existing.select(key).distinct().withColumn("_known", F.lit(True))
-    safe = F.col(key).rlike("^[a-z0-9-]+$")
-    out = F.when(~safe, "unsafe").when(F.col("_known"), "skipped").otherwise("would_create" if dry_run else "created")
-    return proposals.join(known, key, "left").withColumn("outcome", out).drop("_known")
+    w = W.partitionBy(key).orderBy(*([order] if order else proposals.columns))
+    safe = F.coalesce(F.col(key).rlike("^[a-z0-9-]+$"), F.lit(False))
+    out = F.when(~safe, "unsafe").when(F.col("_known") | (F.col("_rn") > 1), "skipped").otherwise("would_create" if dry_run else "created")
+    return proposals.withColumn("_rn", F.row_number().over(w)).join(known, key, "left").withColumn("outcome", out).drop("_known", "_rn")
 
 
-def insert_if_absent(proposals: DataFrame, topics: DataFrame, path: str, validate, key: str = "slug") -> DataFrame:
+def insert_if_absent(proposals: DataFrame, topics: DataFrame, path: str, validate, key: str = "slug", order: str | None = None) -> DataFrame:
     """Writes the new topics as a version below ``path`` if ``validate(all topics)`` finds no bad row; else rolls back."""
-    plan = insert_plan(proposals, topics, key)
-    fresh = proposals.join(plan.where("outcome = 'created'").select(key), key, "left_semi")
+    plan = insert_plan(proposals, topics, key, order=order)
+    fresh = plan.where("outcome = 'created'").drop("outcome")
     staged = write_version(topics.unionByName(fresh, allowMissingColumns=True), path)
     if validate(staged).isEmpty():
         return plan

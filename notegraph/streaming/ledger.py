@@ -18,12 +18,18 @@ def ledger_step(state: DataFrame, sightings: DataFrame, now: Column, half_life:
     """One run: decay what is kept, add the sightings, promote what crosses the bar (once), evict what fell below the floor.
 
     Both tables are keyed by ``key`` with evidence, seen and last_seen; the state also has promoted. ``newly`` marks
-    keys that this run promoted.
+    keys that this run promoted. What was promoted stays, however weak, so it is not promoted again. Anchors are
+    gathered over the runs and the last signature is kept, where the tables have ``anchors`` or ``signature``.
     """
-    old = state.select("key", *[F.col(c).alias(f"o_{c}") for c in ("evidence", "seen", "last_seen", "promoted")])
-    days = F.datediff(now.cast("date"), F.col("o_last_seen").cast("date")).cast("double")
+    extra = [c for c in ("anchors", "signature") if c in state.columns or c in sightings.columns]
+    kinds = {"anchors": "array<string>", "signature": "string"}
+    has = lambda df, c: F.col(c) if c in df.columns else F.lit(None).cast(kinds[c])
+    old = state.select("key", *[F.col(c).alias(f"o_{c}") for c in ("evidence", "seen", "last_seen", "promoted")], *[has(state, c).alias(f"o_{c}") for c in extra])
+    days = (now.cast("timestamp").cast("double") - F.col("o_last_seen").cast("timestamp").cast("double")) / 86400
     kept = F.coalesce(decay(F.col("o_evidence"), days, half_life), F.lit(0.0))
-    both = old.join(sightings, "key", "full")
+    both = old.join(sightings.select("key", "evidence", "seen", "last_seen", *[has(sightings, c).alias(c) for c in extra]), "key", "full")
+    none = F.array().cast("array<string>")
+    more = {"anchors": F.array_sort(F.array_union(F.coalesce("o_anchors", none), F.coalesce("anchors", none))), "signature": F.coalesce("signature", "o_signature")} if extra else {}
     e = kept + F.coalesce(F.col("evidence"), F.lit(0.0))
     before = F.coalesce(F.col("o_promoted"), F.lit(False))
     out = both.select(
@@ -33,31 +39,35 @@ def ledger_step(state: DataFrame, sightings: DataFrame, now: Column, half_life:
         F.coalesce(F.col("last_seen"), F.col("o_last_seen")).alias("last_seen"),
         (before | (e >= bar)).alias("promoted"),
         (~before & (e >= bar)).alias("newly"),
+        *[more[c].alias(c) for c in extra],
     )
-    return out.where(F.col("evidence") >= floor)
+    return out.where(F.col("promoted") | (F.col("evidence") >= floor))
 
 
 STATE = "evidence double, seen long, last_seen timestamp, promoted boolean"
 OUTPUT = "key string, evidence double, seen long, last_seen timestamp, promoted boolean"
 
 
-def ledger_stream(sightings: DataFrame, half_life: float = HALF_LIFE, bar: float = BAR) -> DataFrame:
+def ledger_stream(sightings: DataFrame, half_life: float = HALF_LIFE, bar: float = BAR, floor: float = FLOOR) -> DataFrame:
     """``sightings (key, evidence, ts)`` of a stream to the state of every key that a micro-batch touched.
 
-    Evidence decays by event time between sightings; a key's rows of one batch are taken in time order.
+    Evidence decays by event time between sightings; a key's rows of one batch are taken in time order. A key that ends
+    a batch below the floor without having been promoted is forgotten, and has no row.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values("ts")
         evidence, seen, last, promoted = state.get if state.exists else (0.0, 0, None, False)
         for e, ts in zip(rows["evidence"], rows["ts"], strict=True):
-            if last is not None:
+            if last is not None and half_life > 0:
                 evidence *= 0.5 ** (max(0.0, (ts - pd.Timestamp(last)).total_seconds() / 86400) / half_life)
-                last = max(ts, pd.Timestamp(last))
-            else:
-                last = ts
+            last = ts if last is None else max(ts, pd.Timestamp(last))
             evidence, seen = evidence + float(e), seen + 1
             promoted = bool(promoted or evidence >= bar)
+        if not promoted and evidence < floor:
+            if state.exists:
+                state.remove()
+            return
         state.update((float(evidence), int(seen), last.to_pydatetime() if hasattr(last, "to_pydatetime") else last, promoted))
         yield pd.DataFrame({"key": [key[0]], "evidence": [evidence], "seen": [seen], "last_seen": [last], "promoted": [promoted]})
 
