@@ -4,14 +4,16 @@ Each source has a target amount of words. Its documents stand in one fixed order
 expected number of copies (target / size of the source) to a running sum, one random offset is added, and a
 document is emitted once for each integer boundary that its step crosses.
 
-The order is (size class, md5 of the id, id). Neighbours have like sizes, so the words taken stay near the
+The order is (size class, md5 of id and text, id). Neighbours have like sizes, so the words taken stay near the
 target. A chunk of the order is (source, size class, first hex digits of the md5): the running sum is a
 row_number inside a chunk plus the counts of the chunks before it, so no source is sorted in one task, and how
-many hex digits make a chunk changes the plan but not the result.
+many hex digits make a chunk changes the plan but not the result. Rows without an id, and rows of one id, are spread
+over the chunks by their texts.
 
-Defined cases: null text has size 0; a null source is a source of its own, ordered last; a null id has the md5
-of the empty text; equal rows are interchangeable, as they get neighbouring places; an empty table gives an
-empty mix. No document is emitted more often than ``cap`` times.
+Defined cases: null text has size 0, very long texts count whole; a null source is a source of its own, ordered last;
+a null id counts as the empty text in the md5; equal rows are interchangeable, as they get neighbouring places; an
+empty table gives an empty mix; extra columns, whatever their names (but for those that begin with ``__ng_``), come
+along in `mix` and are not read. No document is emitted more often than ``cap`` times.
 """
 
 from __future__ import annotations
@@ -35,8 +37,15 @@ def word_count(text: Column) -> Column:
 
 def size_class(size: Column) -> Column:
     """Bit length and the two bits after the first: classes whose sizes differ by a fifth or so."""
-    n = F.length(F.bin(size))
-    return n * 4 + F.when(n > 3, F.expr("shiftrightunsigned(__ng_size, length(bin(__ng_size)) - 3)") % 4).otherwise(0)
+    bits = F.bin(size)
+    n = F.length(bits)
+    return n * 4 + F.when(n > 3, F.conv(F.substring(bits, 2, 2), 2, 10).cast("int")).otherwise(0)
+
+
+def place(id_: Column, text: Column) -> Column:
+    """What the order inside a size class goes by."""
+    part = F.coalesce(id_.cast("string"), F.lit(""))
+    return F.md5(F.concat(part, F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = CAP) -> DataFrame:
@@ -74,12 +83,13 @@ def offset_of(source: Column) -> Column:
     return F.conv(F.substring(digest, 1, 4), 16, 10).cast("double") / 65536
 
 
-def copies(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", cap: int = CAP, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Per row of ``df``: id, source, size, source_size, target, copies. Only these narrow columns are shuffled."""
-    slim = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("__ng_size"))
+def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cap: int = CAP, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Per row of ``df``: id, h, source, size, source_size, target, copies. Only these narrow columns are shuffled."""
+    text = F.col(text_col)
+    slim = df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("__ng_size"), place(F.col(id_col), text).alias("h"))
     n = slim.count()
     digits = max(0, math.ceil(math.log(max(n, 1) / chunk_rows, 16)))
-    slim = slim.withColumn("cls", size_class(F.col("__ng_size"))).withColumn("h", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")))
+    slim = slim.withColumn("cls", size_class(F.col("__ng_size")))
     slim = slim.withColumn("part", F.substring("h", 1, digits) if digits else F.lit(""))
     chunk = slim.groupBy("source", "cls", "part").agg(F.count("*").alias("n"), F.sum("__ng_size").alias("words"))
     classes = chunk.groupBy("source", "cls").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
@@ -94,7 +104,7 @@ def copies(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str
     step = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     k = F.col("before") + F.col("rn")
     crossed = F.floor(k * step + offset_of(F.col("source"))) - F.floor((k - 1) * step + offset_of(F.col("source")))
-    return out.select("id", "source", F.col("__ng_size").alias("size"), "source_size", "target", crossed.alias("copies"))
+    return out.select("id", "h", "source", F.col("__ng_size").alias("size"), "source_size", "target", crossed.alias("copies"))
 
 
 def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -106,12 +116,11 @@ def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cap: int = CAP) -> DataFrame:
     """The mixed table: rows of ``df``, all columns, each as often as its number of copies says (0 to ``cap``).
 
-    Rows of equal id, source and size share out the copies that they got together.
+    Rows of equal id, source and text share out the copies that they got together.
     """
-    size = word_count(F.col(text_col))
-    plan = copies(df, size, id_col, source_col, cap).select(F.xxhash64("id", "source", "size").alias("__ng_key"), "copies")
+    plan = copies(df, id_col, text_col, source_col, cap).select(F.xxhash64("h", "source").alias("__ng_key"), "copies")
     plan = plan.groupBy("__ng_key").agg(F.sum("copies").alias("__ng_sum"), F.count("*").alias("__ng_n"))
-    keyed = df.withColumn("__ng_key", F.xxhash64(F.col(id_col), F.col(source_col), size))
+    keyed = df.withColumn("__ng_key", F.xxhash64(place(F.col(id_col), F.col(text_col)), F.col(source_col)))
     hit = keyed.join(plan.where(F.col("__ng_sum") > 0), "__ng_key")
     hit = hit.withColumn("__ng_rn", F.row_number().over(W.partitionBy("__ng_key").orderBy(F.xxhash64(F.col(text_col)))))
     share = F.expr("__ng_sum div __ng_n + if(__ng_rn <= __ng_sum % __ng_n, 1, 0)").cast("int")
@@ -120,15 +129,15 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    c = copies(docs, word_count(F.col("text")))
+    c = copies(table(spark, sf_dir, "documents"))
     return c.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", F.col("copies").cast("long").alias("copies"))
 
 
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w, 3 * source_size AS most FROM s),
@@ -140,7 +149,7 @@ l AS (SELECT *, first_value(left_ / w_left) OVER (ORDER BY CASE WHEN left_ / w_l
 t AS (SELECT source, source_size,
              CASE WHEN any_open = 0 THEN CAST(most AS DOUBLE) ELSE least(CAST(most AS DOUBLE), w * level) END AS target,
              CAST(CAST('0x' || substr(md5(coalesce('s:' || source, 'null')), 1, 4) AS INTEGER) AS DOUBLE) / 65536 AS u FROM l),
-c AS (SELECT *, length(bin(size)) AS b, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM d),
+c AS (SELECT *, length(bin(size)) AS b FROM d),
 k AS (SELECT *, row_number() OVER (PARTITION BY source
         ORDER BY b * 4 + CASE WHEN b > 3 THEN (size >> (b - 3)) % 4 ELSE 0 END, h, doc_id NULLS FIRST, size) AS k FROM c),
 e AS (SELECT k.doc_id, k.source, k.size, k.k, t.source_size, t.target, t.u,
