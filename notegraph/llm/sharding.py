@@ -4,10 +4,13 @@ A record's key is a 64-bit hash of its text, so equal texts are neighbours. Keys
 proportion to the record's size; quantiles of the draw are the splitters of many small ranges. A range that turns
 out overfull is subdivided: its own keys are drawn anew with a chance fitted to that range. The ranges, of which
 there is a fixed number per shard, then fill the shards, largest first into the emptiest. Equal texts stay in one
-shard, but for a text whose copies together exceed a shard's share: those copies are dealt by id.
+shard, but for a text whose copies together exceed a shard's share: shards of near equal bytes cannot hold it whole, so
+those copies are dealt singly.
 
-Defined cases: null text has size 1 (no bytes, plus 1) and the key of the empty text's hash seed; an empty table
-gives no rows; repeated rows get slots of their own; extra columns are never read.
+Defined cases: null text has size 1 (no bytes, plus 1) and the key of the empty text's hash seed; very long texts stay
+whole; an empty table gives no rows; repeated rows get slots of their own and null ids come first, and wherever rows
+are drawn or dealt singly that goes by their place in a written table, so neither kind gathers in one task; extra
+columns, whatever their names, are never read.
 """
 
 from __future__ import annotations
@@ -48,7 +51,7 @@ def _range_of(key: Column, splitters: list[int]) -> Column:
 
 
 def _draw(slim: DataFrame, keep: Column, chance: Column) -> list[int]:
-    return sorted(r[0] for r in slim.where(keep & (_uniform(F.col("key"), F.col("id"), F.lit(7)) < chance)).select("key").collect())
+    return sorted(r[0] for r in slim.where(keep & (_uniform(F.col("key"), F.col("row"), F.lit(7)) < chance)).select("key").collect())
 
 
 def _quantiles(keys: list[int], n: int) -> list[int]:
@@ -56,7 +59,7 @@ def _quantiles(keys: list[int], n: int) -> list[int]:
 
 
 def splitters(slim: DataFrame, shards: int, total: int, ranges: int = RANGES, draws: int = DRAWS) -> list[int]:
-    """Boundaries of the ranges of ``slim (id, key, size)``; overfull ranges are subdivided until none can be."""
+    """Boundaries of the ranges of ``slim (row, key, size)``; overfull ranges are subdivided until none can be."""
     n = shards * ranges
     chance = F.col("size") * F.lit(n * draws / max(total, 1))
     found = _quantiles(_draw(slim, F.lit(True), chance), n)
@@ -93,7 +96,7 @@ def shard(df: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str
         F.crc32(F.coalesce(body, F.lit("")).cast("binary")).alias("text_crc32"),
         F.xxhash64(body).alias("key"),
     )
-    slim = materialize(slim, "sharding")
+    slim = materialize(slim.withColumn("row", F.monotonically_increasing_id()), "sharding")
     total = slim.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     n_rows = slim.count()
     found = splitters(slim, shards, total, ranges)
@@ -114,14 +117,14 @@ def shard(df: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str
     homes = F.array(*[F.lit(home.get(r, 0)) for r in range(len(found) + 1)])
     ranged = slim.withColumn("r", _range_of(F.col("key"), found))
     by_range = F.element_at(homes, F.col("r") + 1)
-    by_id = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(shards)).cast("int")
-    placed = ranged.withColumn("shard", F.when(F.col("r").isin(*split), by_id).otherwise(by_range) if split else by_range)
+    singly = F.pmod(F.xxhash64("row", F.lit(3)), F.lit(shards)).cast("int")
+    placed = ranged.withColumn("shard", F.when(F.col("r").isin(*split), singly).otherwise(by_range) if split else by_range)
     # slots: a row's place in its chunk plus the rows of the shard's chunks before
     salts = max(1, -(-n_rows // (shards * ranges * CHUNK_ROWS)))
-    placed = placed.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(salts if salts > 1 else 8)))
+    placed = placed.withColumn("salt", F.pmod(F.xxhash64("row", F.lit(5)), F.lit(salts if salts > 1 else 8)))
     chunks = placed.groupBy("shard", "r", "salt").agg(F.count("*").alias("n"))
     chunks = chunks.withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy("shard").orderBy("r", "salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    placed = placed.withColumn("rn", F.row_number().over(W.partitionBy("shard", "r", "salt").orderBy("key", F.col("id").asc_nulls_first())))
+    placed = placed.withColumn("rn", F.row_number().over(W.partitionBy("shard", "r", "salt").orderBy("key", F.col("id").asc_nulls_first(), "row")))
     return placed.join(chunks.drop("n"), ["shard", "r", "salt"]).select("id", "size", "text_crc32", "shard", (F.col("before") + F.col("rn") - 1).cast("long").alias("slot"))
 
 
