@@ -4,18 +4,23 @@ A sketch holds the k smallest distinct 64-bit hashes of a text's word shingles,
 the sketch of the whole, and two of them estimate resemblance, containment and the number of distinct shingles: the
 k smallest values of the union are a fair sample of the union's shingles, and those in both sketches are shared.
 
-Defined cases: a null text is empty; a text without words has an empty sketch; with fewer words than a shingle has,
-the whole sequence is the one shingle. Two empty sketches are alike (1.0), an empty and another are not (0.0).
-Repeated ids are ordered by their text's hash, null ids first; the one row of a table is its own next document.
+Defined cases: a null text is empty; very long texts count whole; a text without words has an empty sketch; with fewer
+words than a shingle has, the whole sequence is the one shingle. Two empty sketches are alike (1.0), an empty and another
+are not (0.0). Rows of one id are ordered by their text's hash, those without an id come first, and many of either kind
+are sorted in parts by that hash; the one row of a table is its own next document; an empty table gives no rows; extra
+columns, whatever their names, are never read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from notegraph.llm.common import lower_ascii, shingle_hashes, table, text_or_empty, words
+from notegraph.llm.sharding import _range_of
 
 K, SHINGLE = 64, 3
 #: Rows that are sorted together to find each document's next one.
@@ -69,23 +74,28 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], chunk_rows: int =
 
     Rows marked ``__ng_guest`` are those copies; a lead over ``next_window()`` then never has to leave its chunk.
     """
-    n = df.count()
-    chunks = max(1, min(MOST_CHUNKS, n // chunk_rows))
     key = F.col(id_col)
+    n, no_id = df.agg(F.count("*"), F.count_if(key.isNull())).first()
+    chunks = max(1, min(MOST_CHUNKS, (n - no_id) // chunk_rows))
+    met = Counter()
     if chunks > 1:
         shares = [i / chunks for i in range(1, chunks)]
-        bounds = sorted(set(df.agg(F.percentile_approx(key, shares, max(10_000, 10 * chunks))).first()[0]))
-    else:
-        bounds = []
-    from notegraph.llm.sharding import _range_of
-
-    chunk = F.coalesce(_range_of(key, bounds), F.lit(0)) if bounds else F.lit(0)
+        met = Counter(df.agg(F.percentile_approx(key, shares, max(10_000, 10 * chunks))).first()[0])
+    # an id that fills chunks has a range of its own, which is cut by the hash of the rows; so are rows without an id
+    parts = {x: c + 1 for x, c in met.items() if c > 1}
+    bounds = sorted(set(met) | {x + 1 for x in parts})
+    many = F.lit(max(1, no_id // chunk_rows))
+    for x, c in parts.items():
+        many = F.when(key == x, c).otherwise(many)
+    h = F.xxhash64(*columns)
+    split = F.when(key.isNull() | key.isin(*parts), F.floor((h.cast("double") / float(1 << 64) + 0.5) * many)).otherwise(0)
+    chunk = F.when(key.isNull(), -1).otherwise(_range_of(key, bounds)).cast("long") * (1 << 30) + split
     rows = df.withColumn("__ng_chunk", chunk)
-    order = [key.isNotNull(), key, F.xxhash64(*columns)]
+    order = [key.isNotNull(), key, h]
     heads = rows.groupBy("__ng_chunk").agg(F.min(F.struct(order[0].alias("a"), key.alias("id"), order[2].alias("h"))).alias("head"))
     before = F.coalesce(F.lag("__ng_chunk").over(W.orderBy("__ng_chunk")), F.max("__ng_chunk").over(W.partitionBy(F.lit(1))))
     heads = heads.select("head", before.alias("__ng_to"))  # a row per chunk
-    match = key.eqNullSafe(F.col("head.id")) & (F.xxhash64(*columns) == F.col("head.h"))
+    match = key.eqNullSafe(F.col("head.id")) & (h == F.col("head.h"))
     guests = rows.join(F.broadcast(heads), match).dropDuplicates(["__ng_to"])
     guests = guests.select(*df.columns, F.col("__ng_to").alias("__ng_chunk"), F.lit(True).alias("__ng_guest"))
     return rows.select(*df.columns, "__ng_chunk", F.lit(False).alias("__ng_guest")).unionByName(guests)
