@@ -6,15 +6,18 @@ probabilities are fitted by expectation maximisation (forward and backward sums
 sample of labelled texts; the prediction is the language with the largest posterior.
 
 Words are maximal runs of letters, lower-cased, cut every ``RUN`` letters so that no product underflows. Whole texts
-count; each worker remembers the scores of words that it has seen.
+count, very long ones in parts; each worker remembers the scores of words that it has seen. The score is the posterior
+of the whole text's words, so it is close to 1 for all but short texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any labelled text everything
 is ``und``; ties go to the language that sorts first; letters that training never saw have one small probability in
-every language.
+every language; repeated rows are rows; an empty table gives no rows; extra columns, whatever their names, are never
+read by the operator and stay where they are.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,9 +30,10 @@ from pyspark.sql import functions as F
 from notegraph.llm.common import table
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Labelled texts per language that the fit reads, about: the bound on what reaches the driver.
-SAMPLE_DOCS = 400
-RUN, LONGEST = 32, 12
+#: Labelled texts per language that the fit reads, about, and the most frequent (word, language) counts of these texts
+#: that it is fitted on: the bounds on what reaches the driver.
+SAMPLE_DOCS, SAMPLE_WORDS = 400, 400_000
+RUN = 32
 UNSEEN = 1e-7
 #: Word scores that a worker remembers; words that are scored at once.
 REMEMBERED, AT_ONCE = 400_000, 200_000
@@ -47,7 +51,7 @@ def vocabulary_pieces(path: str | None = None) -> list[str]:
         path = public_tokenizers.path(VOCABULARY)
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in pieces if len(p) <= LONGEST and re.fullmatch(r"▁?[^\W\d_]+", p))
+    return sorted(p for p in pieces if re.fullmatch(r"▁?[^\W\d_]+", p))
 
 
 @dataclass
@@ -68,8 +72,16 @@ class Model:
     def __init__(self, languages: list[str], pieces: dict[str, int], p: np.ndarray):
         self.languages, self.pieces, self.p = languages, pieces, p
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "beginnings"}  # made anew on each worker
+
+    @functools.cached_property
+    def beginnings(self) -> frozenset:
+        """What pieces begin with: where a text leaves it, no longer piece can match."""
+        return frozenset(p[:n] for p in self.pieces for n in range(1, len(p) + 1))
+
     def lattice(self, words: list[str]) -> Lattice:
-        get, unseen = self.pieces.get, len(self.pieces)
+        get, unseen, beginnings = self.pieces.get, len(self.pieces), self.beginnings
         word, start, piece, end = [], [], [], []
         lengths = np.empty(len(words), np.int64)
         for w, text in enumerate(words):
@@ -78,8 +90,11 @@ class Model:
             lengths[w] = n
             for i in range(n):
                 single = True
-                for j in range(i + 1, min(n, i + LONGEST) + 1):
-                    k = get(text[i:j])
+                for j in range(i + 1, n + 1):
+                    part = text[i:j]
+                    if part not in beginnings:
+                        break
+                    k = get(part)
                     if k is not None:
                         word.append(w)
                         start.append(i)
@@ -118,12 +133,11 @@ class Model:
             out[at : at + len(part)] = np.log(np.maximum(self.forward(lat)[np.arange(len(part)), lat.lengths], 1e-300))
         return out
 
-    def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
+    def expected(self, lat: Lattice, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece in each language: forward times backward sums."""
-        lat = self.lattice(words)
         alpha = self.forward(lat)
         beta = np.zeros_like(alpha)
-        rows = np.arange(len(words))
+        rows = np.arange(lat.n_words)
         beta[rows, lat.lengths] = 1
         order = np.lexsort((lat.word, lat.start))
         word, start, piece, end = (x[order] for x in (lat.word, lat.start, lat.piece, lat.end))
@@ -144,11 +158,12 @@ class Model:
 
 def fit(docs: DataFrame, languages: list[str], pieces: list[str], rounds: int = 3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
     """Fit on about ``sample_docs`` of the given labelled texts per language, drawn by a hash of the id."""
-    counts = {r[0]: r[1] for r in docs.groupBy(lang_col).count().collect()}
-    rate = F.element_at(F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / v)))]), F.col(lang_col))
+    sizes = {r[0]: r[1] for r in docs.groupBy(lang_col).count().collect()}
+    rate = F.element_at(F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / v)))]), F.col(lang_col))
     drawn = F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.lit(1 << 30)) / float(1 << 30) < rate
     found = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(rf"(\p{{L}}{{1,{RUN}}})"), F.lit(1)))
-    rows = docs.where(drawn).select(F.col(lang_col).alias("lang"), found.alias("w")).groupBy("w", "lang").count().toPandas()
+    rows = docs.where(drawn).select(F.col(lang_col).alias("lang"), found.alias("w")).groupBy("w", "lang").count()
+    rows = rows.orderBy(F.col("count").desc(), "w", "lang").limit(SAMPLE_WORDS).toPandas()
     words = sorted(w for w in rows["w"].unique() if WORDS.fullmatch(w))
     place = {w: i for i, w in enumerate(words)}
     rows = rows[rows["w"].isin(place)]
@@ -158,10 +173,11 @@ def fit(docs: DataFrame, languages: list[str], pieces: list[str], rounds: int =
     for c in sorted({c for w in words for c in w} | {"▁"}):
         index.setdefault(c, len(index))
     model = Model(languages, index, np.full((len(index) + 1, len(languages)), 1.0 / (len(index) + 1)))
+    lattices = [(model.lattice(words[at : at + 20_000]), n[at : at + 20_000]) for at in range(0, len(words), 20_000)]
     for _ in range(rounds):
         use = np.zeros_like(model.p)
-        for at in range(0, len(words), 20_000):
-            use += model.expected(words[at : at + 20_000], n[at : at + 20_000])
+        for lat, counts in lattices:
+            use += model.expected(lat, counts)
         use += 0.02
         model.p = use / use.sum(axis=0)
         model.p[-1] = UNSEEN

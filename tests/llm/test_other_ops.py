@@ -4,6 +4,7 @@ import base64
 import hashlib
 import io
 import json
+import random
 import zipfile
 
 import numpy as np
@@ -112,6 +113,66 @@ def test_html_tables(spark, sf):
         assert got[r.page_id].n_chars == len(got[r.page_id].text)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_tree_matching_brute(seed):
+    """Random small trees against all order-preserving ways to match their children."""
+    rng = random.Random(seed)
+
+    def grow(depth):
+        if not depth or rng.random() < 0.3:
+            return rng.choice("stu")
+        tag = rng.choice(["b", "i", 'i class="k"'])
+        return f"<{tag}>" + "".join(grow(depth - 1) for _ in range(rng.randrange(4))) + f"</{tag[0]}>"
+
+    def brute(x, y):
+        if x.tag == "#":
+            return 1 + (x.text == y.text)
+        return x.size if x.sum == y.sum else 1 + (x.label == y.label) + ways(x.kids, y.kids)
+
+    def ways(xs, ys):
+        if not xs or not ys:
+            return 0
+        return max(ways(xs[1:], ys), *(brute(xs[0], y) + ways(xs[1:], ys[j + 1 :]) for j, y in enumerate(ys) if y.tag == xs[0].tag), 0)
+
+    for _ in range(20):
+        a, b = (html_extract.parse("".join(grow(3) for _ in range(3))) for _ in range(2))
+        score, leaves = html_extract.best_match(a, b)
+        assert score == brute(a, b)
+        assert len({id(x) for x, _ in leaves}) == len(leaves) == len({id(y) for _, y in leaves})
+
+
+def test_tree_matching_prefers_more():
+    a = html_extract.parse("<ul><li>s</li><li><b>x</b><i>y</i><u>z</u></li></ul>")
+    b = html_extract.parse("<ul><li><b>x</b><i>y</i><u>z</u></li></ul>")
+    assert sorted(x.text for x, _ in html_extract.match_trees(a, b)) == ["x", "y", "z"]
+
+
+def test_html_without_article_marks(spark, sf):
+    """On the given pages nothing depends on the tag that marks the article."""
+    p = spark.read.parquet(f"{sf}/pages.parquet")
+    bare = p.withColumn("html", F.regexp_replace("html", "</?article>", ""))
+    rows = lambda df: {r.id: r.blocks for r in html_extract.extract(df).collect()}
+    assert rows(p) == rows(bare)
+
+
+def test_html_wrapper_knows_chrome(spark):
+    """A menu, an advert or a foot that one page does not mark is known by its place in the host's other pages."""
+    page = "<html><body><div{1}>Buy {0} now</div><div><p>Story {0} begins</p><p>and it ends {0}</p></div><div{2}>Foot {0}</div></body></html>"
+    rows = [(i, f"http://w.example/{i}", page.format(i, *(("", "") if i == 3 else (" class=ad", " class=footer")))) for i in range(12)]
+    assert texts(pages(spark, rows)) == {i: [f"Story {i} begins", f"and it ends {i}"] for i in range(12)}
+
+
+def test_html_keeps_what_is_no_chrome(spark):
+    """Lists of links, formulas, drawings and open dialogs are text; deep elements keep their blocks and marks."""
+    deep = "<div>" * 300
+    rows = [
+        (1, "http://a/", "<ul><li><a href=x>One</a></li><li><a href=y>Two</a></li></ul>"),
+        (2, "http://b/", "<article><p>E = <math><mi>m</mi><mi>c</mi></math></p><svg><title>icon</title><text>Label</text></svg><object>An object</object><dialog>No</dialog><dialog open>Yes</dialog></article>"),
+        (3, "http://c/", deep + "<div>a</div>b<nav>menu <i>x</i></nav><p>c</p>" + "</div>" * 300),
+    ]
+    assert texts(pages(spark, rows)) == {1: ["One", "Two"], 2: ["E = mc", "LabelAn object", "Yes"], 3: ["a", "b", "c"]}
+
+
 def test_tree_matching_is_best():
     a = html_extract.parse("<div><p>x</p><ul><li>1</li></ul><p>y</p></div>").children[0]
     b = html_extract.parse("<div><ul><li>1</li><li>2</li></ul><p>y</p></div>").children[0]
@@ -121,12 +182,27 @@ def test_tree_matching_is_best():
 # --- top-k
 
 
-def test_long_vectors_fail(spark):
-    """No dimension is dropped silently."""
-    code = lambda n: mih.sign_codes(spark.createDataFrame([(1, [1.0] * n)], "vec_id long, embedding array<double>")).collect()
-    assert [r.code for r in code(64)] == [-1] and [r.code for r in code(3)] == [7]
-    with pytest.raises(Exception, match="64 bits"):
-        code(65)
+def test_codes_have_all_values(spark):
+    code = lambda n: [list(r.code) for r in mih.sign_codes(spark.createDataFrame([(1, [1.0] * n)], "vec_id long, embedding array<double>")).collect()]
+    assert code(64) == [[-1]] and code(3) == [[7]] and code(65) == [[-1, 1]] and code(128) == [[-1, -1]]
+
+
+@pytest.mark.parametrize("segments", [None, 3, 40])
+def test_topk_wide(spark, segments):
+    """Vectors of 128 values, and shorter ones among them, against all distances; 40 segments lie across words."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=128 if i % 9 else 100)]) for i in range(300)]
+    rows += [(1000 + i, [x if rng.random() > 0.05 else -x for x in v]) for i, v in rows[:100]]
+    codes = mih.sign_codes(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = {tuple(r) for r in mih.topk(codes, codes.where("id % 10 = 0"), 5, segments).collect()}
+    # the bits of a word as a number, first value first, as the docstring says of vectors that end early
+    pack = lambda v: tuple(int("".join("01"[x >= 0] for x in v[at : at + 64]) or "0", 2) for at in (0, 64))
+    bits, want = {i: pack(v) for i, v in rows}, set()
+    for q in bits:
+        if q % 10 == 0:
+            near = sorted((sum((a ^ b).bit_count() for a, b in zip(bits[q], bits[i], strict=True)), i) for i in bits if i != q)[:5]
+            want |= {(q, i, d, k + 1) for k, (d, i) in enumerate(near)}
+    assert got == want
 
 
 def test_topk_sql(spark, sf, duck, same):
@@ -156,6 +232,8 @@ def test_topk_odd(spark):
     assert got == {(1, 3, 0), (1, 4, 1), (3, 1, 0), (3, 4, 1), (4, 1, 1), (4, 3, 1)}
     none = codes.where("id < 0")
     assert mih.topk(none, none, 5).count() == 0
+    extra = codes.withColumns({c: F.lit("x") for c in ("first", "d", "val", "seg", "worst", "block", "part", "rn")})
+    assert mih.topk(extra, extra, 5).count() == 6
 
 
 # --- chat
@@ -182,29 +260,62 @@ def test_chat_table(spark, sf):
 
 def test_chat_odd(spark):
     texts = ["", None, "\\", "\\\\", "###", "\\###", "</turn>", "x</turn>\n### User:\n", "a\\</turn>\\", "ends with \\", "é\U0001f600\r\n\x00"]
-    rows = [(1, i, ("user", "assistant", None, "we:ird\nro\\le ###")[i % 4], t) for i, t in enumerate(texts * 3)]
-    rows += [(2, i, "assistant", f"t{i}") for i in range(700)] + [(None, 0, "user", "hi"), (3, 0, "user", "b"), (3, 0, "user", "a"), (3, 0, "user", "a")]
+    rows = [(1, i, ("user", "assistant", None, "we:ird\nro\\le ### \0\\n a\0b")[i % 4], t) for i, t in enumerate(texts * 3)]
+    rows += [(2, i, "assistant", f"t{i}") for i in range(700)] + [(None, 0, "user", "hi"), (None, 0, "assistant", "a"), (3, 0, "user", "b"), (3, 0, "user", "a"), (3, 0, "user", "a")]
     df = spark.createDataFrame([(*r, "c") for r in rows], "conv_id long, turn long, role string, text string, conv string")
     formatted = chat.format_conversations(df)
-    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(formatted).collect()}
-    assert got == digests(rows)
+    rows = [(-10 - i if r[0] is None else r[0], *r[1:]) for i, r in enumerate(rows)]  # rows without an id stand alone
+    got = [tuple(r)[:5] for r in chat.read_back(formatted).collect()]
+    assert sorted(map(repr, got)) == sorted(repr((None if k < 0 else k, *v)) for k, v in digests(rows).items())
     assert formatted.where("rewrote_at is not null").count() == 0
-    assert formatted.where("conv = 2").count() == 3  # windows
+    assert formatted.where("conv = 2").count() == 1 and formatted.where("conv is null").count() == 2
+    for r in formatted.collect():  # the mask holds the assistant's text and no mark
+        for m in r.spans:
+            if m.loss_start is not None:
+                assert r.formatted[m.start : m.loss_start] == "### assistant:\n" and r.formatted[m.loss_end : m.end] == "</turn>\n"
     assert chat.read_back(chat.format_conversations(df.where("conv_id = 99"))).count() == 0
 
 
 def test_chat_spans_of_other_templates():
     turns = [("user", "a<"), ("assistant", "b"), ("user", "c")]
-    closing = lambda ts, _: "<s>" + "".join(f"<{r}>{t}" for r, t in ts) + "</s>"
+    closing = lambda ts: "<s>" + "".join(f"<{r}>{t}" for r, t in ts) + "</s>"
     text, found, rewrote = chat.spans(closing, turns)
     assert rewrote is None and [text[a:b] for a, b in found] == ["<user>a<", "<assistant>b", "<user>c"]
 
-    def forgetful(ts, _):  # leaves out what assistants said before the last turn
+    def forgetful(ts):  # leaves out what assistants said before the last turn
         return "".join(f"[{r}]{t if r == 'user' or i == len(ts) - 1 else ''}" for i, (r, t) in enumerate(ts))
 
     assert chat.spans(forgetful, turns)[2] == 2
 
 
+@pytest.mark.parametrize("said", ["", "<", "</", "</t>", "\n</turn>", "> x <", "00", "1", "0</s>", "assistant"])
+def test_chat_mask_of_other_templates(said):
+    """The place of a text is found from outside, even if it begins or ends like the marks around it."""
+    turns = [("user", "q"), ("assistant", said), ("user", "</"), ("assistant", said + "!")]
+    for template in (
+        lambda ts: "<s>" + "".join(f"<{r}>{t}</{r}>" for r, t in ts) + "</s>",
+        lambda ts: "".join(f"{r}: {t}\n" for r, t in ts),
+        lambda ts: "".join(f"<t>{t}" for r, t in ts) + "<t>",
+        chat.MarkedTemplate(),
+    ):
+        text, marks, rewrote = chat.rendered(template, turns, ("assistant",))
+        assert rewrote is None
+        under = [text[m["loss_start"] : m["loss_end"]] for m in marks if m["loss_start"] is not None]
+        want = [said, said + "!"]
+        assert [chat.MarkedTemplate.unescape(x) for x in under] == want if isinstance(template, chat.MarkedTemplate) else under == want
+
+
+def test_chat_rewrites_long_ago(spark):
+    """A template that drops all but the last 300 turns is found out at turn 300 of 600."""
+    turns = [(7, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(600)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = chat.format_conversations(df, lambda ts: "".join(f"[{r}]{t}" for r, t in ts[-300:])).collect()
+    assert len(got) == 1 and got[0].rewrote_at == 300
+    for m in got[0].spans:  # no mask where the text no longer stands
+        if m.loss_start is not None:
+            assert got[0].formatted[m.loss_start : m.loss_end] == f"t{m.turn}"
+
+
 # --- WARC
 
 
@@ -227,8 +338,9 @@ def test_warc_round_trip_odd(spark, tmp_path):
     rows = [(1, "http://a/\r\nX: y", "same"), (2, None, "same"), (2, None, "same"), (3, "u", None), (4, "ü", ""), (None, "n", "same"), (5, "u", "\r\n\r\nWARC/1.1\r\n" * 50), (6, "u", "x" * 300_000)]
     df = pages(spark, rows)
     records = warczip.with_revisits(df, "page_id", "html", "url")
-    archives = warczip.write_archives(records, f"file://{tmp_path}/w", archive_bytes=500)
-    got = warczip.read_archives(archives, piece=2).collect()
+    archives = warczip.write_archives(records.coalesce(2), f"file://{tmp_path}/w", archive_bytes=2000, piece=2)
+    assert archives.agg(F.max(F.size("marks"))).first()[0] > 2
+    got = warczip.read_archives(archives).collect()
     assert len(got) == len(rows)
     key = lambda r: (str(r.page_id), r.payload_bytes, r.record_type, str(r.refers_to))
     want = [("1", 4, "revisit", "2"), ("2", 4, "response", "None"), ("2", 4, "response", "None"), ("3", 0, "revisit", "4"), ("4", 0, "response", "None"), ("None", 4, "response", "None"), ("5", 14 * 50, "response", "None"), ("6", 300_000, "response", "None")]
@@ -275,7 +387,7 @@ def test_archive_layout(tmp_path):
     w = warczip.ArchiveWriter(f"file://{tmp_path}/a.wacz")
     for i in range(3):
         w.add(f"u{i}", warczip.record("response", f"u{i}", b"p" * i, i))
-    path, n = w.close()
+    path, n, marks = w.close()
     with zipfile.ZipFile(f"{tmp_path}/a.wacz") as z:
         assert n == 3 and z.testzip() is None and all(i.compress_type == 0 for i in z.infolist())
         assert len(json.loads(z.read("datapackage.json"))["resources"]) == 2
@@ -305,7 +417,7 @@ def test_pipeline_stages(spark, sf, tmp_path):
         elif name == "near_duplicates":
             assert kept == sorted(k for k, _, c in brute_components(rows, 5) if k == c)
         elif name == "mixing":
-            plan = mixing.copies(before, mixing.word_count(F.col("text"))).collect()
+            plan = mixing.copies(before).collect()
             assert kept == sorted(i for r in plan for i in [r["id"]] * r["copies"])
         else:
             ids = {}

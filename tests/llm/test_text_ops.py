@@ -78,7 +78,7 @@ def test_forward_sums_all_segmentations():
     words = ["a", "ab", "abab", "bbaab", "baba"]
     assert np.allclose(model.score(words), [brute("▁" + w) for w in words])
     # expected uses: each letter of a word is covered once
-    use = model.expected(words, np.ones((len(words), 2)))
+    use = model.expected(model.lattice(words), np.ones((len(words), 2)))
     covered = sum(use[i] * len(p) for p, i in pieces.items())
     assert np.allclose(covered, sum(len(w) + 1 for w in words))
 
@@ -116,12 +116,18 @@ def test_mixing_sql(spark, sf, duck, same):
 
 def test_mixing_chunks_do_not_matter(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
-    size = mixing.word_count(F.col("text"))
-    one = {r[0]: r["copies"] for r in mixing.copies(df, size).collect()}
-    many = {r[0]: r["copies"] for r in mixing.copies(df, size, chunk_rows=3).collect()}
+    one = {r[0]: r["copies"] for r in mixing.copies(df).collect()}
+    many = {r[0]: r["copies"] for r in mixing.copies(df, chunk_rows=3).collect()}
     assert one == many
 
 
+def test_mixing_spreads_rows_of_one_id(spark):
+    """Rows without an id, or of one id, do not gather in one chunk of the order."""
+    df = spark.range(400).select(F.when(F.col("id") % 2 == 0, 7).alias("doc_id"), F.concat(F.lit("one two three "), F.col("id").cast("string")).alias("text"), F.lit("s").alias("source"))
+    assert mixing.copies(df).select("h").distinct().count() == 400
+    assert sorted(r.text for r in mixing.mix(df).collect()) == sorted(r.text for r in df.collect())
+
+
 def test_mixing_targets(spark):
     sizes = {"a": 10, "b": 1000, "c": 5000, None: 90}
     df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
@@ -144,12 +150,12 @@ def test_mixing_targets(spark):
 
 def test_mix_odd(spark):
     df = odd_rows(spark)
-    c = mixing.copies(df, mixing.word_count(F.col("text"))).collect()
+    c = mixing.copies(df).collect()
     assert len(c) == df.count() and all(0 <= r["copies"] <= 3 for r in c)
     out = mixing.mix(df)
     assert out.columns == df.columns and out.count() == sum(r["copies"] for r in c)
     assert mixing.mix(empty(spark)).count() == 0
-    everything = mixing.copies(df.where("source = 'a'"), mixing.word_count(F.col("text"))).collect()
+    everything = mixing.copies(df.where("source = 'a'")).collect()
     assert {r["copies"] for r in everything} == {1}  # one source alone takes all of itself
 
 
@@ -365,6 +371,15 @@ def test_sharding_hot_text(spark):
     assert len(loads) == 16 and max(loads.values()) <= 1.15 * min(loads.values())
 
 
+def test_sharding_copies_without_ids(spark):
+    """Copies of a text above a shard's share are dealt evenly, even if they have one id or none."""
+    df = spark.range(3000).select(F.when(F.col("id") % 2 == 0, 7).alias("doc_id"), F.when(F.col("id") % 3 < 2, "the one text that is everywhere").otherwise(F.concat(F.lit("some text of number "), F.col("id").cast("string"))).alias("text"))
+    loads = defaultdict(int)
+    for r in check_shards(df, [(r.doc_id, r.text) for r in df.collect()]):
+        loads[r.shard] += r.size
+    assert len(loads) == 16 and max(loads.values()) <= 1.25 * min(loads.values())
+
+
 def test_sharding_odd(spark):
     df = odd_rows(spark)
     check_shards(df, [(r.doc_id, r.text) for r in df.collect()])
@@ -426,6 +441,19 @@ def test_fingerprints_odd(spark, tmp_path):
     assert fingerprint.op8_fingerprints(spark, f"{tmp_path}/c").count() == 0
 
 
+def test_next_rows_of_one_id(spark):
+    """The order (null ids first, then id, then hash) holds across chunks, also where one id or none fills many."""
+    rows = [(None if i < 60 else 5 if i < 150 else i // 2, f"text {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    w = fingerprint.next_window("doc_id", ["text"])
+    got = fingerprint.with_next(df, "doc_id", ["text"], 10)
+    assert got.groupBy("__ng_chunk").count().agg(F.max("count")).first()[0] < 40
+    after = got.withColumn("after", F.lead("text").over(w)).where("not __ng_guest").collect()
+    signed = lambda t: (h := xxhash.xxh64_intdigest(t.encode(), seed=42)) - (1 << 64 if h >= 1 << 63 else 0)
+    order = [t for k, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))]
+    assert {r.text: r.after for r in after} == dict(zip(order, order[1:] + order[:1], strict=True))
+
+
 def test_sketches_merge_and_estimate(spark):
     words = [f"w{i}" for i in range(3000)]
     parts = [" ".join(words[:2000]), " ".join(words[1000:])]
