@@ -11,6 +11,7 @@ from notegraph.llm import (
     mixing,
     neardup,
     packing,
+    runs,
     sharding,
     warczip,
 )
@@ -30,6 +31,7 @@ def queries():
         "op8_fingerprints": fingerprint.op8_fingerprints,
         "op9_chat_formatting": chat.op9_chat_formatting,
         "op10_warc": warczip.op10_warc,
+        "op12_periodic_runs": runs.op12_periodic_runs,
         "pipeline": corpus_pipeline.run,
     }
 
