@@ -13,6 +13,7 @@ from notegraph.llm import (
     packing,
     runs,
     sharding,
+    simhash,
     warczip,
 )
 
@@ -32,6 +33,7 @@ def queries():
         "op9_chat_formatting": chat.op9_chat_formatting,
         "op10_warc": warczip.op10_warc,
         "op12_periodic_runs": runs.op12_periodic_runs,
+        "op13_simhash": simhash.op13_simhash,
         "pipeline": corpus_pipeline.run,
     }
 
