@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from notegraph.llm import (
     chat,
+    convtrie,
     fingerprint,
     html_extract,
     langid,
@@ -32,6 +33,7 @@ def queries():
         "op8_fingerprints": fingerprint.op8_fingerprints,
         "op9_chat_formatting": chat.op9_chat_formatting,
         "op10_warc": warczip.op10_warc,
+        "op11_prefix_trie": convtrie.op11_prefix_trie,
         "op12_periodic_runs": runs.op12_periodic_runs,
         "op13_simhash": simhash.op13_simhash,
         "pipeline": corpus_pipeline.run,
@@ -42,4 +44,5 @@ def oracle_sql():
     return {
         "op2_mixing": mixing.OP2_SQL,
         "op6_exact_topk": mih.OP6_SQL,
+        "op11_prefix_trie": convtrie.OP11_SQL,
     }
