@@ -209,11 +209,20 @@ def _ascii(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
 
 
+APOSTROPHES = str.maketrans({"’": "'", "‘": "'", "‛": "'", "`": "'"})
+
+
+def folded(x: str) -> str:
+    """Typographic apostrophes to plain ones, compatibility decomposition, case folding."""
+    if x.isascii():
+        return x.replace("`", "'").lower()
+    return unicodedata.normalize("NFKD", x.translate(APOSTROPHES)).casefold()
+
+
 @F.pandas_udf(T.StringType())
 def fold(s: pd.Series) -> pd.Series:
-    """Typographic apostrophes to plain ones, compatibility decomposition, case folding. Python: Spark cannot decompose."""
-    marks = str.maketrans({"’": "'", "‘": "'", "‛": "'", "`": "'"})
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKD", x.translate(marks)).casefold())
+    """`folded` as an expression. Python: Spark cannot decompose."""
+    return s.map(lambda x: None if x is None else folded(x))
 
 
 @F.pandas_udf(T.StringType())

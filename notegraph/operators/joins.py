@@ -3,73 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from notegraph.functions import text as X
+from notegraph.operators.matching import match_topics  # noqa: F401
 from notegraph.session import Scratch, materialize
 
-WORDS, LETTERS = r"[^\p{L}\p{N}_]+", r"[\p{L}\p{N}_]+"
-
-
-def _folded_words(c: Column) -> Column:
-    return F.filter(F.split(c, WORDS), lambda w: w != "")
-
-
-def _runs(c: Column, lengths: list[int]) -> Column:
-    """The distinct runs of so many words of a text, with what stands between the words."""
-    framed = F.concat(F.lit(" "), c, F.lit(" "))
-
-    def of(t: Column, n: int) -> Column:
-        words, seps = t["words"], t["seps"]
-        last = F.size(words) - 1 - n
-        run = lambda i: F.concat(*[part for k in range(n) for part in ((F.get(seps, i + (k - 1)),) if k else ()) + (F.get(words, i + k),)])
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), run)).otherwise(F.array().cast("array<string>"))
-
-    # words begin and end with an empty one; bound by a lambda, so a text is split once and not at each place
-    split = F.struct(F.split(framed, WORDS).alias("words"), F.split(framed, LETTERS).alias("seps"))
-    return F.element_at(F.transform(F.array(split), lambda t: F.array_distinct(F.concat(*[of(t, n) for n in lengths]))), 1)
-
-
-def _units(c: Column) -> Column:
-    """The distinct words of a text and its distinct other characters."""
-    return F.array_distinct(F.concat(_folded_words(c), F.split(F.regexp_replace(c, r"[\p{L}\p{N}_\s]+", ""), "")))
-
-
-def match_topics(notes: DataFrame, topics: DataFrame, folded: str = "folded") -> DataFrame:
-    """``(slug, rel_path, aliases)``: topics one of whose aliases stands in a note between word boundaries.
-
-    ``notes (rel_path, folded)``, ``topics (slug, alias, alias_pos)`` with folded aliases. A note's distinct runs of as
-    many words as aliases have are joined with the aliases, so no text is carried. Aliases that begin or end with
-    something else than a letter, a digit or ``_`` are looked for in the texts of those notes that have the rarest word
-    or mark of them.
-    """
-    t = topics.select("slug", "alias", "alias_pos").where("alias <> ''")
-    plain = F.col("alias").rlike(r"(?s)^[\p{L}\p{N}_](.*[\p{L}\p{N}_])?$")
-    n_words = F.size(_folded_words(F.col("alias")))
-    lengths = sorted(r[0] for r in t.where(plain).select(n_words).distinct().collect())  # no more than the longest alias has words
-    hits = t.where("false").select("slug", "alias", "alias_pos", F.lit("").alias("rel_path"))
-    if lengths:
-        runs = notes.select("rel_path", F.explode(_runs(F.col(folded), lengths)).alias("alias"))
-        hits = hits.unionByName(runs.join(t.where(plain), "alias").select("slug", "alias", "alias_pos", "rel_path"))
-    odd = t.where(~plain)
-    if not odd.isEmpty():
-        units = notes.select("rel_path", F.explode(_units(F.col(folded))).alias("unit"))
-        keys = odd.select("slug", "alias", "alias_pos", F.explode(_units(F.col("alias"))).alias("unit"))
-        often = units.join(keys.select("unit").distinct(), "unit", "left_semi").groupBy("unit").agg(F.count("*").alias("n"))
-        rn = F.row_number().over(W.partitionBy("slug", "alias_pos").orderBy("n", "unit"))
-        keys = keys.join(often, "unit").withColumn("rn", rn).where("rn = 1").drop("rn", "n")
-        pairs = units.join(keys, "unit").join(notes.select("rel_path", folded), "rel_path")
-        hits = hits.unionByName(pairs.where(F.rlike(folded, bounded(F.array("alias")))).select("slug", "alias", "alias_pos", "rel_path"))
-    return hits.groupBy("slug", "rel_path").agg(F.transform(F.array_sort(F.collect_list(F.struct("alias_pos", "alias"))), lambda x: x["alias"]).alias("aliases"))
-
-
-def bounded(aliases: Column) -> Column:
-    """A pattern for any of the (folded) aliases between word boundaries."""
-    quoted = F.transform(aliases, lambda a: F.concat(F.lit("\\Q"), F.replace(a, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
-    return F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}\p{N}_])"))
-
-
 def unmatched_notes(notes: DataFrame, matches: DataFrame) -> DataFrame:
     return notes.join(matches.select("rel_path").distinct(), "rel_path", "left_anti")
 

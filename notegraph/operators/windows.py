@@ -6,24 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from notegraph.functions import text as X
-from notegraph.operators.joins import bounded
+from notegraph.operators.matching import first_quotes  # noqa: F401
 from notegraph.session import Scratch, materialize
 
 
-def first_quotes(notes: DataFrame, aliases: str = "aliases", k: int = 4, body: str = "body", keys: tuple[str, ...] = ("rel_path",)) -> DataFrame:
-    """``(keys, quotes)``: the first k sentences of a note in which an alias stands between word boundaries.
-
-    Sentences and aliases (an array column) are folded for the comparison. Notes without a quote have no row.
-    """
-    s = notes.select(*keys, F.array_compact(aliases).alias("_aliases"), F.posexplode(X.sentences(F.col(body))).alias("pos", "quote"))
-    s = s.withColumn("_folded", X.fold("quote")).withColumn("_pattern", bounded(F.split(X.fold(F.array_join("_aliases", "\x01")), "\x01")))
-    hit = s.where((F.size("_aliases") > 0) & F.rlike("_folded", F.col("_pattern")))
-    w = W.partitionBy(*keys).orderBy("pos")
-    top = hit.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-    return top.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "quote"))), lambda x: x["quote"]).alias("quotes"))
-
-
 def rank_sources(sources: DataFrame, key: str = "slug") -> DataFrame:
     """Numbers a topic's sources B1, B2...: newest first, then most aliases and quotes, then path."""
     w = W.partitionBy(key).orderBy(F.col("mtime").desc(), F.col("hits").desc(), "rel_path")
