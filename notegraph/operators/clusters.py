@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notegraph.functions import text as X
-from notegraph.session import Scratch, materialize
+from notegraph.operators.components import components  # noqa: F401
+from notegraph.session import materialize
 
 
 # fixed values: least size and density of a cluster; scores for automatic creation (off) and for a proposal
@@ -49,29 +50,6 @@ def weighted_jaccard(pairs: DataFrame, noterefs: DataFrame, weights: DataFrame)
     return out.select("src", "dst", F.when(union > 0, shared / union).otherwise(0.0).alias("similarity"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``edges (src, dst)`` to ``(node, component)``, the smallest node of each.
-
-    Each round a node takes the smallest label among its neighbours, then the label of that label. Labels are written
-    to the shared folder each round, so lost executors cost one round at most; only one flag reaches the driver.
-    """
-    scratch = Scratch(edges.sparkSession, "components")
-    both = scratch.write(edges.select("src", "dst").union(edges.select(F.col("dst"), F.col("src"))).distinct(), "edges")
-    labels = scratch.write(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("dst"), "component"), "dst").groupBy("src").agg(F.min("component").alias("near"))
-        step = labels.join(near, labels["node"] == near["src"]).select("node", "component", F.least("component", "near").alias("hop"))
-        far = labels.select(F.col("node").alias("hop"), F.col("component").alias("far"))
-        new = step.join(far, "hop", "left").select("node", F.col("component").alias("old"), F.least("hop", F.coalesce("far", "hop")).alias("component"))
-        new = scratch.write(new, "labels")
-        moved = not new.where("component <> old").isEmpty()
-        labels = new.select("node", "component")
-        if not moved:
-            labels = materialize(labels, "components")
-            scratch.close()
-            return labels
-
-
 def density(edges: DataFrame, members: DataFrame) -> DataFrame:
     """``members (cluster, node)``: edges inside over possible pairs, 0 below two members."""
     a = members.select("cluster", F.col("node").alias("src"))

@@ -66,8 +66,8 @@ def _hits(notes: DataFrame, folded: str, aliases: list[str] | None) -> DataFrame
 
 def _units(c):
     """The distinct words of a text and its distinct other characters."""
-    words = F.filter(F.split(c, r"[^\p{L}\p{N}_]+"), lambda w: w != "")
-    return F.array_distinct(F.concat(words, F.split(F.regexp_replace(c, r"[\p{L}\p{N}_\s]+", ""), "")))
+    marks = F.split(F.regexp_replace(c, r"[\p{L}\p{N}_\s]+", ""), "")
+    return F.array_distinct(F.filter(F.concat(F.split(c, r"[^\p{L}\p{N}_]+"), marks), lambda x: x != ""))
 
 
 def _candidates(notes: DataFrame, aliases: DataFrame, folded: str) -> DataFrame:

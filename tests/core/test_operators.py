@@ -455,3 +455,51 @@ def test_ledger_stream(spark, tmp_path):
     got = {r.key: tuple(r.s) for r in last}
     assert got["a"][1:] == (2, True) and abs(got["a"][0] - (0.3 + 0.8)) < 1e-9 and got["b"][1:] == (1, False)
     assert set(got) == {"a", "b"}  # c never was above the floor
+
+
+def _labels(edges):
+    above = {}
+
+    def root(x):
+        above.setdefault(x, x)
+        while above[x] != x:
+            x = above[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        above[max(a, b)] = min(a, b)
+    return {x: root(x) for x in above}
+
+
+def test_components_of_hubs_and_chains(spark, monkeypatch):
+    """Hubs with a large and a small number, whose joins are heavy; a shuffled chain takes rounds by its logarithm."""
+    import random
+
+    from notegraph.operators import components as O
+
+    monkeypatch.setattr(O, "LEAST", 50)
+    rounds = []
+    write = O.Scratch.write
+    monkeypatch.setattr(O.Scratch, "write", lambda self, df, name: (rounds.append(name), write(self, df, name))[1])
+    rng = random.Random(1)
+    order = list(range(1000, 3000))
+    rng.shuffle(order)
+    edges = [(0, i) for i in range(1, 400)] + [(900, i) for i in range(500, 900)] + list(zip(order, order[1:])) + [(5000, 5000), (4000, 4001), (4001, 4001)]
+    got = {r.node: r.component for r in O.components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == _labels(edges)
+    assert rounds.count("moved") <= 14
+    assert O.components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_aliases_of_a_table_too_large_for_one_automaton(spark, monkeypatch):
+    from notegraph.operators import matching as M
+
+    n = spark.createDataFrame([("a", "c++ and .net, also c+++"), ("b", "plain c\nnet core, the cafe"), ("c", "x.net or c ++ net  core"), ("d", "!?"), ("e", "net core"), ("f", None), ("g", "")], "rel_path string, folded string")
+    rows = [("cpp", "c++", 0), ("net", ".net", 0), ("core", "net core", 0), ("odd", "?", 0), ("cafe", "cafe", 1), ("cafe", "the cafe", 0), ("none", "the c", 0), ("gone", "absent words", 0), ("blank", "", 0)]
+    t = spark.createDataFrame(rows, "slug string, alias string, alias_pos int")
+    whole = sorted(tuple(r) for r in M.match_topics(n, t).collect())
+    assert ("cafe", "b", ["the cafe", "cafe"]) in whole and len(whole) == 6
+    monkeypatch.setattr(M, "MOST_ALIASES", 2)
+    assert sorted(tuple(r) for r in M.match_topics(n, t).collect()) == whole
+    assert M.match_topics(n, t.where("false")).count() == 0
