@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from notegraph.llm.common import Scratch, materialize, table, text_or_empty
 from notegraph.operators.clusters import components
 
-#: Codes of a node that is settled in a task; bits that a round goes down, and the first one.
-SMALL, STEP, FIRST = 256, 4, 8
+#: Codes of a node that is settled in a task; bits that a round goes down.
+SMALL, STEP = 256, 4
 
 
 def fingerprint(text: str, n: int) -> int:
@@ -98,8 +98,10 @@ def code_links(codes: DataFrame, bits: int, scratch: Scratch, name: str) -> Data
     zero = F.lit(0).cast("long")
     pairs = codes.sparkSession.range(1).select(turns, zero.alias("p"), zero.alias("q"), F.lit(0).alias("errors"))
     depth, found = 0, []
+    # as deep as to nodes that are small if codes are spread evenly
+    first = max(STEP, min(20, (codes.count() // SMALL).bit_length() + 1))
     while True:
-        step = min(FIRST if depth == 0 else STEP, 64 - depth)
+        step = min(STEP if depth else first, 64 - depth)
         depth += step
         budget = _allowed(depth, bits, segments)
         rows = rows.withColumn("node", F.shiftrightunsigned("word", 64 - depth))
