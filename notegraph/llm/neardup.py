@@ -12,8 +12,9 @@
 5. Classes of longer lists are listed anew by their *full* sets, which splits the lists by content and is exact: a set
    of n shingles lists the n - ceil(0.8 n) + 1 that are rarest among these classes, the i-th of them only for partners
    of sizes that n - i + 1 shared shingles suffice for. A near copy that is not linked to the centre of its group has
-   shingles of its own, so hardly anything of it is listed again. What is left is compared pair by pair in short
-   lists and block by block in long ones.
+   shingles of its own, so hardly anything of it is listed again. What is left is compared pair by pair in short lists.
+   Long ones that share classes are one group: its classes are dealt to blocks of bounded bytes, and two blocks meet
+   once for all lists, inside a task. No set is carried by list rows, and blocks of one component do not meet.
 6. A pair from a join is dropped early only if the estimate from the union's sketch is six standard deviations below
    the threshold. All others are confirmed or refuted on the full sets.
 7. Components are found by smallest labels; a document's component is the smallest id in it.
@@ -43,8 +44,8 @@ from notegraph.llm.common import Scratch, materialize, sieved, table, text_or_em
 from notegraph.operators.clusters import components
 
 K = 64
-#: Lists of sketch values with more rows are split by the full sets. Lists of those with more rows are compared in blocks.
-SHORT, SHORT_FULL, BLOCK = 8, 32, 2048
+#: Lists with more rows are split by the full sets, and compared in blocks if they are still longer. A block's bytes and rows.
+SHORT, BLOCK_BYTES, BLOCK_ROWS = 8, 16_000_000, 2048
 #: Word hashes that a worker remembers.
 REMEMBERED = 300_000
 
@@ -174,37 +175,89 @@ def full_lists(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     return mixed_lists(rows, "full-lists", scratch)
 
 
-def long_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links across components in long lists, block against block, confirmed on the full sets."""
-    rows = rows.withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
-    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
-    met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.select("v", "node", "label", "most", own.alias("own"), met.alias("other"))
-    rows = rows.select("v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "most")
+def blocks_of(nodes: DataFrame, size: int) -> DataFrame:
+    """``nodes (node, g, label, weight)`` to ``(node, g, own, part)``: the block that a node belongs to in its group.
+
+    Labels heavier than ``size`` fill blocks of their own (own: the label), the others share blocks (own: -1).
+    """
+    sums = nodes.groupBy("g", "label").agg(F.sum("weight").alias("w"))
+    shared = sums.where(F.col("w") <= size).groupBy("g").agg(F.sum("w").alias("all"))
+    large = F.col("w") > size
+    sums = sums.join(shared, "g", "left").select("g", "label", F.when(large, F.col("label")).otherwise(-1).alias("own"), F.ceil(F.when(large, F.col("w")).otherwise(F.col("all")) / size).alias("parts"))
+    seed = F.when(F.col("own") >= 0, F.col("node")).otherwise(F.col("label"))
+    return nodes.join(sums, ["g", "label"]).select("node", "g", "own", F.pmod(F.xxhash64(seed, F.lit(1)), F.col("parts")).alias("part"))
+
+
+def long_links(rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links across components in long lists ``rows (v, node, n, label, most)``, confirmed on the full sets.
+
+    Lists that share nodes are one group, however many they are, and a group's nodes are dealt to blocks of bounded
+    bytes. Two blocks meet once, for all their lists: a set is fetched as often as its block meets another, and blocks
+    of one component do not meet.
+    """
+    hubs = rows.groupBy("v").agg(F.min("node").alias("hub"))
+    groups = components(rows.join(hubs, "v").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct())
+    lists = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.collect_list("v").alias("vs"), F.collect_list("most").alias("mosts"))
+    lists = scratch.write(lists.join(groups.withColumnRenamed("component", "g"), "node"), "long-nodes")
+    weight = 8 * F.col("n") + 16 * F.size("vs") + BLOCK_BYTES // BLOCK_ROWS
+    placed = scratch.write(blocks_of(lists.select("node", "g", "label", weight.alias("weight")), BLOCK_BYTES), "long-placed")
+    blocks = placed.select("g", "own", "part").distinct()
+    one, two = (blocks.select("g", F.col("own").alias(f"own_{k}"), F.col("part").alias(f"part_{k}")) for k in "ij")
+    same = (F.col("own_i") == F.col("own_j")) & (F.col("part_i") == F.col("part_j"))
+    meet = one.join(two, "g").where(F.when(F.col("own_i") == F.col("own_j"), (F.col("own_i") < 0) & (F.col("part_i") <= F.col("part_j"))).otherwise(F.col("own_i") < F.col("own_j")))
+    meet = scratch.write(meet.select("g", "own_i", "part_i", "own_j", "part_j", same.alias("inside")), "long-meet")
+    pair = ["g", "own_i", "part_i", "own_j", "part_j"]
+    first = placed.join(meet.withColumns({"own": F.col("own_i"), "part": F.col("part_i")}), ["g", "own", "part"]).withColumn("side", F.lit(0))
+    second = placed.join(meet.where(~F.col("inside")).withColumns({"own": F.col("own_j"), "part": F.col("part_j")}), ["g", "own", "part"]).withColumn("side", F.lit(1))
+    dealt = first.unionByName(second).select("node", "inside", "side", *pair)
+    dealt = dealt.join(lists.drop("g"), "node").join(sets.select("node", "sh"), "node")
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         return _block(pdf, percent)
 
-    return rows.join(sets.select("node", "sh"), "node").groupBy("v", "i", "j").applyInPandas(block, "a long, b long").distinct()
+    return dealt.groupBy(*pair).applyInPandas(block, "a long, b long").distinct()
+
+
+def _may_link(pdf: pd.DataFrame, x: np.ndarray, y: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which of the rows x and y meet in a list in which they still can share enough."""
+    rows = np.repeat(np.arange(len(pdf)), [len(v) for v in pdf["vs"]])
+    values, most = np.concatenate(list(pdf["vs"])), np.concatenate(list(pdf["mosts"]))
+    order = np.argsort(values, kind="stable")
+    values, rows, most = values[order], rows[order], most[order]
+    at = np.full(len(pdf), -1)
+    at[x] = np.arange(len(x))
+    of = np.full(len(pdf), -1)
+    of[y] = np.arange(len(y))
+    near = np.zeros((len(x), len(y)), bool)
+    for begin, end in zip(*(lambda c: (c[:-1], c[1:]))(np.r_[0, np.flatnonzero(np.diff(values)) + 1, len(values)]), strict=True):
+        r, m = rows[begin:end], most[begin:end]
+        i, j = np.flatnonzero(at[r] >= 0), np.flatnonzero(of[r] >= 0)
+        if len(i) and len(j):
+            near[np.ix_(at[r[i]], of[r[j]])] |= (m[i][:, None] >= size[r[j]][None, :]) & (m[j][None, :] >= size[r[i]][:, None])
+    return near
 
 
 def _block(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links between the two blocks of one list (or inside one block)."""
+    """Links between the two blocks (or inside one block): those that connect labels anew."""
     pdf = pdf.sort_values("node", ignore_index=True)
     sets = [np.asarray(x, np.int64) for x in pdf["sh"]]
-    sizes = np.array([len(x) for x in sets])
-    node, own, most = pdf["node"].to_numpy(), pdf["own"].to_numpy(), pdf["most"].to_numpy()
-    inside = pdf["i"].iat[0] == pdf["j"].iat[0]
+    sizes = pdf["n"].to_numpy()
+    inside = bool(pdf["inside"].iat[0])
+    side, node = pdf["side"].to_numpy(), pdf["node"].to_numpy()
+    x_rows = np.flatnonzero(side == 0)
+    y_rows = x_rows if inside else np.flatnonzero(side == 1)
+    near = _may_link(pdf, x_rows, y_rows, sizes)
     label = np.unique(pdf["label"].to_numpy(), return_inverse=True)[1].astype(np.int64)
     a, b = [], []
-    for x in range(len(sets)):
-        open_ = (label != label[x]) & (sizes <= most[x]) & (most >= sizes[x]) & (100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x]))
-        open_[: x + 1] = False
-        if not inside:
-            open_ &= own != own[x]
-        ys = np.flatnonzero(open_)
+    for k in np.flatnonzero(near.any(axis=1)):
+        x = x_rows[k]
+        ys = y_rows[near[k]]
+        ys = ys[(label[ys] != label[x]) & (100 * np.minimum(sizes[ys], sizes[x]) >= percent * np.maximum(sizes[ys], sizes[x])) & ((ys > x) | (not inside))]
         for at in range(0, len(ys), 256):
             part = ys[at : at + 256]
+            part = part[label[part] != label[x]]
+            if not len(part):
+                continue
             flat = np.concatenate([sets[y] for y in part])
             found = sets[x][np.minimum(np.searchsorted(sets[x], flat), sizes[x] - 1)] == flat
             shared = np.add.reduceat(found, np.cumsum(np.r_[0, sizes[part][:-1]]), dtype=np.int64)
@@ -269,8 +322,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     full = sets(ends_of(short).union(deep.select("node")).distinct(), "full-sets")
     found = full_lists(full.join(deep, "node"), percent, scratch)
     fits = (F.col("n_a") <= F.col("most_b")) & (F.col("n_b") <= F.col("most_a"))
-    pairs = scratch.write(likely(_meet(found.where(F.col("c") <= SHORT_FULL), fits), sketches, k, percent).union(short).distinct(), "pairs")
-    more = confirmed(pairs, full, percent).union(long_links(found.where(F.col("c") > SHORT_FULL), full, percent))
+    pairs = scratch.write(likely(_meet(found.where(F.col("c") <= SHORT), fits), sketches, k, percent).union(short).distinct(), "pairs")
+    more = confirmed(pairs, full, percent).union(long_links(found.where(F.col("c") > SHORT), full, percent, scratch))
     links = scratch.write(links.union(more), "links")
     labels = components(links.toDF("src", "dst")).withColumnRenamed("component", "label")
     grouped = nodes.select("node", "cls", "id").join(labels, "node", "left").select("cls", "id", F.coalesce("label", "node").alias("label"))

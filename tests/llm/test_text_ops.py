@@ -308,11 +308,11 @@ def test_sieve_lets_all_wanted_through(spark, monkeypatch):
     assert common.sieved(rows, "id", wanted.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("short", "short_full"), [(8, 32), (2, 2), (2, 0)])
-def test_near_duplicates_brute(spark, monkeypatch, short, short_full):
+@pytest.mark.parametrize(("short", "size", "most"), [(8, 16_000_000, 2048), (2, 40_000, 4), (0, 4_000, 32)])
+def test_near_duplicates_brute(spark, monkeypatch, short, size, most):
     monkeypatch.setattr(neardup, "SHORT", short)
-    monkeypatch.setattr(neardup, "SHORT_FULL", short_full)
-    monkeypatch.setattr(neardup, "BLOCK", 32)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", size)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", most)
     rows = near_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     for n in (4, 5):
@@ -320,6 +320,26 @@ def test_near_duplicates_brute(spark, monkeypatch, short, short_full):
         assert got == sorted(brute_components(rows, n))
 
 
+def test_near_duplicates_of_many_long_lists(spark, monkeypatch):
+    """Texts that share most of their passages with all others meet in hundreds of long lists; their sets are fetched once."""
+    meets = []
+    write = neardup.Scratch.write
+
+    def spy(self, df, name):
+        out = write(self, df, name)
+        if name == "long-meet":
+            meets.append((out.count(), out.where("inside").count()))
+        return out
+
+    monkeypatch.setattr(neardup.Scratch, "write", spy)
+    rng = np.random.default_rng(7)
+    passages = [" ".join(f"w{x}" for x in rng.integers(0, 4000, 12)) for _ in range(100)]
+    rows = [(i, " ".join(passages[j] for j in sorted(rng.choice(100, 88, replace=False)))) for i in range(150)]
+    got = sorted(tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+    assert got == sorted(brute_components(rows, 5)) and len({r[2] for r in got}) > 100
+    assert meets == [(1, 1)]
+
+
 def test_near_duplicates_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
