@@ -11,12 +11,14 @@ from notegraph.session import Scratch, materialize
 SHARE, LEAST = 500, 10_000
 
 
-def even_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left`` joined with ``right``, which has one row per key at most; keys without one get nulls.
+def even_left_join(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
+    """``left``, of so many rows at most, joined with ``right``, which has one row per key at most; keys without one get nulls.
 
-    ``left`` is a written table. Its heavy keys, fewer than `SHARE`, get their rows by broadcast, so their rows stay where
-    they are; only the others are shuffled.
+    Heavy keys of ``left``, fewer than `SHARE`, get their rows by broadcast, so their rows stay where they are; only the
+    others are shuffled.
     """
+    if rows <= LEAST:
+        return left.join(right, key, "left")
     counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     most, n = counts.agg(F.max("n"), F.sum("n")).first()
     least = max((n or 0) // SHARE, LEAST)
@@ -41,17 +43,18 @@ def components(edges: DataFrame) -> DataFrame:
     given = scratch.write(edges.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "given")
     now = scratch.write(given.where("hi <> lo"), "edges")
     while True:
+        n = now.count()
         # large star: an edge's lower end moves to that node's own smallest neighbour
-        below = scratch.write(now.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n")), "below")
-        moved = even_left_join(now, below.select(F.col("hi").alias("lo"), F.col("m").alias("far")), "lo")
+        below = scratch.write(now.groupBy("hi").agg(F.min("lo").alias("m")), "below")
+        moved = even_left_join(now, below.select(F.col("hi").alias("lo"), F.col("m").alias("far")), "lo", n)
         moved = moved.groupBy("hi", F.coalesce("far", "lo").alias("lo")).agg(F.max(F.col("far").isNotNull()).alias("moved"))
         moved = scratch.write(moved, "moved")
-        if moved.where("moved").isEmpty() and below.where("n > 1").isEmpty():
+        if below.count() == n and moved.where("moved").isEmpty():
             break
         # small star: of a node's lower neighbours all but the smallest hang on that one, and so does the node
         large = moved.select("hi", "lo")
         below = scratch.write(large.groupBy("hi").agg(F.min("lo").alias("m")), "below")
-        hung = even_left_join(large, below, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        hung = even_left_join(large, below, "hi", n).where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = scratch.write(hung.unionByName(below.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
     alone = given.where("hi = lo").select("lo").join(now.select(F.col("hi").alias("lo")), "lo", "left_anti")
     roots = now.select("lo").union(alone).distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notegraph.plans import generate as G
+from notegraph.plans import jobs as J
 from notegraph.plans.catalog import alias_table, notes, on_notes, query, table
 from notegraph.plans.catalog_more import RULES
 from notegraph.sources.notes import folders, nested_tags
@@ -182,3 +183,83 @@ def j6(spark, sf):
 
     t = F.concat(F.lit("see [a]("), "url", F.lit(") and [b](https://x.example/"), F.col("page_id").cast("string"), F.lit(")."))
     return table(spark, sf, "pages").select("page_id", F.posexplode(X.markdown_links(t)).alias("pos", "l")).select("page_id", "pos", "l.url")
+
+
+# --- whole jobs
+
+
+@query("k13_repair_stats", on_notes("""
+SELECT count(*) AS scanned, count(*) FILTER (WHERE doc_id % 2 = 0) AS changed, CAST(count(*) FILTER (WHERE doc_id % 2 = 0) AS BIGINT) AS converted, CAST(count(*) FILTER (WHERE doc_id % 2 = 1) AS BIGINT) AS unresolved FROM notes"""))
+def k13_stats(spark, sf):
+    from notegraph.functions import text as X
+
+    n = notes(spark, sf)
+    guid = F.concat(F.left(F.md5("stem"), F.lit(8)), F.lit("-0000-1111-2222-333344445555"))
+    texts = n.select("rel_path", "stem", F.concat(F.lit("T "), "stem").alias("title"), F.concat(F.lit("[t](https://s/"), guid, F.lit("/) and [u](https://other.example/) end")).alias("body"))
+    guids = n.where("doc_id % 2 = 0").select(guid.alias("guid"), F.concat(F.lit("t "), "stem").alias("title"))
+    return J.repair_links(texts, guids, X.guid_of)["stats"]
+
+
+def _part_hubs(spark, sf):
+    p = table(spark, sf, "part")
+    n = p.select(F.col("p_brand").alias("vault"), F.col("p_name").alias("stem"), F.col("p_type").alias("up"))
+    pages = p.where("p_size < 5").select(F.col("p_brand").alias("vault"), F.col("p_type").alias("stem"), F.when(F.col("p_size") == 1, F.col("p_type")).otherwise("gone").alias("up"))
+    return n.unionByName(pages).withColumn("rel_path", F.concat("stem", F.lit(".md"))), p.select(F.col("p_brand").alias("vault"), F.col("p_type").alias("hub"))
+
+
+@query("k9_hub_stubs", """
+WITH h AS (SELECT DISTINCT p_brand AS vault, p_type AS hub FROM part),
+n AS (SELECT p_brand AS vault, p_name AS stem, p_type AS up FROM part UNION ALL SELECT p_brand, p_type, CASE WHEN p_size = 1 THEN p_type ELSE 'gone' END FROM part WHERE p_size < 5)
+SELECT vault, hub, (SELECT count(*) FROM n WHERE n.vault = h.vault AND n.up = h.hub) AS "references", 'created' AS status, '---' || chr(10) || 'type: hub' || chr(10) || 'vault: ' || vault || chr(10) || '---' || chr(10) || '# ' || hub || chr(10) AS stub
+FROM h WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.vault = h.vault AND n.stem = h.hub)""")
+def k9_stubs(spark, sf):
+    return J.audit_hubs(*_part_hubs(spark, sf), apply=True)["missing"]
+
+
+@query("k9_hub_problems", """
+SELECT p_brand AS vault, p_type AS stem, CASE WHEN p_size = 1 THEN p_type ELSE 'gone' END AS up, CASE WHEN p_size = 1 THEN 'self' ELSE 'missing' END AS problem FROM part WHERE p_size < 5""")
+def k9_problems(spark, sf):
+    return J.audit_hubs(*_part_hubs(spark, sf))["problems"]
+
+
+@query("k12_migration_log", on_notes("""
+, r AS (SELECT rel_path, folder AS stem, CASE vault WHEN 'en' THEN 'business' WHEN 'de' THEN 'personal' WHEN 'fr' THEN 'personal' END AS target FROM notes WHERE doc_id % 5 > 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY target, stem ORDER BY rel_path) AS k FROM r WHERE target IS NOT NULL)
+SELECT '## 2024-02-01 10:00 — migration' AS line UNION ALL SELECT '- `' || rel_path || '` → `' || target || '/' || CASE WHEN k = 1 THEN stem ELSE stem || '_' || k END || '` (to ' || target || ')' FROM k"""))
+def k12_log(spark, sf):
+    n = notes(spark, sf).select("rel_path", F.col("folder").alias("stem"), "vault", "doc_id")
+    context = F.when(F.col("vault") == "en", "work").when(F.col("vault") == "de", "personal").when(F.col("vault") == "fr", "education")
+    none = n.where("false").select(F.lit("").alias("target"), "stem")
+    return J.migrate(n, none, context, F.col("doc_id") % 5 > 0, F.lit("2024-02-01 10:00"))["log"]
+
+
+@query("k6_topic_fields", """
+WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS slug, CAST(o_orderkey AS VARCHAR) AS k, o_orderdate AS d, CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END AS q, o_orderkey % 3 AS a, o_totalprice AS p FROM orders)
+SELECT slug, 'active' AS status, list('[[T ' || k || ']]' ORDER BY d DESC, a + q DESC, k) AS sources, 'sha256:' || slug AS source_set_hash,
+ round(least(count(*) / 3.0, 1.0) * 0.5 + 0.5 * (avg(CAST(q AS DOUBLE)) + avg(a / 2.0)) / 2, 6) AS confidence, count(*) % 2 = 0 AS prompt_degraded, '2024-02-01' AS updated FROM o GROUP BY slug""")
+def k6_fields(spark, sf):
+    o = table(spark, sf, "orders")
+    words = lambda n: F.slice(F.array(*map(F.lit, "abc")), 1, n.cast("int"))
+    s = o.select(F.col("o_custkey").cast("string").alias("slug"), F.col("o_orderkey").cast("string").alias("rel_path"), F.concat(F.lit("T "), F.col("o_orderkey").cast("string")).alias("title"), F.col("o_orderdate").alias("mtime"), words(F.col("o_orderkey") % 3).alias("aliases"), words(F.when(F.col("o_totalprice") > 100000, 1).otherwise(0)).alias("quotes"))
+    n = s.groupBy("slug").agg(F.count("*").alias("n"))
+    out = J.source_fields(s, n.select("slug", F.concat(F.lit("sha256:"), "slug").alias("set_hash")), n.select("slug", (F.col("n") % 2 == 0).alias("degraded")), F.lit("2024-02-01"))
+    return out.select("fields.*")
+
+
+@query("a17_keyed_upsert", """
+SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'second' ELSE c_mktsegment END AS segment, CASE WHEN c_custkey % 7 = 0 THEN -c_acctbal ELSE c_acctbal END AS balance FROM customer""")
+def a17_keyed(spark, sf):
+    import uuid
+
+    from notegraph.session import shared_dir
+    from notegraph.sources.buckets import KeyedTable
+
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    kept = KeyedTable(spark, f"{shared_dir(spark)}/customers-{uuid.uuid4().hex}", "c_custkey", 16)
+    kept.upsert(c.where("c_custkey % 7 < 6"), batch="1")
+    later = c.where("c_custkey % 7 in (0, 6)")
+    some = F.col("c_custkey") % 7 == 0
+    later = later.select("c_custkey", F.when(some, "second").otherwise(F.col("segment")).alias("segment"), F.when(some, -F.col("balance")).otherwise(F.col("balance")).alias("balance"))
+    for _ in range(2):  # the replay changes nothing
+        kept.upsert(later, batch="2")
+    return kept.read()

@@ -89,7 +89,7 @@ PAGE = T.StructType([T.StructField("summary", T.StringType(), False), T.StructFi
 
 
 def synthesize_topics(sources: DataFrame, generator: Callable, context: int = 80_000) -> DataFrame:
-    """``sources (slug, rel_path, title, body, mtime, hits)`` to ``(slug, page, n_sources, degraded, error)``.
+    """``sources (slug, rel_path, title, body, mtime, hits)`` to ``(slug, page, summary, n_sources, degraded, error)``.
 
     Sources are ranked and numbered and share the context's budget; the generator writes, claims without a valid
     citation become inferences, and the page is put together of fixed sections.
@@ -104,7 +104,8 @@ def synthesize_topics(sources: DataFrame, generator: Callable, context: int = 80
     facts = P.split_verified(F.coalesce("result.facts", F.lit("")), F.col("n_sources"))
     against = P.split_verified(F.coalesce("result.contradictions", F.lit("")), F.col("n_sources"))
     page = P.assemble_page(F.col("slug"), X.summary_line(F.coalesce("result.summary", F.lit(""))), facts["kept"], against["kept"], F.concat(facts["inferences"], against["inferences"]), F.col("paths"))
-    return got.select("slug", F.when(F.col("error").isNull(), page).alias("page"), "n_sources", "degraded", "error")
+    summary = F.when(F.col("error").isNull(), X.summary_line(F.coalesce("result.summary", F.lit(""))))
+    return got.select("slug", F.when(F.col("error").isNull(), page).alias("page"), summary.alias("summary"), "n_sources", "degraded", "error")
 
 
 def audit_hubs(notes: DataFrame, hubs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -170,7 +171,7 @@ def nightly_tables(
     texts = sources.join(stale.select("slug"), "slug", "left_semi").join(notes.select("rel_path", "body"), "rel_path")
     texts = texts.select("slug", "rel_path", "title", "body", "mtime", F.size("aliases").alias("hits"))
     if writer is None:
-        pages = stale.select("slug", F.lit(None).cast("string").alias("page"), "n_sources", F.lit(True).alias("degraded"), F.lit("no writer").alias("error"))
+        pages = stale.select("slug", F.lit(None).cast("string").alias("page"), F.lit(None).cast("string").alias("summary"), "n_sources", F.lit(True).alias("degraded"), F.lit("no writer").alias("error"))
     else:
         pages = synthesize_topics(texts, writer)
     out["pages"] = pages = materialize(pages.join(sets.select("slug", "set_hash"), "slug"), "nightly-pages")
