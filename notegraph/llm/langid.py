@@ -3,7 +3,8 @@
 Every language has a probability for each piece of one fixed public vocabulary. A word's probability is the sum over
 all ways to cut it into pieces, found by a forward algorithm; a text's is the product over its words. The pieces'
 probabilities are fitted by expectation maximisation (forward and backward sums over all segmentations) on a bounded
-sample of labelled texts; the prediction is the language with the largest posterior.
+sample of labelled texts; the prediction is the language with the largest posterior. All words of the sample count: they
+are a table, each round's expected uses are summed in tasks, and only the pieces' sums reach the driver.
 
 Words are maximal runs of letters, lower-cased, cut every ``RUN`` letters so that no product underflows. Whole texts
 count, very long ones in parts; each worker remembers the scores of words that it has seen. The score is the posterior
@@ -27,12 +28,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import table
+from notegraph.llm.common import Scratch, table
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Labelled texts per language that the fit reads, about, and the most frequent (word, language) counts of these texts
-#: that it is fitted on: the bounds on what reaches the driver.
-SAMPLE_DOCS, SAMPLE_WORDS = 400, 400_000
+#: Labelled texts per language that the fit reads, about.
+SAMPLE_DOCS = 400
 RUN = 32
 UNSEEN = 1e-7
 #: Word scores that a worker remembers; words that are scored at once.
@@ -157,33 +157,51 @@ class Model:
 
 
 def fit(docs: DataFrame, languages: list[str], pieces: list[str], rounds: int = 3, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit on about ``sample_docs`` of the given labelled texts per language, drawn by a hash of the id."""
+    """Fit on all words of about ``sample_docs`` of the given labelled texts per language, drawn by a hash of the id."""
     sizes = {r[0]: r[1] for r in docs.groupBy(lang_col).count().collect()}
     rate = F.element_at(F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample_docs / v)))]), F.col(lang_col))
     drawn = F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.lit(1 << 30)) / float(1 << 30) < rate
     found = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(rf"(\p{{L}}{{1,{RUN}}})"), F.lit(1)))
-    rows = docs.where(drawn).select(F.col(lang_col).alias("lang"), found.alias("w")).groupBy("w", "lang").count()
-    rows = rows.orderBy(F.col("count").desc(), "w", "lang").limit(SAMPLE_WORDS).toPandas()
-    words = sorted(w for w in rows["w"].unique() if WORDS.fullmatch(w))
-    place = {w: i for i, w in enumerate(words)}
-    rows = rows[rows["w"].isin(place)]
-    n = np.zeros((len(words), len(languages)))
-    np.add.at(n, (rows["w"].map(place).to_numpy(np.int64), rows["lang"].map(languages.index).to_numpy(np.int64)), rows["count"].to_numpy(float))
+    rows = docs.where(drawn).select(F.col(lang_col).alias("lang"), found.alias("w"))
+    scratch = Scratch(docs.sparkSession, "langid")
+    counted = rows.groupBy("w").agg(F.array(*[F.count_if(F.col("lang") == x) for x in languages]).alias("n"))
+    words = scratch.write(counted.repartition(docs.sparkSession.sparkContext.defaultParallelism, "w"), "words")
     index = {p: i for i, p in enumerate(pieces)}
-    for c in sorted({c for w in words for c in w} | {"▁"}):
+    letters = {r[0] for r in words.select(F.explode(F.split("w", ""))).distinct().collect()}  # no more than there are letters
+    for c in sorted({c for c in letters if WORDS.fullmatch(c)} | {"▁"}):
         index.setdefault(c, len(index))
     model = Model(languages, index, np.full((len(index) + 1, len(languages)), 1.0 / (len(index) + 1)))
-    lattices = [(model.lattice(words[at : at + 20_000]), n[at : at + 20_000]) for at in range(0, len(words), 20_000)]
     for _ in range(rounds):
-        use = np.zeros_like(model.p)
-        for lat, counts in lattices:
-            use += model.expected(lat, counts)
-        use += 0.02
+        use = np.full_like(model.p, 0.02)
+        sums = words.mapInPandas(_uses(model), "piece long, lang long, used long").groupBy("piece", "lang").agg(F.sum("used").alias("used")).toPandas()
+        use[sums["piece"], sums["lang"]] += sums["used"].to_numpy() / FIXED
         model.p = use / use.sum(axis=0)
         model.p[-1] = UNSEEN
+    scratch.close()
     return model
 
 
+#: Uses are summed as whole numbers of so small parts, so their order does not matter.
+FIXED = 1e6
+
+
+def _uses(model: Model):
+    """Words with their counts per language to the expected uses of each piece, summed in each task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        use = np.zeros_like(model.p)
+        for pdf in batches:
+            pdf = pdf[pdf["w"].map(lambda w: WORDS.fullmatch(w) is not None).astype(bool)]
+            for at in range(0, len(pdf), 20_000):
+                part = pdf.iloc[at : at + 20_000]
+                use += model.expected(model.lattice(part["w"].tolist()), np.stack(part["n"].to_list()).astype(float))
+        used = np.rint(use * FIXED).astype(np.int64)
+        piece, lang = np.nonzero(used)
+        yield pd.DataFrame({"piece": piece, "lang": lang, "used": used[piece, lang]})
+
+    return run
+
+
 class Scorer:
     """Scores texts with a bounded memory of words."""
 
