@@ -204,10 +204,10 @@ def route(confidence: Column, n: Column, density_: Column, auto: float = AUTO, f
     return F.when((confidence >= auto) & (n >= min_size) & (density_ >= min_density), "auto").when(confidence >= floor, "propose").otherwise("ledger")
 
 
-def cluster_notes(noterefs: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY, floor: float = PROPOSE) -> DataFrame:
+def cluster_notes(noterefs: DataFrame, min_size: int = MIN_SIZE, min_density: float = MIN_DENSITY, floor: float = PROPOSE, auto: float = AUTO) -> DataFrame:
     """``noterefs (node, anchors, tokens)``, with or without ``rel_path``, to scored and routed clusters."""
     note_anchor = materialize(noterefs.select("node", F.explode("anchors").alias("anchor")).distinct(), "note-anchors")
     members = materialize(dense_core(note_anchor, components(anchor_stars(note_anchor)), min_size, min_density), "members")
     profile = cluster_profile(members, note_anchor, noterefs)
     score = X.cluster_confidence(F.col("dominant_share"), F.col("cohesion"), F.col("n"))
-    return profile.withColumn("confidence", score).withColumn("route", route(F.col("confidence"), F.col("n"), F.col("anchor_density"), floor=floor))
+    return profile.withColumn("confidence", score).withColumn("route", route(F.col("confidence"), F.col("n"), F.col("anchor_density"), auto=auto, floor=floor))

@@ -172,11 +172,23 @@ def reconcile_backlinks(notes: DataFrame, desired: DataFrame, slugs: DataFrame,
     return out.select("rel_path", new.alias("topics"), removed.alias("removed"), F.when(new == before, "skipped").otherwise("updated").alias("status"))
 
 
+#: Notes of a block: those of an anchor that has more meet block by block.
+BLOCK = 2048
+
+
 def anchor_edges(note_anchor: DataFrame) -> DataFrame:
-    """Pairs ``(src, dst)`` of notes that share an anchor, ``note_anchor (node, anchor)``, each once and src < dst."""
-    a = note_anchor.select("anchor", F.col("node").alias("src"))
-    b = note_anchor.select("anchor", F.col("node").alias("dst"))
-    return a.join(b, "anchor").where(F.col("src") < F.col("dst")).select("src", "dst").distinct()
+    """Pairs ``(src, dst)`` of notes that share an anchor, ``note_anchor (node, anchor)``, each once and src < dst.
+
+    The notes of an anchor are dealt to blocks, and each pair of blocks is a key of the join, so an anchor of very many
+    notes is spread over all tasks; its notes are repeated once for each of its blocks. There are few such anchors.
+    """
+    large = note_anchor.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = note_anchor.join(large, "anchor", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    upper = rows.select("anchor", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), F.col("node").alias("a"))
+    lower = rows.select("anchor", F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"), F.col("node").alias("b"))
+    pairs = upper.join(lower, ["anchor", "i", "j"]).where(F.when(F.col("i") == F.col("j"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")))
+    return pairs.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
 
 
 def resolve_collisions(proposals: DataFrame, taken_slugs: DataFrame, taken_aliases: DataFrame) -> DataFrame:
@@ -190,7 +202,7 @@ def resolve_collisions(proposals: DataFrame, taken_slugs: DataFrame, taken_alias
     rows = proposals.where(F.coalesce("slug", F.lit("")) != "").select("pos", "slug", F.posexplode("aliases").alias("alias_pos", "alias"))
     rows = scratch.write(rows.withColumn("key", X.casefold("alias")), "rows")
     slugs, keys = taken_slugs.select("slug"), taken_aliases.select(X.casefold("alias").alias("key"))
-    accepted = None
+    accepted, rounds = f"{scratch.folder}/accepted", []
     while True:
         rows = rows.join(slugs.distinct(), "slug", "left_anti").join(keys.distinct(), "key", "left_anti").select("pos", "slug", "alias_pos", "alias", "key")
         rows = scratch.write(rows, "rows")
@@ -200,10 +212,11 @@ def resolve_collisions(proposals: DataFrame, taken_slugs: DataFrame, taken_alias
         first_key = rows.groupBy("key").agg(F.min("pos").alias("by_key"))
         ready = rows.join(first, "slug").join(first_key, "key").groupBy("pos").agg(F.bool_and((F.col("pos") == F.col("by_slug")) & (F.col("pos") == F.col("by_key"))).alias("ready"))
         won = rows.join(ready.where("ready").select("pos"), "pos", "left_semi")
-        won = materialize(won, "collisions-won")
-        accepted = won if accepted is None else accepted.unionByName(won)
+        won = scratch.write(won, f"won-{len(rounds)}")
+        won.write.mode("append").parquet(accepted)
+        rounds.append(won)
         slugs, keys = won.select("slug"), won.select("key")
-    out = accepted if accepted is not None else rows
+    out = rows.sparkSession.read.schema(rows.schema).parquet(accepted) if rounds else rows
     out = materialize(out.groupBy("pos", "slug").agg(F.transform(F.array_sort(F.collect_list(F.struct("alias_pos", "alias"))), lambda x: x["alias"]).alias("aliases")), "collisions")
     scratch.close()
     return out

@@ -459,6 +459,34 @@ def k5(spark, sf):
     return proposed.unionByName(promoted)
 
 
+def _namer():
+    """Names a cluster after the number in its anchor; every fourth gets no answer that fits."""
+    import json
+
+    def call(prompt: str) -> str:
+        c = int(prompt.rsplit(":c", 1)[1].split("\n", 1)[0])
+        return "none" if c % 4 == 0 else json.dumps({"name": f"Topic {c // 3}", "aliases": [f"c{c}", f"shared {c % 2}"], "description": "d"})
+
+    return call
+
+
+# a customer's orders are a cluster of so great a score if they all say the same; names of three customers collide
+@query("k5_create_topics", """
+WITH o AS (SELECT o_custkey AS c, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) >= 6),
+a AS (SELECT c, n, 'topic-' || (c // 3) AS slug, row_number() OVER (PARTITION BY c // 3 ORDER BY n DESC, sig) AS rn FROM (
+ SELECT o.c, o.n, 'sig:' || left(sha256(string_agg(CAST(o_orderkey AS VARCHAR), chr(0) ORDER BY CAST(o_orderkey AS VARCHAR)) || chr(0) || 'tag:c' || o.c), 16) AS sig FROM o JOIN orders ON o_custkey = o.c GROUP BY 1, 2) WHERE c % 4 <> 0 AND c // 3 <> 7)
+SELECT slug, n FROM a WHERE rn = 1""")
+def k5_created(spark, sf):
+    """Orders as notes of one word; a namer names most clusters, a bar below their scores creates their topics."""
+    o = table(spark, sf, "orders")
+    key = F.concat(F.lit("tag:c"), F.col("o_custkey").cast("string"))
+    refs = o.select(F.col("o_orderkey").alias("node"), F.array(key).alias("anchors"), F.array(F.lit("order")).alias("tokens"))
+    state = spark.createDataFrame([], "key string, evidence double, seen long, last_seen timestamp, promoted boolean")
+    none = spark.createDataFrame([], "slug string")
+    out = L.propose_topics(refs, state, F.lit("2024-02-01").cast("timestamp"), none, spark.createDataFrame([("topic-7",)], "slug string"), spark.createDataFrame([], "alias string"), _namer, auto=0.999)
+    return out["created"].select("slug", "n")
+
+
 @query("k7_reconcile", on_notes("""
 , d AS (SELECT rel_path, doc_id % 3 AS k, doc_id % 2 = 0 AS wanted, vault FROM notes)
 SELECT rel_path, CASE k WHEN 2 THEN CASE WHEN wanted THEN '["[[b]]"]' END WHEN 1 THEN CASE WHEN wanted THEN '["[[mine]]","[[b]]"]' ELSE '["[[mine]]"]' END ELSE '["plain","[[' || vault || ']]"' || CASE WHEN wanted THEN ',"[[b]]"' ELSE '' END || ']' END AS topics,

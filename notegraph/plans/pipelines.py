@@ -15,7 +15,8 @@ from notegraph.operators import filters as P
 from notegraph.operators import joins as J
 from notegraph.operators import topics as T
 from notegraph.operators import windows as N
-from notegraph.session import materialize
+from notegraph.operators.numbering import numbered
+from notegraph.session import Scratch, materialize
 from notegraph.sources.notes import allowed, guid_lookup
 from notegraph.sources.sinks import insert_plan, set_or_drop_field, write_topic_sets
 from notegraph.streaming.ledger import BAR, ledger_step
@@ -184,6 +185,7 @@ def propose_topics(
     namer: Callable | None = None,
     floor: float = C.PROPOSE,
     bar: float = BAR,
+    auto: float = C.AUTO,
 ) -> dict[str, DataFrame]:
     """From clusters of unmatched notes to proposals, as the tables proposals, created, ledger and report.
 
@@ -193,21 +195,23 @@ def propose_topics(
     """
     from notegraph.plans.generate import name_clusters
 
-    c = materialize(C.cluster_notes(noterefs, floor=floor), "clusters")
+    c = materialize(C.cluster_notes(noterefs, floor=floor, auto=auto), "clusters")
     weak = c.where("route = 'ledger'").select(F.col("dominant_anchor").alias("key"), "confidence", "anchors", "signature")
     sightings = weak.groupBy("key").agg(
         F.sum("confidence").alias("evidence"), F.count("*").alias("seen"), F.lit(now).cast("timestamp").alias("last_seen"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("anchors")))).alias("anchors"), F.max("signature").alias("signature"),
     )
     ledger = materialize(ledger_step(state, sightings, now, bar=bar), "ledger")
+    scratch = Scratch(noterefs.sparkSession, "proposals")
     strong = name_clusters(c.where("route <> 'ledger'"), namer).join(rejected.select("slug").distinct(), "slug", "left_anti")
-    order = F.row_number().over(N.W.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "signature"))
-    asked = materialize(strong.where("route = 'auto' AND named").withColumn("pos", order), "asked")
+    strong = scratch.write(strong, "strong")
+    asked = numbered(strong.where("route = 'auto' AND named"), [], [F.col("n").desc(), "signature"], scratch, "asked").withColumnRenamed("idx", "pos")
     won = J.resolve_collisions(asked, taken_slugs, taken_aliases).select("pos", F.col("aliases").alias("kept"))
     plan = insert_plan(asked.join(won, "pos").drop("aliases").withColumnRenamed("kept", "aliases"), taken_slugs, order="pos")
     created = materialize(plan.where("outcome = 'created'").select("slug", "name", "aliases", "description", "n", "signature", "confidence"), "created")
     left = strong.join(created.select("signature"), "signature", "left_anti")
     proposals = materialize(left.select("slug", "name", "aliases", "description", "n", "signature", "confidence"), "proposals")
+    scratch.close()
     line = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.to_json(F.struct(*[x for x in ("slug", "key", "name", "n", "evidence") if x in df.columns])).alias("line"))
     report = line(created, "auto_created").unionByName(line(proposals, "proposed")).unionByName(line(ledger.where("newly"), "promoted"))
     return {"proposals": proposals, "created": created, "ledger": ledger, "report": report}

@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Folders of intermediate tables, by application.
+_written: dict[str, list[str]] = {}
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -48,14 +50,35 @@ def _write(df: DataFrame, path: str) -> DataFrame:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: cuts the lineage, and survives lost executors."""
-    return _write(df, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    return _write(df, _noted(df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"))
+
+
+def _noted(spark: SparkSession, path: str) -> str:
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Deletes every intermediate table that this application's jobs have written, and returns how many there were.
+
+    To be called when the results are written or no longer needed: a result may read such tables until then.
+    """
+    folders = _written.pop(spark.sparkContext.applicationId, [])
+    for path in folders:
+        _delete(spark, path)
+    return len(folders)
 
 
 class Scratch:
     """Intermediate tables of one job in the shared folder. What is dropped must not be read by anything unfinished."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.folder = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.folder = spark, _noted(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
         self.versions: dict[str, int] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
@@ -69,11 +92,8 @@ class Scratch:
     def drop(self, *names: str) -> None:
         for name in names:
             if name in self.versions:
-                self._delete(f"{self.folder}/{name}-{self.versions[name]}")
+                _delete(self.spark, f"{self.folder}/{name}-{self.versions[name]}")
 
     def close(self) -> None:
-        self._delete(self.folder)
-
-    def _delete(self, path: str) -> None:
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(self.spark, self.folder)
+        _written.get(self.spark.sparkContext.applicationId, [self.folder]).remove(self.folder)

@@ -503,3 +503,43 @@ def test_aliases_of_a_table_too_large_for_one_automaton(spark, monkeypatch):
     monkeypatch.setattr(M, "MOST_ALIASES", 2)
     assert sorted(tuple(r) for r in M.match_topics(n, t).collect()) == whole
     assert M.match_topics(n, t.where("false")).count() == 0
+
+
+def test_numbers_over_ranges(spark):
+    """A group of nearly all rows, ties, nulls, and one group of all rows."""
+    from notegraph.operators.numbering import numbered
+    from notegraph.session import Scratch
+
+    rows = [("big", i % 700, i) for i in range(2000)] + [(None, 1, -1), (None, None, -2), ("b", 5, -3)]
+    df = spark.createDataFrame(rows, "g string, v long, id long").repartition(5)
+    scratch = Scratch(spark, "test")
+    got = numbered(df, ["g"], ["v", "id"], scratch, "one").collect()
+    want = {}
+    for g, v, i in sorted(rows, key=lambda r: (r[0] or "", r[1] is not None, r[1] or 0, r[2])):
+        want.setdefault(g, []).append(i)
+    assert {(r.g, r.idx): r.id for r in got} == {(g, k + 1): i for g, ids in want.items() for k, i in enumerate(ids)}
+    got = numbered(df, [], [F.col("id").desc()], scratch, "all").orderBy("idx").collect()
+    assert [r.idx for r in got] == list(range(1, 2004)) and [r.id for r in got] == sorted((r[2] for r in rows), reverse=True)
+    scratch.close()
+
+
+def test_edges_of_a_large_anchor(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 7)
+    rows = [("hot", i) for i in range(40)] + [("x", i) for i in range(0, 40, 9)] + [("x", 100), ("y", 100), ("y", 101), ("z", 5)]
+    got = [(r.src, r.dst) for r in J.anchor_edges(spark.createDataFrame(rows, "anchor string, node long")).collect()]
+    want = {(a, b) for k, a in rows for m, b in rows if k == m and a < b}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_cleanup_deletes_intermediate_tables(spark):
+    import os
+
+    from notegraph import session as S
+
+    S.cleanup(spark)
+    kept = S.materialize(spark.range(3), "kept")
+    scratch = S.Scratch(spark, "job")
+    scratch.write(spark.range(3), "t")
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert kept.count() == 3 and os.path.isdir(folder)
+    assert S.cleanup(spark) == 2 and not os.path.exists(folder) and not os.path.exists(scratch.folder.removeprefix("file:"))
