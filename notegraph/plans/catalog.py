@@ -321,10 +321,15 @@ t AS (SELECT *, CASE WHEN regexp_matches(title, '^The ') THEN 'article' WHEN reg
 SELECT rel_path, coalesce(ruled, best, 'note') AS type, CASE WHEN folder IN ('src1', 'src2') THEN folder ELSE 'Personal' END AS org,
  least(CASE WHEN folder IN ('src1', 'src2') THEN 0.95 ELSE 0.0 END, CASE WHEN ruled IS NOT NULL THEN 0.95 WHEN top >= 2 THEN top / total WHEN top = 1 THEN 0.5 ELSE 0.0 END) AS confidence FROM t"""))
 def k1(spark, sf):
-    from notegraph.plans.pipelines import Rules, classify_rules
+    from notegraph.plans.pipelines import classify_rules
 
-    rules = Rules(types=KEYWORDS, orgs={"src1": ["\u0001src1"], "src2": ["\u0001src2"]}, titles=[("^The ", "article"), ("(?i)^of ", "fragment")], folders=["src1", "src2"], work_orgs=["src1"], work=WORK, personal=PERSONAL, tags={})
-    return classify_rules(notes(spark, sf), rules).select("rel_path", "type", "org", "confidence")
+    return classify_rules(notes(spark, sf), k1_rules()).select("rel_path", "type", "org", "confidence")
+
+
+def k1_rules():
+    from notegraph.plans.pipelines import Rules
+
+    return Rules(types=KEYWORDS, orgs={"src1": ["\u0001src1"], "src2": ["\u0001src2"]}, titles=[("^The ", "article"), ("(?i)^of ", "fragment")], folders=["src1", "src2"], work_orgs=["src1"], work=WORK, personal=PERSONAL, tags={})
 
 
 @query("d5_classify_binary", on_notes(f"""

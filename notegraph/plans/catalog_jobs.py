@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from notegraph.plans import generate as G
 from notegraph.plans import jobs as J
-from notegraph.plans.catalog import alias_table, notes, on_notes, query, table
+from notegraph.plans.catalog import SQL, alias_table, k1_rules, notes, on_notes, query, table
 from notegraph.plans.catalog_more import RULES
 from notegraph.sources.notes import folders, nested_tags
 
@@ -249,13 +249,11 @@ def k6_fields(spark, sf):
 @query("a17_keyed_upsert", """
 SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'second' ELSE c_mktsegment END AS segment, CASE WHEN c_custkey % 7 = 0 THEN -c_acctbal ELSE c_acctbal END AS balance FROM customer""")
 def a17_keyed(spark, sf):
-    import uuid
-
-    from notegraph.session import shared_dir
+    from notegraph.session import scratch_path
     from notegraph.sources.buckets import KeyedTable
 
     c = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
-    kept = KeyedTable(spark, f"{shared_dir(spark)}/customers-{uuid.uuid4().hex}", "c_custkey", 16)
+    kept = KeyedTable(spark, scratch_path(spark, "customers"), "c_custkey", 16)
     kept.upsert(c.where("c_custkey % 7 < 6"), batch="1")
     later = c.where("c_custkey % 7 in (0, 6)")
     some = F.col("c_custkey") % 7 == 0
@@ -263,3 +261,85 @@ def a17_keyed(spark, sf):
     for _ in range(2):  # the replay changes nothing
         kept.upsert(later, batch="2")
     return kept.read()
+
+
+# --- sources and sinks that write and read files, in the shared folder
+
+
+@query("a9_json_sources", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer WHERE c_nationkey % 5 <> 3")
+def a9(spark, sf):
+    """A JSON document per nation; those of some nations are broken and give no rows."""
+    from notegraph.session import scratch_path
+    from notegraph.sources.notes import read_json
+
+    path = scratch_path(spark, "json")
+    rows = F.to_json(F.collect_list(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))))
+    docs = table(spark, sf, "customer").groupBy("c_nationkey").agg(rows.alias("value"))
+    docs = docs.withColumn("value", F.when(F.col("c_nationkey") % 5 == 3, F.concat(F.lit("[{"), "value")).otherwise(F.col("value")))
+    docs.write.partitionBy("c_nationkey").text(path)
+    return read_json(spark, path, "id long, name string, balance double").select("id", "name", "balance")
+
+
+@query("a18_append_log", """
+SELECT strftime(ts, '%Y-%m-%d') || ' ' || event_type || ' ' || count(*) AS line FROM events WHERE event_type <> 'view' GROUP BY strftime(ts, '%Y-%m-%d'), event_type
+UNION ALL SELECT strftime(ts, '%Y-%m-%d') || ' ' || count(*) FROM events GROUP BY strftime(ts, '%Y-%m-%d')""")
+def a18(spark, sf):
+    from notegraph.session import scratch_path
+    from notegraph.sources.sinks import append_log
+
+    path = scratch_path(spark, "log")
+    e = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    append_log(e.where("event_type <> 'view'").groupBy("day", "event_type").count().select(F.concat_ws(" ", "day", "event_type", F.col("count").cast("string")).alias("line")), path)
+    append_log(e.groupBy("day").count().select(F.concat_ws(" ", "day", F.col("count").cast("string")).alias("line")), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query("a24_ledger_file", """
+SELECT event_type || ':' || user_id AS key, round(count(*) * 0.05, 6) AS evidence, count(*) AS seen_count, ['a:' || event_type, 'u:' || user_id] AS distinct_anchors, strftime(max(ts), '%Y-%m-%d') AS last_seen, 'sig' AS signature, CASE WHEN count(*) > 3 THEN 's' || user_id END AS slug, count(*) > 3 AS proposed FROM events GROUP BY event_type, user_id""")
+def a24(spark, sf):
+    """Written twice, read back, and read back once more after a broken one was set aside."""
+    from notegraph.session import scratch_path
+
+    n = F.count("*")
+    user = F.col("user_id").cast("string")
+    state = table(spark, sf, "events").groupBy("event_type", "user_id").agg(n.alias("seen_count"), F.date_format(F.max("ts"), "yyyy-MM-dd").alias("last_seen"))
+    state = state.select(
+        F.concat("event_type", F.lit(":"), user).alias("key"), F.round(F.col("seen_count") * 0.05, 6).alias("evidence"), "seen_count", F.array(F.concat(F.lit("a:"), "event_type"), F.concat(F.lit("u:"), user)).alias("distinct_anchors"),
+        "last_seen", F.lit("sig").alias("signature"), F.when(F.col("seen_count") > 3, F.concat(F.lit("s"), user)).alias("slug"), (F.col("seen_count") > 3).alias("proposed"),
+    )
+    path = scratch_path(spark, "ledger")
+    J.save_ledger(state.where("not proposed"), path)
+    J.save_ledger(state, path)
+    return J.load_ledger(spark, path)
+
+
+@query("i1_classify_stream", SQL["k1_classify_rules"])
+def i1(spark, sf):
+    """Notes arrive in two parts; each is classified once by a stream that is started for each part."""
+    from notegraph.plans.pipelines import classify_rules
+    from notegraph.session import scratch_path
+    from notegraph.streaming.incremental import classify_stream
+
+    n = notes(spark, sf)
+    path = scratch_path(spark, "stream")
+    schema = ", ".join(f"{k} {t}" for k, t in n.dtypes)
+    for k in range(2):
+        n.where(F.col("doc_id") % 2 == k).write.mode("append").parquet(f"{path}/in")
+        classify_stream(spark, f"{path}/in", schema, lambda d: classify_rules(d, k1_rules()), f"{path}/out", f"{path}/at").awaitTermination()
+    out = spark.read.parquet(f"{path}/out")
+    return out.select("rel_path", "type", "org", "confidence")
+
+
+@query("i6_progress_metrics", "SELECT count(*) AS rows, count(*) FILTER (WHERE doc_id % 3 = 0) AS done FROM documents")
+def i6(spark, sf):
+    """The counters that the micro-batches of a stream over the documents report, added up."""
+    from notegraph.session import scratch_path
+    from notegraph.streaming.incremental import progress
+
+    d = table(spark, sf, "documents")
+    src = spark.readStream.schema(d.schema).parquet(f"{sf}/documents.parquet*")
+    at = scratch_path(spark, "progress")
+    q = progress(src, "seen", F.col("doc_id") % 3 == 0).writeStream.format("noop").option("checkpointLocation", at).trigger(availableNow=True).start()
+    q.awaitTermination()
+    seen = [p.observedMetrics["seen"] for p in q.recentProgress if "seen" in p.observedMetrics]
+    return spark.createDataFrame([(sum(r["rows"] for r in seen), sum(r["done"] for r in seen))], "rows long, done long")

@@ -53,6 +53,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return _write(df, _noted(df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"))
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the shared folder, for a job's own files; `cleanup` deletes it, too."""
+    return _noted(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+
+
 def _noted(spark: SparkSession, path: str) -> str:
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
