@@ -195,26 +195,35 @@ def resolve_collisions(proposals: DataFrame, taken_slugs: DataFrame, taken_alias
     """``proposals (pos, slug, aliases)`` without taken slugs and aliases; of two proposals the earlier one wins.
 
     As if taken one by one in the order of ``pos``: a proposal whose slug is taken, or whose aliases all are, is
-    rejected and takes nothing; else it takes its slug and its free aliases. Each round accepts all proposals that are
-    the first of what they ask for, and frees or closes what they have decided; rounds follow chains of conflicts only.
+    rejected and takes nothing; else it takes its slug and its free aliases. Each round decides all proposals that are
+    the first of what they ask for, and all that only one earlier proposal stands in the way of, down whole trees of such
+    (`_outcomes`); then it closes what was taken. So a chain of conflicts takes one round.
     """
     scratch = Scratch(proposals.sparkSession, "collisions")
     rows = proposals.where(F.coalesce("slug", F.lit("")) != "").select("pos", "slug", F.posexplode("aliases").alias("alias_pos", "alias"))
     rows = scratch.write(rows.withColumn("key", X.casefold("alias")), "rows")
     slugs, keys = taken_slugs.select("slug"), taken_aliases.select(X.casefold("alias").alias("key"))
-    accepted, rounds = f"{scratch.folder}/accepted", []
+    accepted, rounds = f"{scratch.folder}/accepted", 0
     while True:
         rows = rows.join(slugs.distinct(), "slug", "left_anti").join(keys.distinct(), "key", "left_anti").select("pos", "slug", "alias_pos", "alias", "key")
         rows = scratch.write(rows, "rows")
         if rows.isEmpty():
             break
-        first = rows.groupBy("slug").agg(F.min("pos").alias("by_slug"))
-        first_key = rows.groupBy("key").agg(F.min("pos").alias("by_key"))
-        ready = rows.join(first, "slug").join(first_key, "key").groupBy("pos").agg(F.bool_and((F.col("pos") == F.col("by_slug")) & (F.col("pos") == F.col("by_key"))).alias("ready"))
-        won = rows.join(ready.where("ready").select("pos"), "pos", "left_semi")
-        won = scratch.write(won, f"won-{len(rounds)}")
+        asked = rows.select("pos", F.lit(True).alias("is_slug"), F.col("slug").alias("k")).union(rows.select("pos", F.lit(False), "key")).distinct()
+        first = asked.groupBy("is_slug", "k").agg(F.min("pos").alias("first"))
+        asked = scratch.write(asked.join(first, ["is_slug", "k"]), "asked")
+        second = asked.where("pos <> first").groupBy("is_slug", "k").agg(F.min("pos").alias("second"))
+        asked = scratch.write(asked.join(second, ["is_slug", "k"], "left"), "asked")
+        val = _outcomes(asked, scratch)
+        lost = asked.where("not is_slug and pos <> first").join(val.select(F.col("pos").alias("first"), F.col("val").alias("v")), "first").select("pos", F.col("k").alias("key"), "v")
+        lost = scratch.write(lost, "lost")
+        # what stands in the way may be unknown yet, though the outcome is known: then it is known later, with its aliases
+        later = lost.where("v is null").select("pos").distinct()
+        won = rows.join(val.where("val").join(later, "pos", "left_anti").select("pos"), "pos", "left_semi").join(lost.where("v").select("pos", "key"), ["pos", "key"], "left_anti")
+        won = scratch.write(won.select(*rows.columns), f"won-{rounds}")
         won.write.mode("append").parquet(accepted)
-        rounds.append(won)
+        gone = scratch.write(val.where("not val").select("pos").union(won.select("pos").distinct()), "gone")
+        rows, rounds = rows.join(gone, "pos", "left_anti"), rounds + 1
         slugs, keys = won.select("slug"), won.select("key")
     out = rows.sparkSession.read.schema(rows.schema).parquet(accepted) if rounds else rows
     out = materialize(out.groupBy("pos", "slug").agg(F.transform(F.array_sort(F.collect_list(F.struct("alias_pos", "alias"))), lambda x: x["alias"]).alias("aliases")), "collisions")
@@ -222,6 +231,32 @@ def resolve_collisions(proposals: DataFrame, taken_slugs: DataFrame, taken_alias
     return out
 
 
+def _outcomes(asked: DataFrame, scratch: Scratch) -> DataFrame:
+    """``asked (pos, is_slug, k, first, second)``, what open proposals ask for and the first two that do, to ``(pos, val)``:
+    accepted, rejected, or null where that is not known yet.
+
+    A proposal that is the first of all is accepted. One that a single earlier one stands in the way of is accepted
+    anyway if its slug and some alias are its own, else it is the opposite of that one. Pointers to it are followed by
+    doubling, so a chain's end is found in the logarithm of its length. Others wait.
+    """
+    behind = F.col("pos") != F.col("first")
+    each = asked.groupBy("pos").agg(
+        F.countDistinct(F.when(behind, F.col("first"))).alias("n"), F.min(F.when(behind, F.col("first"))).alias("to"), F.bool_or(behind & (F.col("pos") != F.col("second"))).alias("more"),
+        F.bool_or(behind & F.col("is_slug")).alias("no_slug"), F.bool_or(~behind & ~F.col("is_slug")).alias("own_alias"),
+    )
+    waits = (F.col("n") > 1) | F.coalesce("more", F.lit(False))
+    sure = (F.col("n") == 0) | (~F.col("no_slug") & F.col("own_alias"))
+    now = each.select("pos", F.when(~waits & ~sure, F.col("to")).alias("to"), F.when(~waits & sure, True).alias("val"), F.lit(True).alias("opposite"))
+    now = scratch.write(now, "outcomes")
+    while not (open_ := now.where("to is not null")).isEmpty():
+        ahead = now.select(F.col("pos").alias("to"), F.col("to").alias("next"), F.col("val").alias("v"), F.col("opposite").alias("o"))
+        met = open_.join(ahead, "to")
+        done = F.col("next").isNull()
+        step = met.select("pos", "next", F.when(done, F.col("v") != F.col("opposite")), F.when(done, F.col("opposite")).otherwise(F.col("opposite") != F.col("o"))).toDF("pos", "to", "val", "opposite")
+        now = scratch.write(step.unionByName(now.where("to is null")), "outcomes")
+    return now.select("pos", "val")
+
+
 def pending_reviews(queue: DataFrame, notes: DataFrame, done: Column) -> tuple[DataFrame, DataFrame]:
     """(rows whose note still exists and is not done, number of hidden rows)."""
     open_ = notes.where(~done).select(F.col("rel_path").alias("path")).distinct()

@@ -543,3 +543,37 @@ def test_cleanup_deletes_intermediate_tables(spark):
     folder = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
     assert kept.count() == 3 and os.path.isdir(folder)
     assert S.cleanup(spark) == 2 and not os.path.exists(folder) and not os.path.exists(scratch.folder.removeprefix("file:"))
+
+
+def _one_by_one(rows, slugs, keys):
+    out = []
+    for pos, slug, aliases in sorted(rows):
+        left = [a for a in aliases if a.casefold() not in keys]
+        if slug not in slugs and left:
+            slugs.add(slug)
+            keys |= {a.casefold() for a in left}
+            out.append((pos, slug, left))
+    return out
+
+
+def test_a_chain_of_collisions_takes_few_rounds(spark, monkeypatch):
+    """10,000 proposals of which each asks for what the one before asks for; few jobs, and the outcome of one by one."""
+    rounds = []
+    write = J.Scratch.write
+    monkeypatch.setattr(J.Scratch, "write", lambda self, df, name: (rounds.append(name), write(self, df, name))[1])
+    rows = [(i, f"s{i}", [f"a{i}", f"a{i + 1}"] if i % 2 else [f"a{i}"]) for i in range(5000)]
+    rows += [(5000 + i, f"t{(i + 1) // 2}", [f"b{i // 2}", f"b{i // 2}x"]) for i in range(5000)]
+    df = spark.createDataFrame(rows, "pos long, slug string, aliases array<string>").repartition(8)
+    got = J.resolve_collisions(df, spark.createDataFrame([("t7",)], "slug string"), spark.createDataFrame([("B9",)], "alias string")).collect()
+    assert sorted(tuple(r) for r in got) == _one_by_one(rows, {"t7"}, {"b9"})
+    assert rounds.count("asked") <= 6 and rounds.count("outcomes") <= 20
+
+
+def test_collisions_of_random_proposals(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, f"s{rng.randrange(60)}", rng.sample([f"{'aA'[rng.randrange(2)]}{k}" for k in range(80)], rng.randint(1, 3))) for i in range(150)]
+    df = spark.createDataFrame(rows, "pos long, slug string, aliases array<string>")
+    got = J.resolve_collisions(df, spark.createDataFrame([("s1",)], "slug string"), spark.createDataFrame([("A2",)], "alias string")).collect()
+    assert sorted(tuple(r) for r in got) == _one_by_one(rows, {"s1"}, {"a2"})
