@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     scratch = Scratch(edges.sparkSession, "components")
     given = scratch.write(edges.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "given")
-    now = scratch.write(given.where("hi <> lo"), "edges")
+    now = given.where("hi <> lo")
     while True:
         n = now.count()
         # large star: an edge's lower end moves to that node's own smallest neighbour
