@@ -323,8 +323,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = full_lists(full.join(deep, "node"), percent, scratch)
     fits = (F.col("n_a") <= F.col("most_b")) & (F.col("n_b") <= F.col("most_a"))
     pairs = scratch.write(likely(_meet(found.where(F.col("c") <= SHORT), fits), sketches, k, percent).union(short).distinct(), "pairs")
-    more = confirmed(pairs, full, percent).union(long_links(found.where(F.col("c") > SHORT), full, percent, scratch))
-    links = scratch.write(links.union(more), "links")
+    links = links.union(confirmed(pairs, full, percent))
+    long = found.where(F.col("c") > SHORT)
+    if not long.isEmpty():
+        links = links.union(long_links(long, full, percent, scratch))
+    links = scratch.write(links, "links")
     labels = components(links.toDF("src", "dst")).withColumnRenamed("component", "label")
     grouped = nodes.select("node", "cls", "id").join(labels, "node", "left").select("cls", "id", F.coalesce("label", "node").alias("label"))
     smallest = grouped.groupBy("label").agg(F.min("id").alias("component"))

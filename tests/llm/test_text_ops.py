@@ -107,6 +107,70 @@ def test_language_odd(spark):
     assert df.select(langid.identify(df, None).alias("p")).where("p.lang_pred <> 'und'").count() == 0
 
 
+def plain_language_id(rows):
+    """The whole query over, word by word and language by language: fit, forward sums and posteriors."""
+    own = [(t, lang) for i, t, lang in rows if lang is not None and t and re.search(r"[^\W\d_]", t) and zlib.crc32(str(i).encode()) % 3 != 1]
+    languages = sorted({lang for _, lang in own})
+    counts = defaultdict(lambda: [0] * len(languages))
+    for t, lang in own:
+        for w in langid.WORDS.findall(t.lower()):
+            counts[w][languages.index(lang)] += 1
+    pieces = set(langid.vocabulary_pieces()) | {c for w in counts for c in w} | {"▁"}
+    longest = max(map(len, pieces))
+    p = [dict.fromkeys(pieces, 1 / (len(pieces) + 1)) for _ in languages]
+
+    def arcs(text):
+        for i in range(len(text)):
+            fit = [text[i:j] for j in range(i + 1, min(len(text), i + longest) + 1) if text[i:j] in pieces]
+            yield from ((i, x) for x in fit)
+            if text[i] not in pieces:
+                yield i, text[i]
+
+    def forward(text, q):
+        alpha = [1.0] + [0.0] * len(text)
+        for i, x in arcs(text):
+            alpha[i + len(x)] += alpha[i] * q.get(x, langid.UNSEEN)
+        return alpha
+
+    for _ in range(3):
+        for k, q in enumerate(p):
+            use = dict.fromkeys(pieces, 0.02)
+            for w, n in counts.items():
+                if n[k]:
+                    text = "▁" + w
+                    alpha, beta = forward(text, q), [0.0] * len(text) + [1.0]
+                    every = list(arcs(text))
+                    for i, x in reversed(every):
+                        beta[i] += q[x] * beta[i + len(x)]
+                    for i, x in every:
+                        use[x] += n[k] * alpha[i] * q[x] * beta[i + len(x)] / alpha[-1]
+            total = sum(use.values()) + 0.02
+            p[k] = {x: v / total for x, v in use.items()}
+    known = {}
+    for i, t, _ in rows:
+        words = langid.WORDS.findall((t or "").lower())
+        for w in words:
+            if w not in known:
+                known[w] = [math.log(max(forward("▁" + w, q)[-1], 1e-300)) for q in p]
+        logs = [sum(known[w][k] for w in words) for k in range(len(languages))]
+        best = max(range(len(languages)), key=lambda k: logs[k])
+        yield i, (languages[best], 1 / sum(math.exp(x - logs[best]) for x in logs)) if words else ("und", 0.0)
+
+
+def test_language_id_equals_a_plain_version(spark, sf):
+    """Texts are cut to a few words each as well, so that scores are not all near 1."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    short = docs.select((F.col("doc_id") + 1_000_000).alias("doc_id"), F.substring_index("text", " ", 1).alias("text"), F.lit(None).cast("string").alias("lang"))
+    docs = docs.unionByName(short)
+    want = dict(plain_language_id([tuple(r) for r in docs.collect()]))
+    got = docs.select("doc_id", langid.identify(docs, langid.train(docs)).alias("p")).collect()
+    assert len(got) == len(want)
+    for r in got:
+        lang, score = want[r.doc_id]
+        assert abs(r.p.score - score) < 1e-4 and (r.p.lang_pred == lang or abs(score - 0.5) < 1e-3)
+    assert sum(0.3 < r.p.score < 0.95 for r in got) > 5
+
+
 # --- mixing
 
 
