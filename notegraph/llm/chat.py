@@ -17,7 +17,7 @@ far. So a task holds one conversation at a time, and rendering time grows with t
 The template used here, `MarkedTemplate`, writes ``### Role:\n`` before and ``</turn>\n`` after a text and puts a
 backslash before each control string (``###``, ``</turn>`` and the backslash) inside texts, so it can be read back.
 
-Defined cases: null text and null role are empty; rows of one conversation with equal turn are ordered by role, then
+Defined cases: null text and null role are empty; a null turn stands first; rows of one conversation with equal turn are ordered by role, then
 text, and repeated rows are turns of their own; each row without a conversation id is a conversation of its own, so
 these rows go round over the tasks; very long texts are rendered whole; an empty table gives no rows; extra columns,
 whatever their names, are never read. A turn whose text the template leaves out or rewrites has no loss mask.

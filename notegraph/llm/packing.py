@@ -14,7 +14,8 @@ and packs alike.
 Which sequence a piece is in, and so its id, follows from how Spark splits the input; each id is used once.
 
 Defined cases: a null or empty text is the one end token; repeated rows are packed each for itself; a null id is
-kept as null; an empty table gives no rows; very long texts are tokenised in parts that end where no token can span;
+kept as null; of equal pieces the earlier one is placed first, and of bins that suit it alike it takes the
+first; an empty table gives no rows; very long texts are tokenised in parts that end where no token can span;
 extra columns, whatever their names, are never read. Without a loss share all tokens bear loss, so the loss limit then
 is one on tokens.
 """
