@@ -22,7 +22,7 @@ LEAST_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and those that no language explains better than the rest taken together.
 
-    Null and empty texts have no letter and go. Repeated rows are judged alike. Null ids and languages change nothing but
+    Null and empty texts have no letter and go. Very long texts are judged by all their words. Repeated rows are judged alike. Null ids and languages change nothing but
     which rows are learned from; if no row has a language, nothing is known and all rows go.
     """
     model = langid.train(docs.select("doc_id", "text", "lang"))
@@ -34,7 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near-duplicates, once if its row is repeated.
 
-    Shingles of five words, similarity 0.8 or more. Texts that are null or without words are linked with nothing and stay,
+    Shingles of five words, similarity 0.8 or more, over whole texts, very long ones included. Texts that are null or without words are linked with nothing and stay,
     and so do rows with a null id. Of rows that share an id and a text one stays; ids that repeat with other texts count
     as one document, so all of them go if a smaller id is in their group.
     """
@@ -51,14 +51,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at weights 1, 2, 3 in turn; a document comes as often as the mix takes it, 3 times at most.
 
-    Rows with a null source are a source of their own. Null texts have no words but may be taken. Equal rows share out
+    Rows with a null source are a source of their own. A very long text is taken whole or not at all. Null texts have no words but may be taken. Equal rows share out
     the copies that they get together.
     """
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in sequences of 2048. Null and empty texts are one end token; repeated rows are packed each for itself."""
+    """Token ids in sequences of 2048. Null and empty texts are one end token; very long ones fill
+    whole sequences; repeated rows are packed each for itself."""
     p = packing.pack(docs)
     return p.select(F.col("id").alias("doc_id"), "start", "length", "sequence_id", "offset", "doc_tokens", F.crc32("ids").alias("ids_crc32"), "ids")
 
