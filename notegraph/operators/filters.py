@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -61,10 +62,16 @@ def glob_pattern(glob: str) -> str:
     return rf"(?s)\A{out}\z"
 
 
-@F.pandas_udf(T.StringType())
-def glob_regex(globs: pd.Series) -> pd.Series:
-    """`glob_pattern` of a column."""
-    return globs.map(lambda g: None if g is None else glob_pattern(g))
+@functools.lru_cache(maxsize=4096)
+def _compiled(glob: str) -> re.Pattern:
+    return re.compile(glob_pattern(glob).removesuffix(r"\z") + r"\Z")  # the end, in Python's words
+
+
+@F.pandas_udf(T.BooleanType())
+def matches_glob(values: pd.Series, globs: pd.Series) -> pd.Series:
+    """Whether a value matches the glob beside it; null where one is null. Python: a pattern is compiled once a worker,
+    which Spark does for constant patterns only."""
+    return pd.Series([None if v is None or g is None else _compiled(g).search(v) is not None for v, g in zip(values, globs, strict=True)], dtype="boolean")
 
 
 def is_exhaust(name: Column) -> Column:

@@ -157,8 +157,7 @@ def collect_topics(notes: DataFrame, topics: DataFrame, exclude: DataFrame | Non
         matches = J.match_topics(n.withColumn("folded", X.fold(F.concat_ws("\n", "file_name", "body"))), topics.withColumn("alias", X.fold("alias")))
     m = matches.join(n.select("rel_path", "file_name", F.sha2("body", 256).alias("body_sha")), "rel_path")
     if exclude is not None:
-        globs = exclude.select("slug", P.glob_regex("glob").alias("pattern"))
-        out = m.join(globs, "slug").where(F.rlike("rel_path", F.col("pattern")) | F.rlike("file_name", F.col("pattern")))
+        out = m.join(exclude.select("slug", "glob"), "slug").where(P.matches_glob("rel_path", "glob") | P.matches_glob("file_name", "glob"))
         m = m.join(out.select("slug", "rel_path").distinct(), ["slug", "rel_path"], "left_anti")
     pick = F.min(F.struct(F.col("rel_path").rlike(r"\.\d+\.md$").alias("k"), F.length("rel_path").alias("n"), "rel_path", "aliases")).alias("p")
     one = m.groupBy("slug", "body_sha").agg(pick).select("slug", "body_sha", "p.rel_path", "p.aliases")

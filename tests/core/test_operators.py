@@ -577,3 +577,9 @@ def test_collisions_of_random_proposals(spark):
     df = spark.createDataFrame(rows, "pos long, slug string, aliases array<string>")
     got = J.resolve_collisions(df, spark.createDataFrame([("s1",)], "slug string"), spark.createDataFrame([("A2",)], "alias string")).collect()
     assert sorted(tuple(r) for r in got) == _one_by_one(rows, {"s1"}, {"a2"})
+
+
+def test_globs_of_a_column(spark):
+    rows = [("a/b.md", "a/*"), ("a/b.md", "b.md"), ("a/b.md\n", "a/b.md"), ("x1.md", "x[0-9].md"), ("xa.md", "x[!0-9].md"), (None, "*"), ("a", None), ("a+b", "a+b")]
+    got = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, v string, g string").select("i", P.matches_glob("v", "g").alias("m")).orderBy("i").collect()
+    assert [r.m for r in got] == [True, False, False, True, True, None, None, True]
