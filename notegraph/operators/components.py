@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from notegraph.session import Scratch, materialize
 
 #: A key with more than one in so many of a table's rows is heavy, so there are fewer heavy keys than that.
-SHARE, LEAST = 500, 10_000
+SHARE, LEAST = 500, 100_000
 
 
 def even_left_join(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
@@ -40,24 +40,22 @@ def components(edges: DataFrame) -> DataFrame:
     by `even_left_join`. Edges of a node with itself make it a component of its own.
     """
     scratch = Scratch(edges.sparkSession, "components")
-    given = scratch.write(edges.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "given")
-    now = given.where("hi <> lo")
+    given = scratch.write(edges.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")), "given")
+    now, n = given.where("hi <> lo"), given.count()
     while True:
-        n = now.count()
         # large star: an edge's lower end moves to that node's own smallest neighbour
-        below = scratch.write(now.groupBy("hi").agg(F.min("lo").alias("m")), "below")
-        moved = even_left_join(now, below.select(F.col("hi").alias("lo"), F.col("m").alias("far")), "lo", n)
-        moved = moved.groupBy("hi", F.coalesce("far", "lo").alias("lo")).agg(F.max(F.col("far").isNotNull()).alias("moved"))
+        below = now.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("far"))
+        moved = even_left_join(now, below, "lo", n).groupBy("hi", F.coalesce("far", "lo").alias("lo")).agg(F.max(F.col("far").isNotNull()).alias("moved"))
         moved = scratch.write(moved, "moved")
-        if below.count() == n and moved.where("moved").isEmpty():
+        below = scratch.write(moved.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"), F.bool_or("moved").alias("moved")), "below")
+        n, most, open_ = below.agg(F.sum("n"), F.max("n"), F.bool_or("moved")).first()
+        if n is None or (most == 1 and not open_):
             break
         # small star: of a node's lower neighbours all but the smallest hang on that one, and so does the node
-        large = moved.select("hi", "lo")
-        below = scratch.write(large.groupBy("hi").agg(F.min("lo").alias("m")), "below")
-        hung = even_left_join(large, below, "hi", n).where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        below = below.select("hi", "m")
+        hung = even_left_join(moved.select("hi", "lo"), below, "hi", n).where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = scratch.write(hung.unionByName(below.select("hi", F.col("m").alias("lo"))).distinct(), "edges")
-    alone = given.where("hi = lo").select("lo").join(now.select(F.col("hi").alias("lo")), "lo", "left_anti")
-    roots = now.select("lo").union(alone).distinct()
-    out = materialize(now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots.select("lo", F.col("lo").alias("component"))), "components")
+    every = moved.select("hi", "lo").union(moved.select("lo", "lo")).union(given.where("hi = lo"))
+    out = materialize(every.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component")), "components")
     scratch.close()
     return out
