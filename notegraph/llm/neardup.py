@@ -175,17 +175,19 @@ def full_lists(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     return mixed_lists(rows, "full-lists", scratch)
 
 
-def blocks_of(nodes: DataFrame, size: int) -> DataFrame:
-    """``nodes (node, g, label, weight)`` to ``(node, g, own, part)``: the block that a node belongs to in its group.
+def blocks_of(nodes: DataFrame, size: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``nodes (node, g, label, weight)`` to ``(node, g, own, part)``, the block that a node belongs to in its group, and to
+    the blocks ``(g, own, part)``.
 
     Labels heavier than ``size`` fill blocks of their own (own: the label), the others share blocks (own: -1).
     """
-    sums = nodes.groupBy("g", "label").agg(F.sum("weight").alias("w"))
-    shared = sums.where(F.col("w") <= size).groupBy("g").agg(F.sum("w").alias("all"))
-    large = F.col("w") > size
-    sums = sums.join(shared, "g", "left").select("g", "label", F.when(large, F.col("label")).otherwise(-1).alias("own"), F.ceil(F.when(large, F.col("w")).otherwise(F.col("all")) / size).alias("parts"))
+    labels = scratch.write(nodes.groupBy("g", "label").agg(F.sum("weight").alias("w")), "long-labels")
+    labels = labels.select("g", "label", "w", F.when(F.col("w") > size, F.col("label")).otherwise(-1).alias("own"))
+    sums = scratch.write(labels.groupBy("g", "own").agg(F.ceil(F.sum("w") / size).alias("parts")), "long-sums")
     seed = F.when(F.col("own") >= 0, F.col("node")).otherwise(F.col("label"))
-    return nodes.join(sums, ["g", "label"]).select("node", "g", "own", F.pmod(F.xxhash64(seed, F.lit(1)), F.col("parts")).alias("part"))
+    part = F.pmod(F.xxhash64(seed, F.lit(1)), F.col("parts"))
+    placed = nodes.join(labels.drop("w"), ["g", "label"]).join(sums, ["g", "own"]).select("node", "g", "own", part.alias("part"))
+    return placed, sums.select("g", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
 
 
 def long_links(rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -196,12 +198,12 @@ def long_links(rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch)
     of one component do not meet.
     """
     hubs = rows.groupBy("v").agg(F.min("node").alias("hub"))
-    groups = components(rows.join(hubs, "v").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct())
+    groups = components(rows.join(hubs, "v").select(F.col("hub").alias("src"), F.col("node").alias("dst")))
     lists = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.collect_list("v").alias("vs"), F.collect_list("most").alias("mosts"))
     lists = scratch.write(lists.join(groups.withColumnRenamed("component", "g"), "node"), "long-nodes")
     weight = 8 * F.col("n") + 16 * F.size("vs") + BLOCK_BYTES // BLOCK_ROWS
-    placed = scratch.write(blocks_of(lists.select("node", "g", "label", weight.alias("weight")), BLOCK_BYTES), "long-placed")
-    blocks = placed.select("g", "own", "part").distinct()
+    placed, blocks = blocks_of(lists.select("node", "g", "label", weight.alias("weight")), BLOCK_BYTES, scratch)
+    placed = scratch.write(placed, "long-placed")
     one, two = (blocks.select("g", F.col("own").alias(f"own_{k}"), F.col("part").alias(f"part_{k}")) for k in "ij")
     same = (F.col("own_i") == F.col("own_j")) & (F.col("part_i") == F.col("part_j"))
     meet = one.join(two, "g").where(F.when(F.col("own_i") == F.col("own_j"), (F.col("own_i") < 0) & (F.col("part_i") <= F.col("part_j"))).otherwise(F.col("own_i") < F.col("own_j")))
