@@ -122,7 +122,7 @@ i AS (SELECT x.cluster, count(*) AS e FROM e JOIN m x ON x.node = src JOIN m y O
 SELECT s.cluster, n, round(CASE WHEN n < 2 THEN 0 ELSE coalesce(e, 0) / (n * (n - 1) / 2) END, 9) AS density FROM s LEFT JOIN i USING (cluster)""")
 def d8(spark, sf):
     a = part_graph(spark, sf)
-    d = C.density(J.anchor_edges(a), a.select((F.col("node") % 50).alias("cluster"), "node"))
+    d = C.anchor_density(a, a.select((F.col("node") % 50).alias("cluster"), "node"))
     return d.select("cluster", "n", F.round("density", 9).alias("density"))
 
 

@@ -216,6 +216,20 @@ def test_clusters_brute(spark, seed):
         assert got == {r.cluster: round(r.c, 9) for r in want.collect()}
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_anchor_density(spark, seed):
+    """Random notes in overlapping clusters, against the links themselves; the links of a large anchor are never rows."""
+    rng = random.Random(seed)
+    rows = [(x, f"a{rng.randrange(9)}") for x in range(60) for _ in range(rng.randrange(4))] + [(3, None), (4, None)]
+    a = spark.createDataFrame(rows, "node long, anchor string")
+    m = spark.createDataFrame([(x % k, x) for x in range(60) for k in (4, 7)], "cluster long, node long").distinct()
+    got = lambda df: {r.cluster: (r.n, round(r.density, 9)) for r in df.collect()}
+    assert got(C.anchor_density(a, m)) == got(C.density(J.anchor_edges(a.distinct()), m))
+    many = spark.range(400_000)
+    r = C.anchor_density(many.select(F.col("id").alias("node"), F.lit("all").alias("anchor")), many.select(F.lit(0).alias("cluster"), F.col("id").alias("node"))).first()
+    assert (r.n, r.density) == (400_000, 1.0)
+
+
 def test_components_of_a_table(spark, sf):
     """The registered graph, against joining sets in Python; a star and a long chain are one component each."""
     from notegraph.plans.catalog import QUERIES, order_graph
