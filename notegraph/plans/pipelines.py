@@ -312,7 +312,10 @@ def migrate(notes: DataFrame, existing: DataFrame, context, classified) -> DataF
 
 
 def repair_links(notes: DataFrame, guids: DataFrame, url_guid) -> DataFrame:
-    """``guids (guid, title)``: links whose address holds a known GUID point to the note of that title afterwards."""
+    """``guids (guid, title)``: links whose address holds a known GUID point to the note of that title afterwards.
+
+    A GUID that is given with several titles points to the greatest of their notes' names, so a link is rewritten once.
+    """
     links = notes.select(F.explode(X.markdown_links(F.col("body"))).alias("l")).select(F.col("l.url").alias("url")).distinct().withColumn("guid", url_guid(F.col("url")))
-    lookup = guid_lookup(guids, notes.select("title", "stem"))
+    lookup = guid_lookup(guids, notes.select("title", "stem")).groupBy("guid").agg(F.max("target").alias("target"))
     return J.rewrite_links(notes, links.join(lookup, "guid").select("url", "target"))

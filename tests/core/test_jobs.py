@@ -120,3 +120,19 @@ def test_hub_audit_without_apply(spark):
     assert out["stubs"].count() == 0 and [tuple(r) for r in out["problems"].collect()] == [("v", "Self", "Self", "self")]
     assert {r.target for r in out["targets"].collect()} == {"Hub", "Self"}
     assert [(r.rel_path, r.text[:3]) for r in J.audit_hubs(n, hubs, apply=True)["stubs"].collect()] == [("Hub.md", "---")]
+
+
+def test_links_of_notes_that_share_a_guid(spark, same, tmp_path):
+    """Notes 123918 and 168108 have one GUID in the registered queries, 61409 and 136844 another; a link is rewritten once."""
+    import duckdb
+
+    from notegraph.plans.catalog import QUERIES, SQL
+
+    rows = [(i, "a text", "en", "src1") for i in (1, 2, 61409, 136844, 123918, 168108)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = {r.rel_path: r.body for r in QUERIES["k13_repair_links"](spark, str(tmp_path)).collect()}
+    assert got["src1/doc123918.md"] == got["src1/doc168108.md"] == "[[doc168108|t]] end"
+    assert got["src1/doc61409.md"] == got["src1/doc136844.md"] == "[[doc136844|t]] end"
+    same(QUERIES["k13_repair_links"](spark, str(tmp_path)), duck.sql(SQL["k13_repair_links"]))
