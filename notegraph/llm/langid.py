@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import Scratch, table
+from notegraph.llm.common import Scratch, released, table
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Labelled texts per language that the fit reads, about.
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, languages: list[str], pieces: list[str], rounds: int =
     model = Model(languages, index, np.full((len(index) + 1, len(languages)), 1.0 / (len(index) + 1)))
     for _ in range(rounds):
         use = np.full_like(model.p, 0.02)
-        sums = words.mapInPandas(_uses(model), "piece long, lang long, used long").groupBy("piece", "lang").agg(F.sum("used").alias("used")).toPandas()
+        sums = words.mapInPandas(released(_uses(model)), "piece long, lang long, used long").groupBy("piece", "lang").agg(F.sum("used").alias("used")).toPandas()
         use[sums["piece"], sums["lang"]] += sums["used"].to_numpy() / FIXED
         model.p = use / use.sum(axis=0)
         model.p[-1] = UNSEEN
@@ -255,8 +255,7 @@ class Scorer:
 def predictor(model: Model | None):
     """A pandas UDF: text to ``struct<lang_pred string, score double>``."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(texts):
         scorer = Scorer(model) if model else None
         for s in texts:
             if scorer is None:
@@ -265,6 +264,10 @@ def predictor(model: Model | None):
                 names, scores = scorer(s.tolist())
                 yield pd.DataFrame({"lang_pred": names, "score": scores})
 
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from released(run)(texts)
+
     return predict
 
 

@@ -40,14 +40,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import Scratch, materialize, sieved, table, text_or_empty
+from notegraph.llm.common import Scratch, materialize, released, sieved, table, text_or_empty
 from notegraph.operators.clusters import components
 
 K = 64
 #: Lists with more rows are split by the full sets, and compared in blocks if they are still longer. A block's bytes and rows.
 SHORT, BLOCK_BYTES, BLOCK_ROWS = 8, 16_000_000, 2048
 #: Word hashes that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 class _WordHashes(dict):
@@ -112,7 +112,7 @@ def _with_sets(rows: DataFrame, n: int, k: int | None) -> DataFrame:
                 )
         _hashes.clear()  # the worker lives on; what it remembers does not
 
-    return rows.mapInArrow(run, "id long, cls binary, n long, sketch array<long>")
+    return rows.mapInArrow(released(run), "id long, cls binary, n long, sketch array<long>")
 
 
 def classes_of(df: DataFrame, id_col: str, text_col: str, n: int, k: int) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import table
+from notegraph.llm.common import released, table
 
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 END = 1
@@ -262,7 +262,7 @@ def pack(
         if (out := emit(packer.flush())) is not None:
             yield out
 
-    return rows.mapInArrow(run, f"id {kind}, start long, length long, loss_tokens long, sequence_id long, offset long, ids binary, doc_tokens long")
+    return rows.mapInArrow(released(run), f"id {kind}, start long, length long, loss_tokens long, sequence_id long, offset long, ids binary, doc_tokens long")
 
 
 

@@ -549,3 +549,23 @@ def test_sketches_merge_and_estimate(spark):
     r = two.select(fingerprint.distinct_count(F.col("a"), 512), fingerprint.resemblance(F.col("a"), F.col("b"), 512), fingerprint.containment(F.col("a"), F.col("b"), 512)).first()
     assert abs(r[0] / 1998 - 1) < 0.15 and abs(r[1] - 1 / 3) < 0.07 and abs(r[2] - 0.5) < 0.1
     assert isinstance(two.schema["a"].dataType, T.ArrayType)
+
+
+def test_workers_give_freed_memory_back():
+    """A task's freed memory does not stay with its worker; one object at its end keeps the allocator from shrinking by itself."""
+    import psutil
+
+    from notegraph.session import released
+
+    size = lambda: psutil.Process().memory_info().rss >> 20
+    pins, seen = [], []
+
+    def run(batches):
+        held = [bytes(1000) for _ in range(200_000)]
+        pins.append(bytes(1000))
+        del held
+        seen.append(size())
+        yield from batches
+
+    assert list(released(run)(iter([1, 2]))) == [1, 2]
+    assert size() < seen[0] - 100
