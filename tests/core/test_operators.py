@@ -248,6 +248,17 @@ def test_cohesion_of_repeated_notes(spark, monkeypatch, block, small):
     assert abs(all_ - (150_000 - 1) / (300_000 - 1)) < 1e-9
 
 
+def test_texts_of_a_batch_are_held_in_slices():
+    import pyarrow as pa
+
+    from notegraph.operators import matching as M
+
+    batch = pa.RecordBatch.from_pydict({"x": list(range(1000))})
+    parts = list(M._slices(iter([batch, batch.slice(0, 0), batch.slice(5, 3)])))
+    assert max(map(len, parts)) == M.ROWS
+    assert [x for p in parts for x in p["x"].to_pylist()] == [*range(1000), 5, 6, 7]
+
+
 def test_components_of_a_table(spark, sf):
     """The registered graph, against joining sets in Python; a star and a long chain are one component each."""
     from notegraph.plans.catalog import QUERIES, order_graph
