@@ -15,6 +15,7 @@ from notegraph.operators import filters as P
 from notegraph.operators import joins as J
 from notegraph.operators import sets as S
 from notegraph.operators import windows as N
+from notegraph.session import materialize
 from notegraph.sources.notes import NOTES_SQL, allowed, notes_from_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -680,10 +681,10 @@ p AS (SELECT doc_id AS src, doc_id + 1 AS dst FROM notes WHERE doc_id + 1 IN (SE
 SELECT src, dst, round(CASE WHEN coalesce(a.w, 0) + coalesce(b.w, 0) - coalesce(shared, 0) > 0 THEN coalesce(shared, 0) / (coalesce(a.w, 0) + coalesce(b.w, 0) - coalesce(shared, 0)) ELSE 0 END, 6) AS similarity
 FROM p LEFT JOIN c USING (src, dst) LEFT JOIN s a ON a.doc_id = src LEFT JOIN s b ON b.doc_id = dst"""))
 def d7(spark, sf):
-    refs = notes(spark, sf).select(F.col("doc_id").alias("node"), X.tokens(F.col("body")).alias("tokens"))
+    refs = materialize(notes(spark, sf).select(F.col("doc_id").alias("node"), X.tokens(F.col("body")).alias("tokens")), "tokens")
     ids = refs.select("node")
     pairs = ids.select(F.col("node").alias("src"), (F.col("node") + 1).alias("dst")).join(ids.select(F.col("node").alias("dst")), "dst").select("src", "dst")
-    return C.weighted_jaccard(pairs, refs, C.idf(refs)).select("src", "dst", F.round("similarity", 6).alias("similarity"))
+    return C.weighted_jaccard(pairs, refs, materialize(C.idf(refs), "weights")).select("src", "dst", F.round("similarity", 6).alias("similarity"))
 
 
 def order_graph(spark, sf):

@@ -278,6 +278,20 @@ def test_components_of_a_table(spark, sf):
     assert got == {x: find(x) for x in list(root)}
 
 
+def test_weighted_jaccard_reads_texts_once(spark):
+    """A pair that is given twice has the same similarity both times; cutting tokens is in the plan of their weights once."""
+    texts = [(1, "red blue tan"), (2, "red blue pink"), (3, "grey"), (4, "")]
+    refs = spark.createDataFrame(texts, "node long, text string").repartition(2).select("node", X.tokens(F.col("text")).alias("tokens"))
+    pairs = spark.createDataFrame([(1, 2), (1, 2), (2, 1), (1, 3), (3, 4), (4, 4), (1, 9)], "src long, dst long")
+    got = sorted(map(tuple, C.weighted_jaccard(pairs, refs, C.idf(refs)).collect()))
+    w = {r.token: r.idf for r in C.idf(refs).collect()}
+    same = (w["red"] + w["blue"]) / sum(w[t] for t in ("red", "blue", "tan", "pink"))
+    assert [r[:2] for r in got] == [(1, 2), (1, 2), (1, 3), (1, 9), (2, 1), (3, 4), (4, 4)]
+    assert all(abs(s - (same if {a, b} == {1, 2} else 0.0)) < 1e-12 for a, b, s in got)
+    plan = C.idf(refs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
 def test_ledger(spark):
     t = lambda d: datetime(2024, 1, d)
     state = spark.createDataFrame([("a", 0.9, 3, t(1), False, ["x", "z"], "old"), ("b", 0.11, 1, t(1), False, [], None), ("c", 2.0, 5, t(20), True, [], None), ("d", 0.01, 9, t(1), True, [], "s")], "key string, evidence double, seen long, last_seen timestamp, promoted boolean, anchors array<string>, signature string")
