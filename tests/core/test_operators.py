@@ -292,6 +292,31 @@ def test_weighted_jaccard_reads_texts_once(spark):
     assert plan.count("regexp_extract_all") == 1
 
 
+def test_components_rounds_leave_out_leaves(spark, monkeypatch):
+    """The rounds over a two-sided graph have no node of the upper side; loops, leaves and stars get their component."""
+    from notegraph.operators import components as M
+
+    rng = random.Random(3)
+    rows = [(x, -rng.randrange(1, 60)) for x in range(1000, 1150) for _ in range(2)] + [(5, 5), (7, 8), (8, 8), (9, 7), (2000, -99), (2001, -99)]
+    seen, write = [], M.Scratch.write
+
+    def noted(self, df, name):
+        out = write(self, df, name)
+        if name in ("moved", "edges"):
+            seen.extend(out.select("hi", "lo").collect())
+        return out
+
+    monkeypatch.setattr(M.Scratch, "write", noted)
+    got = {r.node: r.component for r in C.components(spark.createDataFrame(rows, "src long, dst long")).collect()}
+    root = {x: x for r in rows for x in r}
+    for _ in root:
+        for a, b in rows:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == root
+    assert seen and all(hi < 0 for hi, _ in seen)
+    assert C.components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
 def test_ledger(spark):
     t = lambda d: datetime(2024, 1, d)
     state = spark.createDataFrame([("a", 0.9, 3, t(1), False, ["x", "z"], "old"), ("b", 0.11, 1, t(1), False, [], None), ("c", 2.0, 5, t(20), True, [], None), ("d", 0.01, 9, t(1), True, [], "s")], "key string, evidence double, seen long, last_seen timestamp, promoted boolean, anchors array<string>, signature string")
