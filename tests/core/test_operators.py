@@ -317,6 +317,18 @@ def test_components_rounds_leave_out_leaves(spark, monkeypatch):
     assert C.components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_cascade_applies_its_rules_once(spark):
+    """Each keyword is looked for in one place of the plan; a note without a body is decided on like an empty one."""
+    schema = "rel_path string, folder string, title string, body string"
+    n = spark.createDataFrame([("a", "f", "t", None), ("b", "f", "t", ""), ("c", "f", "t", "long enough to be kept for review, whatever it says")], schema)
+    assert {r.rel_path: (r.decision, r.confidence) for r in L.classify_corpus(n, L.Rules(types={"x": ["zebra"]}, orgs={"o": ["okapi"]})).collect()} == {"a": ("purged", 0.0), "b": ("purged", 0.0), "c": ("review", 0.0)}
+    rules = L.Rules(types={"x": ["zebra", "gnu"], "y": ["emu"]}, orgs={"o": ["okapi"]}, titles=[("^The ", "article")], folders=["g"])
+    plan = L.classify_corpus(n, rules).groupBy("decision").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(w) for w in ("zebra", "gnu", "emu", "okapi")] == [1, 1, 1, 1]
+    model = lambda: lambda title, body: {"type": "m", "confidence": 0.9}
+    assert {r.rel_path: (r.decision, r.by) for r in L.classify_corpus(n, rules, model).collect()} == {"a": ("purged", "rules"), "b": ("purged", "rules"), "c": ("auto", "model")}
+
+
 def test_ledger(spark):
     t = lambda d: datetime(2024, 1, d)
     state = spark.createDataFrame([("a", 0.9, 3, t(1), False, ["x", "z"], "old"), ("b", 0.11, 1, t(1), False, [], None), ("c", 2.0, 5, t(20), True, [], None), ("d", 0.01, 9, t(1), True, [], "s")], "key string, evidence double, seen long, last_seen timestamp, promoted boolean, anchors array<string>, signature string")
