@@ -28,15 +28,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import Scratch, released, table
+from notegraph.llm.common import Scratch, released, small_batches, table
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Labelled texts per language that the fit reads, about.
 SAMPLE_DOCS = 400
 RUN = 32
 UNSEEN = 1e-7
-#: Word scores that a worker remembers; words that are scored at once.
-REMEMBERED, AT_ONCE = 400_000, 200_000
+#: Word scores that a worker remembers; words that are looked up at once, and of them those whose arcs are held at once.
+REMEMBERED, AT_ONCE, LATTICE = 400_000, 200_000, 4_000
 WORDS = re.compile(rf"[^\W\d_]{{1,{RUN}}}")
 UND = "und"
 
@@ -127,8 +127,8 @@ class Model:
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
         out = np.empty((len(words), len(self.languages)))
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
+        for at in range(0, len(words), LATTICE):
+            part = words[at : at + LATTICE]
             lat = self.lattice(part)
             out[at : at + len(part)] = np.log(np.maximum(self.forward(lat)[np.arange(len(part)), lat.lengths], 1e-300))
         return out
@@ -285,6 +285,7 @@ def train(docs: DataFrame, vocabulary: str | None = None, **columns) -> Model |
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Column:
     """The column ``struct(lang_pred, score)`` for ``docs``."""
+    small_batches(docs.sparkSession)
     return predictor(model)(F.col(text_col))
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import Scratch, materialize, released, sieved, table, text_or_empty
+from notegraph.llm.common import Scratch, materialize, released, sieved, small_batches, table, text_or_empty
 from notegraph.operators.clusters import components
 
 K = 64
@@ -95,8 +95,8 @@ def _with_sets(rows: DataFrame, n: int, k: int | None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
                 cls, size, sets = [], [], []
                 for text in part["text"].to_pylist():
                     words = word_list(text)
@@ -295,6 +295,7 @@ def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, k: int = K) -> DataFrame:
     """``(id, n_shingles, component_id)`` per row of ``df``."""
+    small_batches(df.sparkSession)
     scratch = Scratch(df.sparkSession, "neardup")
     known = scratch.write(classes_of(df, id_col, text_col, n, k), "known")
     one = known.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))

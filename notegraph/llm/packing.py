@@ -6,8 +6,9 @@ bin with the largest dot product of the piece's demands and the bin's room, both
 has room, a new bin is opened while fewer than ``open_bins`` are; beyond that the piece is cut to fill the bin with
 the most room. A document longer than a sequence fills whole sequences first.
 
-Each partition of the input packs its own pieces as they stream by, so nothing is shuffled and memory holds one
-window of documents and the pieces of the open bins. What is left in the open bins at the end of a partition is laid
+Each partition of the input packs its own pieces as they stream by, so nothing is shuffled and memory holds what a
+window's documents have beyond their whole sequences, and the pieces of the open bins. Windows are counted over the
+partition's rows, so nothing depends on the batches in which they come. What is left in the open bins at the end of a partition is laid
 out anew, end to end, so at most one sequence of a partition is short. A task that is run again reads the same split
 and packs alike.
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import released, table
+from notegraph.llm.common import released, small_batches, table
 
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 END = 1
@@ -45,8 +46,8 @@ REMEMBERED = 400_000
 ODD_SPACE = re.compile(r" (?:\s|\Z)").search
 #: Letters and marks that every version of the two libraries treats alike.
 PLAIN = re.compile(r"[\n\x20-\x7eÀ-ÖØ-öø-ſ]+").fullmatch
-#: Documents that are placed together, largest first.
-WINDOW = 1024
+#: Documents that are placed together, largest first; texts that are strings at once; bytes of ids that are given out at once.
+WINDOW, TEXTS, GIVEN = 1024, 64, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -207,6 +208,7 @@ def pack(
     share = F.coalesce(F.col(loss_share_col).cast("double"), F.lit(1.0)) if loss_share_col else F.lit(1.0)
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), share.alias("loss_share"))
     kind = dict(rows.dtypes)["id"]
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -214,53 +216,66 @@ def pack(
         place = vocabulary() if callable(vocabulary) else vocabulary
         enc = encoder(place)
         packer = Packer(limits, open_bins, (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33)
-        held: dict[int, list] = {}  # documents with pieces in open bins: [id, ids, tokens not yet given out]
-        number, full = 0, limits.tokens
-
-        def emit(placed: list) -> pa.RecordBatch | None:
-            if not placed:
-                return None
-            docs = [held[p[0]] for p in placed]
-            rows = {
-                "id": pa.array([d[0] for d in docs], id_type),
-                **{k: pa.array([p[i] for p in placed], pa.int64()) for k, i in (("start", 1), ("length", 2), ("loss_tokens", 3), ("sequence_id", 4), ("offset", 5))},
-                "ids": pa.array([d[1][4 * p[1] : 4 * (p[1] + p[2])] for d, p in zip(docs, placed, strict=True)], pa.binary()),
-                "doc_tokens": pa.array([len(d[1]) // 4 for d in docs], pa.int64()),
-            }
-            for p, d in zip(placed, docs, strict=True):
-                d[2] -= p[2]
-                if not d[2]:
-                    del held[p[0]]
-            return pa.RecordBatch.from_pydict(rows)
+        held: dict[int, list] = {}  # documents with tokens not yet placed: [id, ids, place of the first of them, tokens left, tokens in all]
+        ready, tail, number, waiting, full, id_type = [], [], 0, 0, limits.tokens, None  # waiting: bytes of ids in ready
+
+        def give(placed: list) -> None:
+            nonlocal waiting
+            for doc, start, n, *rest in placed:
+                d = held[doc]
+                at = 4 * (start - d[2])
+                ready.append((d[0], start, n, *rest, d[1][at : at + 4 * n], d[4]))
+                d[3] -= n
+                waiting += 4 * n
+                if not d[3]:
+                    del held[doc]
+
+        def place_tail() -> None:
+            for doc, start, n, loss_n in sorted(tail, key=lambda x: -x[2]):
+                give(packer.place(doc, start, n, loss_n))
+            tail.clear()
+
+        def emit() -> pa.RecordBatch:
+            nonlocal waiting
+            types = (id_type, *[pa.int64()] * 5, pa.binary(), pa.int64())
+            names = ("id", "start", "length", "loss_tokens", "sequence_id", "offset", "ids", "doc_tokens")
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ready, strict=True), types, strict=True)], names)
+            ready.clear()
+            waiting = 0
+            return out
 
         for batch in batches:
             id_type = batch.schema.field("id").type
-            for at in range(0, len(batch), WINDOW):
-                part = batch.slice(at, WINDOW)
-                tail, placed = [], []
+            for at in range(0, len(batch), TEXTS):
+                part = batch.slice(at, TEXTS)
                 for key, ids, loss in zip(part["id"].to_pylist(), map(enc.encode, part["text"].to_pylist()), part["loss_share"].to_pylist(), strict=True):
                     ids += END.to_bytes(4, "little")
                     n = len(ids) // 4
-                    held[number] = [key, ids, n]
+                    held[number] = [key, ids, 0, n, n]
                     loss_n = min(n, max(0, round(n * loss)))
                     start = 0
                     while n - start >= full and loss_n <= limits.loss_tokens * (n // full):
                         part_loss = -(-loss_n * full // (n - start))
                         if part_loss > limits.loss_tokens:
                             break
-                        placed.append((number, start, full, part_loss, packer.next, 0))
+                        give([(number, start, full, part_loss, packer.next, 0)])
                         packer.next += 1
                         start, loss_n = start + full, loss_n - part_loss
+                        if waiting >= GIVEN:
+                            yield emit()
                     if start < n:
                         tail.append((number, start, n - start, loss_n))
+                        held[number][1:3] = ids[4 * start :], start
                     number += 1
-                for doc, start, n, loss_n in sorted(tail, key=lambda x: -x[2]):
-                    placed += packer.place(doc, start, n, loss_n)
-                if (out := emit(placed)) is not None:
-                    yield out
+                    if number % WINDOW == 0:
+                        place_tail()
+                    if waiting >= GIVEN:
+                        yield emit()
+        place_tail()
+        give(packer.flush())
         enc.clear()  # the worker lives on; what it remembers does not
-        if (out := emit(packer.flush())) is not None:
-            yield out
+        if ready:
+            yield emit()
 
     return rows.mapInArrow(released(run), f"id {kind}, start long, length long, loss_tokens long, sequence_id long, offset long, ids binary, doc_tokens long")
 

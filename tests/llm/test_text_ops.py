@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from notegraph import session
 from notegraph.llm import common, fingerprint, langid, mixing, neardup, packing, sharding
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, w string, node long, size int, h string, key string, shard int, n int, copies int, words int, score double"
@@ -293,6 +294,35 @@ def test_packing_limits(spark, sf):
     check_pack(packing.pack(docs, loss_share_col="share", limits=limits).collect(), ids, limits)
 
 
+@pytest.mark.parametrize("name, value", [("maxRecordsPerBatch", "300"), ("maxBytesPerBatch", "20000")])
+def test_packing_does_not_depend_on_batches(spark, name, value):
+    name = f"spark.sql.execution.arrow.{name}"
+    df = spark.range(1500).select(F.col("id").alias("doc_id"), F.expr("repeat('one two three ', int(id % 90 + if(id % 400 = 7, 4000, 0)))").alias("text")).coalesce(1)
+    whole = packing.pack(df).collect()
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        cut = packing.pack(df).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(map(tuple, cut)) == sorted(map(tuple, whole))
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    """64 MB of texts at once, as Spark has it, are too much for a task; a bound that a user sets stays."""
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.expr("repeat('many words ', 500)").alias("text")).coalesce(1)
+    name, usual = session.BATCH_BOUND
+    for start in (lambda: packing.pack(df), lambda: langid.identify(df, None), lambda: neardup.near_duplicates(df.limit(3))):
+        spark.conf.set(name, usual)
+        start()
+        sizes = [r[0] for r in df.mapInArrow(lambda batches: (b.select([0]).slice(0, 1).set_column(0, "n", [b.nbytes]) for b in batches), "n long").collect()]
+        assert len(sizes) > 8 and max(sizes) < 3_000_000
+    spark.conf.set(name, "5000000")
+    packing.pack(df)
+    assert spark.conf.get(name) == "5000000"
+    spark.conf.unset(name)
+
+
 def test_packing_odd(spark):
     df = odd_rows(spark)
     ids = defaultdict(list)
