@@ -5,7 +5,9 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from notegraph import session
 from notegraph.llm import simhash
 from notegraph.llm.common import Scratch
 from tests.llm.test_text_ops import empty, odd_rows
@@ -70,6 +72,42 @@ def test_links_connect_all_near_codes(spark, monkeypatch, small, bits):
     assert {i: x for i, x in enumerate(label)} == brute_components(dict(enumerate(codes)), bits)
 
 
+def ball(spark, n, others, seed=5):
+    """``(id, code)``: n codes within 4 bits of one, and others; and the brute force's ``{id: component}``."""
+    rng = np.random.default_rng(seed)
+    codes = [int(x) for x in rng.integers(0, 2**64, others, np.uint64)]
+    for _ in range(n):
+        c = codes[0]
+        for b in rng.choice(64, rng.integers(1, 5), replace=False):
+            c ^= 1 << int(b)
+        codes.append(c)
+    codes = dict(enumerate(rng.permutation(np.array(codes, np.uint64)).tolist()))
+    signed = [(k, c - 2**64 if c >= 2**63 else c) for k, c in codes.items()]
+    return spark.createDataFrame(signed, "id long, code long"), brute_components(codes, 4)
+
+
+def test_many_near_copies_take_few_rounds(spark, monkeypatch):
+    """A group of a few hundred codes is compared at once and not cut finer and finer, each time with shuffles of all."""
+    df, want = ball(spark, 500, 300)
+    written, write = [], session._write
+    monkeypatch.setattr(session, "_write", lambda table, path: (written.append(path), write(table, path))[1])
+    monkeypatch.setattr(simhash, "fingerprints", lambda rows, *_: rows)
+    assert {r.id: r.component_id for r in simhash.near_duplicates(df).collect()} == want
+    assert len(written) <= 20
+
+
+def test_crowded_nodes_are_cut_finer(spark, monkeypatch):
+    """Nodes too large to be settled, few cells compared at once, few links drawn together at once: the same components."""
+    df, want = ball(spark, 200, 60)
+    for name, value in (("SMALL", 32), ("CELLS", 100), ("LINKS", 50)):
+        monkeypatch.setattr(simhash, name, value)
+    monkeypatch.setattr(simhash, "fingerprints", lambda rows, *_: rows)
+    codes = df.withColumn("label", F.col("code"))
+    scratch = Scratch(spark, "test")
+    assert simhash.code_links(codes, 4, scratch, "none", crowds=False) is None
+    assert {r.id: r.component_id for r in simhash.near_duplicates(df).collect()} == want
+
+
 def test_query_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     codes = {r.doc_id: brute_code(r.text, 4) for r in docs}
