@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notegraph.session import Scratch, materialize, released, shared_dir, small_batches  # noqa: F401
+from notegraph.session import Scratch, materialize, released, shared_dir, shuffled, small_batches  # noqa: F401
 
 #: White space as all operators here see it; a word is a maximal run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"

@@ -9,7 +9,8 @@ values than there are codes, the queries that are left meet all codes, block by
 
 Equal codes are indexed once, with their k + 1 smallest ids, which is all that any top-k can show of them; queries with
 equal codes are searched once. Codes of one value lie in blocks of bounded size; a block meets a block of queries in
-one Arrow batch row. Per round and query only the k + 1 nearest of each task are shuffled.
+one Arrow batch row. Per round and query only the k + 1 nearest of each task are shuffled. All joins are of tables that
+grow with the codes, so all are shuffled and none goes through the driver.
 
 Defined cases: a null vector or id takes no part; an id that occurs twice counts once, with its smallest code; all
 values of a vector count, however many; a vector shorter than the longest has no bits set beyond its end, and the
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from notegraph.llm.common import Scratch, materialize, table
+from notegraph.llm.common import Scratch, materialize, shuffled, table
 
 WORD = 64
 BLOCK = 1024
@@ -117,7 +118,7 @@ def topk(base: DataFrame, queries: DataFrame, k: int = 10, segments: int | None
     firsts = members.select("code", F.element_at("ids", 1).alias("first"))
     entries = firsts.select("code", "first", entry.alias("e")).select("code", "first", "e.seg", "e.val")
     counts = scratch.write(entries.groupBy("seg", "val").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "counts")
-    blocked = entries.join(counts, ["seg", "val"]).withColumn("block", F.pmod(F.xxhash64("code"), F.col("blocks")))
+    blocked = entries.join(shuffled(counts), ["seg", "val"]).withColumn("block", F.pmod(F.xxhash64("code"), F.col("blocks")))
     in_blocks = lambda rows, *keys: rows.groupBy(*keys).agg(F.collect_list(F.struct("code", "first")).alias("c")).select(*keys, F.flatten("c.code").alias("codes"), F.col("c.first").alias("firsts"))
     index = scratch.write(in_blocks(blocked, "seg", "val", "block"), "index")
     asked = queries.select("code").distinct()
@@ -128,13 +129,13 @@ def topk(base: DataFrame, queries: DataFrame, k: int = 10, segments: int | None
     def met(probes: DataFrame, blocks: DataFrame, *keys: str) -> DataFrame:
         grouped = probes.groupBy(*keys, qblock.alias("qblock")).agg(F.collect_list(F.struct("code", "worst")).alias("q"))
         grouped = grouped.select(*keys, F.flatten("q.code").alias("qcodes"), F.col("q.worst").alias("worsts"))
-        pairs = grouped.join(blocks, list(keys)).select("qcodes", "worsts", "codes", "firsts")
+        pairs = grouped.join(shuffled(blocks), list(keys)).select("qcodes", "worsts", "codes", "firsts")
         found = pairs.mapInPandas(_verify(keep, words), "code array<bigint>, d int, first long, hit array<bigint>")
         near = F.dense_rank().over(W.partitionBy("code").orderBy("d", "first", "hit"))  # limited in each task before the shuffle
         found = found.withColumn("rn", near).where(F.col("rn") <= keep)
         best = found.groupBy("code").agg(F.collect_set(F.struct("d", "first", F.col("hit").alias("code"))).alias("new"))
         merged = F.array_sort(F.array_distinct(F.concat("best", F.coalesce("new", F.array().cast(BEST)))))
-        return scratch.write(state.join(best, "code", "left").select("code", F.slice(merged, 1, keep).alias("best")), "state")
+        return scratch.write(state.join(shuffled(best), "code", "left").select("code", F.slice(merged, 1, keep).alias("best")), "state")
 
     for radius in range(max(w for _, w in cuts) + 1):
         worst = F.when(F.size("best") < keep, F.lit(bits)).otherwise(F.element_at("best", -1)["d"])
@@ -150,12 +151,12 @@ def topk(base: DataFrame, queries: DataFrame, k: int = 10, segments: int | None
             break
         state = met(_probes(todo, cuts, radius), index, "seg", "val")
     hits = state.select(F.col("code").alias("qcode"), F.explode("best").alias("b")).select("qcode", "b.d", "b.code")
-    near = hits.join(members, "code").select("qcode", "d", F.explode("ids").alias("nid"))
+    near = hits.join(shuffled(members), "code").select("qcode", "d", F.explode("ids").alias("nid"))
     # k + 1 of each query's code are enough, whatever the query's own id
     near = near.withColumn("rn", F.row_number().over(W.partitionBy("qcode").orderBy("d", "nid"))).where(F.col("rn") <= keep)
     near = scratch.write(near.groupBy("qcode").agg(F.array_sort(F.collect_list(F.struct("d", "nid"))).alias("near")), "near")
     others = F.slice(F.filter("near", lambda x: x["nid"] != F.col("qid")), 1, k)
-    ranked = queries.select(F.col("id").alias("qid"), F.col("code").alias("qcode")).join(near, "qcode").select("qid", F.posexplode(others).alias("at", "x"))
+    ranked = queries.select(F.col("id").alias("qid"), F.col("code").alias("qcode")).join(shuffled(near), "qcode").select("qid", F.posexplode(others).alias("at", "x"))
     out = materialize(ranked.select(F.col("qid").alias("query_id"), F.col("x.nid").alias("neighbor_id"), F.col("x.d").alias("distance"), (F.col("at") + 1).alias("rank")), "mih")
     scratch.close()
     return out

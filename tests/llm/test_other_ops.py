@@ -236,6 +236,25 @@ def test_topk_odd(spark):
     assert mih.topk(extra, extra, 5).count() == 6
 
 
+def test_topk_driver(spark, monkeypatch):
+    """Nothing of a table goes through the driver, small as the tables are here: no join broadcasts a side."""
+    plans = []
+
+    def seen(self, df, name, write=mih.Scratch.write):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, df, name)
+
+    monkeypatch.setattr(mih.Scratch, "write", seen)
+    monkeypatch.setattr(mih, "materialize", lambda df, name: seen(mih.Scratch(spark, name), df, name))
+    # far apart, so that the queries end with all codes, block by block
+    rng = np.random.default_rng(7)
+    base = spark.createDataFrame([(i, int(c)) for i, c in enumerate(rng.integers(0, 1 << 62, 300, dtype=np.int64))], "id long, code long")
+    assert mih.topk(base, base.where("id % 50 = 0"), 5, 3).count() == 30
+    assert {"members", "counts", "index", "state", "all", "near", "mih"} == {name for name, _ in plans}
+    assert sum("SortMergeJoin" in plan for _, plan in plans) >= 5
+    assert not [name for name, plan in plans if "Broadcast" in plan]
+
+
 # --- chat
 
 
