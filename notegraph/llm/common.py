@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notegraph.operators import filters
+from notegraph.operators.filters import SIEVE_BITS
 from notegraph.session import Scratch, materialize, released, shared_dir, shuffled, small_batches  # noqa: F401
 
 #: White space as all operators here see it; a word is a maximal run of anything else.
@@ -59,27 +61,9 @@ def shingle_hashes(word_array: Column, n: int) -> Column:
     return let(word_array, of)
 
 
-#: Bits of a sieve: 8 MB, whatever the size of the tables.
-SIEVE_BITS = 1 << 26
-
-
 def sieve(df: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
-    """Adds ``__ng_maybe``: whether the long ``key`` may be one of ``wanted`` (a table of one column). It is true for all
-    that are, and for few others.
-
-    A bitmap of fixed size over the hashes of the wanted keys is broadcast, so that rows that no one asks for need not be
-    shuffled. With very many keys it lets more through, never less; a join decides afterwards.
-    """
-    spot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(SIEVE_BITS))
-    h = spot(F.col(wanted.columns[0]))
-    bits = wanted.select(F.bitmap_bucket_number(h).alias("__ng_bucket"), F.bitmap_bit_position(h).alias("at"))
-    bits = bits.groupBy("__ng_bucket").agg(F.bitmap_construct_agg("at").alias("__ng_bits"))
-    mine = spot(key)
-    joined = df.join(F.broadcast(bits), F.bitmap_bucket_number(mine) == F.col("__ng_bucket"), "left")
-    at = F.bitmap_bit_position(mine)
-    byte = F.conv(F.hex(F.substring(F.col("__ng_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    maybe = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1, F.lit(False))
-    return joined.select(*df.columns, maybe.alias("__ng_maybe"))
+    """`filters.sieve` of ``SIEVE_BITS``."""
+    return filters.sieve(df, key, wanted, SIEVE_BITS)
 
 
 def sieved(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:

@@ -1,10 +1,16 @@
 """Whole jobs, the bucketed sink and its stream, the ledger's file."""
 
 import json
+import re
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from notegraph import session as session_
+from notegraph.plans import generate as G
 from notegraph.plans import jobs as J
+from notegraph.plans.catalog_jobs import _writer
+from notegraph.plans.catalog_more import RULES
 from notegraph.sources.buckets import KeyedTable, upsert_stream
 
 
@@ -138,3 +144,35 @@ def test_links_of_notes_that_share_a_guid(spark, same, tmp_path):
     for name in ("k13_repair_links", "k13_repair_stats"):
         same(QUERIES[name](spark, str(tmp_path)), duck.sql(SQL[name]))
     assert QUERIES["k13_repair_stats"](spark, str(tmp_path)).first().asDict() == {"scanned": 6, "changed": 5, "converted": 5, "unresolved": 1}
+
+
+def test_nightly_keeps_notes_out_of_the_driver(spark, monkeypatch):
+    """Tables with a row for each note are not broadcast, small as they are here; only texts that may have a topic are joined with it."""
+    session, plans, met = spark.newSession(), {}, []
+    bound, usual = session_.SMALL_BOUND
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return session_.materialize(df, name)
+
+    def collect(notes, *rest, of=G.L.collect_topics):
+        met.extend(r.rel_path for r in notes.select("rel_path").collect())
+        return of(notes, *rest)
+
+    monkeypatch.setattr(G, "materialize", seen)
+    monkeypatch.setattr(G.L, "collect_topics", collect)
+    rows = [(f"n{i}.md", f"n{i}", "v", f"Met Ann Lee {i}", f"We met Ann Lee about garden plans number {i}, once more", datetime(2024, 1, 20)) for i in range(200)]
+    rows += [("cafe.md", "cafe", "v", "c", "the cafe noir has opened its doors again", datetime(2024, 1, 20))]
+    n = session.createDataFrame(rows, "rel_path string, stem string, vault string, title string, body string, mtime timestamp").withColumn("folder", F.lit("x"))
+    topics = session.createDataFrame([("cafe", "cafe noir", 0), ("old", "never there", 0)], "slug string, alias string, alias_pos int")
+    done = session.createDataFrame([("n7.md", "rules")], "rel_path string, classified_by string")
+    got = {r.step: r.n for r in G.nightly(n, done, RULES, topics, writer=_writer).collect()}
+    assert got == {"classify": 50, "collect": 1, "propose": 1, "synthesize": 1, "backlink": 1, "report": 2}
+    assert "cafe.md" in met and len(met) < 10
+    by_note = r"BroadcastHashJoin \[rel_path#\d+\], \[rel_path#\d+\], (LeftOuter|Inner)"
+    assert not [name for name in ("nightly-noterefs", "nightly-report") if re.search(by_note, plans[name])]
+    assert session.conf.get(bound) == str(session_.SMALL_BYTES)
+    other = spark.newSession()
+    other.conf.set(bound, "1m")
+    session_.small_broadcasts(other)  # a bound that someone chose stays
+    assert other.conf.get(bound) == "1m" and spark.newSession().conf.get(bound) == usual
