@@ -12,6 +12,7 @@ from notegraph.plans import jobs as J
 from notegraph.plans.catalog_jobs import _writer
 from notegraph.plans.catalog_more import RULES
 from notegraph.sources.buckets import KeyedTable, upsert_stream
+from notegraph.sources.notes import notes_from_documents
 
 
 def test_upserts_touch_their_buckets_only(spark, tmp_path):
@@ -176,3 +177,18 @@ def test_nightly_keeps_notes_out_of_the_driver(spark, monkeypatch):
     other.conf.set(bound, "1m")
     session_.small_broadcasts(other)  # a bound that someone chose stays
     assert other.conf.get(bound) == "1m" and spark.newSession().conf.get(bound) == usual
+
+
+def test_nightly_with_large_ids(spark, duck):
+    """Ids are longs: a copy of a table may have its ids shifted beyond 2^31, and its notes' times beyond the year 9999."""
+    ids = [-1441, -1, 0, 1439, 1440, 3_000_000_007, 6_000_000_000]
+    rows = [(i, "We met Ann Lee about garden plans, once more", "en", "src1") for i in ids]
+    n = notes_from_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    duck.sql("CREATE OR REPLACE TEMP TABLE large_ids AS SELECT unnest([-1441, -1, 0, 1439, 1440, 3000000007, 6000000000]) AS doc_id")
+    minutes = "epoch_us(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id))"
+    want = dict(duck.sql(f"SELECT doc_id, {minutes} FROM large_ids").fetchall())
+    assert {r.doc_id: r.at for r in n.select("doc_id", F.unix_micros(F.col("mtime").cast("timestamp")).alias("at")).collect()} == want
+    topics = spark.createDataFrame([("ann", "ann lee", 0)], "slug string, alias string, alias_pos int")
+    done = spark.createDataFrame([], "rel_path string, classified_by string")
+    got = {r.step: r.n for r in G.nightly(n, done, RULES, topics, writer=_writer).collect()}
+    assert got["classify"] == len(ids) and got["collect"] == 1 and got["backlink"] == 1
